@@ -1,0 +1,17 @@
+"""Join helpers: broadcast only behind a size check, shuffle otherwise."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A side is broadcast only if it has at most this many rows.
+BROADCAST_MAX_ROWS = 100_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when a bounded probe proves ``df`` has at most
+    ``max_rows`` rows; beyond that the frame is returned unhinted and
+    Catalyst/AQE plan a shuffle join (and split skewed partitions)."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

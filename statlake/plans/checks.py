@@ -1 +1,873 @@
-"""Query keys for imports, publish, data quality and bulk requests."""
+"""Query keys for imports, publish, data quality, ledger, bulk requests,
+catalogue and file listings, each re-aimed at the driver tables and paired
+with a DuckDB oracle where SQL can express it.
+
+Inputs that are files in the reference (wide CSVs, catalogues) are written
+by Spark from the driver tables to a fresh folder below the session's
+checkpoint folder and imported back, so the whole path runs on Spark and
+its work grows with the tables.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from statlake.functions.columns import (
+    NUMBER_PATTERN,
+    computed_total,
+    decimal_comma,
+    iso_utc,
+    parse_number,
+    parse_year,
+)
+from statlake.operators import bulk as B
+from statlake.operators import publish as P
+from statlake.operators import quality as Q
+from statlake.operators.dedupe import keep_last
+from statlake.operators.reshape import RunContext, import_counts, to_tidy
+from statlake.plans.derived import PRIORITIES, stats, table, wide_categories, wide_years, year_range
+from statlake.plans.importer import stage, stage_many
+from statlake.plans.oracle import with_stats
+from statlake.plans.registry import register
+from statlake.plans.spec import (
+    Category,
+    CategoryColumn,
+    CsvOptions,
+    DatasetSpec,
+    UnpivotCategories,
+    UnpivotYears,
+    YearRow,
+)
+from statlake.schema import KEY, QUERY_AREA_MAX, REQUIRED, SCOPE
+from statlake.session import scratch_path
+from statlake.sources.catalog import match_catalog
+from statlake.sources.csv import write_delimited, write_text_table
+from statlake.sources.files import changed_sources, file_versions
+
+CORE = REQUIRED  # indicator, area_type, area_name, year, value, unit, category
+CORE_SQL = "indicator, area_type, area_name, year, value, unit, category"
+
+# A fixed run so that lineage columns are literals on both sides.
+FIXED_RUN_AT = dt.datetime(2024, 6, 1, 12, 0, 0)
+
+
+def fixed_run(dataset_id: str, version: str = "fixed-version") -> RunContext:
+    return RunContext(dataset_id=dataset_id, data_version=version,
+                      run_id=f"run-{dataset_id}", loaded_at=FIXED_RUN_AT)
+
+
+def core(df):
+    return df.select(*CORE)
+
+
+# ------------------------------------------------------------ import specs
+
+def _year_rows():
+    return (YearRow("total", "order_count", "orders", Category("total")),
+            YearRow("1-URGENT", "urgent_orders", "orders", Category("urgent")),
+            YearRow("5-LOW", "order_count", "orders", Category("low")))
+
+
+YEARS_SPEC = DatasetSpec(
+    id="nation_orders_by_year", url="file:///wide_years.csv", csv_filename="wide_years.csv",
+    area_type="nation", area_column="Stadtteil",
+    format=UnpivotYears(indicator_column="Merkmal", rows=_year_rows()))
+
+YEARS_SQL = """
+SELECT CASE category WHEN '1-URGENT' THEN 'urgent_orders' ELSE 'order_count' END AS indicator,
+       'nation' AS area_type, area_name, year, value, 'orders' AS unit,
+       CASE category WHEN 'total' THEN 'total' WHEN '1-URGENT' THEN 'urgent' ELSE 'low' END
+         AS category
+FROM stats
+WHERE indicator = 'order_count' AND area_type = 'nation' AND category IN ('total', '1-URGENT', '5-LOW')
+"""
+
+CATEGORIES_SPEC = DatasetSpec(
+    id="nation_orders_by_priority", url="file:///wide_categories.csv",
+    csv_filename="wide_categories.csv", area_type="nation", area_column="Stadtteil",
+    format=UnpivotCategories(
+        year_column="Jahr", year_parser="first", keep_last=True,
+        filter_column="Merkmal", filter_value="Auftraege",
+        indicator="order_count", unit="orders",
+        columns=tuple(CategoryColumn(Category(p), value_column=p) for p in PRIORITIES)))
+
+CATEGORIES_SQL = f"""
+SELECT {CORE_SQL} FROM stats
+WHERE indicator = 'order_count' AND area_type = 'nation' AND category <> 'total'
+"""
+
+
+def _wide_years(spark, sf_dir):
+    s = stats(spark, sf_dir)
+    return wide_years(spark, sf_dir, stats_df=s)
+
+
+@register("unpivot_years", with_stats(YEARS_SQL))
+def unpivot_years_check(spark, sf_dir):
+    wide = _wide_years(spark, sf_dir)
+    return core(to_tidy(wide, YEARS_SPEC, fixed_run(YEARS_SPEC.id)))
+
+
+@register("unpivot_default_area", """
+SELECT 'order_count' AS indicator, 'world' AS area_type, 'WORLD' AS area_name,
+       CAST(year(o_orderdate) AS INTEGER) AS year, CAST(count(*) AS DOUBLE) AS value,
+       'orders' AS unit, o_orderpriority AS category
+FROM orders GROUP BY year(o_orderdate), o_orderpriority
+""")
+def unpivot_default_area(spark, sf_dir):
+    years = year_range(spark, sf_dir)
+    orders = table(spark, sf_dir, "orders")
+    wide = orders.groupBy(F.col("o_orderpriority").alias("Merkmal")).agg(
+        *[F.sum(F.when(F.year("o_orderdate") == y, F.lit(1))).cast("string").alias(str(y))
+          for y in years])
+    spec = DatasetSpec(
+        id="world_orders", url="file:///world.csv", csv_filename="world.csv",
+        area_type="world", default_area_name="WORLD",
+        format=UnpivotYears(indicator_column="Merkmal", rows=tuple(
+            YearRow(p, "order_count", "orders", Category(p)) for p in PRIORITIES)))
+    return core(to_tidy(wide, spec, fixed_run(spec.id)))
+
+
+@register("unpivot_categories", with_stats(CATEGORIES_SQL))
+def unpivot_categories_check(spark, sf_dir):
+    wide = wide_categories(spark, sf_dir)
+    return core(to_tidy(wide, CATEGORIES_SPEC, fixed_run(CATEGORIES_SPEC.id)))
+
+
+@register("computed_total", with_stats(f"""
+SELECT {CORE_SQL} FROM stats
+WHERE indicator = 'order_count' AND area_type = 'nation' AND category = 'total'
+UNION ALL
+SELECT 'order_count_lenient', area_type, area_name, year, value, unit, 'total' FROM stats
+WHERE indicator = 'order_count' AND area_type = 'nation' AND category = 'total'
+"""))
+def computed_total_check(spark, sf_dir):
+    spec = DatasetSpec(
+        id="nation_orders_total", url="file:///wide_categories.csv",
+        csv_filename="wide_categories.csv", area_type="nation", area_column="Stadtteil",
+        format=UnpivotCategories(
+            year_column="Jahr", year_parser="first", filter_column="Merkmal",
+            filter_value="Auftraege", indicator="order_count", unit="orders",
+            columns=(CategoryColumn(Category("total"), value=lambda: computed_total(PRIORITIES)),
+                     CategoryColumn(Category("total"), indicator="order_count_lenient",
+                                    value=lambda: computed_total(PRIORITIES, lenient=True)))))
+    return core(to_tidy(wide_categories(spark, sf_dir), spec, fixed_run(spec.id)))
+
+
+@register("trim_area", with_stats(YEARS_SQL))
+def trim_area(spark, sf_dir):
+    wide = _wide_years(spark, sf_dir)
+    padded = wide.withColumn("Stadtteil", F.concat(F.lit("  "), "Stadtteil", F.lit(" ")))
+    spec = DatasetSpec(id=YEARS_SPEC.id, url=YEARS_SPEC.url, csv_filename=YEARS_SPEC.csv_filename,
+                       area_type="nation", area_column="Stadtteil", area_expression=F.trim,
+                       format=YEARS_SPEC.format)
+    return core(to_tidy(padded, spec, fixed_run(spec.id)))
+
+
+# --------------------------------------------------------- CSV round trips
+
+@register("csv_round_trip", with_stats(YEARS_SQL))
+def csv_round_trip(spark, sf_dir):
+    path = write_delimited(_wide_years(spark, sf_dir), scratch_path(spark, "wide-years"))
+    staged, _ = stage(spark, YEARS_SPEC, path, fixed_run(YEARS_SPEC.id))
+    return core(staged)
+
+
+@register("header_normalize", with_stats(YEARS_SQL))
+def header_normalize(spark, sf_dir):
+    wide = _wide_years(spark, sf_dir)
+    header = [" Merkmal ", "Nation Name"] + [f"{c} " for c in wide.columns[2:]]
+    path = write_text_table(wide, scratch_path(spark, "wide-years-headers"), header)
+    spec = DatasetSpec(id=YEARS_SPEC.id, url=YEARS_SPEC.url, csv_filename=YEARS_SPEC.csv_filename,
+                       area_type="nation", area_column="Stadtteil",
+                       column_aliases={"Stadtteil": ("Nation-Name", "Nation Name")},
+                       format=YEARS_SPEC.format)
+    staged, _ = stage(spark, spec, path, fixed_run(spec.id))
+    return core(staged)
+
+
+@register("duplicate_year_columns", with_stats("""
+SELECT 'order_count' AS indicator, 'nation' AS area_type, area_name, year,
+       CASE WHEN CAST(value AS BIGINT) % 2 = 0 THEN value ELSE value + 1 END AS value,
+       'orders' AS unit, 'total' AS category
+FROM stats WHERE indicator = 'order_count' AND area_type = 'nation' AND category = 'total'
+"""))
+def duplicate_year_columns(spark, sf_dir):
+    """Every year column appears twice; the later copy wins unless empty."""
+    wide = _wide_years(spark, sf_dir)
+    years = wide.columns[2:]
+    cols = [F.col("Merkmal"), F.col("Stadtteil")]
+    header = ["Merkmal", "Stadtteil"]
+    for y in years:
+        v = F.col(y).cast("long")
+        later = F.when(v % 2 == 0, F.lit(None)).otherwise(v + 1).cast("string")
+        cols += [F.col(y).alias(f"a{y}"), later.alias(f"b{y}")]
+        header += [y, y]
+    path = write_text_table(wide.select(*cols), scratch_path(spark, "wide-years-dup"), header)
+    spec = DatasetSpec(
+        id="nation_orders_dup", url="file:///dup.csv", csv_filename="dup.csv",
+        area_type="nation", area_column="Stadtteil",
+        format=UnpivotYears(indicator_column="Merkmal", year_pattern=r"^\d{4}(?:_\d+)?$",
+                            year_parser="leading",
+                            rows=(YearRow("total", "order_count", "orders", Category("total")),)))
+    staged, _ = stage(spark, spec, path, fixed_run(spec.id))
+    return core(staged)
+
+
+@register("encoding_fallback", with_stats("""
+SELECT indicator, area_type, area_name, year, value, unit,
+       CASE category WHEN '1-URGENT' THEN 'urgent' ELSE 'low' END AS category
+FROM stats
+WHERE indicator = 'order_count' AND area_type = 'nation' AND category IN ('1-URGENT', '5-LOW')
+"""))
+def encoding_fallback(spark, sf_dir):
+    """A latin-1 text whose header has an umlaut: the UTF-8 read shows U+FFFD,
+    so the import falls back to latin-1 and finds the first alternative."""
+    wide = wide_categories(spark, sf_dir).withColumnRenamed("1-URGENT", "dringlich-ä")
+    path = write_delimited(wide, scratch_path(spark, "latin1"), encoding="latin-1")
+    spec = DatasetSpec(
+        id="nation_orders_latin1", url="file:///latin1.csv", csv_filename="latin1.csv",
+        area_type="nation", area_column="Stadtteil",
+        csv=CsvOptions(fallback_encodings=("latin-1",)),
+        format=UnpivotCategories(
+            year_column="Jahr", year_parser="first", keep_last=True,
+            filter_column="Merkmal", filter_value="Auftraege", indicator="order_count",
+            unit="orders",
+            columns=(CategoryColumn(Category("urgent"), value_columns=(
+                "dringlich-ä", "dringlich-Ã¤", "dringlich-�", "dringlich-ae")),
+                CategoryColumn(Category("low"), value_column="5-LOW"))))
+    staged, _ = stage(spark, spec, path, fixed_run(spec.id))
+    return core(staged)
+
+
+@register("import_many", with_stats(f"""
+SELECT * FROM ({YEARS_SQL})
+UNION ALL
+SELECT * FROM ({CATEGORIES_SQL})
+"""))
+def import_many(spark, sf_dir):
+    s = stats(spark, sf_dir)
+    p1 = write_delimited(wide_years(spark, sf_dir, stats_df=s), scratch_path(spark, "many-a"))
+    p2 = write_delimited(wide_categories(spark, sf_dir, stats_df=s), scratch_path(spark, "many-b"))
+    missing = DatasetSpec(id="not_landed", url="file:///missing.csv", csv_filename="missing.csv",
+                          area_type="nation", area_column="Stadtteil", format=YEARS_SPEC.format)
+    paths = {YEARS_SPEC.id: p1, CATEGORIES_SPEC.id: p2,
+             missing.id: scratch_path(spark, "never-written")}
+    runs = {sp.id: fixed_run(sp.id) for sp in (YEARS_SPEC, CATEGORIES_SPEC, missing)}
+    return core(stage_many(spark, [YEARS_SPEC, CATEGORIES_SPEC, missing], paths, runs))
+
+
+@register("lineage", with_stats(f"""
+SELECT {CORE_SQL}, 'nation_orders_by_year' AS source_dataset,
+       'run-nation_orders_by_year' AS import_run_id,
+       '2024-06-01T12:00:00.000Z' AS loaded_at, 'fixed-version' AS data_version
+FROM ({YEARS_SQL})
+"""))
+def lineage(spark, sf_dir):
+    out = to_tidy(_wide_years(spark, sf_dir), YEARS_SPEC, fixed_run(YEARS_SPEC.id))
+    return out.select(*CORE, "source_dataset", "import_run_id",
+                      iso_utc("loaded_at").alias("loaded_at"), "data_version")
+
+
+@register("file_versions")
+def file_versions_check(spark, sf_dir):
+    """Rows only: size / mtime of the part files written from wide_years."""
+    path = write_delimited(_wide_years(spark, sf_dir), scratch_path(spark, "versions"))
+    return file_versions(spark, path, "*.csv").select("size", "mtime_ms", "data_version")
+
+
+@register("areas_unicode_order")
+def areas_unicode_order(spark, sf_dir):
+    """Rows only: area names in locale (UNICODE collation) order."""
+    s = stats(spark, sf_dir)
+    return (s.select("area_name").distinct()
+            .orderBy(F.collate(F.col("area_name"), "UNICODE")))
+
+
+# ------------------------------------------------------- parsing / numbers
+
+@register("parse_year", r"""
+SELECT CAST(regexp_extract(strftime(l_shipdate, '%d.%m.%Y'), '(\d{4})', 1) AS INTEGER) AS year,
+       CAST(regexp_extract(strftime(l_shipdate, '%Y_%m_%d'), '^(\d{4})', 1) AS INTEGER)
+         AS year_leading,
+       count(*) AS n
+FROM lineitem GROUP BY 1, 2
+""")
+def parse_year_check(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    first = parse_year(F.date_format("l_shipdate", "dd.MM.yyyy"), "first")
+    leading = parse_year(F.date_format("l_shipdate", "yyyy_MM_dd"), "leading")
+    return li.groupBy(first.alias("year"), leading.alias("year_leading")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+LENIENT_TEXT_SQL = """
+CASE WHEN l_linenumber = 7 THEN 'x'
+     WHEN l_linenumber = 6 THEN 'NaN'
+     WHEN l_linenumber = 5 THEN ''
+     WHEN l_linenumber = 4 THEN ' ' || replace(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR), '.', ',') || ' '
+     ELSE replace(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR), '.', ',') END
+"""
+
+
+@register("lenient_numeric", f"""
+SELECT count(v) AS n_valid, count(*) - count(v) AS n_invalid,
+       CAST(sum(CAST(v AS DECIMAL(18,2))) AS DOUBLE) AS sum_value
+FROM (SELECT CASE WHEN regexp_matches(replace(t, ',', '.'), '{NUMBER_PATTERN}')
+                  THEN TRY_CAST(replace(t, ',', '.') AS DOUBLE) END AS v
+      FROM (SELECT {LENIENT_TEXT_SQL} AS t FROM lineitem))
+""")
+def lenient_numeric(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    price = F.replace(li.l_extendedprice.cast("decimal(18,2)").cast("string"), F.lit("."),
+                      F.lit(","))
+    text = (F.when(F.col("l_linenumber") == 7, F.lit("x"))
+            .when(F.col("l_linenumber") == 6, F.lit("NaN"))
+            .when(F.col("l_linenumber") == 5, F.lit(""))
+            .when(F.col("l_linenumber") == 4, F.concat(F.lit(" "), price, F.lit(" ")))
+            .otherwise(price))
+    v = parse_number(decimal_comma(text))
+    return li.select(v.alias("v")).agg(
+        F.count("v").alias("n_valid"),
+        (F.count(F.lit(1)) - F.count("v")).alias("n_invalid"),
+        F.sum(F.col("v").cast("decimal(18,2)")).cast("double").alias("sum_value"))
+
+
+# ----------------------------------------------------------- dedupe / DQ
+
+@register("dedupe_keep_last", """
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts_text, user_id, event_type, value, props
+FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1
+""")
+def dedupe_keep_last(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    last = keep_last(ev, ["user_id", "event_type"], "event_id")
+    return last.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts_text"),
+                       "user_id", "event_type", "value", "props")
+
+
+def _with_later_copies(s):
+    """stats plus a later copy of every 'total' row with value + 1."""
+    later = s.where(F.col("category") == "total").withColumn("value", F.col("value") + 1)
+    return (s.withColumn("__order", F.lit(0))
+            .unionByName(later.withColumn("__order", F.lit(1))))
+
+
+@register("stage_unique", with_stats("""
+SELECT indicator, area_type, area_name, year,
+       CASE WHEN category = 'total' THEN value + 1 ELSE value END AS value, unit, category
+FROM stats
+"""))
+def stage_unique(spark, sf_dir):
+    both = _with_later_copies(stats(spark, sf_dir))
+    return core(keep_last(both, KEY, "__order"))
+
+
+@register("dq_duplicate_keys", with_stats("""
+SELECT indicator, area_type, area_name, year, category, count(*) AS n
+FROM (SELECT * FROM stats UNION ALL SELECT * FROM stats WHERE category = 'total')
+GROUP BY indicator, area_type, area_name, year, category HAVING count(*) > 1
+"""))
+def dq_duplicate_keys(spark, sf_dir):
+    return Q.duplicate_keys(_with_later_copies(stats(spark, sf_dir)).drop("__order"))
+
+
+def _with_nulls(s):
+    """Inject NULLs by rule: area in 1996, value of 5-LOW in 1999, unit of
+    order_value in 2000, category of order_value in 1995."""
+    return s.select(
+        "indicator", "area_type",
+        F.when(F.col("year") == 1996, F.lit(None)).otherwise(F.col("area_name")).alias("area_name"),
+        "year",
+        F.when((F.col("category") == "5-LOW") & (F.col("year") == 1999), F.lit(None).cast("double"))
+        .otherwise(F.col("value")).alias("value"),
+        F.when((F.col("indicator") == "order_value") & (F.col("year") == 2000), F.lit(None))
+        .otherwise(F.col("unit")).alias("unit"),
+        F.when((F.col("indicator") == "order_value") & (F.col("year") == 1995), F.lit(None))
+        .otherwise(F.col("category")).alias("category"))
+
+
+NULLS_SQL = """
+nulled AS (
+  SELECT indicator, area_type,
+         CASE WHEN year = 1996 THEN NULL ELSE area_name END AS area_name, year,
+         CASE WHEN category = '5-LOW' AND year = 1999 THEN NULL ELSE value END AS value,
+         CASE WHEN indicator = 'order_value' AND year = 2000 THEN NULL ELSE unit END AS unit,
+         CASE WHEN indicator = 'order_value' AND year = 1995 THEN NULL ELSE category END AS category
+  FROM stats)"""
+
+
+@register("dq_not_null", with_stats("""
+SELECT count(*) FILTER (WHERE indicator IS NULL) AS null_indicator,
+       count(*) FILTER (WHERE area_type IS NULL) AS null_area_type,
+       count(*) FILTER (WHERE area_name IS NULL) AS null_area_name,
+       count(*) FILTER (WHERE year IS NULL) AS null_year,
+       count(*) FILTER (WHERE value IS NULL) AS null_value,
+       count(*) FILTER (WHERE unit IS NULL) AS null_unit,
+       count(*) FILTER (WHERE category IS NULL) AS null_category
+FROM nulled""", NULLS_SQL))
+def dq_not_null(spark, sf_dir):
+    return Q.null_violations(_with_nulls(stats(spark, sf_dir)))
+
+
+@register("dq_dropna", with_stats(f"""
+SELECT {CORE_SQL} FROM nulled
+WHERE indicator IS NOT NULL AND area_type IS NOT NULL AND area_name IS NOT NULL
+  AND year IS NOT NULL AND value IS NOT NULL AND unit IS NOT NULL AND category IS NOT NULL""",
+                                  NULLS_SQL))
+def dq_dropna(spark, sf_dir):
+    return Q.dropna_required(_with_nulls(stats(spark, sf_dir)))
+
+
+@register("dq_fill_category", with_stats("""
+SELECT indicator, area_type, area_name, year, value, unit, coalesce(category, 'total') AS category
+FROM nulled""", NULLS_SQL))
+def dq_fill_category(spark, sf_dir):
+    return Q.fill_category(_with_nulls(stats(spark, sf_dir)))
+
+
+@register("dq_staged_checks", with_stats("""
+SELECT count(*) AS "rows",
+       count(*) FILTER (WHERE indicator IS NULL) AS null_indicator,
+       count(*) FILTER (WHERE area_type IS NULL) AS null_area_type,
+       count(*) FILTER (WHERE area_name IS NULL) AS null_area_name,
+       count(*) FILTER (WHERE year IS NULL) AS null_year,
+       count(*) FILTER (WHERE value IS NULL) AS null_value,
+       count(*) FILTER (WHERE unit IS NULL) AS null_unit,
+       count(*) FILTER (WHERE category IS NULL) AS null_category,
+       CAST(0 AS BIGINT) AS non_finite_values,
+       CAST(0 AS BIGINT) AS years_out_of_range,
+       count(*) - count(DISTINCT (indicator, area_type, area_name, year, category))
+         AS duplicate_keys
+FROM (SELECT * FROM stats UNION ALL SELECT * FROM stats WHERE category = 'total')"""))
+def dq_staged_checks(spark, sf_dir):
+    return Q.staged_violations(_with_later_copies(stats(spark, sf_dir)).drop("__order"))
+
+
+# ------------------------------------------------------------ publish
+
+PUBLISH_SCOPES = [("order_count", "nation", c) for c in PRIORITIES + ["total"]]
+SCOPES_SQL = "(indicator = 'order_count' AND area_type = 'nation')"
+STAGED_SQL = f"""
+staged AS (
+  SELECT indicator, area_type, area_name, year, value + 1 AS value, unit, category
+  FROM stats WHERE {SCOPES_SQL} AND category <> '5-LOW' AND year <> 2001)"""
+
+
+def _staged(s):
+    """New import of the nation order counts: 2001 and the 5-LOW scope are
+    gone (stale), every remaining value changed."""
+    return (s.where((F.col("indicator") == "order_count") & (F.col("area_type") == "nation")
+                    & (F.col("category") != "5-LOW") & (F.col("year") != 2001))
+            .withColumn("value", F.col("value") + 1))
+
+
+def _publish_inputs(spark, sf_dir):
+    s = stats(spark, sf_dir)
+    return s, _staged(s), P.scopes_frame(spark, PUBLISH_SCOPES)
+
+
+@register("stale_rows", with_stats(f"""
+SELECT {CORE_SQL} FROM stats t
+WHERE {SCOPES_SQL} AND NOT EXISTS (
+  SELECT 1 FROM staged s WHERE s.indicator = t.indicator AND s.area_type = t.area_type
+    AND s.area_name = t.area_name AND s.year = t.year AND s.category = t.category)""",
+                                   STAGED_SQL))
+def stale_rows(spark, sf_dir):
+    s, staged, scopes = _publish_inputs(spark, sf_dir)
+    return core(P.stale_rows(s, staged, scopes))
+
+
+@register("stale_counts", with_stats(f"""
+SELECT indicator, area_type, category, count(*) AS stale FROM stats t
+WHERE {SCOPES_SQL} AND NOT EXISTS (
+  SELECT 1 FROM staged s WHERE s.indicator = t.indicator AND s.area_type = t.area_type
+    AND s.area_name = t.area_name AND s.year = t.year AND s.category = t.category)
+GROUP BY indicator, area_type, category""", STAGED_SQL))
+def stale_counts(spark, sf_dir):
+    s, staged, scopes = _publish_inputs(spark, sf_dir)
+    return P.stale_counts(s, staged, scopes)
+
+
+@register("upsert", with_stats(f"""
+SELECT {CORE_SQL} FROM stats t WHERE NOT EXISTS (
+  SELECT 1 FROM staged s WHERE s.indicator = t.indicator AND s.area_type = t.area_type
+    AND s.area_name = t.area_name AND s.year = t.year AND s.category = t.category)
+UNION ALL SELECT {CORE_SQL} FROM staged""", STAGED_SQL))
+def upsert(spark, sf_dir):
+    s, staged, _ = _publish_inputs(spark, sf_dir)
+    return core(P.upsert(s, staged))
+
+
+PUBLISH_SQL = with_stats(f"""
+SELECT {CORE_SQL} FROM stats WHERE NOT {SCOPES_SQL}
+UNION ALL SELECT {CORE_SQL} FROM staged""", STAGED_SQL)
+
+
+@register("publish_snapshot", PUBLISH_SQL)
+def publish_snapshot(spark, sf_dir):
+    s, staged, scopes = _publish_inputs(spark, sf_dir)
+    return core(P.replace_scopes(s, staged, scopes))
+
+
+@register("publish_store", PUBLISH_SQL)
+def publish_store(spark, sf_dir):
+    """The same snapshot through the append-only store: a first run publishes
+    all of stats, a second run replaces the six nation order-count scopes."""
+    s, staged, _ = _publish_inputs(spark, sf_dir)
+    store = P.FactStore(spark, scratch_path(spark, "store"))
+    all_scopes = [tuple(r) for r in s.select(*SCOPE).distinct().collect()]
+    first = RunContext(dataset_id="stats_initial", data_version="v1")
+    store.begin(first)
+    store.commit(s.withColumn("import_run_id", F.lit(first.run_id)), first, all_scopes)
+    second = RunContext(dataset_id="nation_orders", data_version="v2")
+    store.begin(second)
+    store.commit(staged.withColumn("import_run_id", F.lit(second.run_id)), second,
+                 PUBLISH_SCOPES)
+    return core(store.facts())
+
+
+@register("import_counts", with_stats("""
+SELECT indicator, area_type, category, count(*) AS imported FROM staged
+GROUP BY indicator, area_type, category""", STAGED_SQL))
+def import_counts_check(spark, sf_dir):
+    _, staged, _ = _publish_inputs(spark, sf_dir)
+    return import_counts(staged)
+
+
+# -------------------------------------------------------------- ledger
+
+def _ledger_events(spark, sf_dir):
+    """Orders as an import ledger: every order starts a run; status F ends
+    published (row count = order key), P ends failed, O stays started."""
+    o = table(spark, sf_dir, "orders")
+    run_id = F.concat(F.lit("run-"), F.col("o_orderkey").cast("string"))
+    started = F.struct(F.lit("started").alias("status"), F.lit(None).cast("long").alias("row_count"),
+                       F.lit(None).cast("string").alias("error_message"),
+                       (F.col("o_orderkey") * 2).alias("seq"))
+    final = F.when(F.col("o_orderstatus") == "F", F.struct(
+        F.lit("published").alias("status"), F.col("o_orderkey").cast("long").alias("row_count"),
+        F.lit(None).cast("string").alias("error_message"),
+        (F.col("o_orderkey") * 2 + 1).alias("seq"))).when(
+        F.col("o_orderstatus") == "P", F.struct(
+            F.lit("failed").alias("status"), F.lit(None).cast("long").alias("row_count"),
+            F.concat(F.lit("failed order "), F.col("o_orderkey").cast("string"))
+            .alias("error_message"),
+            (F.col("o_orderkey") * 2 + 1).alias("seq")))
+    return (o.select(run_id.alias("run_id"), F.explode(F.array(started, final)).alias("e"))
+            .where(F.col("e").isNotNull()).select("run_id", "e.*"))
+
+
+LEDGER_SQL = """
+SELECT 'run-' || CAST(o_orderkey AS VARCHAR) AS run_id,
+       CASE o_orderstatus WHEN 'F' THEN 'published' WHEN 'P' THEN 'failed' ELSE 'started' END
+         AS status,
+       CASE WHEN o_orderstatus = 'F' THEN o_orderkey END AS row_count,
+       CASE WHEN o_orderstatus = 'P' THEN 'failed order ' || CAST(o_orderkey AS VARCHAR) END
+         AS error_message
+FROM orders"""
+
+
+@register("run_state", LEDGER_SQL)
+def run_state_check(spark, sf_dir):
+    return P.run_state(_ledger_events(spark, sf_dir)).select(
+        "run_id", "status", "row_count", "error_message")
+
+
+@register("run_summary", f"""
+SELECT count(*) AS total_runs,
+       count(*) FILTER (WHERE status = 'published') AS published_runs,
+       count(*) FILTER (WHERE status = 'failed') AS failed_runs
+FROM ({LEDGER_SQL})""")
+def run_summary_check(spark, sf_dir):
+    return P.run_summary(P.run_state(_ledger_events(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- bulk
+
+def _timeseries_requests(spark, sf_dir):
+    """One request per nation (its own name, two categories for odd keys,
+    offset key % 3) plus one per region asking for a region name among
+    nations, which has no rows."""
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    cats = F.when(F.col("n_nationkey") % 2 == 1, F.array(F.lit("total"), F.lit("1-URGENT")))
+    per_nation = n.select(
+        F.col("n_nationkey").cast("long").alias("request_id"),
+        F.col("n_nationkey").cast("int").alias("pos"), F.lit("timeseries").alias("kind"),
+        F.lit("order_count").alias("indicator"), F.lit("nation").alias("area_type"),
+        F.array("n_name").alias("areas"), cats.alias("categories"),
+        F.lit(1996).alias("year_from"), F.lit(2000).alias("year_to"),
+        F.lit(None).cast("int").alias("year"), F.lit(5).alias("limit"),
+        (F.col("n_nationkey") % 3).cast("int").alias("offset"),
+        F.lit(None).cast("string").alias("order"))
+    per_region = r.select(
+        (F.col("r_regionkey") + 1000).cast("long").alias("request_id"),
+        (F.col("r_regionkey") + 1000).cast("int").alias("pos"), F.lit("timeseries").alias("kind"),
+        F.lit("order_count").alias("indicator"), F.lit("nation").alias("area_type"),
+        F.array("r_name").alias("areas"), F.lit(None).cast("array<string>").alias("categories"),
+        F.lit(None).cast("int").alias("year_from"), F.lit(None).cast("int").alias("year_to"),
+        F.lit(None).cast("int").alias("year"), F.lit(50).alias("limit"), F.lit(0).alias("offset"),
+        F.lit(None).cast("string").alias("order"))
+    return per_nation.unionByName(per_region)
+
+
+TS_REQUESTS_SQL = """
+req AS (
+  SELECT CAST(n_nationkey AS BIGINT) AS request_id, CAST(n_nationkey AS INTEGER) AS pos,
+         'order_count' AS indicator, 'nation' AS area_type, [n_name] AS areas,
+         CASE WHEN n_nationkey % 2 = 1 THEN ['total', '1-URGENT'] END AS categories,
+         1996 AS year_from, 2000 AS year_to, 5 AS "limit", CAST(n_nationkey % 3 AS INTEGER) AS "offset"
+  FROM nation
+  UNION ALL
+  SELECT CAST(r_regionkey + 1000 AS BIGINT), CAST(r_regionkey + 1000 AS INTEGER), 'order_count',
+         'nation', [r_name], NULL, NULL, NULL, 50, 0
+  FROM region),
+matched AS (
+  SELECT r.request_id, s.area_name, s.year, s.value, s.unit, s.category,
+         r."limit", r."offset",
+         row_number() OVER (PARTITION BY r.request_id ORDER BY s.area_name, s.year, s.category) AS rn,
+         count(*) OVER (PARTITION BY r.request_id) AS total
+  FROM req r JOIN stats s ON s.indicator = r.indicator AND s.area_type = r.area_type
+  WHERE (r.areas IS NULL OR len(r.areas) = 0 OR list_contains(r.areas, s.area_name))
+    AND (r.categories IS NULL OR len(r.categories) = 0 OR list_contains(r.categories, s.category))
+    AND (r.year_from IS NULL OR s.year >= r.year_from)
+    AND (r.year_to IS NULL OR s.year <= r.year_to))"""
+
+
+@register("bulk_timeseries", with_stats("""
+SELECT r.request_id, r.pos, m.area_name AS area, m.year, m.value, m.unit, m.category, m.rn,
+       coalesce(t.total, 0) AS total, r."limit", r."offset"
+FROM req r
+LEFT JOIN (SELECT * FROM matched WHERE rn > "offset" AND rn <= "offset" + "limit") m
+  ON m.request_id = r.request_id
+LEFT JOIN (SELECT request_id, count(*) AS total FROM matched GROUP BY request_id) t
+  ON t.request_id = r.request_id""", TS_REQUESTS_SQL))
+def bulk_timeseries(spark, sf_dir):
+    return B.bulk_timeseries(stats(spark, sf_dir), _timeseries_requests(spark, sf_dir))
+
+
+def _ranking_requests(spark, sf_dir):
+    r = table(spark, sf_dir, "region")
+    return r.select(
+        F.col("r_regionkey").cast("long").alias("request_id"),
+        F.col("r_regionkey").cast("int").alias("pos"), F.lit("ranking").alias("kind"),
+        F.lit("order_count").alias("indicator"), F.lit("nation").alias("area_type"),
+        F.lit(None).cast("array<string>").alias("areas"),
+        F.array(F.lit("total")).alias("categories"),
+        F.lit(None).cast("int").alias("year_from"), F.lit(None).cast("int").alias("year_to"),
+        (F.col("r_regionkey") + 1995).cast("int").alias("year"),
+        (F.col("r_regionkey") + 3).cast("int").alias("limit"),
+        F.lit(None).cast("int").alias("offset"),
+        F.when(F.col("r_regionkey") % 2 == 0, F.lit("asc")).otherwise(F.lit("desc")).alias("order"))
+
+
+@register("bulk_ranking", with_stats("""
+SELECT r.request_id, r.pos, r.year, r."order", m.area_name AS area, m.value, m.unit, m.category,
+       m.rn
+FROM req r LEFT JOIN (
+  SELECT q.request_id, s.area_name, s.value, s.unit, s.category,
+         row_number() OVER (PARTITION BY q.request_id ORDER BY
+           CASE WHEN q."order" = 'asc' THEN s.value ELSE -s.value END, s.area_name, s.category) AS rn,
+         q."limit"
+  FROM req q JOIN stats s ON s.indicator = q.indicator AND s.area_type = q.area_type
+    AND s.year = q.year AND list_contains(q.categories, s.category)) m
+  ON m.request_id = r.request_id AND m.rn <= m."limit"
+""", """
+req AS (
+  SELECT CAST(r_regionkey AS BIGINT) AS request_id, CAST(r_regionkey AS INTEGER) AS pos,
+         'order_count' AS indicator, 'nation' AS area_type, ['total'] AS categories,
+         CAST(r_regionkey + 1995 AS INTEGER) AS year, CAST(r_regionkey + 3 AS INTEGER) AS "limit",
+         CASE WHEN r_regionkey % 2 = 0 THEN 'asc' ELSE 'desc' END AS "order"
+  FROM region)"""))
+def bulk_ranking(spark, sf_dir):
+    return B.bulk_ranking(stats(spark, sf_dir), _ranking_requests(spark, sf_dir))
+
+
+def _mixed_requests(spark, sf_dir):
+    """One request per nation with a defect chosen by key % 5: unknown
+    indicator, unknown area type, unknown categories, from > to, or none."""
+    n = table(spark, sf_dir, "nation")
+    k = F.col("n_nationkey") % 5
+    return n.select(
+        F.col("n_nationkey").cast("long").alias("request_id"),
+        (24 - F.col("n_nationkey")).cast("int").alias("pos"),
+        F.when(F.col("n_nationkey") % 2 == 0, F.lit("timeseries")).otherwise(F.lit("ranking"))
+        .alias("kind"),
+        F.when(k == 0, F.concat(F.lit("bogus_"), F.col("n_name"))).otherwise(F.lit("order_count"))
+        .alias("indicator"),
+        F.when(k == 1, F.lit("county")).otherwise(F.lit("nation")).alias("area_type"),
+        F.array("n_name").alias("areas"),
+        F.when(k == 2, F.array(F.lit("total"), F.lower("n_name"), F.lit("zzz")))
+        .otherwise(F.array(F.lit("total"))).alias("categories"),
+        F.when(k == 3, F.lit(2000)).otherwise(F.lit(1995)).alias("year_from"),
+        F.when(k == 3, F.lit(1996)).otherwise(F.lit(2001)).alias("year_to"),
+        F.lit(1998).alias("year"), F.lit(10).alias("limit"), F.lit(0).alias("offset"),
+        F.lit("desc").alias("order"))
+
+
+MIXED_SQL = """
+req AS (
+  SELECT CAST(n_nationkey AS BIGINT) AS request_id, CAST(24 - n_nationkey AS INTEGER) AS pos,
+         CASE WHEN n_nationkey % 5 = 0 THEN 'bogus_' || n_name ELSE 'order_count' END AS indicator,
+         CASE WHEN n_nationkey % 5 = 1 THEN 'county' ELSE 'nation' END AS area_type,
+         CASE WHEN n_nationkey % 5 = 2 THEN ['total', lower(n_name), 'zzz'] ELSE ['total'] END
+           AS categories,
+         CASE WHEN n_nationkey % 5 = 3 THEN 2000 ELSE 1995 END AS year_from,
+         CASE WHEN n_nationkey % 5 = 3 THEN 1996 ELSE 2001 END AS year_to
+  FROM nation),
+inds AS (SELECT DISTINCT indicator FROM stats),
+typs AS (SELECT DISTINCT area_type FROM stats),
+cats AS (SELECT DISTINCT indicator, area_type, category FROM stats),
+checks AS (
+  SELECT request_id, pos, 0 AS ordinal, 'range' AS field,
+         CAST(year_from AS VARCHAR) || '>' || CAST(year_to AS VARCHAR) AS value, NULL AS allowed
+  FROM req WHERE year_from > year_to
+  UNION ALL
+  SELECT request_id, pos, 1, 'indicator', indicator,
+         (SELECT string_agg(indicator, ',' ORDER BY indicator) FROM inds)
+  FROM req WHERE indicator NOT IN (SELECT indicator FROM inds)
+  UNION ALL
+  SELECT request_id, pos, 2, 'areaType', area_type,
+         (SELECT string_agg(area_type, ',' ORDER BY area_type) FROM typs)
+  FROM req WHERE area_type NOT IN (SELECT area_type FROM typs)
+  UNION ALL
+  SELECT u.request_id, u.pos, 3, 'category', u.category,
+         coalesce((SELECT string_agg(c.category, ',' ORDER BY c.category) FROM cats c
+                   WHERE c.indicator = u.indicator AND c.area_type = u.area_type), '')
+  FROM (
+    SELECT request_id, pos, indicator, area_type, arg_min(category, cpos) AS category
+    FROM (SELECT request_id, pos, indicator, area_type, unnest(categories) AS category,
+                 generate_subscripts(categories, 1) AS cpos FROM req) w
+    WHERE NOT EXISTS (SELECT 1 FROM cats c WHERE c.indicator = w.indicator
+                        AND c.area_type = w.area_type AND c.category = w.category)
+    GROUP BY request_id, pos, indicator, area_type) u),
+firsts AS (
+  SELECT request_id, pos, arg_min(field, ordinal) AS field, arg_min(value, ordinal) AS value,
+         arg_min(allowed, ordinal) AS allowed
+  FROM checks GROUP BY request_id, pos)"""
+
+
+def _invalid(spark, sf_dir):
+    out = B.invalid_requests(stats(spark, sf_dir), _mixed_requests(spark, sf_dir))
+    return out.withColumn("allowed", F.array_join("allowed", ","))
+
+
+@register("unknown_domain_values", with_stats(
+    "SELECT request_id, pos, field, value, allowed FROM firsts", MIXED_SQL))
+def unknown_domain_values(spark, sf_dir):
+    return _invalid(spark, sf_dir)
+
+
+@register("bulk_invalid", with_stats(
+    "SELECT request_id, pos, field, value, allowed FROM firsts ORDER BY pos LIMIT 1", MIXED_SQL))
+def bulk_invalid(spark, sf_dir):
+    return _invalid(spark, sf_dir).orderBy("pos").limit(1)
+
+
+LIST_TEXT_SQL = ("o_orderpriority || ' , ' || o_orderstatus || ',' || o_orderpriority || "
+                 "CASE WHEN o_orderkey % 4 = 0 THEN ',,' ELSE '' END")
+
+
+@register("normalize_lists", f"""
+WITH src AS (SELECT o_orderkey AS k, {LIST_TEXT_SQL} AS s FROM orders),
+tok AS (SELECT k, trim(unnest(string_split(s, ','))) AS t,
+               generate_subscripts(string_split(s, ','), 1) AS i FROM src),
+firsts AS (SELECT k, t, min(i) AS i FROM tok GROUP BY k, t)
+SELECT f.k AS o_orderkey, f.list AS areas_list, e.has_empty AS areas_has_empty,
+       e.too_long AS areas_too_long
+FROM (SELECT k, string_agg(t, '|' ORDER BY i) AS list FROM firsts GROUP BY k) f
+JOIN (SELECT k, bool_or(t = '') AS has_empty, max(length(t)) > {QUERY_AREA_MAX} AS too_long
+      FROM tok GROUP BY k) e ON e.k = f.k
+""")
+def normalize_lists(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    text = F.concat(F.col("o_orderpriority"), F.lit(" , "), F.col("o_orderstatus"), F.lit(","),
+                    F.col("o_orderpriority"),
+                    F.when(F.col("o_orderkey") % 4 == 0, F.lit(",,")).otherwise(F.lit("")))
+    out = B.normalize_lists(o.select("o_orderkey", text.alias("areas")), "areas", QUERY_AREA_MAX)
+    return out.select("o_orderkey", F.array_join("areas_list", "|").alias("areas_list"),
+                      "areas_has_empty", "areas_too_long")
+
+
+# ----------------------------------------------------- sources and catalogue
+
+def _manifests(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    manifest = pages.select(F.col("url").alias("path"), F.length("html").cast("long").alias("size"),
+                            (F.col("page_id") * 1000).alias("mtime_ms"))
+    listing = pages.select(
+        F.col("url").alias("path"),
+        (F.length("html") + F.when(F.col("page_id") % 4 == 0, 1).otherwise(0))
+        .cast("long").alias("size"),
+        (F.col("page_id") * 1000 + F.when(F.col("page_id") % 9 == 0, 5).otherwise(0))
+        .alias("mtime_ms"))
+    return listing, manifest
+
+
+@register("changed_sources", """
+WITH manifest AS (SELECT url AS path, CAST(length(html) AS BIGINT) AS size,
+                         page_id * 1000 AS mtime_ms FROM pages),
+listing AS (SELECT url AS path,
+                   CAST(length(html) + CASE WHEN page_id % 4 = 0 THEN 1 ELSE 0 END AS BIGINT) AS size,
+                   page_id * 1000 + CASE WHEN page_id % 9 = 0 THEN 5 ELSE 0 END AS mtime_ms
+            FROM pages)
+SELECT l.path, l.size, l.mtime_ms, NOT EXISTS (
+  SELECT 1 FROM manifest m WHERE m.path = l.path AND m.size = l.size AND m.mtime_ms = l.mtime_ms)
+  AS updated
+FROM listing l
+""")
+def changed_sources_check(spark, sf_dir):
+    listing, manifest = _manifests(spark, sf_dir)
+    return changed_sources(listing, manifest)
+
+
+def _catalog_targets(spark, sf_dir):
+    """Every page URL as a dataset URL, varied by page id: padded with a
+    trailing slash (URL match), moved to another host (file-name match), or
+    given a query string on another host (file-name match after the cut)."""
+    pages = table(spark, sf_dir, "pages")
+    name = F.regexp_extract(F.regexp_replace(F.col("url"), r"[?#].*$", ""), r"([^/]*)/*$", 1)
+    v = F.col("page_id") % 3
+    url = (F.when(v == 0, F.concat(F.lit(" "), F.col("url"), F.lit("/ ")))
+           .when(v == 1, F.concat(F.lit("https://mirror.example.org/files/"), name))
+           .otherwise(F.concat(F.lit("https://cdn.example.org/x/"), name, F.lit("?v=2#top"))))
+    return pages.select(F.col("page_id").alias("target_id"), url.alias("url"))
+
+
+@register("catalog_match", r"""
+WITH res AS (
+  SELECT page_id AS pos, regexp_replace(trim(url), '/+$', '') AS norm_url FROM pages),
+res2 AS (
+  SELECT pos, norm_url,
+         regexp_extract(regexp_extract(norm_url, '^([^?#]*)', 1), '([^/]*)$', 1) AS file_name
+  FROM res),
+by_url AS (SELECT norm_url, min(pos) AS p FROM res2 GROUP BY norm_url),
+by_file AS (SELECT file_name, min(pos) AS p FROM res2 WHERE file_name <> '' GROUP BY file_name),
+tg AS (
+  SELECT page_id AS target_id,
+         CASE page_id % 3
+           WHEN 0 THEN ' ' || url || '/ '
+           WHEN 1 THEN 'https://mirror.example.org/files/'
+                       || regexp_extract(regexp_replace(url, '[?#].*$', ''), '([^/]*)/*$', 1)
+           ELSE 'https://cdn.example.org/x/'
+                || regexp_extract(regexp_replace(url, '[?#].*$', ''), '([^/]*)/*$', 1) || '?v=2#top'
+         END AS url
+  FROM pages),
+tg2 AS (
+  SELECT target_id, url, regexp_replace(trim(url), '/+$', '') AS norm_url FROM tg),
+tg3 AS (
+  SELECT target_id, url, norm_url,
+         regexp_extract(regexp_extract(norm_url, '^([^?#]*)', 1), '([^/]*)$', 1) AS file_name
+  FROM tg2)
+SELECT t.target_id, t.url, least(u.p, f.p) AS match_pos
+FROM tg3 t LEFT JOIN by_url u ON u.norm_url = t.norm_url
+LEFT JOIN by_file f ON f.file_name = t.file_name
+""")
+def catalog_match(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    resources = pages.select(F.col("page_id").alias("pos"), "url")
+    return match_catalog(resources, _catalog_targets(spark, sf_dir))
