@@ -51,7 +51,7 @@ def computed_total(columns, lenient: bool = False) -> Column:
     lenient: anything that is not a number counts as 0.
     """
     def one(name):
-        c = F.col(name) if isinstance(name, str) else name
+        c = F.col("`" + name.replace("`", "``") + "`") if isinstance(name, str) else name
         if lenient:
             return F.coalesce(parse_number(c), F.lit(0.0))
         return F.coalesce(c.cast("double"), F.lit(0.0))
