@@ -71,22 +71,22 @@ def _year_rows():
 
 
 YEARS_SPEC = DatasetSpec(
-    id="nation_orders_by_year", url="file:///wide_years.csv", csv_filename="wide_years.csv",
-    area_type="nation", area_column="Stadtteil",
+    id="customer_orders_by_year", url="file:///wide_years.csv", csv_filename="wide_years.csv",
+    area_type="customer", area_column="Stadtteil",
     format=UnpivotYears(indicator_column="Merkmal", rows=_year_rows()))
 
 YEARS_SQL = """
 SELECT CASE category WHEN '1-URGENT' THEN 'urgent_orders' ELSE 'order_count' END AS indicator,
-       'nation' AS area_type, area_name, year, value, 'orders' AS unit,
+       'customer' AS area_type, area_name, year, value, 'orders' AS unit,
        CASE category WHEN 'total' THEN 'total' WHEN '1-URGENT' THEN 'urgent' ELSE 'low' END
          AS category
 FROM stats
-WHERE indicator = 'order_count' AND area_type = 'nation' AND category IN ('total', '1-URGENT', '5-LOW')
+WHERE indicator = 'order_count' AND area_type = 'customer' AND category IN ('total', '1-URGENT', '5-LOW')
 """
 
 CATEGORIES_SPEC = DatasetSpec(
-    id="nation_orders_by_priority", url="file:///wide_categories.csv",
-    csv_filename="wide_categories.csv", area_type="nation", area_column="Stadtteil",
+    id="customer_orders_by_priority", url="file:///wide_categories.csv",
+    csv_filename="wide_categories.csv", area_type="customer", area_column="Stadtteil",
     format=UnpivotCategories(
         year_column="Jahr", year_parser="first", keep_last=True,
         filter_column="Merkmal", filter_value="Auftraege",
@@ -95,7 +95,7 @@ CATEGORIES_SPEC = DatasetSpec(
 
 CATEGORIES_SQL = f"""
 SELECT {CORE_SQL} FROM stats
-WHERE indicator = 'order_count' AND area_type = 'nation' AND category <> 'total'
+WHERE indicator = 'order_count' AND area_type = 'customer' AND category <> 'total'
 """
 
 
@@ -138,15 +138,15 @@ def unpivot_categories_check(spark, sf_dir):
 
 @register("computed_total", with_stats(f"""
 SELECT {CORE_SQL} FROM stats
-WHERE indicator = 'order_count' AND area_type = 'nation' AND category = 'total'
+WHERE indicator = 'order_count' AND area_type = 'customer' AND category = 'total'
 UNION ALL
 SELECT 'order_count_lenient', area_type, area_name, year, value, unit, 'total' FROM stats
-WHERE indicator = 'order_count' AND area_type = 'nation' AND category = 'total'
+WHERE indicator = 'order_count' AND area_type = 'customer' AND category = 'total'
 """))
 def computed_total_check(spark, sf_dir):
     spec = DatasetSpec(
-        id="nation_orders_total", url="file:///wide_categories.csv",
-        csv_filename="wide_categories.csv", area_type="nation", area_column="Stadtteil",
+        id="customer_orders_total", url="file:///wide_categories.csv",
+        csv_filename="wide_categories.csv", area_type="customer", area_column="Stadtteil",
         format=UnpivotCategories(
             year_column="Jahr", year_parser="first", filter_column="Merkmal",
             filter_value="Auftraege", indicator="order_count", unit="orders",
@@ -161,7 +161,7 @@ def trim_area(spark, sf_dir):
     wide = _wide_years(spark, sf_dir)
     padded = wide.withColumn("Stadtteil", F.concat(F.lit("  "), "Stadtteil", F.lit(" ")))
     spec = DatasetSpec(id=YEARS_SPEC.id, url=YEARS_SPEC.url, csv_filename=YEARS_SPEC.csv_filename,
-                       area_type="nation", area_column="Stadtteil", area_expression=F.trim,
+                       area_type="customer", area_column="Stadtteil", area_expression=F.trim,
                        format=YEARS_SPEC.format)
     return core(to_tidy(padded, spec, fixed_run(spec.id)))
 
@@ -181,7 +181,7 @@ def header_normalize(spark, sf_dir):
     header = [" Merkmal ", "Nation Name"] + [f"{c} " for c in wide.columns[2:]]
     path = write_text_table(wide, scratch_path(spark, "wide-years-headers"), header)
     spec = DatasetSpec(id=YEARS_SPEC.id, url=YEARS_SPEC.url, csv_filename=YEARS_SPEC.csv_filename,
-                       area_type="nation", area_column="Stadtteil",
+                       area_type="customer", area_column="Stadtteil",
                        column_aliases={"Stadtteil": ("Nation-Name", "Nation Name")},
                        format=YEARS_SPEC.format)
     staged, _ = stage(spark, spec, path, fixed_run(spec.id))
@@ -189,10 +189,10 @@ def header_normalize(spark, sf_dir):
 
 
 @register("duplicate_year_columns", with_stats("""
-SELECT 'order_count' AS indicator, 'nation' AS area_type, area_name, year,
+SELECT 'order_count' AS indicator, 'customer' AS area_type, area_name, year,
        CASE WHEN CAST(value AS BIGINT) % 2 = 0 THEN value ELSE value + 1 END AS value,
        'orders' AS unit, 'total' AS category
-FROM stats WHERE indicator = 'order_count' AND area_type = 'nation' AND category = 'total'
+FROM stats WHERE indicator = 'order_count' AND area_type = 'customer' AND category = 'total'
 """))
 def duplicate_year_columns(spark, sf_dir):
     """Every year column appears twice; the later copy wins unless empty."""
@@ -207,8 +207,8 @@ def duplicate_year_columns(spark, sf_dir):
         header += [y, y]
     path = write_text_table(wide.select(*cols), scratch_path(spark, "wide-years-dup"), header)
     spec = DatasetSpec(
-        id="nation_orders_dup", url="file:///dup.csv", csv_filename="dup.csv",
-        area_type="nation", area_column="Stadtteil",
+        id="customer_orders_dup", url="file:///dup.csv", csv_filename="dup.csv",
+        area_type="customer", area_column="Stadtteil",
         format=UnpivotYears(indicator_column="Merkmal", year_pattern=r"^\d{4}(?:_\d+)?$",
                             year_parser="leading",
                             rows=(YearRow("total", "order_count", "orders", Category("total")),)))
@@ -220,7 +220,7 @@ def duplicate_year_columns(spark, sf_dir):
 SELECT indicator, area_type, area_name, year, value, unit,
        CASE category WHEN '1-URGENT' THEN 'urgent' ELSE 'low' END AS category
 FROM stats
-WHERE indicator = 'order_count' AND area_type = 'nation' AND category IN ('1-URGENT', '5-LOW')
+WHERE indicator = 'order_count' AND area_type = 'customer' AND category IN ('1-URGENT', '5-LOW')
 """))
 def encoding_fallback(spark, sf_dir):
     """A latin-1 text whose header has an umlaut: the UTF-8 read shows U+FFFD,
@@ -228,8 +228,8 @@ def encoding_fallback(spark, sf_dir):
     wide = wide_categories(spark, sf_dir).withColumnRenamed("1-URGENT", "dringlich-ä")
     path = write_delimited(wide, scratch_path(spark, "latin1"), encoding="latin-1")
     spec = DatasetSpec(
-        id="nation_orders_latin1", url="file:///latin1.csv", csv_filename="latin1.csv",
-        area_type="nation", area_column="Stadtteil",
+        id="customer_orders_latin1", url="file:///latin1.csv", csv_filename="latin1.csv",
+        area_type="customer", area_column="Stadtteil",
         csv=CsvOptions(fallback_encodings=("latin-1",)),
         format=UnpivotCategories(
             year_column="Jahr", year_parser="first", keep_last=True,
@@ -252,7 +252,7 @@ def import_many(spark, sf_dir):
     p1 = write_delimited(wide_years(spark, sf_dir, stats_df=s), scratch_path(spark, "many-a"))
     p2 = write_delimited(wide_categories(spark, sf_dir, stats_df=s), scratch_path(spark, "many-b"))
     missing = DatasetSpec(id="not_landed", url="file:///missing.csv", csv_filename="missing.csv",
-                          area_type="nation", area_column="Stadtteil", format=YEARS_SPEC.format)
+                          area_type="customer", area_column="Stadtteil", format=YEARS_SPEC.format)
     paths = {YEARS_SPEC.id: p1, CATEGORIES_SPEC.id: p2,
              missing.id: scratch_path(spark, "never-written")}
     runs = {sp.id: fixed_run(sp.id) for sp in (YEARS_SPEC, CATEGORIES_SPEC, missing)}
@@ -260,8 +260,8 @@ def import_many(spark, sf_dir):
 
 
 @register("lineage", with_stats(f"""
-SELECT {CORE_SQL}, 'nation_orders_by_year' AS source_dataset,
-       'run-nation_orders_by_year' AS import_run_id,
+SELECT {CORE_SQL}, 'customer_orders_by_year' AS source_dataset,
+       'run-customer_orders_by_year' AS import_run_id,
        '2024-06-01T12:00:00.000Z' AS loaded_at, 'fixed-version' AS data_version
 FROM ({YEARS_SQL})
 """))
@@ -449,8 +449,8 @@ def dq_staged_checks(spark, sf_dir):
 
 # ------------------------------------------------------------ publish
 
-PUBLISH_SCOPES = [("order_count", "nation", c) for c in PRIORITIES + ["total"]]
-SCOPES_SQL = "(indicator = 'order_count' AND area_type = 'nation')"
+PUBLISH_SCOPES = [("order_count", "customer", c) for c in PRIORITIES + ["total"]]
+SCOPES_SQL = "(indicator = 'order_count' AND area_type = 'customer')"
 STAGED_SQL = f"""
 staged AS (
   SELECT indicator, area_type, area_name, year, value + 1 AS value, unit, category
@@ -458,9 +458,9 @@ staged AS (
 
 
 def _staged(s):
-    """New import of the nation order counts: 2001 and the 5-LOW scope are
+    """New import of the customer order counts: 2001 and the 5-LOW scope are
     gone (stale), every remaining value changed."""
-    return (s.where((F.col("indicator") == "order_count") & (F.col("area_type") == "nation")
+    return (s.where((F.col("indicator") == "order_count") & (F.col("area_type") == "customer")
                     & (F.col("category") != "5-LOW") & (F.col("year") != 2001))
             .withColumn("value", F.col("value") + 1))
 
@@ -516,14 +516,14 @@ def publish_snapshot(spark, sf_dir):
 @register("publish_store", PUBLISH_SQL)
 def publish_store(spark, sf_dir):
     """The same snapshot through the append-only store: a first run publishes
-    all of stats, a second run replaces the six nation order-count scopes."""
+    all of stats, a second run replaces the six customer order-count scopes."""
     s, staged, _ = _publish_inputs(spark, sf_dir)
     store = P.FactStore(spark, scratch_path(spark, "store"))
     all_scopes = [tuple(r) for r in s.select(*SCOPE).distinct().collect()]
     first = RunContext(dataset_id="stats_initial", data_version="v1")
     store.begin(first)
     store.commit(s.withColumn("import_run_id", F.lit(first.run_id)), first, all_scopes)
-    second = RunContext(dataset_id="nation_orders", data_version="v2")
+    second = RunContext(dataset_id="customer_orders", data_version="v2")
     store.begin(second)
     store.commit(staged.withColumn("import_run_id", F.lit(second.run_id)), second,
                  PUBLISH_SCOPES)

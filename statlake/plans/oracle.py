@@ -11,7 +11,7 @@ from statlake.plans.derived import STATS_LOADED_AT_SQL, STATS_RUN_ID
 STATS_CTE = f"""
 WITH base AS (
   SELECT CAST(year(o.o_orderdate) AS INTEGER) AS year, o.o_orderpriority AS priority,
-         CAST(o.o_totalprice AS DECIMAL(18,2)) AS amount, n.n_name, r.r_name
+         CAST(o.o_totalprice AS DECIMAL(18,2)) AS amount, n.n_name, r.r_name, c.c_name
   FROM orders o
   JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -32,6 +32,15 @@ WITH base AS (
   UNION ALL
   SELECT 'order_value', 'nation', n_name, year, 'total', CAST(sum(amount) AS DOUBLE)
   FROM base GROUP BY n_name, year
+  UNION ALL
+  SELECT 'order_count', 'customer', c_name, year, priority, CAST(count(*) AS DOUBLE)
+  FROM base GROUP BY c_name, year, priority
+  UNION ALL
+  SELECT 'order_count', 'customer', c_name, year, 'total', CAST(count(*) AS DOUBLE)
+  FROM base GROUP BY c_name, year
+  UNION ALL
+  SELECT 'order_value', 'customer', c_name, year, 'total', CAST(sum(amount) AS DOUBLE)
+  FROM base GROUP BY c_name, year
 ), stats AS (
   SELECT indicator, area_type, area_name, year, value,
          CASE WHEN indicator = 'order_value' THEN 'currency' ELSE 'orders' END AS unit,

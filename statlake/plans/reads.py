@@ -202,3 +202,30 @@ FROM (
         FROM (SELECT DISTINCT data_version AS dv FROM stats)) v)"""))
 def freshness(spark, sf_dir):
     return _joined(q.freshness(stats(spark, sf_dir)), "versions")
+
+
+@register("ranking_customers", with_stats("""
+SELECT area_name AS area, value, unit, category FROM stats
+WHERE indicator = 'order_value' AND area_type = 'customer' AND year = 1998
+ORDER BY value DESC, area ASC, category ASC LIMIT 100"""))
+def ranking_customers(spark, sf_dir):
+    """Top-k over an area type whose size grows with the data."""
+    return q.ranking(stats(spark, sf_dir), "order_value", "customer", 1998, limit=100)
+
+
+@register("timeseries_customer_page", with_stats("""
+SELECT area_name AS area, year, value, unit, category FROM stats
+WHERE indicator = 'order_count' AND area_type = 'customer' AND year >= 1997
+ORDER BY area ASC, year ASC, category ASC LIMIT 500 OFFSET 1000"""))
+def timeseries_customer_page(spark, sf_dir):
+    return q.timeseries(stats(spark, sf_dir), "order_count", "customer", year_from=1997,
+                        limit=500, offset=1000)
+
+
+@register("customer_page_meta", with_stats("""
+SELECT count(*) AS total, 500 AS "limit", 1000 AS "offset",
+       (1000 + least(500, greatest(count(*) - 1000, 0))) < count(*) AS has_more
+FROM stats WHERE indicator = 'order_count' AND area_type = 'customer' AND year >= 1997"""))
+def customer_page_meta(spark, sf_dir):
+    return q.timeseries_meta(stats(spark, sf_dir), "order_count", "customer", year_from=1997,
+                             limit=500, offset=1000)
