@@ -26,6 +26,9 @@ from statlake.operators.quality import staged_violations
 from statlake.operators.reshape import ImportError_, RunContext
 from statlake.schema import ERROR_MESSAGE_MAX, KEY, LEDGER_SCHEMA, SCOPE, STAT_COLUMNS, STAT_SCHEMA
 
+# Scope maps up to this size are pinned as partition filters.
+SNAPSHOT_MAX_SCOPES = 5000
+
 
 def scopes_frame(spark: SparkSession, scopes) -> DataFrame:
     """The (indicator, area_type, category) scopes of a spec: a frame whose
@@ -127,12 +130,33 @@ class FactStore:
         return self.spark.read.schema(STAT_SCHEMA).parquet(self.facts_path)
 
     def facts(self) -> DataFrame:
-        """The published fact table."""
+        """The published fact table (one lazy plan; the scope map is a small
+        broadcast side, which also drives dynamic partition pruning)."""
         return (self.raw_facts()
                 .join(F.broadcast(self.current_scopes()),
                       ["indicator", "area_type", "category", "import_run_id"], "left_semi")
                 .select(*STAT_COLUMNS))
 
+    def snapshot(self, max_scopes: int = SNAPSHOT_MAX_SCOPES) -> DataFrame:
+        """The published fact table pinned to the current scope map.
+
+        The map (one row per scope) is resolved once and becomes a filter on
+        the partition columns, so every later query prunes partitions at
+        planning time and reads no ledger.  Beyond ``max_scopes`` the lazy
+        semi-join of ``facts`` is used instead."""
+        scopes = self.current_scopes().limit(max_scopes + 1).collect()
+        if len(scopes) > max_scopes:
+            return self.facts()
+        if not scopes:
+            return self.spark.createDataFrame([], STAT_SCHEMA)
+        cond = None
+        for r in scopes:
+            c = ((F.col("indicator") == r["indicator"]) & (F.col("area_type") == r["area_type"])
+                 & (F.col("category") == r["category"])
+                 & (F.col("import_run_id") == r["import_run_id"]))
+            cond = c if cond is None else cond | c
+        return self.raw_facts().where(cond).select(*STAT_COLUMNS)
+
     # -- publish
     def begin(self, run: RunContext) -> None:
         self._event(run, "started")
@@ -140,12 +164,12 @@ class FactStore:
     def fail(self, run: RunContext, error: Exception) -> None:
         self._event(run, "failed", error=error)
 
-    def commit(self, staged: DataFrame, run: RunContext, scopes) -> int:
+    def commit(self, staged: DataFrame, run: RunContext, scopes=None) -> int:
         """Append staged rows under the run id, check them, then commit one
         ledger event for every scope.  Returns the published row count.
         Raises (and publishes nothing) on zero rows or constraint violations."""
-        (staged.select(*STAT_COLUMNS)
-         .sortWithinPartitions("indicator", "area_type", "category", "area_name", "year")
+        (staged.withColumn("import_run_id", F.lit(run.run_id)).select(*STAT_COLUMNS)
+         .sortWithinPartitions("indicator", "area_type", "category", "year", "area_name")
          .write.mode("append")
          .partitionBy("indicator", "area_type", "category", "import_run_id")
          .parquet(self.facts_path))
@@ -160,5 +184,8 @@ class FactStore:
         bad = {k: v for k, v in check.items() if v}
         if bad:
             raise ImportError_(f"staged rows violate constraints: {bad}")
+        if scopes is None:
+            # the scopes this run wrote, from its partition values only
+            scopes = [tuple(r) for r in written.select(*SCOPE).distinct().collect()]
         self._event(run, "published", row_count=n, scopes=scopes)
         return n
