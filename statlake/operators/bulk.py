@@ -97,6 +97,16 @@ def bulk_ranking(stats: DataFrame, requests: DataFrame) -> DataFrame:
                     "rn"))
 
 
+def bulk_capabilities(stats: DataFrame, requests: DataFrame) -> DataFrame:
+    """Capability items: the one-row capabilities frame per requesting item
+    (joined on a constant key; the right side has exactly one row)."""
+    from statlake.operators.query import capabilities
+    req = requests.where(F.col("kind") == "capabilities").select(
+        "request_id", "pos", F.lit(1).alias("__k"))
+    cap = capabilities(stats).withColumn("__k", F.lit(1))
+    return req.join(F.broadcast(cap), "__k").drop("__k")
+
+
 # ------------------------------------------------------------- validation
 
 def domain_frames(stats: DataFrame):
@@ -127,10 +137,12 @@ def invalid_requests(stats: DataFrame, requests: DataFrame) -> DataFrame:
                     F.concat_ws(">", F.col("year_from").cast("string"),
                                 F.col("year_to").cast("string")),
                     F.lit(None).cast("array<string>"))
-    bad_ind = (req.join(F.broadcast(indicators), "indicator", "left_anti")
+    # domain frames are small but unbounded in principle: no hint, AQE turns
+    # the joins into broadcasts from their measured size
+    bad_ind = (req.join(indicators, "indicator", "left_anti")
                .withColumn("k", F.lit(1)).join(F.broadcast(all_ind), "k"))
     c_ind = check(bad_ind, 1, "indicator", F.col("indicator"), F.col("allowed"))
-    bad_typ = (req.join(F.broadcast(area_types), "area_type", "left_anti")
+    bad_typ = (req.join(area_types, "area_type", "left_anti")
                .withColumn("k", F.lit(1)).join(F.broadcast(all_typ), "k"))
     c_typ = check(bad_typ, 2, "areaType", F.col("area_type"), F.col("allowed"))
     wanted = req.select("request_id", "pos", "indicator", "area_type",

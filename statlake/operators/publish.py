@@ -130,10 +130,11 @@ class FactStore:
         return self.spark.read.schema(STAT_SCHEMA).parquet(self.facts_path)
 
     def facts(self) -> DataFrame:
-        """The published fact table (one lazy plan; the scope map is a small
-        broadcast side, which also drives dynamic partition pruning)."""
+        """The published fact table (one lazy plan; the scope map is one row
+        per scope, which AQE broadcasts from its measured size and which then
+        drives dynamic partition pruning)."""
         return (self.raw_facts()
-                .join(F.broadcast(self.current_scopes()),
+                .join(self.current_scopes(),
                       ["indicator", "area_type", "category", "import_run_id"], "left_semi")
                 .select(*STAT_COLUMNS))
 

@@ -20,24 +20,29 @@ from statlake.functions.columns import normalize_url, url_file_name
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """Entries of a JSON catalogue that is an array of objects or an object
-    with a ``result`` array; columns ``pos`` (catalogue order) + entry fields."""
-    df = spark.read.option("multiLine", "true").json(path)
-    if "_corrupt_record" in df.columns:
-        df = df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    if "result" in df.columns and len(df.columns) == 1:
-        return (df.select(F.posexplode("result").alias("pos", "entry"))
-                .where(F.col("entry").isNotNull()).select("pos", "entry.*"))
-    # a multi-line JSON file is parsed by one task in file order, so the
-    # generated id is increasing in catalogue order (no global window)
-    return df.withColumn("pos", F.monotonically_increasing_id())
+    """Entries of one JSON catalogue document that is either an array of
+    objects or an object with a ``result`` array.  Non-object items are
+    dropped.  Columns: ``pos`` (catalogue order), ``entry`` (the entry as JSON
+    text) and ``resources`` (each resource as JSON text).
+
+    The document is metadata (one file, one task); entries are then exploded
+    and every later step is distributed."""
+    doc = spark.read.text(path, wholetext=True)
+    v = F.trim(F.col("value"))
+    items = (F.when(v.startswith("["), F.from_json(v, "array<string>"))
+             .otherwise(F.from_json(v, "struct<result: array<string>>").getField("result")))
+    entries = (doc.select(F.posexplode(items).alias("pos", "entry"))
+               .where(F.trim(F.col("entry")).startswith("{")))
+    resources = F.from_json(F.col("entry"), "struct<resources: array<string>>")
+    return entries.select("pos", "entry", resources.getField("resources").alias("resources"))
 
 
 def resource_urls(entries: DataFrame) -> DataFrame:
-    """(pos, url) for every string URL among the entries' resources."""
-    return (entries.select("pos", F.explode("resources").alias("r"))
-            .select("pos", F.col("r.url").cast("string").alias("url"))
-            .where(F.col("url").isNotNull()))
+    """(pos, url) for every resource whose ``url`` is a JSON string."""
+    r = entries.select("pos", F.explode("resources").alias("r"))
+    url = F.get_json_object(F.col("r"), "$.url")
+    is_text = F.col("r").rlike(r'"url"\s*:\s*"')
+    return r.where(url.isNotNull() & is_text).select("pos", url.alias("url"))
 
 
 def match_catalog(resources: DataFrame, targets: DataFrame) -> DataFrame:
