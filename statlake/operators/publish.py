@@ -19,12 +19,21 @@ from __future__ import annotations
 import datetime as dt
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from statlake.operators.quality import staged_violations
+from statlake.functions.columns import year_in_range
+from statlake.operators.quality import duplicate_keys, non_finite
 from statlake.operators.reshape import ImportError_, RunContext
-from statlake.schema import ERROR_MESSAGE_MAX, KEY, LEDGER_SCHEMA, SCOPE, STAT_COLUMNS, STAT_SCHEMA
+from statlake.schema import (
+    ERROR_MESSAGE_MAX,
+    KEY,
+    LEDGER_SCHEMA,
+    REQUIRED,
+    SCOPE,
+    STAT_COLUMNS,
+    STAT_SCHEMA,
+)
 
 # Scope maps up to this size are pinned as partition filters.
 SNAPSHOT_MAX_SCOPES = 5000
@@ -165,28 +174,47 @@ class FactStore:
     def fail(self, run: RunContext, error: Exception) -> None:
         self._event(run, "failed", error=error)
 
-    def commit(self, staged: DataFrame, run: RunContext, scopes=None) -> int:
+    def commit(self, staged: DataFrame, run: RunContext, scopes=None,
+               check_duplicates: bool = False) -> int:
         """Append staged rows under the run id, check them, then commit one
         ledger event for every scope.  Returns the published row count.
-        Raises (and publishes nothing) on zero rows or constraint violations."""
-        (staged.withColumn("import_run_id", F.lit(run.run_id)).select(*STAT_COLUMNS)
-         .sortWithinPartitions("indicator", "area_type", "category", "year", "area_name")
+        Raises (and publishes nothing) on zero rows or constraint violations.
+
+        The checks (row count, NULLs, non-finite values, year range and, if
+        no scopes are given, the scopes written) are observed *during* the
+        write: one pass over the data, no read-back.  Key uniqueness holds by
+        construction for staged imports (keep-last on the final key); pass
+        ``check_duplicates`` for frames of unknown origin (one extra
+        aggregate over the written partitions)."""
+        obs = Observation(f"commit-{run.run_id}")
+        metrics = [F.count(F.lit(1)).alias("rows"),
+                   *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in REQUIRED],
+                   F.count_if(non_finite(F.col("value"))).alias("non_finite_values"),
+                   F.count_if(F.col("year").isNotNull() & ~year_in_range(F.col("year")))
+                   .alias("years_out_of_range")]
+        if scopes is None:
+            # bounded by the number of scopes, not by rows
+            metrics.append(F.collect_set(F.struct(*SCOPE)).alias("scopes"))
+        rows = (staged.withColumn("import_run_id", F.lit(run.run_id)).select(*STAT_COLUMNS)
+                .observe(obs, *metrics))
+        (rows.sortWithinPartitions("indicator", "area_type", "category", "year", "area_name")
          .write.mode("append")
          .partitionBy("indicator", "area_type", "category", "import_run_id")
          .parquet(self.facts_path))
-        # the check reads back only this run's partitions (partition pruning)
-        written = self.raw_facts().where(F.col("import_run_id") == F.lit(run.run_id))
-        check = staged_violations(written).first().asDict()
+        check = dict(obs.get)
         n = check.pop("rows")
+        written_scopes = check.pop("scopes", None)
         if n == 0:
             raise ImportError_(
                 f"ETL import produced zero rows for dataset {run.dataset_id}. "
                 f"Aborting publish to preserve existing data.")
+        if check_duplicates:
+            written = self.raw_facts().where(F.col("import_run_id") == F.lit(run.run_id))
+            check["duplicate_keys"] = duplicate_keys(written).count()
         bad = {k: v for k, v in check.items() if v}
         if bad:
             raise ImportError_(f"staged rows violate constraints: {bad}")
         if scopes is None:
-            # the scopes this run wrote, from its partition values only
-            scopes = [tuple(r) for r in written.select(*SCOPE).distinct().collect()]
+            scopes = [tuple(r) for r in written_scopes]
         self._event(run, "published", row_count=n, scopes=scopes)
         return n
