@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from statlake.functions.columns import year_in_range
 from statlake.operators.quality import duplicate_keys, non_finite
-from statlake.operators.reshape import ImportError_, RunContext
+from statlake.operators.reshape import DatasetImportError, RunContext
 from statlake.schema import (
     ERROR_MESSAGE_MAX,
     KEY,
@@ -205,7 +205,7 @@ class FactStore:
         n = check.pop("rows")
         written_scopes = check.pop("scopes", None)
         if n == 0:
-            raise ImportError_(
+            raise DatasetImportError(
                 f"ETL import produced zero rows for dataset {run.dataset_id}. "
                 f"Aborting publish to preserve existing data.")
         if check_duplicates:
@@ -213,7 +213,7 @@ class FactStore:
             check["duplicate_keys"] = duplicate_keys(written).count()
         bad = {k: v for k, v in check.items() if v}
         if bad:
-            raise ImportError_(f"staged rows violate constraints: {bad}")
+            raise DatasetImportError(f"staged rows violate constraints: {bad}")
         if scopes is None:
             scopes = [tuple(r) for r in written_scopes]
         self._event(run, "published", row_count=n, scopes=scopes)

@@ -237,6 +237,30 @@ def indicator_meta(stats: DataFrame, indicator: str, collation: str | None = Non
                  sorted_set("area_name", collation).alias("areas")))
 
 
+def _meta_long(df: DataFrame, fields: dict) -> DataFrame:
+    """Distinct (area_type, field, value) rows: the metadata sets in tidy form.
+    Nothing is gathered into one row, so an area type with millions of areas
+    stays distributed; the array form is for bounded dimensions."""
+    parts = [df.select("area_type", F.lit(name).alias("field"), col.cast("string").alias("value"))
+             for name, col in fields.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.distinct()
+
+
+def year_meta_long(stats: DataFrame, year: int) -> DataFrame:
+    rows = stats.filter(F.col("year") == F.lit(int(year)))
+    return _meta_long(rows, {"indicator": F.col("indicator"), "category": F.col("category"),
+                             "area": F.col("area_name")})
+
+
+def indicator_meta_long(stats: DataFrame, indicator: str) -> DataFrame:
+    rows = stats.filter(F.col("indicator") == F.lit(indicator))
+    return _meta_long(rows, {"year": F.col("year"), "category": F.col("category"),
+                             "area": F.col("area_name")})
+
+
 def require_rows(df: DataFrame, message: str) -> DataFrame:
     """Raise not-found when a metadata frame is empty (one bounded probe)."""
     if not df.take(1):

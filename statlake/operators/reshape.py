@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 from statlake.functions.columns import is_number, parse_number, parse_year, year_in_range
 from statlake.operators.dedupe import keep_last
 from statlake.plans.spec import DatasetSpec, UnpivotCategories, UnpivotYears
-from statlake.schema import KEY, MAX_VALID_YEAR, MIN_VALID_YEAR, STAT_COLUMNS
+from statlake.schema import MAX_VALID_YEAR, MIN_VALID_YEAR, STAT_COLUMNS
 from statlake.sources.csv import INGEST_ORDER, raw
 
 
-class ImportError_(ValueError):
+class DatasetImportError(ValueError):
     """An import that must not be published."""
 
 
@@ -47,8 +47,8 @@ def _lineage(run: RunContext) -> list[Column]:
             F.lit(run.data_version).cast("string").alias("data_version")]
 
 
-def _year_error(spec: DatasetSpec, raw_value, parsed) -> ImportError_:
-    return ImportError_(
+def _year_error(spec: DatasetSpec, raw_value, parsed) -> DatasetImportError:
+    return DatasetImportError(
         f"Invalid yearParser output for dataset {spec.id} ({spec.format_type}): "
         f"input={raw_value}, output={parsed}, allowedRange={MIN_VALID_YEAR}..{MAX_VALID_YEAR}")
 
@@ -69,7 +69,7 @@ def _order_column(df: DataFrame) -> Column:
 def _missing(spec: DatasetSpec, cols: list[str], required: list[str]):
     missing = [c for c in required if c not in cols]
     if missing:
-        raise ImportError_(f"Missing required columns: {', '.join(missing)}")
+        raise DatasetImportError(f"Missing required columns: {', '.join(missing)}")
 
 
 # ------------------------------------------------------------ years as columns
@@ -85,8 +85,8 @@ def _parse_header_year(spec: DatasetSpec, name: str) -> int:
         try:
             return int(name.strip())
         except ValueError as e:
-            raise ImportError_(f"Could not convert year column {name!r} to INTEGER "
-                               f"for dataset {spec.id}") from e
+            raise DatasetImportError(f"Could not convert year column {name!r} to INTEGER "
+                                     f"for dataset {spec.id}") from e
     rx = {"first": r"\d{4}", "leading": r"^\d{4}"}[fmt.year_parser]
     m = re.search(rx, name)
     if not m:
@@ -105,7 +105,7 @@ def unpivot_years(df: DataFrame, spec: DatasetSpec, run: RunContext) -> DataFram
     _missing(spec, cols, [fmt.indicator_column] + ([spec.area_column] if spec.area_column else []))
     ycols = year_columns(cols, fmt)
     if not ycols:
-        raise ImportError_("No year columns found (expected columns like 1988..2023).")
+        raise DatasetImportError("No year columns found (expected columns like 1988..2023).")
     # header names are driver-side metadata: parse and range-check them here
     years = [_parse_header_year(spec, c) for c in ycols]
 
@@ -168,13 +168,13 @@ def check_years(df: DataFrame, spec: DatasetSpec) -> None:
     if fmt.year_parser is None:
         n = present.agg(F.count(F.lit(1)).alias("n")).first()["n"]
         if n == 0:
-            raise ImportError_(f"No year values found in column: {fmt.year_column}")
+            raise DatasetImportError(f"No year values found in column: {fmt.year_column}")
         return
     parsed = parse_year(yr, fmt.year_parser)
     stats = present.agg(F.count(F.lit(1)).alias("n"),
                         F.count_if(~year_in_range(parsed)).alias("bad")).first()
     if stats["n"] == 0:
-        raise ImportError_(f"No year values found in column: {fmt.year_column}")
+        raise DatasetImportError(f"No year values found in column: {fmt.year_column}")
     if stats["bad"]:
         sample = (present.where(~year_in_range(parsed))
                   .select(yr.alias("raw"), parsed.alias("parsed")).distinct()
@@ -204,7 +204,7 @@ def unpivot_categories(df: DataFrame, spec: DatasetSpec, run: RunContext,
                     for r, c in zip(resolved, fmt.columns)
                     if c.value is None and not c.value_column and c.value_columns and r is None]
     if alternatives:
-        raise ImportError_(f"Missing required columns: {', '.join(alternatives)}")
+        raise DatasetImportError(f"Missing required columns: {', '.join(alternatives)}")
     if validate_years:
         check_years(df, spec)
 
@@ -247,5 +247,6 @@ def import_counts(staged: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("imported"))
 
 
-__all__ = ["RunContext", "ImportError_", "year_columns", "unpivot_years", "unpivot_categories",
-           "check_years", "to_tidy", "import_counts", "resolve_value_column", "KEY"]
+__all__ = ["RunContext", "DatasetImportError", "year_columns", "unpivot_years",
+           "unpivot_categories", "check_years", "to_tidy", "import_counts",
+           "resolve_value_column"]

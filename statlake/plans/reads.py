@@ -229,3 +229,24 @@ FROM stats WHERE indicator = 'order_count' AND area_type = 'customer' AND year >
 def customer_page_meta(spark, sf_dir):
     return q.timeseries_meta(stats(spark, sf_dir), "order_count", "customer", year_from=1997,
                              limit=500, offset=1000)
+
+
+@register("year_meta_long", with_stats("""
+SELECT DISTINCT area_type, 'indicator' AS field, indicator AS value FROM stats WHERE year = 1998
+UNION
+SELECT DISTINCT area_type, 'category', category FROM stats WHERE year = 1998
+UNION
+SELECT DISTINCT area_type, 'area', area_name FROM stats WHERE year = 1998"""))
+def year_meta_long(spark, sf_dir):
+    return q.year_meta_long(stats(spark, sf_dir), 1998)
+
+
+@register("indicator_meta_long", with_stats("""
+SELECT DISTINCT area_type, 'year' AS field, CAST(year AS VARCHAR) AS value FROM stats
+WHERE indicator = 'order_value'
+UNION
+SELECT DISTINCT area_type, 'category', category FROM stats WHERE indicator = 'order_value'
+UNION
+SELECT DISTINCT area_type, 'area', area_name FROM stats WHERE indicator = 'order_value'"""))
+def indicator_meta_long(spark, sf_dir):
+    return q.indicator_meta_long(stats(spark, sf_dir), "order_value")

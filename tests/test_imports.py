@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from statlake.operators.publish import FactStore
-from statlake.operators.reshape import ImportError_
+from statlake.operators.reshape import DatasetImportError
 from statlake.plans import datasets as D
 from statlake.plans.importer import import_dataset, import_many
 from statlake.plans.spec import SpecError
@@ -69,13 +69,13 @@ def test_spaced_header_is_trimmed(spark, write_csv, store):
 
 def test_missing_required_columns(spark, write_csv, store):
     path = write_csv(["Name;2022;2023", "Altstadt;1;2"])
-    with pytest.raises(ImportError_, match="Missing required columns: Merkmal, Stadtteil"):
+    with pytest.raises(DatasetImportError, match="Missing required columns: Merkmal, Stadtteil"):
         import_dataset(spark, D.DISTRICTS_POPULATION, path, store)
 
 
 def test_no_year_columns(spark, write_csv, store):
     path = write_csv(["Merkmal;Stadtteil;foo;bar", "Einwohner insgesamt;Altstadt;1;2"])
-    with pytest.raises(ImportError_, match="No year columns found"):
+    with pytest.raises(DatasetImportError, match="No year columns found"):
         import_dataset(spark, D.DISTRICTS_POPULATION, path, store)
 
 
@@ -267,7 +267,7 @@ def test_year_parser_nan_keeps_old_rows(spark, write_csv, store):
     before = _seed(spark, write_csv, store)
     path = write_csv([GENDER_HEAD,
                       "sh;Kiel;Bev;Einwohner insgesamt;unbekannt;1;Altstadt;1;1;1"])
-    with pytest.raises(ImportError_, match=r"districts_gender \(unpivot_categories\).*"
+    with pytest.raises(DatasetImportError, match=r"districts_gender \(unpivot_categories\).*"
                                            r"input=unbekannt, output=NaN"):
         import_dataset(spark, D.DISTRICTS_GENDER, path, store)
     assert published(store) == before
@@ -281,7 +281,7 @@ def test_year_out_of_range(spark, write_csv, store):
     path = write_csv([GENDER_HEAD,
                       "sh;Kiel;Bev;Einwohner insgesamt;2023_12_31;1;Altstadt;5;2;3",
                       "sh;Kiel;Bev;Andere;1850_12_31;1;Altstadt;5;2;3"])
-    with pytest.raises(ImportError_, match="output=1850, allowedRange=1900..2100"):
+    with pytest.raises(DatasetImportError, match="output=1850, allowedRange=1900..2100"):
         import_dataset(spark, D.DISTRICTS_GENDER, path, store)
     assert published(store) == before
 
@@ -300,7 +300,7 @@ def test_broken_value_keeps_old_rows(spark, write_csv, store):
 def test_zero_rows_refused(spark, write_csv, store):
     before = _seed(spark, write_csv, store)
     path = write_csv([GENDER_HEAD, "sh;Kiel;Bev;Andere;2023_12_31;1;Altstadt;1;1;1"])
-    with pytest.raises(ImportError_, match="produced zero rows"):
+    with pytest.raises(DatasetImportError, match="produced zero rows"):
         import_dataset(spark, D.DISTRICTS_GENDER, path, store)
     assert published(store) == before
     states = {r["status"] for r in store.runs().collect()}
