@@ -62,11 +62,12 @@ def bulk_timeseries(stats: DataFrame, requests: DataFrame) -> DataFrame:
     totals = matched.groupBy("request_id").agg(F.count(F.lit(1)).alias("total"))
     k = _page_cut(req, F.col("offset") + F.col("limit"))
     w = Window.partitionBy("request_id").orderBy("area_name", "year", "category")
+    # the constant cut right on row_number() lets Spark insert WindowGroupLimit
     page = (matched.withColumn("rn", F.row_number().over(w))
             .where(F.col("rn") <= F.lit(k))
             .where((F.col("rn") > F.col("offset")) & (F.col("rn") <= F.col("offset") + F.col("limit")))
             .select("request_id", F.col("area_name").alias("area"), "year", "value", "unit",
-                    "category", "rn"))
+                    "category", F.col("rn").cast("long").alias("rn")))
     return (req.select("request_id", "pos", "limit", "offset")
             .join(page, "request_id", "left")
             .join(totals, "request_id", "left")
@@ -90,7 +91,7 @@ def bulk_ranking(stats: DataFrame, requests: DataFrame) -> DataFrame:
             .where(F.col("rn") <= F.lit(k))
             .where(F.col("rn") <= F.col("limit"))
             .select("request_id", F.col("area_name").alias("area"), "value", "unit", "category",
-                    "rn"))
+                    F.col("rn").cast("long").alias("rn")))
     return (req.select("request_id", "pos", "year", "order")
             .join(page, "request_id", "left")
             .select("request_id", "pos", "year", "order", "area", "value", "unit", "category",
