@@ -175,7 +175,7 @@ class FactStore:
         self._event(run, "failed", error=error)
 
     def commit(self, staged: DataFrame, run: RunContext, scopes=None,
-               check_duplicates: bool = False) -> int:
+               check_duplicates: bool = False, after_write=()) -> int:
         """Append staged rows under the run id, check them, then commit one
         ledger event for every scope.  Returns the published row count.
         Raises (and publishes nothing) on zero rows or constraint violations.
@@ -185,7 +185,8 @@ class FactStore:
         write: one pass over the data, no read-back.  Key uniqueness holds by
         construction for staged imports (keep-last on the final key); pass
         ``check_duplicates`` for frames of unknown origin (one extra
-        aggregate over the written partitions)."""
+        aggregate over the written partitions).  ``after_write`` callables
+        (checks observed in the same job) run before anything is published."""
         obs = Observation(f"commit-{run.run_id}")
         metrics = [F.count(F.lit(1)).alias("rows"),
                    *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in REQUIRED],
@@ -201,6 +202,8 @@ class FactStore:
          .write.mode("append")
          .partitionBy("indicator", "area_type", "category", "import_run_id")
          .parquet(self.facts_path))
+        for verify in after_write:
+            verify()
         check = dict(obs.get)
         n = check.pop("rows")
         written_scopes = check.pop("scopes", None)

@@ -15,7 +15,7 @@ import re
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from statlake.functions.columns import is_number, parse_number, parse_year, year_in_range
@@ -158,25 +158,24 @@ def resolve_value_column(col_spec, cols: list[str]) -> str | None:
     return None
 
 
-def check_years(df: DataFrame, spec: DatasetSpec) -> None:
-    """All distinct raw year values (also of rows the feature filter drops)
-    must parse into 1900..2100; none at all is an error.  One aggregate job;
-    only on failure a bounded sample of offending texts is fetched."""
+def _year_metrics(spec: DatasetSpec) -> list[Column]:
     fmt = spec.format
     yr = raw(fmt.year_column)
-    present = df.where(yr.isNotNull())
-    if fmt.year_parser is None:
-        n = present.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-        if n == 0:
-            raise DatasetImportError(f"No year values found in column: {fmt.year_column}")
-        return
-    parsed = parse_year(yr, fmt.year_parser)
-    stats = present.agg(F.count(F.lit(1)).alias("n"),
-                        F.count_if(~year_in_range(parsed)).alias("bad")).first()
-    if stats["n"] == 0:
+    metrics = [F.count_if(yr.isNotNull()).alias("years_present")]
+    if fmt.year_parser is not None:
+        parsed = parse_year(yr, fmt.year_parser)
+        metrics.append(F.count_if(yr.isNotNull() & ~year_in_range(parsed)).alias("years_bad"))
+    return metrics
+
+
+def _raise_year_problems(df: DataFrame, spec: DatasetSpec, metrics: dict) -> None:
+    fmt = spec.format
+    if not metrics["years_present"]:
         raise DatasetImportError(f"No year values found in column: {fmt.year_column}")
-    if stats["bad"]:
-        sample = (present.where(~year_in_range(parsed))
+    if metrics.get("years_bad"):
+        yr = raw(fmt.year_column)
+        parsed = parse_year(yr, fmt.year_parser)
+        sample = (df.where(yr.isNotNull() & ~year_in_range(parsed))
                   .select(yr.alias("raw"), parsed.alias("parsed")).distinct()
                   .orderBy("raw").limit(20).collect())
         first = sample[0]
@@ -184,10 +183,32 @@ def check_years(df: DataFrame, spec: DatasetSpec) -> None:
                           "NaN" if first["parsed"] is None else first["parsed"])
 
 
+def check_years(df: DataFrame, spec: DatasetSpec) -> None:
+    """All raw year values (also of rows the feature filter drops) must parse
+    into 1900..2100; none at all is an error.  One aggregate job; only on
+    failure a bounded sample of offending texts is fetched."""
+    metrics = df.agg(*_year_metrics(spec)).first().asDict()
+    _raise_year_problems(df, spec, metrics)
+
+
+def observe_years(df: DataFrame, spec: DatasetSpec):
+    """The same check folded into the import's own write job: returns the
+    raw frame with an observation attached and a callable that evaluates it
+    after the action (so the input is scanned once, not twice)."""
+    obs = Observation(f"years-{spec.id}-{uuid.uuid4().hex}")
+    observed = df.observe(obs, *_year_metrics(spec))
+
+    def verify() -> None:
+        _raise_year_problems(df, spec, dict(obs.get))
+    return observed, verify
+
+
 def unpivot_categories(df: DataFrame, spec: DatasetSpec, run: RunContext,
                        validate_years: bool = True) -> DataFrame:
     """Categories-as-columns -> tidy rows in one scan (one generator entry per
-    planned category), filtered, then keep-last per final key."""
+    planned category), filtered, then keep-last per final key.
+    ``validate_years=False`` leaves the year check to the caller (see
+    ``observe_years``)."""
     fmt = spec.format
     assert isinstance(fmt, UnpivotCategories)
     cols = [c for c in df.columns if c != INGEST_ORDER]
@@ -241,6 +262,19 @@ def to_tidy(df: DataFrame, spec: DatasetSpec, run: RunContext, **kw) -> DataFram
     return out.select(*STAT_COLUMNS)
 
 
+def to_tidy_deferred(df: DataFrame, spec: DatasetSpec, run: RunContext):
+    """``to_tidy`` whose data checks run inside the later write job.
+    Returns (staged frame, list of callables to run after that action)."""
+    checks = []
+    if isinstance(spec.format, UnpivotCategories):
+        df, verify = observe_years(df, spec)
+        checks.append(verify)
+        out = unpivot_categories(df, spec, run, validate_years=False)
+    else:
+        out = unpivot_years(df, spec, run)
+    return out.select(*STAT_COLUMNS), checks
+
+
 def import_counts(staged: DataFrame) -> DataFrame:
     """Staged row count per (indicator, area type, category) scope."""
     return staged.groupBy("indicator", "area_type", "category").agg(
@@ -248,5 +282,5 @@ def import_counts(staged: DataFrame) -> DataFrame:
 
 
 __all__ = ["RunContext", "DatasetImportError", "year_columns", "unpivot_years",
-           "unpivot_categories", "check_years", "to_tidy", "import_counts",
-           "resolve_value_column"]
+           "unpivot_categories", "check_years", "observe_years", "to_tidy", "to_tidy_deferred",
+           "import_counts", "resolve_value_column"]

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from statlake.operators.publish import FactStore
-from statlake.operators.reshape import RunContext, to_tidy
+from statlake.operators.reshape import RunContext, to_tidy, to_tidy_deferred
 from statlake.plans.spec import DatasetSpec
 from statlake.sources.csv import CsvFileNotFoundError, read_delimited
 from statlake.sources.files import data_version
@@ -59,8 +59,9 @@ def import_dataset(spark: SparkSession, spec: DatasetSpec, path: str,
     run = RunContext(dataset_id=spec.id, data_version=version)
     store.begin(run)
     try:
-        staged, _ = stage(spark, spec, path, run)
-        n = store.commit(staged, run, spec.scopes())
+        # one pass: the year check is observed inside the write job
+        staged, checks = to_tidy_deferred(read_raw(spark, spec, path), spec, run)
+        n = store.commit(staged, run, spec.scopes(), after_write=checks)
     except Exception as e:
         store.fail(run, e)
         raise
