@@ -167,6 +167,16 @@ class FactStore:
             cond = c if cond is None else cond | c
         return self.raw_facts().where(cond).select(*STAT_COLUMNS)
 
+    def superseded(self) -> DataFrame:
+        """Partitions (scope + run id) that no reader sees any more: replaced
+        by a later run, or written by a run that never published.  They can be
+        dropped by the operator's file-system tooling; reading them costs a
+        partition-value scan only."""
+        present = self.raw_facts().select("indicator", "area_type", "category",
+                                          "import_run_id").distinct()
+        return present.join(self.current_scopes(),
+                            ["indicator", "area_type", "category", "import_run_id"], "left_anti")
+
     # -- publish
     def begin(self, run: RunContext) -> None:
         self._event(run, "started")
@@ -187,6 +197,8 @@ class FactStore:
         ``check_duplicates`` for frames of unknown origin (one extra
         aggregate over the written partitions).  ``after_write`` callables
         (checks observed in the same job) run before anything is published."""
+        # observed in the write's final stage: each task's metrics are applied
+        # once, also when lost executors force task retries
         obs = Observation(f"commit-{run.run_id}")
         metrics = [F.count(F.lit(1)).alias("rows"),
                    *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in REQUIRED],

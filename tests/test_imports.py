@@ -336,6 +336,9 @@ def test_reimport_replaces_scope(spark, write_csv, store):
                                           ("Altstadt", 2023, "male", 651.0),
                                           ("Altstadt", 2023, "total", 1301.0)]
     assert published(store, "population") == [("Altstadt", 2022, "total", 1300.0)]
+    # the first gender run is fully replaced; its partitions are superseded
+    runs = {r["import_run_id"] for r in store.superseded().collect()}
+    assert len(runs) == 1
 
 
 def test_import_many_skips_missing(spark, write_csv, store, tmp_path):
