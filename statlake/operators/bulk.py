@@ -99,13 +99,13 @@ def bulk_ranking(stats: DataFrame, requests: DataFrame) -> DataFrame:
 
 
 def bulk_capabilities(stats: DataFrame, requests: DataFrame) -> DataFrame:
-    """Capability items: the one-row capabilities frame per requesting item
-    (joined on a constant key; the right side has exactly one row)."""
+    """Capability items: the one-row capabilities frame per requesting item."""
     from statlake.operators.query import capabilities
-    req = requests.where(F.col("kind") == "capabilities").select(
-        "request_id", "pos", F.lit(1).alias("__k"))
-    cap = capabilities(stats).withColumn("__k", F.lit(1))
-    return req.join(F.broadcast(cap), "__k").drop("__k")
+    req = requests.where(F.col("kind") == "capabilities")
+    cap = capabilities(stats)
+    # each field is a scalar subquery: computed once, no join at all
+    return req.select("request_id", "pos",
+                      *[cap.select(c).scalar().alias(c) for c in cap.columns])
 
 
 # ------------------------------------------------------------- validation
@@ -125,9 +125,9 @@ def invalid_requests(stats: DataFrame, requests: DataFrame) -> DataFrame:
     Columns: request_id, pos, field, value, allowed (sorted array)."""
     indicators, area_types, categories = domain_frames(stats)
     req = requests.where(F.col("kind").isin("timeseries", "ranking"))
-    one = F.lit(1).alias("k")
-    all_ind = indicators.agg(F.sort_array(F.collect_list("indicator")).alias("allowed"), one)
-    all_typ = area_types.agg(F.sort_array(F.collect_list("area_type")).alias("allowed"), one)
+    # the allowed lists are scalar subqueries (one row each), not joins
+    all_ind = indicators.agg(F.sort_array(F.collect_list("indicator"))).scalar()
+    all_typ = area_types.agg(F.sort_array(F.collect_list("area_type"))).scalar()
 
     def check(df, ordinal, field, value, allowed):
         return df.select("request_id", "pos", F.lit(ordinal).alias("ordinal"),
@@ -140,12 +140,10 @@ def invalid_requests(stats: DataFrame, requests: DataFrame) -> DataFrame:
                     F.lit(None).cast("array<string>"))
     # domain frames are small but unbounded in principle: no hint, AQE turns
     # the joins into broadcasts from their measured size
-    bad_ind = (req.join(indicators, "indicator", "left_anti")
-               .withColumn("k", F.lit(1)).join(F.broadcast(all_ind), "k"))
-    c_ind = check(bad_ind, 1, "indicator", F.col("indicator"), F.col("allowed"))
-    bad_typ = (req.join(area_types, "area_type", "left_anti")
-               .withColumn("k", F.lit(1)).join(F.broadcast(all_typ), "k"))
-    c_typ = check(bad_typ, 2, "areaType", F.col("area_type"), F.col("allowed"))
+    bad_ind = req.join(indicators, "indicator", "left_anti")
+    c_ind = check(bad_ind, 1, "indicator", F.col("indicator"), all_ind)
+    bad_typ = req.join(area_types, "area_type", "left_anti")
+    c_typ = check(bad_typ, 2, "areaType", F.col("area_type"), all_typ)
     wanted = req.select("request_id", "pos", "indicator", "area_type",
                         F.posexplode("categories").alias("cpos", "category"))
     unknown = (wanted.join(categories, ["indicator", "area_type", "category"], "left_anti")
