@@ -364,3 +364,15 @@ def test_header_alias_collision():
                                                                              "PLZ- Bereich")})
     with pytest.raises(CsvImportError, match="Header normalization collision"):
         normalize_headers(["a ", " a"])
+
+
+def test_hot_key_keep_last(spark, write_csv, store):
+    """One (area, date) holds a third of all rows: the last one still wins."""
+    lines = [GENDER_HEAD]
+    for i in range(1500):
+        area, date = ("Altstadt", "2023_12_31") if i % 3 == 0 else (f"Area{i}", "2022_12_31")
+        lines.append(f"sh;Kiel;Bev;Einwohner insgesamt;{date};1;{area};{i};{i};0")
+    path = write_csv(lines)
+    rows = twice(spark, D.DISTRICTS_GENDER, path, store)
+    assert value(rows, "Altstadt", 2023) == 1497.0
+    assert len(rows) == 3 * (1 + 1000)
