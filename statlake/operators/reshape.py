@@ -43,7 +43,10 @@ class RunContext:
 def _lineage(run: RunContext) -> list[Column]:
     return [F.lit(run.dataset_id).alias("source_dataset"),
             F.lit(run.run_id).alias("import_run_id"),
-            F.lit(run.loaded_at).cast("timestamp").alias("loaded_at"),
+            # wall-clock text read in the session time zone (UTC by default),
+            # independent of the Python process's zone
+            F.to_timestamp(F.lit(run.loaded_at.strftime("%Y-%m-%d %H:%M:%S.%f")))
+            .alias("loaded_at"),
             F.lit(run.data_version).cast("string").alias("data_version")]
 
 

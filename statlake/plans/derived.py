@@ -87,7 +87,7 @@ def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         value.alias("value"), unit.alias("unit"), "category",
         F.lit(STATS_SOURCE).alias("source_dataset"),
         F.lit(STATS_RUN_ID).alias("import_run_id"),
-        F.lit(STATS_LOADED_AT).alias("loaded_at"),
+        F.to_timestamp(F.lit(STATS_LOADED_AT_SQL)).alias("loaded_at"),
         F.concat(F.lit("orders:"), F.col("indicator")).alias("data_version"),
     )
 
