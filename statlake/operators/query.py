@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statlake.functions.columns import iso_utc
+from statlake.operators.paging import ordered_page
 from statlake.schema import (
     BULK_ITEMS_MAX,
     PAGINATION_LIMIT_DEFAULT,
@@ -88,9 +89,9 @@ def timeseries(stats: DataFrame, indicator: str, area_type: str, areas=None, cat
     year and (engine tie-break) category."""
     _check_page(limit, offset)
     rows = timeseries_filter(stats, indicator, area_type, areas, categories, year_from, year_to)
-    return (rows.select(F.col("area_name").alias("area"), "year", "value", "unit", "category")
-            .orderBy("area", "year", "category")
-            .offset(int(offset)).limit(int(limit)))
+    return ordered_page(
+        rows.select(F.col("area_name").alias("area"), "year", "value", "unit", "category"),
+        ["area", "year", "category"], offset, limit)
 
 
 def page_areas(page: DataFrame) -> DataFrame:
@@ -160,10 +161,9 @@ def list_categories(stats: DataFrame, indicator: str, area_type: str) -> DataFra
 
 
 def _list_page(df: DataFrame, column: str, limit, offset) -> DataFrame:
-    out = df.select(column).distinct().orderBy(column)
-    if limit is not None:
-        out = out.offset(int(offset or 0)).limit(int(limit))
-    return out
+    if limit is None:
+        return df.select(column).distinct().orderBy(column)
+    return ordered_page(df.select(column).distinct(), [column], offset, limit)
 
 
 def years_filter(stats, indicator=None, area_type=None, category=None, area=None):

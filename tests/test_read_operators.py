@@ -151,3 +151,14 @@ def test_freshness_of_empty_table(spark):
     f = q.freshness(spark.createDataFrame([], STAT_SCHEMA)).collect()[0]
     assert f["row_count"] == 0 and f["last_updated_at"] is None
     assert f["fingerprint"] == '{"rowCount":0,"lastUpdatedAt":null,"versions":[]}'
+
+
+def test_deep_pages_equal_shallow_pages(spark):
+    from statlake.operators.paging import ordered_page
+    from statlake.plans.derived import stats
+    s = stats(spark, "/root/testdata/sf0.001").where("area_type = 'customer'")
+    order = ["area_name", "year", "category", "indicator"]  # a total order
+    for offset, limit in [(0, 7), (95, 50), (400, 500), (10_000, 5)]:
+        shallow = [tuple(r) for r in ordered_page(s, order, offset, limit).collect()]
+        deep = [tuple(r) for r in ordered_page(s, order, offset, limit, deep_offset=0).collect()]
+        assert deep == shallow
