@@ -1,8 +1,8 @@
 """The municipal dataset specs as declarative data.
 
-Column names, feature values, slugs, units, file names and URLs are fixed
-values of the published open-data files; they must stay as written for the
-imports to find their columns.
+Column names, feature values, slugs and units are fixed values of the
+published open-data files; they must stay as written for the imports to find
+their columns.  Inputs are expected at ``<SOURCE_BASE>/<dataset id>.csv``.
 """
 
 from __future__ import annotations
@@ -21,9 +21,9 @@ from statlake.plans.spec import (
     resolve_specs,
 )
 
-# Source locations.
-OPEN_DATA = "https://www.kiel.de/opendata/"
-OPEN_DATA_LEGACY = "https://www.kiel.de/de/kiel_zukunft/statistik_kieler_zahlen/open_data/"
+# Where the landed CSV files live: ``<SOURCE_BASE>/<dataset id>.csv``.  The
+# download location of each file is deployment configuration, not code.
+SOURCE_BASE = "file:///landing/statistics"
 
 # Header regex of date-named year columns and of repeated year columns.
 DATE_HEADER = r"^\d{2}\.\d{2}\.\d{4}$"
@@ -100,20 +100,18 @@ def _years_row(feature, indicator, unit, value=None):
     return (YearRow(feature, indicator, unit, Category("total"), value),)
 
 
-def _spec(id_, file, area_type, area_column, fmt, trim=False, base=OPEN_DATA, **kw):
-    return DatasetSpec(id=id_, url=base + file, csv_filename=file, area_type=area_type,
-                       area_column=area_column, area_expression=F.trim if trim else None,
-                       format=fmt, **kw)
+def _spec(id_, area_type, area_column, fmt, trim=False, **kw):
+    return DatasetSpec(id=id_, url=f"{SOURCE_BASE}/{id_}.csv", csv_filename=f"{id_}.csv",
+                       area_type=area_type, area_column=area_column,
+                       area_expression=F.trim if trim else None, format=fmt, **kw)
 
 
 DISTRICTS_POPULATION = _spec(
-    "districts_population", "kiel_bevoelkerung_stadtteile.csv", "district", "Stadtteil",
-    UnpivotYears("Merkmal", _years_row("Einwohner insgesamt", "population", "persons")),
-    base=OPEN_DATA_LEGACY)
+    "districts_population", "district", "Stadtteil",
+    UnpivotYears("Merkmal", _years_row("Einwohner insgesamt", "population", "persons")))
 
 DISTRICTS_HOUSEHOLDS_TYPE_SIZE = _spec(
     "districts_households_type_size",
-    "kiel_bevoelkerung_haushalte_nach_haushaltstypen_und_personenanzahl_in_den_stadtteilen.csv",
     "district", "Stadtteile",
     UnpivotCategories("Jahr", _columns(HOUSEHOLDS, total=True), year_parser="first",
                       filter_column="Merkmal", filter_value="Haushalte",
@@ -121,21 +119,18 @@ DISTRICTS_HOUSEHOLDS_TYPE_SIZE = _spec(
 
 DISTRICTS_MARITAL_STATUS = _spec(
     "districts_marital_status",
-    "kiel_bevoelkerung_einwohner_nach_familienstand_in_den_stadtteilen.csv",
     "district", "Stadtteil",
     UnpivotCategories("Jahr", _columns(MARITAL, total=True), year_parser="first",
                       indicator="marital_status", unit="persons"))
 
 DISTRICTS_GENDER = _spec(
-    "districts_gender", "kiel_bevoelkerung_stadtteile_einwohner_geschlecht.csv",
-    "district", "Stadtteil",
+    "districts_gender", "district", "Stadtteil",
     UnpivotCategories("Datum", _gender(), year_parser="first", keep_last=True,
                       filter_column="Merkmal", filter_value="Einwohner insgesamt",
                       indicator="gender", unit="persons"))
 
 DISTRICTS_FOREIGN_AGE_GROUPS = _spec(
-    "districts_foreign_age_groups", "kiel_bevoelkerung_auslaendisch_altersgruppen_stadtteile.csv",
-    "district", "Stadtteil",
+    "districts_foreign_age_groups", "district", "Stadtteil",
     UnpivotCategories("Datum", _columns(district_age_bands(), total=True, lenient=True),
                       year_parser="first", filter_column="Merkmal",
                       filter_value="Einwohner nach Altersgruppen",
@@ -143,13 +138,11 @@ DISTRICTS_FOREIGN_AGE_GROUPS = _spec(
     trim=True)
 
 DISTRICTS_FOREIGN_COUNT = _spec(
-    "districts_foreign_count", "kiel_bevoelkerung_stadtteile_auslaender.csv",
-    "district", "Stadtteil",
+    "districts_foreign_count", "district", "Stadtteil",
     UnpivotYears("Merkmal", _years_row("Auslaender", "foreign_count", "persons")), trim=True)
 
 DISTRICTS_FOREIGN_GENDER = _spec(
-    "districts_foreign_gender", "kiel_bevoelkerung_stadtteile_auslaendisch_geschlecht.csv",
-    "district", "Stadtteil",
+    "districts_foreign_gender", "district", "Stadtteil",
     UnpivotCategories("Datum", _gender(), year_parser="first", keep_last=True,
                       filter_column="Merkmal", filter_value="Auslaender",
                       indicator="foreign_gender", unit="persons"),
@@ -157,22 +150,19 @@ DISTRICTS_FOREIGN_GENDER = _spec(
 
 DISTRICTS_FOREIGN_NATIONALITIES_SELECTED = _spec(
     "districts_foreign_nationalities_selected",
-    "kiel_bevoelkerung_auslaender_nach_ausgesuchten_nationalitaeten_in_den_stadtteilen.csv",
     "district", "Stadtteil",
     UnpivotCategories("Jahr", _columns(NATIONALITIES, total=True, lenient=True),
                       indicator="foreign_nationalities_selected", unit="persons"),
     trim=True)
 
 DISTRICTS_AGE_GROUPS = _spec(
-    "districts_age_groups", "kiel_bevoelkerung_altersgruppen_stadtteile.csv",
-    "district", "Stadtteil",
+    "districts_age_groups", "district", "Stadtteil",
     UnpivotCategories("Datum", _columns(district_age_bands(), total=True), year_parser="first",
                       filter_column="Merkmal", filter_value="Einwohner nach Altersgruppen",
                       indicator="age_groups", unit="persons"))
 
 DISTRICTS_AREA_HECTARES = _spec(
-    "districts_area_hectares", "kiel_geo_flaechen_stadtteile_in_hektar.csv",
-    "district", "Stadtteil",
+    "districts_area_hectares", "district", "Stadtteil",
     UnpivotCategories("Jahr", (CategoryColumn(Category("total"),
                                               value=lambda: decimal_comma(F.col("Hektar"))),),
                       filter_column="Merkmal", filter_value="Flaechen in Hektar",
@@ -180,7 +170,6 @@ DISTRICTS_AREA_HECTARES = _spec(
 
 DISTRICTS_MIGRANT_GENDER = _spec(
     "districts_migrant_gender",
-    "kiel_bevoelkerung_stadtteile_einwohner_mit_migrationshintergrund_geschlecht.csv",
     "district", "Stadtteil",
     UnpivotCategories("Datum", _gender(MALE_ALTERNATIVES), year_parser="first", keep_last=True,
                       filter_column="Merkmal", filter_value="Einwohner mit Migrationshintergrund",
@@ -188,14 +177,12 @@ DISTRICTS_MIGRANT_GENDER = _spec(
     trim=True, csv=CsvOptions(fallback_encodings=("latin-1",)))
 
 DISTRICTS_UNEMPLOYED_COUNT = _spec(
-    "districts_unemployed_count", "kiel_wirtschaft_arbeit_arbeitslose_stadtteile.csv",
-    "district", "Stadtteil",
+    "districts_unemployed_count", "district", "Stadtteil",
     UnpivotYears("Merkmal", _years_row("Arbeitslose", "unemployed_count", "persons"),
                  year_pattern=DATE_HEADER, year_parser="first"))
 
 DISTRICTS_UNEMPLOYED_RATE = _spec(
     "districts_unemployed_rate",
-    "kiel_wirtschaft_arbeit_arbeitslose_betroffenheitsquote_stadtteile.csv",
     "district", "Stadtteil",
     UnpivotYears("Merkmal", _years_row("Betroffenheitsquote", "unemployed_rate", "percent",
                                        decimal_comma),
@@ -203,29 +190,25 @@ DISTRICTS_UNEMPLOYED_RATE = _spec(
 
 DISTRICTS_RELIGION = _spec(
     "districts_religion",
-    "kiel_bevoelkerung_einwohner_nach_religionszugehoerigkeit_in_den_stadtteilen.csv",
     "district", "Stadtteil",
     UnpivotCategories("Jahr", _columns(RELIGION, total=True), indicator="religion",
                       unit="persons"))
 
-POSTAL_CODES_POPULATION = DatasetSpec(
-    id="postal_codes_population",
-    url=OPEN_DATA + "kiel_bevoelkerung_in_den_kieler_plz_bezirken.csv",
-    csv_filename="kiel_bevoelkerung_in_den_kieler_plz_bezirken.csv",
-    area_type="postal_code", area_column="PLZ-Bereich", area_expression=F.trim,
+POSTAL_CODES_POPULATION = _spec(
+    "postal_codes_population", "postal_code", "PLZ-Bereich",
+    UnpivotYears("Merkmal", _years_row("Jahr", "population", "persons", thousands_dot)),
+    trim=True,
     csv=CsvOptions(quote='"', escape='"', strict=False, null_padding=True),
-    column_aliases={"PLZ-Bereich": ("PLZ-\nBereich", "PLZ- Bereich", "PLZ Bereich")},
-    format=UnpivotYears("Merkmal", _years_row("Jahr", "population", "persons", thousands_dot)))
+    column_aliases={"PLZ-Bereich": ("PLZ-\nBereich", "PLZ- Bereich", "PLZ Bereich")})
 
 SUBDISTRICTS_POPULATION = _spec(
-    "subdistricts_population", "kiel_bevoelkerung_ortsteile.csv", "subdistrict", "Ortsteil",
+    "subdistricts_population", "subdistrict", "Ortsteil",
     UnpivotYears("Merkmal", _years_row("Einwohner insgesamt", "population", "persons"),
                  year_pattern=YEAR_WITH_SUFFIX, year_parser="leading"),
     trim=True)
 
 SUBDISTRICTS_AGE_GROUPS = _spec(
-    "subdistricts_age_groups", "kiel_bevoelkerung_altersgruppen_ortsteile.csv",
-    "subdistrict", "Ortsteil",
+    "subdistricts_age_groups", "subdistrict", "Ortsteil",
     UnpivotCategories("Datum", _columns(subdistrict_age_bands(), total=True),
                       year_parser="first", keep_last=True, filter_column="Merkmal",
                       filter_value="Einwohner nach Altersgruppen", indicator="age_groups",
@@ -233,15 +216,14 @@ SUBDISTRICTS_AGE_GROUPS = _spec(
     trim=True)
 
 SUBDISTRICTS_GENDER = _spec(
-    "subdistricts_gender", "kiel_bevoelkerung_geschlecht_ortsteile.csv", "subdistrict", "Ortsteil",
+    "subdistricts_gender", "subdistrict", "Ortsteil",
     UnpivotCategories("Datum", _gender(), year_parser="first", keep_last=True,
                       filter_column="Merkmal", filter_value="Einwohner insgesamt",
                       indicator="gender", unit="persons"),
     trim=True)
 
 SUBDISTRICTS_FOREIGN_GENDER = _spec(
-    "subdistricts_foreign_gender", "kiel_bevoelkerung_auslaendisch_ortsteile.csv",
-    "subdistrict", "Ortsteil",
+    "subdistricts_foreign_gender", "subdistrict", "Ortsteil",
     UnpivotCategories("Datum", _gender(), year_parser="first", keep_last=True,
                       filter_column="Merkmal", filter_value="Auslaender",
                       indicator="foreign_gender", unit="persons"),
@@ -249,7 +231,6 @@ SUBDISTRICTS_FOREIGN_GENDER = _spec(
 
 SUBDISTRICTS_MIGRANT_GENDER = _spec(
     "subdistricts_migrant_gender",
-    "kiel_bevoelkerung_ortsteile_einwohner_mit_migrationshintergrund.csv",
     "subdistrict", "Ortsteil",
     UnpivotCategories("Datum", _gender(MALE_ALTERNATIVES), year_parser="first", keep_last=True,
                       filter_column="Merkmal", filter_value="Einwohner mit Migrationshintergrund",

@@ -99,13 +99,13 @@ def test_foreign_count_trims_areas(spark, write_csv, store):
 
 def test_date_headers_and_decimal_comma(spark, write_csv, store):
     head = "Land;Stadt;Kategorie;Merkmal;Stadtteilnummer;Stadtteil;31.12.2023;31.12.2022"
-    path = write_csv([head, "sh;Kiel;arbeit;Arbeitslose;1;Altstadt;17;15",
-                      "sh;Kiel;arbeit;Arbeitslose;2;Wik;30;31"])
+    path = write_csv([head, "sh;City;arbeit;Arbeitslose;1;Altstadt;17;15",
+                      "sh;City;arbeit;Arbeitslose;2;Wik;30;31"])
     rows = twice(spark, D.DISTRICTS_UNEMPLOYED_COUNT, path, store)
     assert value(rows, "Altstadt", 2023) == 17.0 and value(rows, "Altstadt", 2022) == 15.0
     head2 = "Land;Stadt;Kategorie;Merkmal;Stadtteilnummer;Stadtteil;31.12.2019;31.12.2018"
-    path2 = write_csv([head2, "sh;Kiel;arbeit;Betroffenheitsquote;1;Altstadt;1,7;2,05",
-                       "sh;Kiel;arbeit;Betroffenheitsquote;2;Wik;3,0;x"])
+    path2 = write_csv([head2, "sh;City;arbeit;Betroffenheitsquote;1;Altstadt;1,7;2,05",
+                       "sh;City;arbeit;Betroffenheitsquote;2;Wik;3,0;x"])
     rows2 = twice(spark, D.DISTRICTS_UNEMPLOYED_RATE, path2, store)
     assert value(rows2, "Altstadt", 2019) == pytest.approx(1.7)
     assert value(rows2, "Altstadt", 2018) == pytest.approx(2.05)
@@ -115,8 +115,8 @@ def test_date_headers_and_decimal_comma(spark, write_csv, store):
 def test_duplicate_year_header_later_wins(spark, write_csv, store):
     head = "Land;Stadt;Kategorie;Merkmal;Ortsteilnummer;Ortsteil;2022;2022;2023"
     path = write_csv([head,
-                      "sh;Kiel;Bev;Einwohner insgesamt;1;Schilksee ;4800;4811;4900",
-                      "sh;Kiel;Bev;Einwohner insgesamt;2;Pries;9700;;9800"])
+                      "sh;City;Bev;Einwohner insgesamt;1;Schilksee ;4800;4811;4900",
+                      "sh;City;Bev;Einwohner insgesamt;2;Pries;9700;;9800"])
     rows = twice(spark, D.SUBDISTRICTS_POPULATION, path, store)
     assert value(rows, "Schilksee", 2022) == 4811.0
     # an empty later copy does not hide the earlier value
@@ -126,9 +126,9 @@ def test_duplicate_year_header_later_wins(spark, write_csv, store):
 
 def test_quoted_multiline_header_and_thousands_dot(spark, write_csv, store):
     path = write_csv(['Land;Stadt;Kategorie;"PLZ-', 'Bereich";Merkmal;2000;2023',
-                      "sh;Kiel;Bev; 24103 ;Jahr;10.141;12.333",
-                      "sh;Kiel;Bev;24105;Jahr;19.460;20.815",
-                      "sh;Kiel;Bev;24106;Jahr"])
+                      "sh;City;Bev; 24103 ;Jahr;10.141;12.333",
+                      "sh;City;Bev;24105;Jahr;19.460;20.815",
+                      "sh;City;Bev;24106;Jahr"])
     rows = twice(spark, D.POSTAL_CODES_POPULATION, path, store)
     assert value(rows, "24103", 2000) == 10141.0
     assert value(rows, "24105", 2000) == 19460.0  # trailing zero kept: text, not double
@@ -144,9 +144,9 @@ GENDER_HEAD = ("Land;Stadt;Kategorie;Merkmal;Datum;Stadtteilnummer;Stadtteil;"
 
 def test_gender_categories(spark, write_csv, store):
     path = write_csv([GENDER_HEAD,
-                      "sh;Kiel;Bev;Einwohner insgesamt;2023_12_31;1;Altstadt;1300;650;650",
-                      "sh;Kiel;Bev;Einwohner insgesamt;2022_12_31;1;Altstadt;1290;640;650",
-                      "sh;Kiel;Bev;Andere;2022_12_31;1;Altstadt;1;1;1"])
+                      "sh;City;Bev;Einwohner insgesamt;2023_12_31;1;Altstadt;1300;650;650",
+                      "sh;City;Bev;Einwohner insgesamt;2022_12_31;1;Altstadt;1290;640;650",
+                      "sh;City;Bev;Andere;2022_12_31;1;Altstadt;1;1;1"])
     rows = twice(spark, D.DISTRICTS_GENDER, path, store)
     assert len(rows) == 6
     assert value(rows, "Altstadt", 2022, "male") == 640.0
@@ -154,9 +154,9 @@ def test_gender_categories(spark, write_csv, store):
 
 def test_keep_last_of_three(spark, write_csv, store):
     path = write_csv([GENDER_HEAD,
-                      "sh;Kiel;Bev;Einwohner insgesamt;2023_12_31;1;Altstadt;100;10;90",
-                      "sh;Kiel;Bev;Einwohner insgesamt;2023_12_31;1;Altstadt;200;20;180",
-                      "sh;Kiel;Bev;Einwohner insgesamt;2023_12_31;1;Altstadt;300;30;270"])
+                      "sh;City;Bev;Einwohner insgesamt;2023_12_31;1;Altstadt;100;10;90",
+                      "sh;City;Bev;Einwohner insgesamt;2023_12_31;1;Altstadt;200;20;180",
+                      "sh;City;Bev;Einwohner insgesamt;2023_12_31;1;Altstadt;300;30;270"])
     rows = twice(spark, D.DISTRICTS_GENDER, path, store)
     assert rows == [("Altstadt", 2023, "female", 270.0), ("Altstadt", 2023, "male", 30.0),
                     ("Altstadt", 2023, "total", 300.0)]
@@ -164,8 +164,8 @@ def test_keep_last_of_three(spark, write_csv, store):
 
 def test_keep_last_per_category_falls_back(spark, write_csv, store):
     path = write_csv([GENDER_HEAD,
-                      "sh;Kiel;Bev;Einwohner insgesamt;2023_12_31;1;Altstadt;100;10;90",
-                      "sh;Kiel;Bev;Einwohner insgesamt;2023_12_31;1;Altstadt;200;;180"])
+                      "sh;City;Bev;Einwohner insgesamt;2023_12_31;1;Altstadt;100;10;90",
+                      "sh;City;Bev;Einwohner insgesamt;2023_12_31;1;Altstadt;200;;180"])
     rows = twice(spark, D.DISTRICTS_GENDER, path, store)
     assert value(rows, "Altstadt", 2023, "male") == 10.0
     assert value(rows, "Altstadt", 2023, "total") == 200.0
@@ -174,8 +174,8 @@ def test_keep_last_per_category_falls_back(spark, write_csv, store):
 def test_households_computed_total(spark, write_csv, store):
     head = ("Land;Stadt;Kategorie;Jahr;Stadtteile;Merkmal;Einpersonen;Paar ohne Kind;"
             "Paar mit Kindern;Paar mit Nachkommen;Alleinerziehende;Sonst. Mehrpersonenhaushalte")
-    path = write_csv([head, "sh;Kiel;Bev;31.12.2022;Altstadt;Haushalte;400;100;30;5;10;20",
-                      "sh;Kiel;Bev;31.12.2023;Altstadt;Haushalte;410;;31;6;11;21"])
+    path = write_csv([head, "sh;City;Bev;31.12.2022;Altstadt;Haushalte;400;100;30;5;10;20",
+                      "sh;City;Bev;31.12.2023;Altstadt;Haushalte;410;;31;6;11;21"])
     rows = twice(spark, D.DISTRICTS_HOUSEHOLDS_TYPE_SIZE, path, store)
     assert value(rows, "Altstadt", 2022) == 565.0
     assert value(rows, "Altstadt", 2023) == 479.0
@@ -184,8 +184,8 @@ def test_households_computed_total(spark, write_csv, store):
 
 def test_marital_status_without_filter(spark, write_csv, store):
     head = "Land;Stadt;Kategorie;Stadtteil;Jahr;ledig;verheiratet;verwitwet;geschieden"
-    path = write_csv([head, "sh;Kiel;Bev;Altstadt;31_12_2022;600;400;50;70",
-                      "sh;Kiel;Bev;Wik;31_12_2022;300;200;20;30"])
+    path = write_csv([head, "sh;City;Bev;Altstadt;31_12_2022;600;400;50;70",
+                      "sh;City;Bev;Wik;31_12_2022;300;200;20;30"])
     rows = twice(spark, D.DISTRICTS_MARITAL_STATUS, path, store)
     assert len(rows) == 10
     assert value(rows, "Wik", 2022) == 550.0
@@ -195,7 +195,7 @@ def test_migrant_gender_latin1_fallback(spark, write_csv, store):
     head = ("Land;Stadt;Kategorie;Merkmal;Datum;Stadtteilnummer;Stadtteil;"
             "insgesamt;männlich;weiblich")
     path = write_csv([head,
-                      "sh;Kiel;Bev;Einwohner mit Migrationshintergrund;2023_12_31;1;Altstadt ;"
+                      "sh;City;Bev;Einwohner mit Migrationshintergrund;2023_12_31;1;Altstadt ;"
                       "370;180;190"], encoding="latin-1")
     rows = twice(spark, D.DISTRICTS_MIGRANT_GENDER, path, store)
     assert value(rows, "Altstadt", 2023, "male") == 180.0
@@ -204,7 +204,7 @@ def test_migrant_gender_latin1_fallback(spark, write_csv, store):
 
 def test_nationalities_lenient_empty_is_zero(spark, write_csv, store):
     head = "Land;Stadt;Kategorie;Jahr;Stadtteil;Tuerkei;Polen;Irak;Russland;Ukraine;Syrien;Bulgarien"
-    path = write_csv([head, "sh;Kiel;Bev;2023; Altstadt ;5;;2;x;1;;3"])
+    path = write_csv([head, "sh;City;Bev;2023; Altstadt ;5;;2;x;1;;3"])
     rows = twice(spark, D.DISTRICTS_FOREIGN_NATIONALITIES_SELECTED, path, store)
     assert len(rows) == 8
     assert value(rows, "Altstadt", 2023, "poland") == 0.0
@@ -217,7 +217,7 @@ def test_foreign_age_groups_lenient(spark, write_csv, store):
     head = "Land;Stadt;Kategorie;Merkmal;Datum;Stadtteilnummer;Stadtteil;" + ";".join(bands)
     cells = ["1"] * len(bands)
     cells[3] = ""
-    path = write_csv([head, "sh;Kiel;Bev;Einwohner nach Altersgruppen;31.12.2023;1; Wik;"
+    path = write_csv([head, "sh;City;Bev;Einwohner nach Altersgruppen;31.12.2023;1; Wik;"
                       + ";".join(cells)])
     rows = twice(spark, D.DISTRICTS_FOREIGN_AGE_GROUPS, path, store)
     assert len(rows) == 21
@@ -229,7 +229,7 @@ def test_subdistrict_age_groups_strict_total(spark, write_csv, store):
     bands = [c for c, _ in D.subdistrict_age_bands()]
     assert bands[0] == "0-<5" and bands[-1] == "85 und Aelter"
     head = "Land;Stadt;Kategorie;Merkmal;Datum;Ortsteilnummer;Ortsteil;" + ";".join(bands)
-    row = "sh;Kiel;Bev;Einwohner nach Altersgruppen;31.12.2023;1;Wik ;"
+    row = "sh;City;Bev;Einwohner nach Altersgruppen;31.12.2023;1;Wik ;"
     path = write_csv([head, row + ";".join(["2"] * len(bands)),
                       row + ";".join(["3"] * len(bands))])
     rows = twice(spark, D.SUBDISTRICTS_AGE_GROUPS, path,
@@ -240,8 +240,8 @@ def test_subdistrict_age_groups_strict_total(spark, write_csv, store):
 
 def test_area_hectares_decimal_comma(spark, write_csv, store):
     head = "Land;Stadt;Kategorie;Merkmal;Jahr;Stadtteilnummer;Stadtteil;Hektar"
-    path = write_csv([head, "sh;Kiel;Geo;Flaechen in Hektar;2019;1;Altstadt;35,0987",
-                      "sh;Kiel;Geo;Flaechen in Hektar;2020;1;Altstadt;35,1"])
+    path = write_csv([head, "sh;City;Geo;Flaechen in Hektar;2019;1;Altstadt;35,0987",
+                      "sh;City;Geo;Flaechen in Hektar;2020;1;Altstadt;35,1"])
     rows = twice(spark, D.DISTRICTS_AREA_HECTARES, path, store)
     assert value(rows, "Altstadt", 2019) == pytest.approx(35.0987)
     assert value(rows, "Altstadt", 2020) == pytest.approx(35.1)
@@ -249,7 +249,7 @@ def test_area_hectares_decimal_comma(spark, write_csv, store):
 
 def test_religion_plain_year(spark, write_csv, store):
     head = "Land;Stadt;Kategorie;Jahr;Stadtteil;evangelisch;katholisch;sonstige/ohne"
-    path = write_csv([head, "sh;Kiel;Bev;2023;Altstadt;500;100;620"])
+    path = write_csv([head, "sh;City;Bev;2023;Altstadt;500;100;620"])
     rows = twice(spark, D.DISTRICTS_RELIGION, path, store)
     assert value(rows, "Altstadt", 2023) == 1220.0 and len(rows) == 4
 
@@ -258,7 +258,7 @@ def test_religion_plain_year(spark, write_csv, store):
 
 def _seed(spark, write_csv, store):
     path = write_csv([GENDER_HEAD,
-                      "sh;Kiel;Bev;Einwohner insgesamt;2023_12_31;1;Altstadt;1300;650;650"])
+                      "sh;City;Bev;Einwohner insgesamt;2023_12_31;1;Altstadt;1300;650;650"])
     import_dataset(spark, D.DISTRICTS_GENDER, path, store)
     return published(store)
 
@@ -266,7 +266,7 @@ def _seed(spark, write_csv, store):
 def test_year_parser_nan_keeps_old_rows(spark, write_csv, store):
     before = _seed(spark, write_csv, store)
     path = write_csv([GENDER_HEAD,
-                      "sh;Kiel;Bev;Einwohner insgesamt;unbekannt;1;Altstadt;1;1;1"])
+                      "sh;City;Bev;Einwohner insgesamt;unbekannt;1;Altstadt;1;1;1"])
     with pytest.raises(DatasetImportError, match=r"districts_gender \(unpivot_categories\).*"
                                            r"input=unbekannt, output=NaN"):
         import_dataset(spark, D.DISTRICTS_GENDER, path, store)
@@ -279,8 +279,8 @@ def test_year_out_of_range(spark, write_csv, store):
     before = _seed(spark, write_csv, store)
     # the bad year sits in a row the feature filter drops: still an error
     path = write_csv([GENDER_HEAD,
-                      "sh;Kiel;Bev;Einwohner insgesamt;2023_12_31;1;Altstadt;5;2;3",
-                      "sh;Kiel;Bev;Andere;1850_12_31;1;Altstadt;5;2;3"])
+                      "sh;City;Bev;Einwohner insgesamt;2023_12_31;1;Altstadt;5;2;3",
+                      "sh;City;Bev;Andere;1850_12_31;1;Altstadt;5;2;3"])
     with pytest.raises(DatasetImportError, match="output=1850, allowedRange=1900..2100"):
         import_dataset(spark, D.DISTRICTS_GENDER, path, store)
     assert published(store) == before
@@ -288,10 +288,10 @@ def test_year_out_of_range(spark, write_csv, store):
 
 def test_broken_value_keeps_old_rows(spark, write_csv, store):
     head = "Land;Stadt;Kategorie;Stadtteil;Jahr;ledig;verheiratet;verwitwet;geschieden"
-    good = write_csv([head, "sh;Kiel;Bev;Altstadt;31_12_2022;1;2;3;4"])
+    good = write_csv([head, "sh;City;Bev;Altstadt;31_12_2022;1;2;3;4"])
     import_dataset(spark, D.DISTRICTS_MARITAL_STATUS, good, store)
     before = published(store)
-    bad = write_csv([head, "sh;Kiel;Bev;Altstadt;31_12_2022;abc;2;3;4"])
+    bad = write_csv([head, "sh;City;Bev;Altstadt;31_12_2022;abc;2;3;4"])
     with pytest.raises(Exception):
         import_dataset(spark, D.DISTRICTS_MARITAL_STATUS, bad, store)
     assert published(store) == before
@@ -299,7 +299,7 @@ def test_broken_value_keeps_old_rows(spark, write_csv, store):
 
 def test_zero_rows_refused(spark, write_csv, store):
     before = _seed(spark, write_csv, store)
-    path = write_csv([GENDER_HEAD, "sh;Kiel;Bev;Andere;2023_12_31;1;Altstadt;1;1;1"])
+    path = write_csv([GENDER_HEAD, "sh;City;Bev;Andere;2023_12_31;1;Altstadt;1;1;1"])
     with pytest.raises(DatasetImportError, match="produced zero rows"):
         import_dataset(spark, D.DISTRICTS_GENDER, path, store)
     assert published(store) == before
@@ -324,13 +324,13 @@ def test_lineage_and_ledger(spark, write_csv, store):
 
 def test_reimport_replaces_scope(spark, write_csv, store):
     first = write_csv([GENDER_HEAD,
-                       "sh;Kiel;Bev;Einwohner insgesamt;2023_12_31;1;Altstadt;1300;650;650",
-                       "sh;Kiel;Bev;Einwohner insgesamt;2023_12_31;2;Wik;700;350;350"])
+                       "sh;City;Bev;Einwohner insgesamt;2023_12_31;1;Altstadt;1300;650;650",
+                       "sh;City;Bev;Einwohner insgesamt;2023_12_31;2;Wik;700;350;350"])
     import_dataset(spark, D.DISTRICTS_GENDER, first, store)
     other = write_csv(["Merkmal;Stadtteil;2022", "Einwohner insgesamt;Altstadt;1300"])
     import_dataset(spark, D.DISTRICTS_POPULATION, other, store)
     second = write_csv([GENDER_HEAD,
-                        "sh;Kiel;Bev;Einwohner insgesamt;2023_12_31;1;Altstadt;1301;651;650"])
+                        "sh;City;Bev;Einwohner insgesamt;2023_12_31;1;Altstadt;1301;651;650"])
     import_dataset(spark, D.DISTRICTS_GENDER, second, store)
     assert published(store, "gender") == [("Altstadt", 2023, "female", 650.0),
                                           ("Altstadt", 2023, "male", 651.0),
@@ -371,7 +371,7 @@ def test_hot_key_keep_last(spark, write_csv, store):
     lines = [GENDER_HEAD]
     for i in range(1500):
         area, date = ("Altstadt", "2023_12_31") if i % 3 == 0 else (f"Area{i}", "2022_12_31")
-        lines.append(f"sh;Kiel;Bev;Einwohner insgesamt;{date};1;{area};{i};{i};0")
+        lines.append(f"sh;City;Bev;Einwohner insgesamt;{date};1;{area};{i};{i};0")
     path = write_csv(lines)
     rows = twice(spark, D.DISTRICTS_GENDER, path, store)
     assert value(rows, "Altstadt", 2023) == 1497.0
