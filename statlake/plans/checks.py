@@ -40,7 +40,7 @@ from statlake.plans.spec import (
     UnpivotYears,
     YearRow,
 )
-from statlake.schema import KEY, QUERY_AREA_MAX, REQUIRED, SCOPE
+from statlake.schema import KEY, QUERY_AREA_MAX, REQUIRED
 from statlake.session import scratch_path
 from statlake.sources.catalog import match_catalog
 from statlake.sources.csv import write_delimited, write_text_table
@@ -519,14 +519,12 @@ def publish_store(spark, sf_dir):
     all of stats, a second run replaces the six customer order-count scopes."""
     s, staged, _ = _publish_inputs(spark, sf_dir)
     store = P.FactStore(spark, scratch_path(spark, "store"))
-    all_scopes = [tuple(r) for r in s.select(*SCOPE).distinct().collect()]
     first = RunContext(dataset_id="stats_initial", data_version="v1")
     store.begin(first)
-    store.commit(s.withColumn("import_run_id", F.lit(first.run_id)), first, all_scopes)
+    store.commit(s, first)  # scopes = those written, observed during the write
     second = RunContext(dataset_id="customer_orders", data_version="v2")
     store.begin(second)
-    store.commit(staged.withColumn("import_run_id", F.lit(second.run_id)), second,
-                 PUBLISH_SCOPES)
+    store.commit(staged, second, PUBLISH_SCOPES)
     return core(store.facts())
 
 
