@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from statlake.functions.columns import is_number, parse_number, parse_year, year_in_range
 from statlake.operators.dedupe import keep_last
+from statlake.operators.observe import observed as observed_metrics
 from statlake.plans.spec import DatasetSpec, UnpivotCategories, UnpivotYears
 from statlake.schema import MAX_VALID_YEAR, MIN_VALID_YEAR, STAT_COLUMNS
 from statlake.sources.csv import INGEST_ORDER, raw
@@ -202,7 +203,11 @@ def observe_years(df: DataFrame, spec: DatasetSpec):
     observed = df.observe(obs, *_year_metrics(spec))
 
     def verify() -> None:
-        _raise_year_problems(df, spec, dict(obs.get))
+        metrics = observed_metrics(obs)
+        if metrics is None:
+            check_years(df, spec)
+        else:
+            _raise_year_problems(df, spec, metrics)
     return observed, verify
 
 

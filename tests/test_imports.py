@@ -376,3 +376,19 @@ def test_hot_key_keep_last(spark, write_csv, store):
     rows = twice(spark, D.DISTRICTS_GENDER, path, store)
     assert value(rows, "Altstadt", 2023) == 1497.0
     assert len(rows) == 3 * (1 + 1000)
+
+
+def test_import_is_single_pass(spark, write_csv, store, monkeypatch):
+    """The year check and the publish checks come from metrics observed in
+    the write job: no separate validation scan, no read-back."""
+    from statlake.operators import reshape
+    calls = []
+    monkeypatch.setattr(reshape, "check_years", lambda *a, **k: calls.append("years"))
+    original = FactStore.raw_facts
+    monkeypatch.setattr(FactStore, "raw_facts",
+                        lambda self: calls.append("read-back") or original(self))
+    path = write_csv([GENDER_HEAD,
+                      "sh;City;Bev;Einwohner insgesamt;2023_12_31;1;Altstadt;1300;650;650"])
+    res = import_dataset(spark, D.DISTRICTS_GENDER, path, store)
+    assert res.imported == 3
+    assert calls == []
