@@ -21,6 +21,7 @@ import time
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statlake.functions.columns import year_in_range
 from statlake.operators.observe import observed
@@ -36,6 +37,18 @@ from statlake.schema import (
     STAT_SCHEMA,
 )
 
+# binaryFile listing of the fact folder with its partition columns.
+_LISTING_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType()),
+    T.StructField("modificationTime", T.TimestampType()),
+    T.StructField("length", T.LongType()),
+    T.StructField("content", T.BinaryType()),
+    T.StructField("indicator", T.StringType()),
+    T.StructField("area_type", T.StringType()),
+    T.StructField("category", T.StringType()),
+    T.StructField("import_run_id", T.StringType()),
+])
+
 # Scope maps up to this size are pinned as partition filters.
 SNAPSHOT_MAX_SCOPES = 5000
 
@@ -178,6 +191,29 @@ class FactStore:
         return present.join(self.current_scopes(),
                             ["indicator", "area_type", "category", "import_run_id"], "left_anti")
 
+    def drop_superseded(self, dry_run: bool = True) -> list[str]:
+        """Delete the folders of superseded partitions; returns them.
+
+        The folders come from a metadata-only listing (``binaryFile`` with
+        partition discovery, content never read) semi-joined with
+        ``superseded()``; one folder per (scope, run), so the list is bounded
+        by the number of partitions, not by rows.  A published snapshot never
+        references these folders, so readers are not affected."""
+        listing = (self.spark.read.format("binaryFile")
+                   .schema(_LISTING_SCHEMA).load(self.facts_path)
+                   .select("path", "indicator", "area_type", "category", "import_run_id"))
+        gone = listing.join(self.superseded(),
+                            ["indicator", "area_type", "category", "import_run_id"], "left_semi")
+        folders = sorted({r["folder"] for r in gone.select(
+            F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder")).distinct().collect()})
+        if not dry_run:
+            jvm = self.spark.sparkContext._jvm
+            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+            for folder in folders:
+                path = jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(conf).delete(path, True)
+        return folders
+
     # -- publish
     def begin(self, run: RunContext) -> None:
         self._event(run, "started")

@@ -339,6 +339,12 @@ def test_reimport_replaces_scope(spark, write_csv, store):
     # the first gender run is fully replaced; its partitions are superseded
     runs = {r["import_run_id"] for r in store.superseded().collect()}
     assert len(runs) == 1
+    before = published(store)
+    folders = store.drop_superseded(dry_run=False)
+    run_id = next(iter(runs))
+    assert len(folders) == 3 and all(f"import_run_id={run_id}" in f for f in folders)
+    assert store.superseded().count() == 0
+    assert published(store) == before
 
 
 def test_import_many_skips_missing(spark, write_csv, store, tmp_path):
