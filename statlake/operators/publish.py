@@ -37,6 +37,16 @@ from statlake.schema import (
     STAT_SCHEMA,
 )
 
+# Ledger events as stored (one folder per day) and the listing of compacted states.
+_EVENT_SCHEMA = T.StructType(LEDGER_SCHEMA.fields + [T.StructField("event_day", T.StringType())])
+_STATE_LISTING_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType()),
+    T.StructField("modificationTime", T.TimestampType()),
+    T.StructField("length", T.LongType()),
+    T.StructField("content", T.BinaryType()),
+    T.StructField("upto_seq", T.LongType()),
+])
+
 # binaryFile listing of the fact folder with its partition columns.
 _LISTING_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
@@ -112,6 +122,7 @@ class FactStore:
         self.root = root.rstrip("/")
         self.facts_path = f"{self.root}/facts"
         self.ledger_path = f"{self.root}/ledger"
+        self.state_path = f"{self.root}/ledger_state"
 
     # -- ledger
     def _event(self, run: RunContext, status: str, row_count=None, error=None, scopes=None):
@@ -119,9 +130,11 @@ class FactStore:
                None if error is None else str(error)[:ERROR_MESSAGE_MAX],
                dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), time.time_ns(),
                [tuple(s) for s in scopes] if scopes is not None else None)
-        # one tiny file per event; the job commit makes it visible atomically
-        self.spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1) \
-            .write.mode("append").json(self.ledger_path)
+        # one tiny file per event, in a folder per day; the job commit makes
+        # it visible atomically
+        (self.spark.createDataFrame([row], LEDGER_SCHEMA)
+         .withColumn("event_day", F.date_format("event_ts", "yyyy-MM-dd"))
+         .coalesce(1).write.mode("append").partitionBy("event_day").json(self.ledger_path))
 
     def _exists(self, path: str) -> bool:
         try:
@@ -130,13 +143,48 @@ class FactStore:
         except Exception:  # noqa: BLE001 - missing folder
             return False
 
-    def events(self) -> DataFrame:
+    def events(self, since_day: str | None = None) -> DataFrame:
+        """Ledger events (all, or those of days >= ``since_day``, which
+        prunes the day folders)."""
         if not self._exists(self.ledger_path):
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
-        return self.spark.read.schema(LEDGER_SCHEMA).json(self.ledger_path)
+        ev = self.spark.read.schema(_EVENT_SCHEMA).json(self.ledger_path)
+        if since_day is not None:
+            ev = ev.where(F.col("event_day") >= F.lit(since_day))
+        return ev.select(*LEDGER_SCHEMA.fieldNames())
+
+    def _latest_state(self):
+        """(seq, path) of the newest compacted run state, or None."""
+        if not self._exists(self.state_path):
+            return None
+        row = (self.spark.read.format("binaryFile").schema(_STATE_LISTING_SCHEMA)
+               .load(self.state_path).agg(F.max("upto_seq").alias("s")).first())
+        if row is None or row["s"] is None:
+            return None
+        return int(row["s"]), f"{self.state_path}/upto_seq={int(row['s'])}"
 
     def runs(self) -> DataFrame:
-        return run_state(self.events())
+        """Current state per run: the newest compacted state plus the events
+        after it (older day folders are not read)."""
+        latest = self._latest_state()
+        if latest is None:
+            return run_state(self.events())
+        seq, path = latest
+        day = (dt.datetime.fromtimestamp(seq / 1e9, dt.timezone.utc)
+               - dt.timedelta(days=1)).strftime("%Y-%m-%d")
+        state = self.spark.read.schema(LEDGER_SCHEMA).parquet(path)
+        newer = self.events(since_day=day).where(F.col("seq") > F.lit(seq))
+        return run_state(state.unionByName(newer))
+
+    def compact_ledger(self) -> int:
+        """Write the current run states as one snapshot; later reads start
+        from it and only scan newer day folders.  Returns the snapshot seq."""
+        state = self.runs()
+        seq = state.agg(F.max("seq").alias("s")).first()["s"]
+        if seq is None:
+            return 0
+        state.write.mode("overwrite").parquet(f"{self.state_path}/upto_seq={int(seq)}")
+        return int(seq)
 
     def current_scopes(self) -> DataFrame:
         """Per scope, the run id of its latest published import."""

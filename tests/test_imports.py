@@ -398,3 +398,19 @@ def test_import_is_single_pass(spark, write_csv, store, monkeypatch):
     res = import_dataset(spark, D.DISTRICTS_GENDER, path, store)
     assert res.imported == 3
     assert calls == []
+
+
+def test_ledger_compaction(spark, write_csv, store):
+    path = write_csv(["Merkmal;Stadtteil;2022", "Einwohner insgesamt;Altstadt;1300"])
+    import_dataset(spark, D.DISTRICTS_POPULATION, path, store)
+    bad = write_csv(["Name;2022", "Altstadt;1"])
+    with pytest.raises(DatasetImportError):
+        import_dataset(spark, D.DISTRICTS_POPULATION, bad, store)
+    before = sorted((r["run_id"], r["status"]) for r in store.runs().collect())
+    assert store.compact_ledger() > 0
+    assert sorted((r["run_id"], r["status"]) for r in store.runs().collect()) == before
+    path2 = write_csv(["Merkmal;Stadtteil;2022", "Einwohner insgesamt;Altstadt;1400"])
+    res = import_dataset(spark, D.DISTRICTS_POPULATION, path2, store)
+    runs = {r["run_id"]: r["status"] for r in store.runs().collect()}
+    assert len(runs) == 3 and runs[res.run_id] == "published"
+    assert [r["value"] for r in store.facts().collect()] == [1400.0]
