@@ -239,18 +239,13 @@ class FactStore:
         return present.join(self.current_scopes(),
                             ["indicator", "area_type", "category", "import_run_id"], "left_anti")
 
-    def drop_superseded(self, dry_run: bool = True) -> list[str]:
-        """Delete the folders of superseded partitions; returns them.
-
-        The folders come from a metadata-only listing (``binaryFile`` with
-        partition discovery, content never read) semi-joined with
-        ``superseded()``; one folder per (scope, run), so the list is bounded
-        by the number of partitions, not by rows.  A published snapshot never
-        references these folders, so readers are not affected."""
+    def _drop_folders(self, partitions: DataFrame, dry_run: bool) -> list[str]:
+        """Delete the partition folders of ``partitions`` (scope + run id rows),
+        found from a metadata-only listing (content is never read)."""
         listing = (self.spark.read.format("binaryFile")
                    .schema(_LISTING_SCHEMA).load(self.facts_path)
                    .select("path", "indicator", "area_type", "category", "import_run_id"))
-        gone = listing.join(self.superseded(),
+        gone = listing.join(partitions,
                             ["indicator", "area_type", "category", "import_run_id"], "left_semi")
         folders = sorted({r["folder"] for r in gone.select(
             F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder")).distinct().collect()})
@@ -262,6 +257,21 @@ class FactStore:
                 path.getFileSystem(conf).delete(path, True)
         return folders
 
+    def drop_run_files(self, run: RunContext) -> list[str]:
+        """Remove what an unpublished attempt of ``run`` wrote (before a retry
+        under the same run id)."""
+        if not self._exists(self.facts_path):
+            return []
+        mine = (self.raw_facts().select("indicator", "area_type", "category", "import_run_id")
+                .where(F.col("import_run_id") == F.lit(run.run_id)).distinct())
+        return self._drop_folders(mine, dry_run=False)
+
+    def drop_superseded(self, dry_run: bool = True) -> list[str]:
+        """Delete the folders of superseded partitions; returns them.  One
+        folder per (scope, run), so the list is bounded by the number of
+        partitions, not by rows.  No published snapshot references them."""
+        return self._drop_folders(self.superseded(), dry_run)
+
     # -- publish
     def begin(self, run: RunContext) -> None:
         self._event(run, "started")

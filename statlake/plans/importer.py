@@ -16,7 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from statlake.operators.publish import FactStore
 from statlake.operators.reshape import RunContext, to_tidy, to_tidy_deferred
 from statlake.plans.spec import DatasetSpec
-from statlake.sources.csv import CsvFileNotFoundError, read_delimited
+from statlake.sources.csv import (
+    CsvFileNotFoundError,
+    UndecodableText,
+    read_delimited,
+    read_delimited_observed,
+)
 from statlake.sources.files import data_version
 
 log = logging.getLogger(__name__)
@@ -59,9 +64,22 @@ def import_dataset(spark: SparkSession, spec: DatasetSpec, path: str,
     run = RunContext(dataset_id=spec.id, data_version=version)
     store.begin(run)
     try:
-        # one pass: the year check is observed inside the write job
-        staged, checks = to_tidy_deferred(read_raw(spark, spec, path), spec, run)
-        n = store.commit(staged, run, spec.scopes(), after_write=checks)
+        # One pass: the year check and the decoding test are observed inside
+        # the write job.  Undecodable text (rare) drops this attempt's files
+        # and retries the same run with the next fallback encoding.
+        start = 0
+        while True:
+            raw_df, decode_check = read_delimited_observed(
+                spark, path, spec.delimiter, spec.csv, spec.column_aliases, start=start)
+            staged, checks = to_tidy_deferred(raw_df, spec, run)
+            checks = ([decode_check] if decode_check else []) + checks
+            try:
+                n = store.commit(staged, run, spec.scopes(), after_write=checks)
+                break
+            except UndecodableText as e:
+                log.warning("%s; retrying %s with the next encoding", e, spec.id)
+                store.drop_run_files(run)
+                start = e.next_index
     except Exception as e:
         store.fail(run, e)
         raise

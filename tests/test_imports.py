@@ -414,3 +414,19 @@ def test_ledger_compaction(spark, write_csv, store):
     runs = {r["run_id"]: r["status"] for r in store.runs().collect()}
     assert len(runs) == 3 and runs[res.run_id] == "published"
     assert [r["value"] for r in store.facts().collect()] == [1400.0]
+
+
+def test_latin1_body_retries_same_run(spark, write_csv, store):
+    """ASCII header, latin-1 body: the first attempt (UTF-8) is found out by
+    the observed decoding test, its files are dropped and the same run is
+    retried as latin-1."""
+    head = ("Land;Stadt;Kategorie;Merkmal;Datum;Stadtteilnummer;Stadtteil;"
+            "insgesamt;maennlich;weiblich")
+    path = write_csv([head,
+                      "sh;City;Bev;Einwohner mit Migrationshintergrund;2023_12_31;1;Düsternbrook;"
+                      "50;20;30"], encoding="latin-1")
+    rows = twice(spark, D.DISTRICTS_MIGRANT_GENDER, path, store)
+    assert value(rows, "Düsternbrook", 2023, "male") == 20.0
+    assert {r["status"] for r in store.runs().collect()} == {"published"}
+    assert store.runs().count() == 2  # two imports, no extra failed attempt
+    assert store.superseded().count() == 3  # the first import's partitions only
