@@ -94,9 +94,11 @@ def timeseries(stats: DataFrame, indicator: str, area_type: str, areas=None, cat
         ["area", "year", "category"], offset, limit)
 
 
-def page_areas(page: DataFrame) -> DataFrame:
-    """Distinct areas of a returned page (not of the whole filter)."""
-    return page.select("area").distinct().orderBy("area")
+def page_areas(page: DataFrame, collation: str | None = None) -> DataFrame:
+    """Distinct areas of a returned page (not of the whole filter); binary
+    order, or locale order with ``collation="UNICODE"``."""
+    areas = page.select("area").distinct()
+    return areas.orderBy(F.collate(F.col("area"), collation) if collation else F.col("area"))
 
 
 def page_meta(filtered: DataFrame, limit: int | None, offset: int = 0,
