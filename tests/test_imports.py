@@ -430,3 +430,17 @@ def test_latin1_body_retries_same_run(spark, write_csv, store):
     assert {r["status"] for r in store.runs().collect()} == {"published"}
     assert store.runs().count() == 2  # two imports, no extra failed attempt
     assert store.superseded().count() == 3  # the first import's partitions only
+
+
+def test_strict_mode_rejects_short_rows(spark, write_csv, store):
+    """A strict spec fails fast on a ragged row; the permissive one pads it."""
+    from statlake.plans.spec import CsvOptions
+    lines = ["Merkmal;Stadtteil;2022;2023", "Einwohner insgesamt;Altstadt;1300;1310",
+             "Einwohner insgesamt;Wik;700"]
+    path = write_csv(lines)
+    strict = replace(D.DISTRICTS_POPULATION, csv=CsvOptions(strict=True))
+    with pytest.raises(Exception):
+        import_dataset(spark, strict, path, store)
+    assert store.runs().first()["status"] == "failed"
+    rows = twice(spark, D.DISTRICTS_POPULATION, write_csv(lines), store)
+    assert [r for r in rows if r[0] == "Wik"] == [("Wik", 2022, "total", 700.0)]
