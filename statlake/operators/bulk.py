@@ -65,7 +65,8 @@ def bulk_timeseries(stats: DataFrame, requests: DataFrame) -> DataFrame:
     # the constant cut right on row_number() lets Spark insert WindowGroupLimit
     page = (matched.withColumn("rn", F.row_number().over(w))
             .where(F.col("rn") <= F.lit(k))
-            .where((F.col("rn") > F.col("offset")) & (F.col("rn") <= F.col("offset") + F.col("limit")))
+            .where((F.col("rn") > F.col("offset"))
+                   & (F.col("rn") <= F.col("offset") + F.col("limit")))
             .select("request_id", F.col("area_name").alias("area"), "year", "value", "unit",
                     "category", F.col("rn").cast("long").alias("rn")))
     return (req.select("request_id", "pos", "limit", "offset")

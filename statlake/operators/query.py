@@ -114,7 +114,8 @@ def page_meta(filtered: DataFrame, limit: int | None, offset: int = 0,
     if limit is None:
         return agg.select(tot, tot.cast("int").alias("limit"), F.lit(int(offset)).alias("offset"),
                           F.lit(False).alias("has_more"))
-    on_page = F.least(F.lit(int(limit)).cast("long"), F.greatest(tot - F.lit(int(offset)), F.lit(0)))
+    on_page = F.least(F.lit(int(limit)).cast("long"),
+                      F.greatest(tot - F.lit(int(offset)), F.lit(0)))
     return agg.select(tot, F.lit(int(limit)).alias("limit"), F.lit(int(offset)).alias("offset"),
                       ((F.lit(int(offset)) + on_page) < tot).alias("has_more"))
 
@@ -154,7 +155,8 @@ def list_areas(stats: DataFrame, indicator: str, area_type: str, category: str |
     if like:
         # substring test on lower case; %, _ and \ are literal characters
         cond.append(F.lower(F.col("area_name")).contains(F.lit(like.lower())))
-    return where_all(stats, cond).select(F.col("area_name").alias("area")).distinct().orderBy("area")
+    return (where_all(stats, cond).select(F.col("area_name").alias("area"))
+            .distinct().orderBy("area"))
 
 
 def list_categories(stats: DataFrame, indicator: str, area_type: str) -> DataFrame:
