@@ -56,3 +56,26 @@ def test_store_reads_prune_and_push_down(spark, tmp_path):
 def test_bulk_pages_are_bounded_before_the_shuffle(spark):
     plan = plan_of(E.queries()["bulk_timeseries"](spark, SMOKE_DIR))
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_broadcast_only_behind_the_size_probe(spark):
+    from statlake.operators.joins import bounded_broadcast
+    small = spark.range(10).withColumnRenamed("id", "k")
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    hinted = big.join(bounded_broadcast(small, max_rows=10), "k")
+    unhinted = big.join(bounded_broadcast(small, max_rows=5), "k")
+    assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in unhinted._jdf.queryExecution().analyzed().toString().lower()
+    assert hinted.count() == unhinted.count() == 10
+
+
+def test_snapshot_falls_back_to_the_lazy_join_beyond_the_scope_bound(spark, tmp_path):
+    store = FactStore(spark, str(tmp_path / "store"))
+    run = RunContext("stats", "v")
+    store.begin(run)
+    store.commit(stats(spark, SMOKE_DIR), run)
+    pinned = store.snapshot()
+    lazy = store.snapshot(max_scopes=1)
+    assert "Join" not in pinned._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in lazy._jdf.queryExecution().optimizedPlan().toString()
+    assert pinned.count() == lazy.count()
