@@ -444,3 +444,19 @@ def test_strict_mode_rejects_short_rows(spark, write_csv, store):
     assert store.runs().first()["status"] == "failed"
     rows = twice(spark, D.DISTRICTS_POPULATION, write_csv(lines), store)
     assert [r for r in rows if r[0] == "Wik"] == [("Wik", 2022, "total", 700.0)]
+
+
+def test_constraint_violations_are_not_published(spark, write_csv, store):
+    """A NULL in a required column or a duplicate key fails the publish."""
+    from statlake.operators.reshape import RunContext
+    from tests.test_read_operators import ROWS
+    from statlake.schema import STAT_SCHEMA
+    path = write_csv(["Merkmal;Stadtteil;2022", "Einwohner insgesamt;;1300"])
+    with pytest.raises(DatasetImportError, match="null_area_name"):
+        import_dataset(spark, D.DISTRICTS_POPULATION, path, store)
+    rows = [r + ("x", None, None, None) for r in ROWS + ROWS[:1]]
+    run = RunContext("dups", "v")
+    store.begin(run)
+    with pytest.raises(DatasetImportError, match="duplicate_keys"):
+        store.commit(spark.createDataFrame(rows, STAT_SCHEMA), run, check_duplicates=True)
+    assert store.facts().count() == 0
