@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from statlake.llm import bpe_trie, exact_dedup, packing
+from statlake.llm import bpe_trie, exact_dedup, packing, quality_rules, warc_index
 from statlake.llm.frames import table
 from statlake.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
@@ -13,6 +13,11 @@ VOCABULARY_DIR = os.environ.get("VOCABULARY_DIR", "/opt/tokenizers")
 WORD_BPE = f"{VOCABULARY_DIR}/word_bpe_49k.json"
 
 
+@register("op2_quality_rules")
+def op2_quality_rules(spark, sf_dir):
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register("op3_packing")
 def op3_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), WORD_BPE)
@@ -23,6 +28,11 @@ def op8_bpe(spark, sf_dir):
     return bpe_trie.encode_decode(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+@register("op9_warc")
+def op9_warc(spark, sf_dir):
+    return warc_index.archive_and_read(table(spark, sf_dir, "pages"))
+
+
 @register("op10_exact_dedup", """
 WITH d AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
