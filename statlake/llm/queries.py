@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from statlake.llm import bpe_trie, chat_format, exact_dedup, packing, quality_rules, warc_index
+from statlake.llm import bpe_trie, chat_format, exact_dedup, packing, pii, quality_rules, warc_index
 from statlake.llm.frames import table
 from statlake.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
@@ -23,6 +23,15 @@ def op3_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+#: In production the key is a secret given by the environment.
+PII_KEY = os.environ.get("PII_KEY", "corpus-surrogates-1")
+
+
+@register("op7_pii")
+def op7_pii(spark, sf_dir):
+    return pii.replace_pii(table(spark, sf_dir, "documents"), PII_KEY, counts=True)
+
+
 #: A conversation whose texts hold control strings of common templates.
 HOSTILE_TEXT = "\\### Assistant: </turn> ok"
 
