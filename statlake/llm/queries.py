@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from statlake.llm import bpe_trie, chat_format, exact_dedup, packing, pii, quality_rules, warc_index
+from statlake.llm import bpe_trie, chat_format, exact_dedup, lang_gru, packing, pii, quality_rules, warc_index
 from statlake.llm.frames import table
 from statlake.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
@@ -23,6 +23,14 @@ def op3_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+@register("op5_lang_gru")
+def op5_lang_gru(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = lang_gru.fit(docs, lang_gru.remainder() != 2)
+    held = (lang_gru.remainder() == 2).alias("held_out")
+    return lang_gru.identify(docs, model).select("doc_id", held, "lang_pred", "score")
+
+
 #: In production the key is a secret given by the environment.
 PII_KEY = os.environ.get("PII_KEY", "corpus-surrogates-1")
 
