@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from statlake.llm import bpe_trie, chat_format, exact_dedup, lang_gru, packing, pii, quality_rules, warc_index
+from statlake.llm import bpe_trie, chat_format, exact_dedup, jaccard_join, lang_gru, packing, pii, quality_rules, warc_index
 from statlake.llm.frames import table
 from statlake.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
@@ -23,6 +23,11 @@ def op3_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+@register("op4_jaccard_join")
+def op4_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 @register("op5_lang_gru")
 def op5_lang_gru(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")

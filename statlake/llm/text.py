@@ -111,8 +111,7 @@ def shingles(hashes: np.ndarray, size: int = 5) -> np.ndarray:
     if len(hashes) == 0:
         return np.zeros(0, np.uint64)
     if len(hashes) < size:
-        whole = windows(hashes, len(hashes)) + np.uint64(len(hashes)) * _ODD
-        return mix(whole)
+        return mix(windows(hashes, len(hashes)) ^ np.uint64(len(hashes)))
     return np.unique(windows(hashes, size))
 
 
