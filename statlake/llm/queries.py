@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 
-from statlake.llm import bpe_trie, chat_format, exact_dedup, jaccard_join, lang_gru, packing, pii, quality_rules, warc_index
+from pyspark.sql import functions as F
+
+from statlake.llm import bpe_trie, chat_format, exact_dedup, jaccard_join, lang_gru, lm_trie, packing, pii, quality_rules, warc_index
 from statlake.llm.frames import table
 from statlake.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
@@ -13,6 +15,15 @@ VOCABULARY_DIR = os.environ.get("VOCABULARY_DIR", "/opt/tokenizers")
 WORD_BPE = f"{VOCABULARY_DIR}/word_bpe_49k.json"
 
 
+@register("op1_lm_trie")
+def op1_lm_trie(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
+    model = lm_trie.train(docs, ~held)
+    return lm_trie.score(docs, model).select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                                             "base_score", "score")
+
+
 @register("op2_quality_rules")
 def op2_quality_rules(spark, sf_dir):
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
