@@ -20,95 +20,107 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from statlake.llm.chunks import worker_encoder
+from statlake.llm.chunks import Splitter, TextEncoder, byte_alphabet, worker_encoder
 from statlake.llm.frames import id_text
 from statlake.llm.text import by_slice
 
 MAX_NODES = 250_000   # the trie is rebuilt beyond this; bounds a worker's memory
 
 
-def byte_alphabet() -> list[str]:
-    """Printable bytes stand for themselves, the others for code points from 256."""
-    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    other = iter(range(256, 512))
-    return [chr(b) if b in shown else chr(next(other)) for b in range(256)]
-
-
 class TrieBpe:
     def __init__(self, spec: str):
-        from tokenizers import Tokenizer
-
         conf = json.loads(spec)
-        model, self.suffix = conf["model"], conf["model"]["end_of_word_suffix"] or ""
-        vocab = model["vocab"]
+        model = conf["model"]
+        vocab, suffix = model["vocab"], model["end_of_word_suffix"] or ""
         chars = byte_alphabet()
         to_byte = {c: b for b, c in enumerate(chars)}
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.merge = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
-        self.inner_symbol = [vocab[c] for c in chars]
-        self.final_symbol = [vocab[c + self.suffix] for c in chars]
+        self.rank = {(vocab[a], vocab[b]): r for r, (a, b) in enumerate(pairs)}
+        parts = {vocab[a + b]: (vocab[a], vocab[b], r) for r, (a, b) in reversed([*enumerate(pairs)])
+                 for a, b in [(a, b)]}
+        made = {t: r for t, (_, _, r) in parts.items()}
+        if any(made.get(x, -1) >= r for a, b, r in parts.values() for x in (a, b)):
+            raise ValueError("a merge uses a token that a later merge makes")
+        # a token's edge, symbol by symbol: (token at the edge, rank of the merge that absorbs it)
+        self.right_edge = {t: self._edge(t, parts, 1) for t in vocab.values()}
+        self.left_edge = {t: self._edge(t, parts, 0) for t in vocab.values()}
         self.inner: dict[bytes, int] = {}
         self.final: dict[bytes, int] = {}
-        self.symbols: dict[int, list[int]] = {}
+        symbols = {*(vocab[c] for c in chars), *(vocab[c + suffix] for c in chars)}
         for token, i in vocab.items():
-            ends = bool(self.suffix) and token.endswith(self.suffix) and len(token) > len(self.suffix)
-            body = token[:-len(self.suffix)] if ends else token
-            if not all(c in to_byte for c in body):
-                continue
-            raw = bytes(to_byte[c] for c in body)
-            symbols = [self.inner_symbol[b] for b in raw]
-            if ends:
-                symbols[-1] = self.final_symbol[raw[-1]]
-            if self.merged(symbols) != [i]:
-                continue  # unreachable by merges, such as special tokens
-            (self.final if ends else self.inner)[raw] = i
-            self.symbols[i] = symbols
-        self.longest = max(map(len, [*self.inner, *self.final]))
-        self.special = {t["content"]: t["id"] for t in conf["added_tokens"]}
-        self.special_re = re.compile("(" + "|".join(sorted(map(re.escape, self.special), key=len, reverse=True)) + ")")
-        self.lib = Tokenizer.from_str(spec)
-        self.to_byte = to_byte
-        self.ascii_re = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+            ends = bool(suffix) and token.endswith(suffix) and len(token) > len(suffix)
+            body = token[:-len(suffix)] if ends else token
+            # special tokens are not made by merges
+            if (i in parts or i in symbols) and all(c in to_byte for c in body):
+                (self.final if ends else self.inner)[bytes(to_byte[c] for c in body)] = i
+        self.inner_sizes, self.final_sizes = self._sizes(self.inner), self._sizes(self.final)
+        self.splitter = Splitter(spec)
         self.apart: dict[int, bool] = {}
         tokens = {i: t for t, i in vocab.items()} | {t["id"]: t["content"] for t in conf["added_tokens"]}
         self.strings = [tokens.get(i, "").encode() for i in range(max(tokens) + 1)]
         self.reset()
 
-    def merged(self, symbols: list[int]) -> list[int]:
-        """The merge rules themselves: lowest rank first, leftmost first."""
-        out = list(symbols)
-        while len(out) > 1:
-            best = min(((self.merge[p][0], k) for k, p in enumerate(zip(out, out[1:])) if p in self.merge), default=None)
-            if best is None:
-                break
-            k = best[1]
-            out[k:k + 2] = [self.merge[out[k], out[k + 1]][1]]
-        return out
+    @staticmethod
+    def _edge(token: int, parts: dict, side: int) -> list[tuple[int, float]]:
+        out = [(token, float("inf"))]
+        while token in parts:
+            rank = parts[token][2]
+            token = parts[token][side]
+            out.append((token, rank))
+        return out[::-1]
 
     def stay_apart(self, left: int, right: int) -> bool:
+        """Whether the merges of ``left + right`` end in these two tokens.  Merges
+        run in order of rank (no merge enables a lower one), so the two edges
+        grow step by step; they stay apart if no pair that meets in between
+        merges before either side absorbs it."""
         key = left << 32 | right
         known = self.apart.get(key)
         if known is None:
-            if len(self.apart) > 500_000:
+            if len(self.apart) > 300_000:
                 self.apart.clear()
-            known = self.apart[key] = self.merged(self.symbols[left] + self.symbols[right]) == [left, right]
+            known = self.apart[key] = self._stay_apart(self.right_edge[left], self.left_edge[right])
         return known
 
+    def _stay_apart(self, left: list, right: list) -> bool:
+        i = j = 0
+        while True:
+            (a, ra), (b, rb) = left[i], right[j]
+            r = self.rank.get((a, b))
+            # of equal ranks the leftmost merges first
+            if r is not None and r < ra and r <= rb:
+                return False
+            if ra <= rb:
+                if ra == float("inf"):
+                    return True
+                i += 1
+            else:
+                j += 1
+
     def reset(self) -> None:
         self.child: dict[int, int] = {}
         self.last, self.back = [-1], [-1]   # by node; node 0 is the empty prefix
 
-    def state(self, word: bytes, end: int, path: list[int], table: dict[bytes, int]) -> tuple[int, int]:
+    @staticmethod
+    def _sizes(table: dict[bytes, int]) -> dict[bytes, list[int]]:
+        """Lengths of the tokens that end with the given (up to three) bytes, longest first."""
+        ends: dict[bytes, set[int]] = {}
+        for body in table:
+            ends.setdefault(body[-3:], set()).add(len(body))
+        short = {e: {len(e[k:]) for k in range(1, len(e)) if e[k:] in table} for e in ends}
+        return {e: sorted(sizes | short[e], reverse=True) for e, sizes in ends.items()}
+
+    def state(self, word: bytes, end: int, path: list[int], final: bool) -> tuple[int, int]:
         """Last token of ``word[:end]`` and the node before it."""
-        last = self.last
-        for size in range(min(self.longest, end), 0, -1):
-            token = table.get(word[end - size:end])
+        last, table, sizes = (self.last, self.final, self.final_sizes) if final else \
+            (self.last, self.inner, self.inner_sizes)
+        for size in sizes.get(word[end - 3 if end > 3 else 0:end], (2, 1)):
+            token = table.get(word[end - size:end]) if size <= end else None
             if token is not None:
                 before = path[end - size]
                 if before == 0 or self.stay_apart(last[before], token):
@@ -128,12 +140,12 @@ class TrieBpe:
                 key = path[at] << 8 | word[at]
                 node = child.get(key)
                 if node is None:
-                    token, prev = self.state(word, at + 1, path, self.inner)
+                    token, prev = self.state(word, at + 1, path, False)
                     node = child[key] = len(last)
                     last.append(token)
                     back.append(prev)
                 path.append(node)
-            token, node = self.state(word, len(word), path, self.final)
+            token, node = self.state(word, len(word), path, True)
             ids = [token]
             while node:
                 ids.append(last[node])
@@ -142,27 +154,14 @@ class TrieBpe:
             before = word[:len(path) - 1]
         return out
 
-    def pieces(self, chunk: bytes) -> list[bytes | int]:
-        """Words of a chunk (bytes) and special tokens (ids)."""
-        text = chunk.decode("utf-8")
-        out: list[bytes | int] = []
-        for k, part in enumerate(self.special_re.split(text) if "<|" in text else [text]):
-            if k % 2:
-                out.append(self.special[part])
-            elif part.isascii():
-                out += self.ascii_re.findall(part.lower().encode())
-            elif part:
-                split = self.lib.pre_tokenizer.pre_tokenize_str(self.lib.normalizer.normalize_str(part))
-                out += [bytes(map(self.to_byte.__getitem__, p)) for p, _ in split]
-        return out
-
-    def encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
-        cut = [self.pieces(c) for c in chunks]
-        distinct = sorted({p for c in cut for p in c if not isinstance(p, int)})
+    def encode(self, words: list[str]) -> list[bytes]:
+        """Ids of sorted distinct words (code point order is UTF-8 order)."""
         if len(self.last) > MAX_NODES:
             self.reset()
-        table = {w: np.asarray(ids, "<u4").tobytes() for w, ids in zip(distinct, self.words(distinct))}
-        return [b"".join(table[p] if not isinstance(p, int) else np.uint32(p).tobytes() for p in c) for c in cut]
+        found = self.words([w.encode("utf-8") for w in words])
+        edge = (4 * np.cumsum([0, *map(len, found)])).tolist()
+        raw = np.fromiter((i for ids in found for i in ids), "<u4").tobytes()
+        return [raw[a:b] for a, b in zip(edge, edge[1:])]
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Token strings joined by a blank: the vocabulary declares no decoder."""
@@ -192,8 +191,8 @@ def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         model = _model(shared.value)
-        encoder = worker_encoder(("trie", vocabulary), lambda: model.encode_chunks)
-        texts = [t.encode("utf-8") if t else b"" for t in batch.column("text").to_pylist()]
+        encoder = worker_encoder(("trie", vocabulary), lambda: TextEncoder(model.splitter, model.encode))
+        texts = [t or "" for t in batch.column("text").to_pylist()]
         ids = encoder.ids(texts)
         decoded = [model.decode(np.frombuffer(x, "<u4")) for x in ids]
         cols = {"doc_id": batch.column("doc_id"),

@@ -1,69 +1,131 @@
-"""Encoding whole texts chunk by chunk.
+"""Encoding whole texts word by word.
 
-No token of the vocabulary used here crosses ASCII white space, and neither
-its normaliser nor its splitting pattern looks past it, so a text's ids are
-the ids of its space-separated chunks in order.  Each Python worker keeps the
-ids of the chunks it has met; the table is emptied when it is full, which
-bounds memory and changes no result.
+The vocabulary's splitting rule cuts a text into words, which are encoded one
+by one.  Neither the normaliser nor the rule looks past ASCII white space, so
+a text may be cut there first.  Each Python worker keeps the ids of the words
+it has met; the table is emptied when it is full, which bounds memory and
+changes no result.
 """
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable
 
-CACHE_CHUNKS = 150_000
-CACHE_CHUNK_BYTES = 48
-
-
-class ChunkEncoder:
-    """``encode(list of chunks) -> list of ids (uint32, little endian, bytes)``."""
-
-    def __init__(self, encode: Callable[[list[bytes]], list[bytes]], capacity: int = CACHE_CHUNKS):
-        self.encode, self.capacity, self.known = encode, capacity, {}
-
-    def ids(self, texts: list[bytes]) -> list[bytes]:
-        known = self.known
-        split = [t.split() for t in texts]
-        new = set().union(*split) - known.keys() if split else set()
-        extra: dict[bytes, bytes] = {}
-        if new:
-            order = sorted(new)
-            fresh = dict(zip(order, self.encode(order)))
-            if len(known) + len(fresh) > self.capacity:
-                known = dict(known) | fresh  # enough for this call
-                self.known = {}
-            else:
-                known.update({k: v for k, v in fresh.items() if len(k) <= CACHE_CHUNK_BYTES})
-                extra = {k: v for k, v in fresh.items() if len(k) > CACHE_CHUNK_BYTES}
-        if extra:
-            known = known | extra
+import numpy as np
+
+CACHE_WORDS = 400_000
+CACHE_CHARS = 32      # longer words are not kept
+
+#: Letters whose normal form is themselves and whose lower case is one letter of this range.
+LATIN = "\u00df-\u00f6\u00f8-\u012f\u0131-\u017f"
+_PLAIN = re.compile(f"[\x00-\x7f\u00c0-\u00d6\u00d8-\u00de{LATIN}]*")
+_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LATIN}]+|[0-9]|[^ \t\n\v\f\ra-z0-9{LATIN}]+")
+
+
+class Splitter:
+    """Texts into the words that the vocabulary's merges work on.  Texts of
+    ASCII and Latin letters are split here; in other texts, the chunks with
+    other characters by the library's own normaliser and splitting rule."""
+
+    def __init__(self, spec: str):
+        from tokenizers import Tokenizer
+
+        conf = json.loads(spec)
+        self.special = {t["content"]: t["id"] for t in conf["added_tokens"]}
+        self.special_re = re.compile("(" + "|".join(sorted(map(re.escape, self.special), key=len, reverse=True)) + ")")
+        self.library = Tokenizer.from_str(spec)
+        self.byte = {c: b for b, c in enumerate(byte_alphabet())}
+
+    def words(self, text: str) -> list[str | int]:
+        """Words of a text in order, and the ids of special tokens written in it."""
+        if "<|" not in text or not self.special_re.search(text):
+            return self._split(text)
+        out: list[str | int] = []
+        for k, part in enumerate(self.special_re.split(text)):
+            out += [self.special[part]] if k % 2 else self._split(part)
+        return out
+
+    def _split(self, text: str) -> list[str]:
+        if _PLAIN.fullmatch(text):
+            return _WORDS.findall(text.lower())
+        chunks = text.encode("utf-8").split()
+        if len(chunks) > 1:
+            return [w for c in chunks for w in self._split(c.decode("utf-8"))]
+        split = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        return [bytes(map(self.byte.__getitem__, w)).decode("utf-8") for w, _ in split]
+
+
+def byte_alphabet() -> list[str]:
+    """The visible character that stands for each byte: printable bytes stand for
+    themselves, the others for code points from 256."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    other = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(other)) for b in range(256)]
+
+
+class TextEncoder:
+    """Ids of whole texts, as bytes of little-endian unsigned 32-bit integers;
+    ``encode`` gives the ids of sorted distinct words."""
+
+    def __init__(self, splitter: Splitter, encode: Callable[[list[str]], list[bytes]], capacity: int = CACHE_WORDS):
+        self.splitter, self.encode, self.capacity = splitter, encode, capacity
+        self.always = {i: np.uint32(i).tobytes() for i in splitter.special.values()}
+        self.known: dict = dict(self.always)
+
+    def table(self, wanted: set) -> dict:
+        """A table that has all of ``wanted``."""
+        new = sorted(wanted - self.known.keys())
+        if not new:
+            return self.known
+        if len(self.known) + len(new) > self.capacity:
+            self.known = dict(self.always)
+            new = sorted(wanted - self.known.keys())
+        fresh = dict(zip(new, self.encode(new)))
+        self.known.update(fresh if max(map(len, new)) <= CACHE_CHARS else
+                          ((k, v) for k, v in fresh.items() if len(k) <= CACHE_CHARS))
+        return self.known if max(map(len, new)) <= CACHE_CHARS else self.known | fresh
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        split = [self.splitter.words(t) for t in texts]
+        known = self.table(set().union(*split))
         return [b"".join(map(known.__getitem__, s)) for s in split]
 
 
-_WORKER: dict[tuple, ChunkEncoder] = {}
+_WORKER: dict[tuple, TextEncoder] = {}
 
 
-def worker_encoder(key: tuple, make: Callable[[], Callable[[list[bytes]], list[bytes]]]) -> ChunkEncoder:
+def worker_encoder(key: tuple, make: Callable[[], TextEncoder]) -> TextEncoder:
     """The worker process's own encoder for ``key``, made at first use."""
     if key not in _WORKER:
         _WORKER.clear()
-        _WORKER[key] = ChunkEncoder(make())
+        _WORKER[key] = make()
     return _WORKER[key]
 
 
-def library_encoder(path: str):
-    """Chunk encoding by the tokenizers library with the vocabulary at ``path``."""
-    import numpy as np
-    from tokenizers import Tokenizer
-
-    tok = Tokenizer.from_file(path)
-    tok.no_truncation()
-    tok.no_padding()
-
-    def encode(chunks: list[bytes]) -> list[bytes]:
-        out = []
-        for at in range(0, len(chunks), 4096):
-            part = [c.decode("utf-8") for c in chunks[at:at + 4096]]
-            out += [np.asarray(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast(part, add_special_tokens=False)]
+def library_encoder(spec: str) -> TextEncoder:
+    """Word encoding by the tokenizers library.  Many words go through one call,
+    blank-separated; the library tells the word of every id."""
+    splitter = Splitter(spec)
+    library = splitter.library
+    library.no_truncation()
+    library.no_padding()
+
+    def one(word: str) -> bytes:
+        return np.asarray(library.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def encode(words: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for at in range(0, len(words), 2000):
+            part = words[at:at + 2000]
+            got = library.encode(" ".join(part), add_special_tokens=False)
+            ids, place = np.asarray(got.ids, "<u4"), np.asarray(got.word_ids, np.int64)
+            if not len(place) or place[-1] != len(part) - 1:   # a word was split or lost: one by one
+                out += map(one, part)
+                continue
+            edge, raw = (4 * np.searchsorted(place, np.arange(len(part) + 1))).tolist(), ids.tobytes()
+            out += [raw[a:b] for a, b in zip(edge, edge[1:])]
         return out
-    return encode
+
+    return TextEncoder(splitter, encode)
