@@ -24,7 +24,7 @@ number of partners is capped, so the components are those of all links.
 Shingles are 64-bit hashes of five words.  The order needs no exact counts to
 be right, only to be the same everywhere: frequent shingles are found by
 adding up local counts over all documents, the ``HEAVY_MAX`` most frequent are
-broadcast (two megabytes at most) and come last; all others go by hash.
+broadcast (four megabytes at most) and come last; all others go by hash.
 
 Defined cases: null text and texts without words have no shingles and link
 with nothing; fewer than five words are one shingle; repeated rows share a
@@ -45,14 +45,14 @@ from statlake.llm.components import components
 from statlake.llm.frames import id_text, materialise
 from statlake.llm.text import mix, shingles, slices, words_of
 
-HEAVY_MAX = 131_072   # shingles that are ordered by frequency
-HEAVY_LEAST = 24      # ... if they occur at least so often
-LOCAL_LEAST = 3       # local counts from here on are added up
+HEAVY_MAX = 262_144   # shingles that are ordered by frequency
+HEAVY_LEAST = 8       # ... if they occur at least so often
+LOCAL_LEAST = 2       # local counts from here on are added up
 LOCAL_SHINGLES = 4_000_000   # shingles counted together in a task
 PAIR_COST = 20        # cost of a candidate pair, in postings
 BLOCK = 1024          # members of a list compared in one task at once
 SALT_ROWS = 20_000    # expected members of a list from which its scan is split
-SMALL_WORDS = 4       # 64-bit words of the small sketch
+SMALL_WORDS = 8       # 64-bit words of the small sketch
 
 
 def least_overlap(n):
@@ -291,9 +291,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")), "classes")
 
     heavy = (scan.where("kind = 1").groupBy("shingle").agg(F.sum("count").alias("count"))
-             .where(F.col("count") >= HEAVY_LEAST).orderBy(F.desc("count"), "shingle").limit(HEAVY_MAX).collect())
-    values = np.array([r.shingle for r in heavy], np.int64).view(np.uint64)
-    count = np.array([r["count"] for r in heavy], np.int64)
+             .where(F.col("count") >= HEAVY_LEAST).orderBy(F.desc("count"), "shingle").limit(HEAVY_MAX).toArrow())
+    values = heavy.column("shingle").to_numpy().view(np.uint64)
+    count = heavy.column("count").to_numpy()
     by_value = np.argsort(values)
     shared = spark.sparkContext.broadcast((values[by_value], count[by_value]))
     sizes = {r.n: r["count"] for r in classes.groupBy("n").count().collect()}   # bounded by the longest text's words
@@ -317,9 +317,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     known = classes.join(roots, F.col("rep") == F.col("node"), "left").select(
         "class", F.coalesce("root", "rep").alias("component"))
     placed = everyone.join(known, "class")
-    open_ = (placed.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("x"),
-                                       F.max("component").alias("y"))
-             .where("members > 2 AND x != y").select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")))
+    # lists of the same members are the same comparisons: the one whose shingle comes
+    # first stays, and no pair's first common shingle is lost, as it would be earlier still
+    open_ = (placed.groupBy("key").agg(
+        F.count(F.lit(1)).alias("members"), F.min("component").alias("x"), F.max("component").alias("y"),
+        F.sum(F.xxhash64("class").cast("decimal(20,0)")).alias("one"),
+        F.sum(F.xxhash64("class", F.lit(7)).cast("decimal(20,0)")).alias("two"),
+        F.min(F.struct("class", "place"))["place"].alias("place"))
+        .where("members > 2 AND x != y")
+        .groupBy("members", "one", "two").agg(F.min(F.struct("place", "key"))["key"].alias("key"))
+        .select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")))
     rows = materialise(placed.join(open_, "key"), "open-lists")
     folded = classes.join(rows.select("class").distinct(), "class", "left_semi").select("class", "sketch").mapInArrow(
         _fold_small, "class long, small array<long>")
