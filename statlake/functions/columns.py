@@ -47,14 +47,17 @@ def thousands_dot(c) -> Column:
 def computed_total(columns, lenient: bool = False) -> Column:
     """Sum of several raw columns with NULL counted as 0.
 
-    strict: a non-empty cell must be a number (ANSI cast raises otherwise);
+    strict: a cell must be a number or NULL, anything else raises;
     lenient: anything that is not a number counts as 0.
     """
     def one(name):
         c = F.col("`" + name.replace("`", "``") + "`") if isinstance(name, str) else name
         if lenient:
             return F.coalesce(parse_number(c), F.lit(0.0))
-        return F.coalesce(c.cast("double"), F.lit(0.0))
+        text = c.cast("string")
+        checked = F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double")).otherwise(
+            F.raise_error(F.concat(F.lit("not a number in a total: "), text)).cast("double"))
+        return F.when(text.isNull(), F.lit(0.0)).otherwise(checked)
     return reduce(add, [one(c) for c in columns])
 
 
@@ -67,9 +70,12 @@ YEAR_PARSERS = {
 }
 
 
-def parse_year(c, parser: str | None) -> Column:
-    """Raw year text -> int.  Without a parser the text is cast as is."""
+def parse_year(c, parser) -> Column:
+    """Raw year text -> int.  Without a parser the text is cast as is; a callable
+    gets the text's column and returns the year's."""
     c = _col(c).cast("string")
+    if callable(parser):
+        return parser(c).cast("int")
     if parser is None:
         return c.cast("int")
     pattern = YEAR_PARSERS[parser]
@@ -82,9 +88,14 @@ def year_in_range(c) -> Column:
     return c.isNotNull() & (c >= MIN_VALID_YEAR) & (c <= MAX_VALID_YEAR)
 
 
+def strip_space(c) -> Column:
+    """White space of any kind (Unicode included) off both ends."""
+    return F.regexp_replace(_col(c), r"^[\s\p{Z}\uFEFF]+|[\s\p{Z}\uFEFF]+$", "")
+
+
 def normalize_url(c) -> Column:
-    """Trim, then drop trailing slashes; scheme, host case and query stay."""
-    return F.regexp_replace(F.trim(_col(c)), r"/+$", "")
+    """White space off the ends, then trailing slashes; scheme, host case and query stay."""
+    return F.regexp_replace(strip_space(c), r"/+$", "")
 
 
 def url_file_name(c) -> Column:
@@ -100,12 +111,12 @@ def iso_utc(c) -> Column:
 
 def split_list(c) -> Column:
     """Comma separated request list -> trimmed tokens, first occurrence kept."""
-    return F.array_distinct(F.transform(F.split(_col(c), ","), lambda t: F.trim(t)))
+    return F.array_distinct(F.transform(F.split(_col(c), ","), lambda t: strip_space(t)))
 
 
 def has_empty_token(c) -> Column:
-    return F.exists(F.split(_col(c), ","), lambda t: F.length(F.trim(t)) == 0)
+    return F.exists(F.split(_col(c), ","), lambda t: F.length(strip_space(t)) == 0)
 
 
 def longest_token(c) -> Column:
-    return F.array_max(F.transform(F.split(_col(c), ","), lambda t: F.length(F.trim(t))))
+    return F.array_max(F.transform(F.split(_col(c), ","), lambda t: F.length(strip_space(t))))

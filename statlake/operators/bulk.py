@@ -3,8 +3,7 @@
 The reference answers a bulk call by looping over its items.  Here the
 requests are a DataFrame (``request_id, pos, kind, indicator, area_type,
 areas, categories, year_from, year_to, year, limit, offset, order``) joined
-with the fact table; the request frame is broadcast only after a bounded
-size probe.  Pages are ``row_number`` windows per request cut at a constant
+with the fact table, broadcast or not as its measured size allows.  Pages are ``row_number`` windows per request cut at a constant
 ``K = max(offset + limit)``, which Spark turns into a partial
 ``WindowGroupLimit`` before the shuffle, so a request matching a third of the
 table still ships at most K rows per task.  Totals are a separate partial
@@ -18,8 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statlake.functions.columns import has_empty_token, longest_token, split_list
-from statlake.operators.joins import bounded_broadcast
 from statlake.operators.query import StatisticsValidationError
+from statlake.schema import (
+    BULK_ITEMS_MAX,
+    PAGINATION_LIMIT_MAX,
+    PAGINATION_LIMIT_MIN,
+    RANKING_LIMIT_MAX,
+    RANKING_LIMIT_MIN,
+)
 
 REQUEST_SCHEMA = T.StructType([
     T.StructField("request_id", T.LongType(), False),
@@ -55,7 +60,7 @@ def bulk_timeseries(stats: DataFrame, requests: DataFrame) -> DataFrame:
         F.coalesce("offset", F.lit(0)).alias("offset"))
     matched = (stats.select("indicator", "area_type", "area_name", "year", "value", "unit",
                             "category")
-               .join(bounded_broadcast(req), ["indicator", "area_type"])
+               .join(req, ["indicator", "area_type"])
                .where(_list_ok("areas", "area_name") & _list_ok("categories", "category")
                       & (F.col("year_from").isNull() | (F.col("year") >= F.col("year_from")))
                       & (F.col("year_to").isNull() | (F.col("year") <= F.col("year_to")))))
@@ -83,7 +88,7 @@ def bulk_ranking(stats: DataFrame, requests: DataFrame) -> DataFrame:
         F.coalesce("order", F.lit("desc")).alias("order"))
     matched = (stats.select("indicator", "area_type", "area_name", "year", "value", "unit",
                             "category")
-               .join(bounded_broadcast(req), ["indicator", "area_type", "year"])
+               .join(req, ["indicator", "area_type", "year"])
                .where(_list_ok("areas", "area_name") & _list_ok("categories", "category")))
     k = _page_cut(req, F.col("limit"))
     signed = F.when(F.col("order") == "asc", F.col("value")).otherwise(-F.col("value"))
@@ -177,6 +182,32 @@ def assert_valid(stats: DataFrame, requests: DataFrame) -> None:
              "allowed": b["allowed"], "request_id": b["request_id"], "pos": b["pos"]})
 
 
+def check_bounds(requests: DataFrame) -> None:
+    """The limits of a bulk call: 1..25 items; per item a known kind, the limit
+    of its kind, an offset from 0 on, an order of asc or desc.  One aggregate;
+    the first violation by position is raised."""
+    limit, kind = F.col("limit"), F.col("kind")
+    checks = [
+        ("kind", ~kind.isin("timeseries", "ranking", "capabilities"), kind),
+        ("limit", (kind == "timeseries") & ~limit.between(PAGINATION_LIMIT_MIN, PAGINATION_LIMIT_MAX), limit),
+        ("limit", (kind == "ranking") & ~limit.between(RANKING_LIMIT_MIN, RANKING_LIMIT_MAX), limit),
+        ("offset", F.col("offset") < 0, F.col("offset")),
+        ("order", ~F.col("order").isin("asc", "desc"), F.col("order"))]
+    first = F.coalesce(*[F.when(bad, F.struct(F.lit(field).alias("field"), value.cast("string").alias("value")))
+                         for field, bad, value in checks])
+    found = requests.agg(F.count(F.lit(1)).alias("n"), F.min(F.when(first.isNotNull(), F.struct(
+        "pos", "request_id", first.alias("e")))).alias("bad")).first()
+    if not 1 <= found["n"] <= BULK_ITEMS_MAX:
+        raise StatisticsValidationError(f"a bulk call has 1..{BULK_ITEMS_MAX} items, not {found['n']}",
+                                        {"kind": "bounds", "field": "items", "value": found["n"]})
+    if found["bad"] is not None:
+        b = found["bad"]
+        raise StatisticsValidationError(
+            f"item {b['pos']}: {b['e']['field']} is out of bounds: {b['e']['value']}",
+            {"kind": "bounds", "field": b["e"]["field"], "value": b["e"]["value"],
+             "request_id": b["request_id"], "pos": b["pos"]})
+
+
 def normalize_lists(df: DataFrame, column: str, max_token: int) -> DataFrame:
     """Comma separated list -> trimmed, de-duplicated tokens (first seen
     order kept) plus the two request checks: empty token, token too long."""

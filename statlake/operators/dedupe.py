@@ -27,11 +27,3 @@ def keep_last(df: DataFrame, key: list[str], order, keep_order: bool = False) ->
     out = picked.select(*[_c(k) for k in key],
                         *[F.col("__row").getField(c).alias(c) for c in rest])
     return out.select(*[_c(c) for c in df.columns]) if not keep_order else out
-
-
-def keep_last_sql_window(df: DataFrame, key: list[str], order) -> DataFrame:
-    """The same result through ``row_number`` (kept for comparison in tests)."""
-    from pyspark.sql import Window
-    order_col = F.col(order) if isinstance(order, str) else order
-    w = Window.partitionBy(*key).orderBy(order_col.desc())
-    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")

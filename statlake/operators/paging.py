@@ -1,66 +1,33 @@
-"""Ordered pages of a DataFrame, shallow or deep.
+"""Ordered pages of a DataFrame.
 
-A shallow page (``offset + limit`` up to ``DEEP_OFFSET``) is
-``orderBy().offset().limit()``, which Spark plans as
-``TakeOrderedAndProject``: every task keeps ``offset + limit`` rows.
+``ordered_page`` is one declarative plan for every offset: Spark keeps the
+``offset + limit`` first rows per task and merges them
+(``TakeOrderedAndProject``), or sorts by ranges beyond its own
+``topKSortFallbackThreshold``.  Nothing runs while the plan is built.
 
-A deep page would make that single merge task receive ``offset + limit``
-rows from every task, so it is computed from a global sort instead:
-
-1. the rows are range-partitioned and sorted on the order columns and the
-   result is checkpointed to the shared checkpoint folder, which fixes the
-   partition boundaries for the next steps;
-2. one small job counts rows per partition (one number per partition);
-3. only the partitions overlapping ``[offset, offset + limit)`` are read and
-   numbered locally, and the wanted slice is kept.
-
-No task ever holds more than one range partition, whatever the offset.
+The cost of an offset grows with it, as in any engine.  Readers that walk
+through a long result use ``after``: the order columns of the last row seen
+become a filter, so every page costs the same, wherever it is.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from functools import reduce
+from operator import or_
 
-from statlake.session import checkpoint_dir
-
-# Beyond this many rows before the page end, pages come from a global sort.
-DEEP_OFFSET = 10_000
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
-def ordered_page(df: DataFrame, order: list, offset: int, limit: int | None,
-                 deep_offset: int = DEEP_OFFSET) -> DataFrame:
-    offset = int(offset or 0)
-    if limit is None:
-        out = df.orderBy(*order)
-        return out.offset(offset) if offset else out
-    limit = int(limit)
-    if offset + limit <= deep_offset:
-        return df.orderBy(*order).offset(offset).limit(limit)
-    return _deep_page(df, order, offset, limit)
+def ordered_page(df: DataFrame, order: list[str], offset: int, limit: int) -> DataFrame:
+    return df.orderBy(*order).offset(int(offset or 0)).limit(int(limit))
 
 
-def _deep_page(df: DataFrame, order: list, offset: int, limit: int) -> DataFrame:
-    checkpoint_dir(df.sparkSession)  # make sure the shared folder is set
-    cols = [c if isinstance(c, Column) else F.col(c) for c in order]
-    ranked = df.repartitionByRange(*cols).sortWithinPartitions(*cols).checkpoint(eager=True)
-    pid = F.spark_partition_id()
-    counts = sorted((r["pid"], r["n"]) for r in
-                    ranked.groupBy(pid.alias("pid")).agg(F.count(F.lit(1)).alias("n")).collect())
-    wanted, base, start = [], {}, 0
-    for p, n in counts:
-        end = start + n
-        if end > offset and start < offset + limit:
-            wanted.append(p)
-            base[p] = start
-        start = end
-    if not wanted:
-        return ranked.limit(0)
-    # the partition id is taken once, right on the checkpointed partitions
-    tagged = ranked.withColumn("__pid", pid).where(F.col("__pid").isin(wanted))
-    base_col = F.element_at(F.create_map(*[x for p in wanted for x in (F.lit(p), F.lit(base[p]))]),
-                            F.col("__pid"))
-    local = F.row_number().over(Window.partitionBy("__pid").orderBy(*cols))
-    numbered = tagged.withColumn("__rn", base_col + local)
-    return (numbered.where((F.col("__rn") > offset) & (F.col("__rn") <= offset + limit))
-            .orderBy("__rn").drop("__pid", "__rn"))
+def after(df: DataFrame, order: list[str], last: tuple) -> DataFrame:
+    """Rows behind ``last`` (values of the order columns) in ascending order.
+    The first column's bound is also stated alone, so that it reaches the scan."""
+    if len(last) != len(order):
+        raise ValueError(f"need a value for each of {order}")
+    steps = [reduce(lambda a, b: a & b, [*(F.col(c) == F.lit(v) for c, v in zip(order[:k], last)),
+                                         F.col(order[k]) > F.lit(last[k])]) for k in range(len(order))]
+    return df.where(F.col(order[0]) >= F.lit(last[0])).where(reduce(or_, steps))

@@ -8,10 +8,19 @@ row is emptied too.
 Storage without a transactional table format: facts are appended as Parquet
 partitioned by ``indicator/area_type/category/import_run_id``; nothing is
 visible until one small ledger event maps every scope of the import to the
-run id.  Readers keep, per scope, the latest published run and semi-join the
-facts on the partition columns (the scope map is bounded by the number of
-scopes, so it is broadcast and prunes partitions).  A failed run writes no
-``published`` event, so old data stays.
+run id.  Readers keep, per scope, the latest published run.  A failed run
+writes no ``published`` event, so old data stays.
+
+What keeps published rows safe:
+
+* rows outside the declared scopes are counted during the write and refused;
+* files are only dropped for failed runs, and for replaced partitions whose
+  replacement is older than a stated retention; never for open or unknown runs;
+* a folder is empty only if the file system says that it does not exist;
+  every other error of the store is raised;
+* an event's sequence number is above every number in the ledger, so a writer
+  whose clock is late still publishes last; compaction folds only days that
+  have been closed for ``OPEN_DAYS``, and events for folded days are refused.
 """
 
 from __future__ import annotations
@@ -36,16 +45,10 @@ from statlake.schema import (
     STAT_COLUMNS,
     STAT_SCHEMA,
 )
+from statlake.session import scratch_path
 
-# Ledger events as stored (one folder per day) and the listing of compacted states.
+# Ledger events as stored (one folder per day).
 _EVENT_SCHEMA = T.StructType(LEDGER_SCHEMA.fields + [T.StructField("event_day", T.StringType())])
-_STATE_LISTING_SCHEMA = T.StructType([
-    T.StructField("path", T.StringType()),
-    T.StructField("modificationTime", T.TimestampType()),
-    T.StructField("length", T.LongType()),
-    T.StructField("content", T.BinaryType()),
-    T.StructField("upto_seq", T.LongType()),
-])
 
 # binaryFile listing of the fact folder with its partition columns.
 _LISTING_SCHEMA = T.StructType([
@@ -59,19 +62,20 @@ _LISTING_SCHEMA = T.StructType([
     T.StructField("import_run_id", T.StringType()),
 ])
 
-# Scope maps up to this size are pinned as partition filters.
-SNAPSHOT_MAX_SCOPES = 5000
+# Ledger days younger than this many whole days are never folded.
+OPEN_DAYS = 2
+# Replaced partitions are kept this long for readers of older snapshots.
+RETENTION = dt.timedelta(days=7)
 
 
 def scopes_frame(spark: SparkSession, scopes) -> DataFrame:
-    """The (indicator, area_type, category) scopes of a spec: a frame whose
-    size is bounded by the spec, hence safe to broadcast."""
+    """The (indicator, area_type, category) scopes of a spec as a frame."""
     return spark.createDataFrame([tuple(s) for s in scopes], "indicator string, "
                                  "area_type string, category string")
 
 
 def in_scopes(df: DataFrame, scopes: DataFrame) -> DataFrame:
-    return df.join(F.broadcast(scopes), SCOPE, "left_semi")
+    return df.join(scopes, SCOPE, "left_semi")
 
 
 def stale_rows(target: DataFrame, staged: DataFrame, scopes: DataFrame) -> DataFrame:
@@ -92,7 +96,7 @@ def upsert(target: DataFrame, staged: DataFrame) -> DataFrame:
 
 def replace_scopes(target: DataFrame, staged: DataFrame, scopes: DataFrame) -> DataFrame:
     """Upsert + stale delete in one expression (emptied scopes disappear)."""
-    return (target.join(F.broadcast(scopes), SCOPE, "left_anti").select(*STAT_COLUMNS)
+    return (target.join(scopes, SCOPE, "left_anti").select(*STAT_COLUMNS)
             .unionByName(staged.select(*STAT_COLUMNS)))
 
 
@@ -124,67 +128,86 @@ class FactStore:
         self.ledger_path = f"{self.root}/ledger"
         self.state_path = f"{self.root}/ledger_state"
 
+    # -- files
+    def _hadoop(self, path: str):
+        """(file system, path) of the JVM for ``path``."""
+        sc = self.spark.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
+
+    def _exists(self, path: str) -> bool:
+        """Whether ``path`` exists; any error of the storage is raised."""
+        fs, p = self._hadoop(path)
+        return fs.exists(p)
+
     # -- ledger
     def _event(self, run: RunContext, status: str, row_count=None, error=None, scopes=None):
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        folded = self._folded_day()
+        if folded is not None and now.strftime("%Y-%m-%d") <= folded:
+            raise DatasetImportError(
+                f"the clock of this writer ({now:%Y-%m-%d}) is behind the ledger, which is folded "
+                f"up to {folded}")
+        seq = time.time_ns()
+        if status == "published":
+            last = self.runs().agg(F.max("seq")).first()[0]
+            seq = max(seq, (last or 0) + 1)
         row = (run.run_id, run.dataset_id, run.data_version, status, row_count,
-               None if error is None else str(error)[:ERROR_MESSAGE_MAX],
-               dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), time.time_ns(),
+               None if error is None else str(error)[:ERROR_MESSAGE_MAX], now, seq,
                [tuple(s) for s in scopes] if scopes is not None else None)
         # one tiny file per event, in a folder per day; the job commit makes
         # it visible atomically
         (self.spark.createDataFrame([row], LEDGER_SCHEMA)
-         .withColumn("event_day", F.date_format("event_ts", "yyyy-MM-dd"))
+         .withColumn("event_day", F.lit(now.strftime("%Y-%m-%d")))
          .coalesce(1).write.mode("append").partitionBy("event_day").json(self.ledger_path))
 
-    def _exists(self, path: str) -> bool:
-        try:
-            self.spark.read.format("binaryFile").load(path).select("path").take(1)
-            return True
-        except Exception:  # noqa: BLE001 - missing folder
-            return False
-
-    def events(self, since_day: str | None = None) -> DataFrame:
-        """Ledger events (all, or those of days >= ``since_day``, which
-        prunes the day folders)."""
+    def events(self, after_day: str | None = None) -> DataFrame:
+        """Ledger events, all or those of days after ``after_day`` (which prunes
+        the day folders).  A damaged event raises."""
         if not self._exists(self.ledger_path):
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
-        ev = self.spark.read.schema(_EVENT_SCHEMA).json(self.ledger_path)
-        if since_day is not None:
-            ev = ev.where(F.col("event_day") >= F.lit(since_day))
+        ev = self.spark.read.schema(_EVENT_SCHEMA).option("mode", "FAILFAST").json(self.ledger_path)
+        if after_day is not None:
+            ev = ev.where(F.col("event_day") > F.lit(after_day))
         return ev.select(*LEDGER_SCHEMA.fieldNames())
 
-    def _latest_state(self):
-        """(seq, path) of the newest compacted run state, or None."""
+    def _folded_day(self) -> str | None:
+        """The last day that a complete compaction has folded, or None."""
         if not self._exists(self.state_path):
             return None
-        row = (self.spark.read.format("binaryFile").schema(_STATE_LISTING_SCHEMA)
-               .load(self.state_path).agg(F.max("upto_seq").alias("s")).first())
-        if row is None or row["s"] is None:
-            return None
-        return int(row["s"]), f"{self.state_path}/upto_seq={int(row['s'])}"
+        fs, p = self._hadoop(self.state_path)
+        days = [f.getPath().getName().partition("=")[2] for f in fs.listStatus(p)
+                if self._exists(f"{self.state_path}/{f.getPath().getName()}/_SUCCESS")]
+        return max(days, default=None)
 
     def runs(self) -> DataFrame:
-        """Current state per run: the newest compacted state plus the events
-        after it (older day folders are not read)."""
-        latest = self._latest_state()
-        if latest is None:
+        """Current state per run: the newest compacted state plus all events of
+        the days after it (older day folders are not read)."""
+        day = self._folded_day()
+        if day is None:
             return run_state(self.events())
-        seq, path = latest
-        day = (dt.datetime.fromtimestamp(seq / 1e9, dt.timezone.utc)
-               - dt.timedelta(days=1)).strftime("%Y-%m-%d")
-        state = self.spark.read.schema(LEDGER_SCHEMA).parquet(path)
-        newer = self.events(since_day=day).where(F.col("seq") > F.lit(seq))
-        return run_state(state.unionByName(newer))
-
-    def compact_ledger(self) -> int:
-        """Write the current run states as one snapshot; later reads start
-        from it and only scan newer day folders.  Returns the snapshot seq."""
-        state = self.runs()
-        seq = state.agg(F.max("seq").alias("s")).first()["s"]
-        if seq is None:
-            return 0
-        state.write.mode("overwrite").parquet(f"{self.state_path}/upto_seq={int(seq)}")
-        return int(seq)
+        state = self.spark.read.schema(LEDGER_SCHEMA).parquet(f"{self.state_path}/upto_day={day}")
+        return run_state(state.unionByName(self.events(after_day=day)))
+
+    def compact_ledger(self, today: dt.date | None = None) -> str | None:
+        """Fold the events of all days closed for ``OPEN_DAYS`` into one state;
+        later reads start from it.  Returns the last folded day."""
+        today = today or dt.datetime.now(dt.timezone.utc).date()
+        upto = (today - dt.timedelta(days=OPEN_DAYS + 1)).strftime("%Y-%m-%d")
+        before = self._folded_day()
+        if not self._exists(self.ledger_path) or (before is not None and before >= upto):
+            return before
+        closed = (self.spark.read.schema(_EVENT_SCHEMA).option("mode", "FAILFAST").json(self.ledger_path)
+                  .where(F.col("event_day") <= F.lit(upto)))
+        if before is not None:
+            closed = closed.where(F.col("event_day") > F.lit(before))
+        state = closed.select(*LEDGER_SCHEMA.fieldNames())
+        if before is not None:
+            state = state.unionByName(self.spark.read.schema(LEDGER_SCHEMA).parquet(
+                f"{self.state_path}/upto_day={before}"))
+        run_state(state).select(*LEDGER_SCHEMA.fieldNames()).write.mode("overwrite").parquet(
+            f"{self.state_path}/upto_day={upto}")
+        return upto
 
     def current_scopes(self) -> DataFrame:
         """Per scope, the run id of its latest published import."""
@@ -201,76 +224,76 @@ class FactStore:
         return self.spark.read.schema(STAT_SCHEMA).parquet(self.facts_path)
 
     def facts(self) -> DataFrame:
-        """The published fact table (one lazy plan; the scope map is one row
-        per scope, which AQE broadcasts from its measured size and which then
-        drives dynamic partition pruning)."""
+        """The published fact table, as one lazy plan that follows the ledger."""
         return (self.raw_facts()
-                .join(self.current_scopes(),
-                      ["indicator", "area_type", "category", "import_run_id"], "left_semi")
+                .join(self.current_scopes(), [*SCOPE, "import_run_id"], "left_semi")
                 .select(*STAT_COLUMNS))
 
-    def snapshot(self, max_scopes: int = SNAPSHOT_MAX_SCOPES) -> DataFrame:
-        """The published fact table pinned to the current scope map.
-
-        The map (one row per scope) is resolved once and becomes a filter on
-        the partition columns, so every later query prunes partitions at
-        planning time and reads no ledger.  Beyond ``max_scopes`` the lazy
-        semi-join of ``facts`` is used instead."""
-        scopes = self.current_scopes().limit(max_scopes + 1).collect()
-        if len(scopes) > max_scopes:
-            return self.facts()
-        if not scopes:
+    def snapshot(self) -> DataFrame:
+        """The published fact table pinned to the scope map of this moment.
+
+        The map is written once, so later publishes do not change the frame,
+        and its run ids (one per import that still owns a scope) become an
+        ``IN`` filter on the partition column: superseded runs are pruned at
+        planning time, as are other scopes by a query's own filters.  The
+        semi-join decides per scope.  One plan for any number of scopes."""
+        path = scratch_path(self.spark, "scope-map")
+        self.current_scopes().write.parquet(path)
+        pinned = self.spark.read.schema(
+            "indicator string, area_type string, category string, import_run_id string").parquet(path)
+        owners = [r[0] for r in pinned.select("import_run_id").distinct().collect()]
+        if not owners:
             return self.spark.createDataFrame([], STAT_SCHEMA)
-        cond = None
-        for r in scopes:
-            c = ((F.col("indicator") == r["indicator"]) & (F.col("area_type") == r["area_type"])
-                 & (F.col("category") == r["category"])
-                 & (F.col("import_run_id") == r["import_run_id"]))
-            cond = c if cond is None else cond | c
-        return self.raw_facts().where(cond).select(*STAT_COLUMNS)
-
-    def superseded(self) -> DataFrame:
-        """Partitions (scope + run id) that no reader sees any more: replaced
-        by a later run, or written by a run that never published.  They can be
-        dropped by the operator's file-system tooling; reading them costs a
-        partition-value scan only."""
-        present = self.raw_facts().select("indicator", "area_type", "category",
-                                          "import_run_id").distinct()
-        return present.join(self.current_scopes(),
-                            ["indicator", "area_type", "category", "import_run_id"], "left_anti")
-
-    def _drop_folders(self, partitions: DataFrame, dry_run: bool) -> list[str]:
-        """Delete the partition folders of ``partitions`` (scope + run id rows),
-        found from a metadata-only listing (content is never read)."""
-        listing = (self.spark.read.format("binaryFile")
-                   .schema(_LISTING_SCHEMA).load(self.facts_path)
-                   .select("path", "indicator", "area_type", "category", "import_run_id"))
-        gone = listing.join(partitions,
-                            ["indicator", "area_type", "category", "import_run_id"], "left_semi")
-        folders = sorted({r["folder"] for r in gone.select(
-            F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder")).distinct().collect()})
-        if not dry_run:
-            jvm = self.spark.sparkContext._jvm
-            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-            for folder in folders:
-                path = jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(conf).delete(path, True)
-        return folders
-
-    def drop_run_files(self, run: RunContext) -> list[str]:
+        return (self.raw_facts().where(F.col("import_run_id").isin(owners))
+                .join(pinned, [*SCOPE, "import_run_id"], "left_semi").select(*STAT_COLUMNS))
+
+    def _listing(self) -> DataFrame:
+        """One row per file: its folder and partition values; contents are never read."""
+        return (self.spark.read.format("binaryFile").schema(_LISTING_SCHEMA).load(self.facts_path)
+                .select(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder"),
+                        *SCOPE, "import_run_id"))
+
+    def superseded(self, retention: dt.timedelta = RETENTION) -> DataFrame:
+        """Partitions (scope, run id, folder) that may go: those of failed runs,
+        and those whose scope was replaced more than ``retention`` ago.  Runs
+        that are open, and runs the ledger does not know, are never listed."""
+        runs = self.runs().select("run_id", "status", "seq", "event_ts", F.explode_outer("scopes").alias("s"))
+        latest = (runs.where(F.col("status") == "published")
+                  .groupBy(F.col("s.indicator").alias("indicator"), F.col("s.area_type").alias("area_type"),
+                           F.col("s.category").alias("category"))
+                  .agg(F.max_by(F.struct("run_id", "event_ts"), "seq").alias("now")))
+        state = self.runs().select(F.col("run_id").alias("import_run_id"), "status")
+        until = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - retention
+        replaced = ((F.col("status") == "published") & (F.col("now.run_id") != F.col("import_run_id"))
+                    & (F.col("now.event_ts") <= F.to_timestamp(F.lit(until.strftime("%Y-%m-%d %H:%M:%S.%f")))))
+        return (self._listing().distinct().join(state, "import_run_id").join(latest, SCOPE, "left")
+                .where((F.col("status") == "failed") | replaced)
+                .select(*SCOPE, "import_run_id", "folder"))
+
+    def _drop_folders(self, folders: DataFrame, dry_run: bool) -> int:
+        """Delete folders, fetched partition by partition; returns how many there were."""
+        n = 0
+        for r in folders.select("folder").distinct().toLocalIterator(prefetchPartitions=True):
+            n += 1
+            if not dry_run:
+                fs, p = self._hadoop(r["folder"])
+                fs.delete(p, True)
+        return n
+
+    def drop_run_files(self, run: RunContext) -> int:
         """Remove what an unpublished attempt of ``run`` wrote (before a retry
-        under the same run id)."""
+        under the same run id); refused for a published run."""
         if not self._exists(self.facts_path):
-            return []
-        mine = (self.raw_facts().select("indicator", "area_type", "category", "import_run_id")
-                .where(F.col("import_run_id") == F.lit(run.run_id)).distinct())
-        return self._drop_folders(mine, dry_run=False)
+            return 0
+        if self.runs().where((F.col("run_id") == run.run_id) & (F.col("status") == "published")).take(1):
+            raise DatasetImportError(f"run {run.run_id} is published; its files stay")
+        return self._drop_folders(self._listing().where(F.col("import_run_id") == F.lit(run.run_id)), False)
 
-    def drop_superseded(self, dry_run: bool = True) -> list[str]:
-        """Delete the folders of superseded partitions; returns them.  One
-        folder per (scope, run), so the list is bounded by the number of
-        partitions, not by rows.  No published snapshot references them."""
-        return self._drop_folders(self.superseded(), dry_run)
+    def drop_superseded(self, dry_run: bool = True, retention: dt.timedelta = RETENTION) -> int:
+        """Delete the folders that ``superseded`` lists; returns how many."""
+        if not self._exists(self.facts_path):
+            return 0
+        return self._drop_folders(self.superseded(retention), dry_run)
 
     # -- publish
     def begin(self, run: RunContext) -> None:
@@ -283,7 +306,8 @@ class FactStore:
                check_duplicates: bool = False, after_write=()) -> int:
         """Append staged rows under the run id, check them, then commit one
         ledger event for every scope.  Returns the published row count.
-        Raises (and publishes nothing) on zero rows or constraint violations.
+        Raises (and publishes nothing) on zero rows, constraint violations or
+        rows outside the declared scopes.
 
         The checks (row count, NULLs, non-finite values, year range and, if
         no scopes are given, the scopes written) are observed *during* the
@@ -300,7 +324,12 @@ class FactStore:
                    F.count_if(non_finite(F.col("value"))).alias("non_finite_values"),
                    F.count_if(F.col("year").isNotNull() & ~year_in_range(F.col("year")))
                    .alias("years_out_of_range")]
-        if scopes is None:
+        if scopes is not None:
+            mark = F.concat_ws("\x1f", *SCOPE)
+            declared = ["\x1f".join(s) for s in scopes]
+            metrics.append(F.count_if(~mark.isin(declared) if declared else F.lit(True))
+                           .alias("rows_outside_the_scopes"))
+        else:
             # bounded by the number of scopes, not by rows
             metrics.append(F.collect_set(F.struct(*SCOPE)).alias("scopes"))
         # Range-cluster on (scope, year, area) before writing: each task then
@@ -328,8 +357,7 @@ class FactStore:
         written_scopes = check.pop("scopes", None)
         if n == 0:
             raise DatasetImportError(
-                f"ETL import produced zero rows for dataset {run.dataset_id}. "
-                f"Aborting publish to preserve existing data.")
+                f"nothing to publish: dataset {run.dataset_id} gave no row, published rows stay")
         if check_duplicates:
             written = self.raw_facts().where(F.col("import_run_id") == F.lit(run.run_id))
             check["duplicate_keys"] = duplicate_keys(written).count()

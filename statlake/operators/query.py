@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statlake.functions.columns import iso_utc
-from statlake.operators.paging import ordered_page
+from statlake.operators.paging import after, ordered_page
 from statlake.schema import (
     BULK_ITEMS_MAX,
     PAGINATION_LIMIT_DEFAULT,
@@ -84,11 +84,15 @@ def timeseries_filter(stats: DataFrame, indicator: str, area_type: str, areas=No
 
 def timeseries(stats: DataFrame, indicator: str, area_type: str, areas=None, categories=None,
                year_from: int | None = None, year_to: int | None = None,
-               limit: int = PAGINATION_LIMIT_DEFAULT, offset: int = 0) -> DataFrame:
+               limit: int = PAGINATION_LIMIT_DEFAULT, offset: int = 0,
+               last: tuple | None = None) -> DataFrame:
     """Rows (area, year, value, unit, category) of one page, ordered by area,
-    year and (engine tie-break) category."""
+    year and (engine tie-break) category.  ``last``, the (area, year, category)
+    of the row before the page, replaces a deep offset at constant cost."""
     _check_page(limit, offset)
     rows = timeseries_filter(stats, indicator, area_type, areas, categories, year_from, year_to)
+    if last is not None:
+        rows = after(rows, ["area_name", "year", "category"], last)
     return ordered_page(
         rows.select(F.col("area_name").alias("area"), "year", "value", "unit", "category"),
         ["area", "year", "category"], offset, limit)

@@ -53,8 +53,8 @@ def _lineage(run: RunContext) -> list[Column]:
 
 def _year_error(spec: DatasetSpec, raw_value, parsed) -> DatasetImportError:
     return DatasetImportError(
-        f"Invalid yearParser output for dataset {spec.id} ({spec.format_type}): "
-        f"input={raw_value}, output={parsed}, allowedRange={MIN_VALID_YEAR}..{MAX_VALID_YEAR}")
+        f"{spec.id} ({spec.format_type}): the year text {raw_value!r} gives {parsed}, which is no "
+        f"year of {MIN_VALID_YEAR}..{MAX_VALID_YEAR}")
 
 
 def _area(spec: DatasetSpec) -> Column:
@@ -65,15 +65,25 @@ def _area(spec: DatasetSpec) -> Column:
 
 
 def _order_column(df: DataFrame) -> Column:
-    if INGEST_ORDER in df.columns:
-        return F.col(INGEST_ORDER)
-    return F.monotonically_increasing_id()
+    if INGEST_ORDER not in df.columns:
+        raise DatasetImportError(
+            f"rows have no order: read them with ingest order or see with_row_order ({INGEST_ORDER})")
+    return F.col(INGEST_ORDER)
 
 
-def _missing(spec: DatasetSpec, cols: list[str], required: list[str]):
-    missing = [c for c in required if c not in cols]
-    if missing:
-        raise DatasetImportError(f"Missing required columns: {', '.join(missing)}")
+def with_row_order(df: DataFrame, *columns: str) -> DataFrame:
+    """Give a frame that is no file its row order, by columns that decide it."""
+    return df.withColumn(INGEST_ORDER, F.struct(*[raw(c).cast("string") for c in columns]))
+
+
+def _require(have: list[str], wanted: list[tuple[str, tuple[str, ...]]]) -> dict[str, str]:
+    """Which column plays each role: ``wanted`` has (role, names in order of
+    preference).  All roles without a column are reported at once."""
+    found = {role: next((n for n in names if n in have), None) for role, names in wanted}
+    lost = [f"{role} ({' or '.join(names)})" for role, names in wanted if found[role] is None]
+    if lost:
+        raise DatasetImportError(f"no column for: {'; '.join(lost)}; the header has {', '.join(have)}")
+    return found
 
 
 # ------------------------------------------------------------ years as columns
@@ -89,8 +99,7 @@ def _parse_header_year(spec: DatasetSpec, name: str) -> int:
         try:
             return int(name.strip())
         except ValueError as e:
-            raise DatasetImportError(f"Could not convert year column {name!r} to INTEGER "
-                                     f"for dataset {spec.id}") from e
+            raise DatasetImportError(f"{spec.id}: the column name {name!r} is no year") from e
     rx = {"first": r"\d{4}", "leading": r"^\d{4}"}[fmt.year_parser]
     m = re.search(rx, name)
     if not m:
@@ -101,17 +110,30 @@ def _parse_header_year(spec: DatasetSpec, name: str) -> int:
     return year
 
 
+def _parse_header_years(df: DataFrame, spec: DatasetSpec, names: list[str]) -> list[int]:
+    """Years of the header names by the spec's own builder."""
+    rows = df.sparkSession.createDataFrame(list(enumerate(names)), "pos int, name string")
+    parsed = {r["pos"]: r["year"] for r in rows.select(
+        "pos", parse_year("name", spec.format.year_parser).alias("year")).collect()}
+    for pos, name in enumerate(names):
+        if parsed[pos] is None or not MIN_VALID_YEAR <= parsed[pos] <= MAX_VALID_YEAR:
+            raise _year_error(spec, name, "NaN" if parsed[pos] is None else parsed[pos])
+    return [parsed[pos] for pos in range(len(names))]
+
+
 def unpivot_years(df: DataFrame, spec: DatasetSpec, run: RunContext) -> DataFrame:
     """Years-as-columns -> tidy rows, all spec rows in one scan."""
     fmt = spec.format
     assert isinstance(fmt, UnpivotYears)
     cols = [c for c in df.columns if c != INGEST_ORDER]
-    _missing(spec, cols, [fmt.indicator_column] + ([spec.area_column] if spec.area_column else []))
+    _require(cols, [("feature", (fmt.indicator_column,)),
+                    *([("area", (spec.area_column,))] if spec.area_column else [])])
     ycols = year_columns(cols, fmt)
     if not ycols:
-        raise DatasetImportError("No year columns found (expected columns like 1988..2023).")
-    # header names are driver-side metadata: parse and range-check them here
-    years = [_parse_header_year(spec, c) for c in ycols]
+        raise DatasetImportError(f"{spec.id}: no column name matches {fmt.year_pattern}, so there are no years")
+    # header names are metadata: a callable parser sees them in one tiny job
+    years = (_parse_header_years(df, spec, ycols) if callable(fmt.year_parser)
+             else [_parse_header_year(spec, c) for c in ycols])
 
     feature = raw(fmt.indicator_column)
     rows = list(fmt.rows)
@@ -153,15 +175,6 @@ def unpivot_years(df: DataFrame, spec: DatasetSpec, run: RunContext) -> DataFram
 
 # ------------------------------------------------------- categories as columns
 
-def resolve_value_column(col_spec, cols: list[str]) -> str | None:
-    if col_spec.value_column:
-        return col_spec.value_column
-    for cand in col_spec.value_columns:
-        if cand in cols:
-            return cand
-    return None
-
-
 def _year_metrics(spec: DatasetSpec) -> list[Column]:
     fmt = spec.format
     yr = raw(fmt.year_column)
@@ -175,7 +188,7 @@ def _year_metrics(spec: DatasetSpec) -> list[Column]:
 def _raise_year_problems(df: DataFrame, spec: DatasetSpec, metrics: dict) -> None:
     fmt = spec.format
     if not metrics["years_present"]:
-        raise DatasetImportError(f"No year values found in column: {fmt.year_column}")
+        raise DatasetImportError(f"{spec.id}: the year column {fmt.year_column} is empty in every row")
     if metrics.get("years_bad"):
         yr = raw(fmt.year_column)
         parsed = parse_year(yr, fmt.year_parser)
@@ -220,27 +233,19 @@ def unpivot_categories(df: DataFrame, spec: DatasetSpec, run: RunContext,
     fmt = spec.format
     assert isinstance(fmt, UnpivotCategories)
     cols = [c for c in df.columns if c != INGEST_ORDER]
-    required = [fmt.year_column]
-    if spec.area_column:
-        required.append(spec.area_column)
-    if fmt.filter_column:
-        required.append(fmt.filter_column)
-    resolved = [resolve_value_column(c, cols) for c in fmt.columns]
-    required += [r or c.value_column for r, c in zip(resolved, fmt.columns)
-                 if (r or c.value_column) is not None]
-    _missing(spec, cols, required)
-    alternatives = [f"[{' | '.join(c.value_columns)}] for {c.category.slug}"
-                    for r, c in zip(resolved, fmt.columns)
-                    if c.value is None and not c.value_column and c.value_columns and r is None]
-    if alternatives:
-        raise DatasetImportError(f"Missing required columns: {', '.join(alternatives)}")
+    sources = [(f"category {c.category.slug}", (c.value_column,) if c.value_column else c.value_columns)
+               for c in fmt.columns if c.value_column or (c.value is None and c.value_columns)]
+    found = _require(cols, [
+        ("year", (fmt.year_column,)),
+        *([("area", (spec.area_column,))] if spec.area_column else []),
+        *([("feature", (fmt.filter_column,))] if fmt.filter_column else []), *sources])
     if validate_years:
         check_years(df, spec)
 
     planned = spec.planned_categories()
     entries = []
-    for (indicator, unit, slug), c, col_name in zip(planned, fmt.columns, resolved):
-        expr = c.value() if c.value is not None else raw(col_name)
+    for (indicator, unit, slug), c in zip(planned, fmt.columns):
+        expr = c.value() if c.value is not None else raw(found[f"category {c.category.slug}"])
         entries.append(F.struct(F.lit(indicator).alias("indicator"), F.lit(unit).alias("unit"),
                                 F.lit(slug).alias("category"),
                                 expr.cast("string").alias("text")))
@@ -291,4 +296,4 @@ def import_counts(staged: DataFrame) -> DataFrame:
 
 __all__ = ["RunContext", "DatasetImportError", "year_columns", "unpivot_years",
            "unpivot_categories", "check_years", "observe_years", "to_tidy", "to_tidy_deferred",
-           "import_counts", "resolve_value_column"]
+           "import_counts", "with_row_order"]

@@ -12,10 +12,10 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from statlake.functions.columns import (
-    NUMBER_PATTERN,
     computed_total,
     decimal_comma,
     iso_utc,
@@ -26,7 +26,8 @@ from statlake.operators import bulk as B
 from statlake.operators import publish as P
 from statlake.operators import quality as Q
 from statlake.operators.dedupe import keep_last
-from statlake.operators.reshape import RunContext, import_counts, to_tidy
+from statlake.operators import query as q
+from statlake.operators.reshape import RunContext, import_counts, to_tidy, with_row_order
 from statlake.plans.derived import PRIORITIES, stats, table, wide_categories, wide_years, year_range
 from statlake.plans.importer import stage, stage_many
 from statlake.plans.oracle import with_stats
@@ -42,9 +43,9 @@ from statlake.plans.spec import (
 )
 from statlake.schema import KEY, QUERY_AREA_MAX, REQUIRED
 from statlake.session import scratch_path
-from statlake.sources.catalog import match_catalog
+from statlake.sources.catalog import match_catalog, resource_urls
 from statlake.sources.csv import write_delimited, write_text_table
-from statlake.sources.files import changed_sources, file_versions
+from statlake.sources.files import changed_sources, file_versions, version_text
 
 CORE = REQUIRED  # indicator, area_type, area_name, year, value, unit, category
 CORE_SQL = "indicator, area_type, area_name, year, value, unit, category"
@@ -104,9 +105,17 @@ def _wide_years(spark, sf_dir):
     return wide_years(spark, sf_dir, stats_df=s)
 
 
+def _ordered_years(spark, sf_dir):
+    return with_row_order(_wide_years(spark, sf_dir), "Merkmal", "Stadtteil")
+
+
+def _ordered_categories(spark, sf_dir):
+    return with_row_order(wide_categories(spark, sf_dir), "Stadtteil", "Jahr")
+
+
 @register("unpivot_years", with_stats(YEARS_SQL))
 def unpivot_years_check(spark, sf_dir):
-    wide = _wide_years(spark, sf_dir)
+    wide = _ordered_years(spark, sf_dir)
     return core(to_tidy(wide, YEARS_SPEC, fixed_run(YEARS_SPEC.id)))
 
 
@@ -127,12 +136,12 @@ def unpivot_default_area(spark, sf_dir):
         area_type="world", default_area_name="WORLD",
         format=UnpivotYears(indicator_column="Merkmal", rows=tuple(
             YearRow(p, "order_count", "orders", Category(p)) for p in PRIORITIES)))
-    return core(to_tidy(wide, spec, fixed_run(spec.id)))
+    return core(to_tidy(with_row_order(wide, "Merkmal"), spec, fixed_run(spec.id)))
 
 
 @register("unpivot_categories", with_stats(CATEGORIES_SQL))
 def unpivot_categories_check(spark, sf_dir):
-    wide = wide_categories(spark, sf_dir)
+    wide = _ordered_categories(spark, sf_dir)
     return core(to_tidy(wide, CATEGORIES_SPEC, fixed_run(CATEGORIES_SPEC.id)))
 
 
@@ -153,12 +162,12 @@ def computed_total_check(spark, sf_dir):
             columns=(CategoryColumn(Category("total"), value=lambda: computed_total(PRIORITIES)),
                      CategoryColumn(Category("total"), indicator="order_count_lenient",
                                     value=lambda: computed_total(PRIORITIES, lenient=True)))))
-    return core(to_tidy(wide_categories(spark, sf_dir), spec, fixed_run(spec.id)))
+    return core(to_tidy(_ordered_categories(spark, sf_dir), spec, fixed_run(spec.id)))
 
 
 @register("trim_area", with_stats(YEARS_SQL))
 def trim_area(spark, sf_dir):
-    wide = _wide_years(spark, sf_dir)
+    wide = _ordered_years(spark, sf_dir)
     padded = wide.withColumn("Stadtteil", F.concat(F.lit("  "), "Stadtteil", F.lit(" ")))
     spec = DatasetSpec(id=YEARS_SPEC.id, url=YEARS_SPEC.url, csv_filename=YEARS_SPEC.csv_filename,
                        area_type="customer", area_column="Stadtteil", area_expression=F.trim,
@@ -266,24 +275,94 @@ SELECT {CORE_SQL}, 'customer_orders_by_year' AS source_dataset,
 FROM ({YEARS_SQL})
 """))
 def lineage(spark, sf_dir):
-    out = to_tidy(_wide_years(spark, sf_dir), YEARS_SPEC, fixed_run(YEARS_SPEC.id))
+    out = to_tidy(_ordered_years(spark, sf_dir), YEARS_SPEC, fixed_run(YEARS_SPEC.id))
     return out.select(*CORE, "source_dataset", "import_run_id",
                       iso_utc("loaded_at").alias("loaded_at"), "data_version")
 
 
-@register("file_versions")
+@register("file_versions", """
+SELECT page_id, 'size:' || CAST(strlen(html) AS VARCHAR) || ';mtimeMs:' || CAST(page_id * 1000 AS VARCHAR)
+         AS data_version, 0 AS listed_wrong
+FROM pages""")
 def file_versions_check(spark, sf_dir):
-    """Rows only: size / mtime of the part files written from wide_years."""
+    """Version texts of pages as if each were a file, next to the number of really
+    written part files whose version is not their own size and time."""
     path = write_delimited(_wide_years(spark, sf_dir), scratch_path(spark, "versions"))
-    return file_versions(spark, path, "*.csv").select("size", "mtime_ms", "data_version")
+    listed = file_versions(spark, path, "*.csv")
+    parts = F.regexp_extract_all("data_version", F.lit(r"(\d+)"), F.lit(1))
+    wrong = listed.agg(F.count_if(
+        ~F.col("data_version").rlike(r"^size:\d+;mtimeMs:\d+$") | (parts[0].cast("long") != F.col("size"))
+        | (parts[1].cast("long") != F.col("mtime_ms")) | (F.col("size") <= 0)).cast("int").alias("n"))
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", F.octet_length("html").alias("size"), (F.col("page_id") * 1000).alias("mtime_ms"))
+    return pages.select("page_id", version_text("size", "mtime_ms").alias("data_version"),
+                        wrong.scalar().alias("listed_wrong"))
+
+
+def _numbered(areas, order):
+    return areas.select("area", F.row_number().over(Window.orderBy(order)).alias("position"))
+
+
+@register("areas_unicode_order", with_stats("""
+SELECT area, CAST(row_number() OVER (ORDER BY lower(area), area) AS INTEGER) AS position
+FROM (SELECT DISTINCT area FROM (
+  SELECT area_name AS area FROM stats WHERE indicator = 'order_count' AND area_type = 'customer'
+  ORDER BY area_name, year, category LIMIT 500 OFFSET 50))"""))
+def areas_unicode_order(spark, sf_dir):
+    """The areas of one page in locale order, with their positions (a page has at most 500 rows)."""
+    page = q.timeseries(stats(spark, sf_dir), "order_count", "customer", limit=500, offset=50)
+    return _numbered(q.page_areas(page, "UNICODE"), F.collate(F.col("area"), "UNICODE"))
 
 
-@register("areas_unicode_order")
-def areas_unicode_order(spark, sf_dir):
-    """Rows only: area names in locale (UNICODE collation) order."""
-    s = stats(spark, sf_dir)
-    return (s.select("area_name").distinct()
-            .orderBy(F.collate(F.col("area_name"), "UNICODE")))
+@register("timeseries_page_areas", with_stats("""
+SELECT DISTINCT area FROM (
+  SELECT area_name AS area FROM stats WHERE indicator = 'order_count' AND area_type = 'customer' AND year >= 1997
+  ORDER BY area_name, year, category LIMIT 500 OFFSET 1000)"""))
+def timeseries_page_areas(spark, sf_dir):
+    return q.page_areas(q.timeseries(stats(spark, sf_dir), "order_count", "customer", year_from=1997,
+                                     limit=500, offset=1000))
+
+
+@register("import_duplicate_rows", with_stats("""
+SELECT 'order_count' AS indicator, 'customer' AS area_type, area_name, year, value + 1 AS value,
+       'orders' AS unit, 'total' AS category
+FROM stats WHERE indicator = 'order_count' AND area_type = 'customer' AND category = 'total'
+"""))
+def import_duplicate_rows(spark, sf_dir):
+    """A file that repeats every (area, year) three times; its last row decides."""
+    s = stats(spark, sf_dir).where("indicator = 'order_count' AND area_type = 'customer' AND category = 'total'")
+    rows = s.select(F.lit("Auftraege").alias("Merkmal"), F.col("year").cast("string").alias("Jahr"),
+                    F.col("area_name").alias("Stadtteil"), F.explode(F.array(F.lit(3), F.lit(7), F.lit(1))).alias("add"),
+                    F.col("value").cast("long").alias("v"))
+    lines = rows.select("Merkmal", "Jahr", "Stadtteil", (F.col("v") + F.col("add")).cast("string").alias("insgesamt"))
+    path = write_text_table(lines, scratch_path(spark, "repeated"), lines.columns)
+    spec = DatasetSpec(
+        id="customer_orders_repeated", url="file:///r.csv", csv_filename="r.csv", area_type="customer",
+        area_column="Stadtteil", format=UnpivotCategories(
+            year_column="Jahr", year_parser="first", keep_last=True, filter_column="Merkmal",
+            filter_value="Auftraege", indicator="order_count", unit="orders",
+            columns=(CategoryColumn(Category("total"), value_column="insgesamt"),)))
+    staged, _ = stage(spark, spec, path, fixed_run(spec.id))
+    return core(staged)
+
+
+DIRTY_A_SQL = """CASE l_linenumber % 7 WHEN 0 THEN '12d' WHEN 1 THEN 'nan' WHEN 2 THEN NULL WHEN 3 THEN ' 5 '
+  WHEN 4 THEN '1e2' WHEN 5 THEN '' ELSE CAST(l_linenumber AS VARCHAR) END"""
+
+
+@register("computed_total_dirty", f"""
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN regexp_full_match(a, '[ ]*[-+]?[0-9]+(\\.[0-9]*)?(e[0-9]+)?[ ]*') THEN CAST(trim(a) AS DOUBLE) ELSE 0 END
+         + l_linenumber AS total
+FROM (SELECT l_orderkey, l_linenumber, {DIRTY_A_SQL} AS a FROM lineitem)
+""")
+def computed_total_dirty(spark, sf_dir):
+    k = F.col("l_linenumber") % 7
+    a = (F.when(k == 0, "12d").when(k == 1, "nan").when(k == 3, " 5 ").when(k == 4, "1e2").when(k == 5, "")
+         .when(k == 6, F.col("l_linenumber").cast("string")))
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", a.alias("a"),
+                                                   F.col("l_linenumber").cast("string").alias("b"))
+    return rows.select("l_orderkey", "l_linenumber", computed_total(["a", "b"], lenient=True).alias("total"))
 
 
 # ------------------------------------------------------- parsing / numbers
@@ -315,7 +394,7 @@ CASE WHEN l_linenumber = 7 THEN 'x'
 @register("lenient_numeric", f"""
 SELECT count(v) AS n_valid, count(*) - count(v) AS n_invalid,
        CAST(sum(CAST(v AS DECIMAL(18,2))) AS DOUBLE) AS sum_value
-FROM (SELECT CASE WHEN regexp_matches(replace(t, ',', '.'), '{NUMBER_PATTERN}')
+FROM (SELECT CASE WHEN regexp_full_match(replace(t, ',', '.'), '[ ]*[0-9]+([.][0-9]+)?[ ]*')
                   THEN TRY_CAST(replace(t, ',', '.') AS DOUBLE) END AS v
       FROM (SELECT {LENIENT_TEXT_SQL} AS t FROM lineitem))
 """)
@@ -528,6 +607,22 @@ def publish_store(spark, sf_dir):
     return core(store.facts())
 
 
+@register("store_snapshot", PUBLISH_SQL)
+def store_snapshot(spark, sf_dir):
+    """Two publishes read through a pinned snapshot; a third publish after it is not seen."""
+    s, staged, scopes = _publish_inputs(spark, sf_dir)
+    store = P.FactStore(spark, scratch_path(spark, "store"))
+    for name, rows, owned in (("stats_initial", s, None), ("customer_orders", staged, PUBLISH_SCOPES)):
+        run = RunContext(dataset_id=name, data_version="v")
+        store.begin(run)
+        store.commit(rows, run, owned)
+    snapshot = store.snapshot()
+    later = RunContext(dataset_id="customer_orders", data_version="v3")
+    store.begin(later)
+    store.commit(P.in_scopes(s, scopes), later, PUBLISH_SCOPES)
+    return core(snapshot)
+
+
 @register("import_counts", with_stats("""
 SELECT indicator, area_type, category, count(*) AS imported FROM staged
 GROUP BY indicator, area_type, category""", STAGED_SQL))
@@ -685,6 +780,58 @@ def bulk_ranking(spark, sf_dir):
     return B.bulk_ranking(stats(spark, sf_dir), _ranking_requests(spark, sf_dir))
 
 
+def _customer_requests(spark, sf_dir):
+    """Per nation one request over all customers, with deep offsets."""
+    n = table(spark, sf_dir, "nation")
+    k = F.col("n_nationkey").cast("int")
+    none = F.lit(None)
+
+    def given(text):   # a value of the row, as in a request table, not a constant of the plan
+        return F.when(k >= 0, F.lit(text))
+
+    return n.select(k.cast("long").alias("request_id"), k.alias("pos"), F.lit("timeseries").alias("kind"),
+                    given("order_count").alias("indicator"), given("customer").alias("area_type"),
+                    none.cast("array<string>").alias("areas"), F.array(F.lit("total")).alias("categories"),
+                    (k % 4 + 1995).alias("year_from"), none.cast("int").alias("year_to"),
+                    none.cast("int").alias("year"), F.lit(20).alias("limit"), (k * 100).alias("offset"),
+                    none.cast("string").alias("order"))
+
+
+@register("bulk_timeseries_deep", with_stats("""
+SELECT r.request_id, r.pos, m.area_name AS area, m.year, m.value, m.unit, m.category, m.rn,
+       coalesce(t.total, 0) AS total, r."limit", r."offset"
+FROM req r
+LEFT JOIN (SELECT * FROM matched WHERE rn > "offset" AND rn <= "offset" + 20) m ON m.request_id = r.request_id
+LEFT JOIN (SELECT request_id, count(*) AS total FROM matched GROUP BY request_id) t ON t.request_id = r.request_id
+""", """
+req AS (SELECT CAST(n_nationkey AS BIGINT) AS request_id, CAST(n_nationkey AS INTEGER) AS pos,
+               CAST(n_nationkey % 4 + 1995 AS INTEGER) AS year_from, 20 AS "limit",
+               CAST(n_nationkey * 100 AS INTEGER) AS "offset" FROM nation),
+matched AS (
+  SELECT r.request_id, s.area_name, s.year, s.value, s.unit, s.category, r."offset",
+         row_number() OVER (PARTITION BY r.request_id ORDER BY s.area_name, s.year, s.category) AS rn
+  FROM req r JOIN stats s ON s.indicator = 'order_count' AND s.area_type = 'customer' AND s.category = 'total'
+    AND s.year >= r.year_from)"""))
+def bulk_timeseries_deep(spark, sf_dir):
+    return B.bulk_timeseries(stats(spark, sf_dir), _customer_requests(spark, sf_dir))
+
+
+@register("bulk_capabilities", with_stats("""
+SELECT CAST(n_nationkey AS BIGINT) AS request_id, CAST(n_nationkey AS INTEGER) AS pos,
+       (SELECT string_agg(DISTINCT area_type, ',' ORDER BY area_type) FROM stats) AS area_types,
+       (SELECT string_agg(DISTINCT indicator, ',' ORDER BY indicator) FROM stats) AS indicators,
+       (SELECT string_agg(DISTINCT CAST(year AS VARCHAR), ',' ORDER BY CAST(year AS VARCHAR)) FROM stats) AS years,
+       25 AS bulk_max_items, 500 AS page_max, 100 AS ranking_max
+FROM nation WHERE n_nationkey % 2 = 0"""))
+def bulk_capabilities(spark, sf_dir):
+    requests = _customer_requests(spark, sf_dir).withColumn("kind", F.when(
+        F.col("request_id") % 2 == 0, "capabilities").otherwise("timeseries"))
+    out = B.bulk_capabilities(stats(spark, sf_dir), requests)
+    text = [F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c)
+            for c in ("area_types", "indicators", "years")]
+    return out.select("request_id", "pos", *text, "bulk_max_items", "page_max", "ranking_max")
+
+
 def _mixed_requests(spark, sf_dir):
     """One request per nation with a defect chosen by key % 5: unknown
     indicator, unknown area type, unknown categories, from > to, or none."""
@@ -766,13 +913,13 @@ def bulk_invalid(spark, sf_dir):
     return _invalid(spark, sf_dir).orderBy("pos").limit(1)
 
 
-LIST_TEXT_SQL = ("o_orderpriority || ' , ' || o_orderstatus || ',' || o_orderpriority || "
+LIST_TEXT_SQL = ("o_orderpriority || chr(9) || ', ' || chr(10) || chr(13) || o_orderstatus || ',' || o_orderpriority || "
                  "CASE WHEN o_orderkey % 4 = 0 THEN ',,' ELSE '' END")
 
 
 @register("normalize_lists", f"""
 WITH src AS (SELECT o_orderkey AS k, {LIST_TEXT_SQL} AS s FROM orders),
-tok AS (SELECT k, trim(unnest(string_split(s, ','))) AS t,
+tok AS (SELECT k, trim(unnest(string_split(s, ',')), ' ' || chr(9) || chr(10) || chr(13)) AS t,
                generate_subscripts(string_split(s, ','), 1) AS i FROM src),
 firsts AS (SELECT k, t, min(i) AS i FROM tok GROUP BY k, t)
 SELECT f.k AS o_orderkey, f.list AS areas_list, e.has_empty AS areas_has_empty,
@@ -783,7 +930,7 @@ JOIN (SELECT k, bool_or(t = '') AS has_empty, max(length(t)) > {QUERY_AREA_MAX}
 """)
 def normalize_lists(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    text = F.concat(F.col("o_orderpriority"), F.lit(" , "), F.col("o_orderstatus"), F.lit(","),
+    text = F.concat(F.col("o_orderpriority"), F.lit("\t, \n\r"), F.col("o_orderstatus"), F.lit(","),
                     F.col("o_orderpriority"),
                     F.when(F.col("o_orderkey") % 4 == 0, F.lit(",,")).otherwise(F.lit("")))
     out = B.normalize_lists(o.select("o_orderkey", text.alias("areas")), "areas", QUERY_AREA_MAX)
@@ -869,3 +1016,21 @@ def catalog_match(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     resources = pages.select(F.col("page_id").alias("pos"), "url")
     return match_catalog(resources, _catalog_targets(spark, sf_dir))
+
+
+@register("catalog_parse", """
+SELECT page_id AS pos, url FROM pages WHERE page_id % 3 = 0
+UNION ALL SELECT page_id, url || '/x' FROM pages WHERE page_id % 3 = 0
+UNION ALL SELECT page_id, url FROM pages WHERE page_id % 3 = 1
+""")
+def catalog_parse(spark, sf_dir):
+    """Pages as catalogue entries: two resources; a numeric url with a nested text
+    one; a url that is text next to one that is none.  Only text urls count."""
+    pages = table(spark, sf_dir, "pages")
+    text = lambda u: F.to_json(F.struct(u.alias("url"), F.lit("csv").alias("format")))
+    number = F.to_json(F.struct(F.lit(5).alias("url"), F.struct(F.col("url")).alias("m")))
+    k = F.col("page_id") % 3
+    resources = (F.when(k == 0, F.array(text(F.col("url")), text(F.concat("url", F.lit("/x")))))
+                 .when(k == 1, F.array(number, text(F.col("url")), F.lit('{"format": "none"}')))
+                 .otherwise(F.array(number, F.lit('{"url": null}'), F.lit("not json"))))
+    return resource_urls(pages.select(F.col("page_id").alias("pos"), resources.alias("resources")))

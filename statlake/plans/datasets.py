@@ -29,10 +29,50 @@ SOURCE_BASE = "file:///landing/statistics"
 DATE_HEADER = r"^\d{2}\.\d{2}\.\d{4}$"
 YEAR_WITH_SUFFIX = r"^\d{4}(?:_\d+)?$"
 
-# Lower bounds of the district age bands (last band open).
-DISTRICT_AGE_BOUNDS = [0, 3, 6, 10, 12, 15, 18, 21, 25, 30, 35, 40, 45, 50, 55, 60, 65, 70, 75, 80]
-# Lower bounds of the subdistrict five-year age bands (last band open).
-SUBDISTRICT_AGE_BOUNDS = [0, 5, 10, 15, 20, 25, 30, 35, 40, 45, 50, 55, 60, 65, 70, 75, 80, 85]
+# District age bands (column, slug).
+DISTRICT_AGES = [
+    ("0 bis unter 3", "age_0_2"),
+    ("3 bis unter 6", "age_3_5"),
+    ("6 bis unter 10", "age_6_9"),
+    ("10 bis unter 12", "age_10_11"),
+    ("12 bis unter 15", "age_12_14"),
+    ("15 bis unter 18", "age_15_17"),
+    ("18 bis unter 21", "age_18_20"),
+    ("21 bis unter 25", "age_21_24"),
+    ("25 bis unter 30", "age_25_29"),
+    ("30 bis unter 35", "age_30_34"),
+    ("35 bis unter 40", "age_35_39"),
+    ("40 bis unter 45", "age_40_44"),
+    ("45 bis unter 50", "age_45_49"),
+    ("50 bis unter 55", "age_50_54"),
+    ("55 bis unter 60", "age_55_59"),
+    ("60 bis unter 65", "age_60_64"),
+    ("65 bis unter 70", "age_65_69"),
+    ("70 bis unter 75", "age_70_74"),
+    ("75 bis unter 80", "age_75_79"),
+    ("80 und aelter", "age_80_plus"),
+]
+# Subdistrict age bands (column, slug).
+SUBDISTRICT_AGES = [
+    ("0-<5", "age_0_4"),
+    ("5-<10", "age_5_9"),
+    ("10-<15", "age_10_14"),
+    ("15-<20", "age_15_19"),
+    ("20-<25", "age_20_24"),
+    ("25-<30", "age_25_29"),
+    ("30-<35", "age_30_34"),
+    ("35-<40", "age_35_39"),
+    ("40-<45", "age_40_44"),
+    ("45-<50", "age_45_49"),
+    ("50-<55", "age_50_54"),
+    ("55-<60", "age_55_59"),
+    ("60-<65", "age_60_64"),
+    ("65-<70", "age_65_69"),
+    ("70-<75", "age_70_74"),
+    ("75-<80", "age_75_79"),
+    ("80-<85", "age_80_84"),
+    ("85 und Aelter", "age_85_plus"),
+]
 
 # Marital status, household types, religion, nationalities (column -> slug).
 MARITAL = [("ledig", "single"), ("verheiratet", "married"), ("verwitwet", "widowed"),
@@ -51,24 +91,6 @@ NATIONALITIES = [("Tuerkei", "turkey"), ("Polen", "poland"), ("Irak", "iraq"),
 MALE_ALTERNATIVES = ("männlich", "mÃ¤nnlich", "m�nnlich", "maennlich")
 
 
-def district_age_bands():
-    """(column, slug): ``0 bis unter 3`` -> ``age_0_2`` … ``80 und aelter`` -> ``age_80_plus``."""
-    out = []
-    for lo, hi in zip(DISTRICT_AGE_BOUNDS, DISTRICT_AGE_BOUNDS[1:]):
-        out.append((f"{lo} bis unter {hi}", f"age_{lo}_{hi - 1}"))
-    last = DISTRICT_AGE_BOUNDS[-1]
-    return out + [(f"{last} und aelter", f"age_{last}_plus")]
-
-
-def subdistrict_age_bands():
-    """(column, slug): ``0-<5`` -> ``age_0_4`` … ``85 und Aelter`` -> ``age_85_plus``."""
-    out = []
-    for lo, hi in zip(SUBDISTRICT_AGE_BOUNDS, SUBDISTRICT_AGE_BOUNDS[1:]):
-        out.append((f"{lo}-<{hi}", f"age_{lo}_{hi - 1}"))
-    last = SUBDISTRICT_AGE_BOUNDS[-1]
-    return out + [(f"{last} und Aelter", f"age_{last}_plus")]
-
-
 def _lenient(name):
     return lambda: F.coalesce(parse_number(F.col(f"`{name}`")), F.lit(0.0))
 
@@ -131,7 +153,7 @@ DISTRICTS_GENDER = _spec(
 
 DISTRICTS_FOREIGN_AGE_GROUPS = _spec(
     "districts_foreign_age_groups", "district", "Stadtteil",
-    UnpivotCategories("Datum", _columns(district_age_bands(), total=True, lenient=True),
+    UnpivotCategories("Datum", _columns(DISTRICT_AGES, total=True, lenient=True),
                       year_parser="first", filter_column="Merkmal",
                       filter_value="Einwohner nach Altersgruppen",
                       indicator="foreign_age_groups", unit="persons"),
@@ -157,7 +179,7 @@ DISTRICTS_FOREIGN_NATIONALITIES_SELECTED = _spec(
 
 DISTRICTS_AGE_GROUPS = _spec(
     "districts_age_groups", "district", "Stadtteil",
-    UnpivotCategories("Datum", _columns(district_age_bands(), total=True), year_parser="first",
+    UnpivotCategories("Datum", _columns(DISTRICT_AGES, total=True), year_parser="first",
                       filter_column="Merkmal", filter_value="Einwohner nach Altersgruppen",
                       indicator="age_groups", unit="persons"))
 
@@ -198,7 +220,7 @@ POSTAL_CODES_POPULATION = _spec(
     "postal_codes_population", "postal_code", "PLZ-Bereich",
     UnpivotYears("Merkmal", _years_row("Jahr", "population", "persons", thousands_dot)),
     trim=True,
-    csv=CsvOptions(quote='"', escape='"', strict=False, null_padding=True),
+    csv=CsvOptions(quote='"', escape='"', strict=False),
     column_aliases={"PLZ-Bereich": ("PLZ-\nBereich", "PLZ- Bereich", "PLZ Bereich")})
 
 SUBDISTRICTS_POPULATION = _spec(
@@ -209,7 +231,7 @@ SUBDISTRICTS_POPULATION = _spec(
 
 SUBDISTRICTS_AGE_GROUPS = _spec(
     "subdistricts_age_groups", "subdistrict", "Ortsteil",
-    UnpivotCategories("Datum", _columns(subdistrict_age_bands(), total=True),
+    UnpivotCategories("Datum", _columns(SUBDISTRICT_AGES, total=True),
                       year_parser="first", keep_last=True, filter_column="Merkmal",
                       filter_value="Einwohner nach Altersgruppen", indicator="age_groups",
                       unit="persons"),

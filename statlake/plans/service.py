@@ -38,14 +38,14 @@ def _check_area_type(stats: DataFrame, area_type: str) -> None:
 
 def get_timeseries(stats, indicator, area_type, areas, categories=None, year_from=None,
                    year_to=None, limit=50, offset=0):
-    """(rows page, page meta) after validation."""
+    """(rows page, page meta, areas of the page) after validation."""
     _validate(stats, indicator=indicator, area_type=area_type, categories=categories,
               year_from=year_from, year_to=year_to)
     page = q.timeseries(stats, indicator, area_type, areas, categories, year_from, year_to,
                         limit, offset)
     meta = q.timeseries_meta(stats, indicator, area_type, areas, categories, year_from,
                              year_to, limit, offset)
-    return page, meta
+    return page, meta, q.page_areas(page)
 
 
 def get_ranking(stats, indicator, area_type, year, categories=None, areas=None, limit=50,
@@ -93,7 +93,9 @@ def get_indicator_meta(stats, indicator, collation=None):
 
 def execute_bulk(stats, requests: DataFrame) -> dict[str, DataFrame]:
     """All items answered together; the first invalid item (lowest
-    position) fails the whole request, as in the reference."""
+    position) fails the whole request, as in the reference: bounds first, then
+    the domains."""
+    B.check_bounds(requests)
     B.assert_valid(stats, requests)
     return {
         "timeseries": B.bulk_timeseries(stats, requests),

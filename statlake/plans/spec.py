@@ -18,11 +18,19 @@ from statlake.functions.columns import YEAR_PARSERS
 
 DEFAULT_YEAR_PATTERN = r"^\d{4}$"
 
+#: A named parser, a builder from the raw text's column to the year's, or none.
+YearParser = str | Callable[[Column], Column] | None
+
 
 class SpecError(ValueError):
     pass
 
 
+def _check_year_parser(parser: YearParser) -> None:
+    if parser is not None and not callable(parser) and parser not in YEAR_PARSERS:
+        raise SpecError(f"unknown year parser {parser}")
+
+
 @dataclass(frozen=True)
 class Category:
     slug: str
@@ -46,11 +54,10 @@ class UnpivotYears:
     indicator_column: str
     rows: tuple[YearRow, ...]
     year_pattern: str = DEFAULT_YEAR_PATTERN
-    year_parser: str | None = None
+    year_parser: YearParser = None
 
     def __post_init__(self):
-        if self.year_parser is not None and self.year_parser not in YEAR_PARSERS:
-            raise SpecError(f"unknown year parser {self.year_parser}")
+        _check_year_parser(self.year_parser)
         if not self.rows:
             raise SpecError("unpivot_years needs at least one row")
 
@@ -76,7 +83,7 @@ class CategoryColumn:
 class UnpivotCategories:
     year_column: str
     columns: tuple[CategoryColumn, ...]
-    year_parser: str | None = None
+    year_parser: YearParser = None
     keep_last: bool = False
     indicator: str | None = None
     unit: str | None = None
@@ -86,8 +93,7 @@ class UnpivotCategories:
     def __post_init__(self):
         if (self.filter_column is None) != (self.filter_value is None):
             raise SpecError("filter_column and filter_value go together")
-        if self.year_parser is not None and self.year_parser not in YEAR_PARSERS:
-            raise SpecError(f"unknown year parser {self.year_parser}")
+        _check_year_parser(self.year_parser)
         if not self.columns:
             raise SpecError("unpivot_categories needs at least one column")
 
@@ -99,7 +105,6 @@ class CsvOptions:
     strict: bool | None = None
     quote: str | None = None
     escape: str | None = None
-    null_padding: bool | None = None
 
     def encodings(self) -> list[str | None]:
         """Declared encoding first, then each fallback, without repeats."""
@@ -132,10 +137,9 @@ class DatasetSpec:
         if not self.csv_filename.strip():
             raise SpecError(f"dataset {self.id} has an empty csv file name")
         if len(self.delimiter) != 1:
-            raise SpecError(f"Dataset {self.id} has invalid csvDelimiter: {self.delimiter} "
-                            f"(expected single character)")
+            raise SpecError(f"{self.id}: the delimiter must be one character, not {self.delimiter!r}")
         if self.area_column is None and self.default_area_name is None:
-            raise SpecError(f"Dataset {self.id} requires either areaColumn or defaultAreaName")
+            raise SpecError(f"{self.id}: name an area column or give a default area name")
 
     @property
     def format_type(self) -> str:
@@ -151,8 +155,7 @@ class DatasetSpec:
             indicator = c.indicator or fmt.indicator
             unit = c.unit or fmt.unit
             if not indicator or not unit:
-                raise SpecError(f"Dataset {self.id} requires indicator and unit for "
-                                f"unpivot_categories column {c.category.slug}")
+                raise SpecError(f"{self.id}: category {c.category.slug} has no indicator or no unit")
             out.append((indicator, unit, c.category.slug))
         return out
 
@@ -170,7 +173,7 @@ def index_specs(specs) -> dict[str, DatasetSpec]:
     out: dict[str, DatasetSpec] = {}
     for s in specs:
         if s.id in out:
-            raise SpecError(f"Duplicate dataset id in manifest: {s.id}")
+            raise SpecError(f"two specs have the id {s.id}")
         out[s.id] = s
     return out
 
@@ -181,5 +184,5 @@ def resolve_specs(specs, dataset_id: str | None = None) -> list[DatasetSpec]:
     if dataset_id is None or dataset_id == "all":
         return list(index.values())
     if dataset_id not in index:
-        raise SpecError(f"Unknown dataset id: {dataset_id}. Known: {', '.join(index)}")
+        raise SpecError(f"no spec has the id {dataset_id}; there are {', '.join(index)}")
     return [index[dataset_id]]

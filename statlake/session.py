@@ -26,11 +26,19 @@ DEFAULT_CONF = {
 }
 
 
-def get_spark(master: str = "local[8]", shuffle_partitions: int = 8,
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "statlake", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """A session with the library's defaults.  Master and shuffle partitions
+    stay as submitted unless the caller asks for others."""
+    builder = SparkSession.builder.appName(app_name)
+    if master is not None:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    else:
+        # reducers start fine-grained; AQE merges small ones by measured size
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = "1000"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -42,9 +50,9 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session first; only when the cluster names none (local
-    tests) a fresh temporary folder is created and registered.
-    """
+    Read from the session first.  Only a local session (tests) that names none
+    gets a fresh temporary folder; on a cluster a missing setting is an error,
+    as every executor would write to its own disk."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -52,6 +60,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="statlake-ckpt-")
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).rstrip("/")

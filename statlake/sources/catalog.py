@@ -40,9 +40,10 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
 def resource_urls(entries: DataFrame) -> DataFrame:
     """(pos, url) for every resource whose ``url`` is a JSON string."""
     r = entries.select("pos", F.explode("resources").alias("r"))
-    url = F.get_json_object(F.col("r"), "$.url")
-    is_text = F.col("r").rlike(r'"url"\s*:\s*"')
-    return r.where(url.isNotNull() & is_text).select("pos", url.alias("url"))
+    # the variant knows the type of the top-level field itself
+    url = F.variant_get(F.try_parse_json("r"), "$.url", "variant")
+    text = F.when(F.schema_of_variant(url) == "STRING", F.get_json_object(F.col("r"), "$.url"))
+    return r.select("pos", text.alias("url")).where("url IS NOT NULL")
 
 
 def match_catalog(resources: DataFrame, targets: DataFrame) -> DataFrame:

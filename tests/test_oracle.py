@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from statlake.plans import registry
 from tests.conftest import SMOKE_DIR
 
 TABLES = "region nation customer orders lineitem events pages".split()
@@ -49,15 +50,16 @@ def test_entry_smoke(spark):
     assert len(df.collect()) > 0
 
 
-def test_every_key_has_callable():
-    q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
-    assert len(q) >= 50
-    # rows-only keys are the documented exceptions
-    assert set(q) - set(o) == {"file_versions", "areas_unicode_order"}
+registry.load_all()
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_every_key_has_an_oracle():
+    assert set(registry.QUERIES) == set(registry.ORACLES)
+    assert len(registry.QUERIES) >= 70
+    assert set(registry.QUERIES) <= set(E.queries()) and set(registry.ORACLES) <= set(E.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SMOKE_DIR)
     s_cols, s_rows = _canon(df.columns, [tuple(r) for r in df.collect()])
@@ -65,8 +67,3 @@ def test_query_matches_oracle(spark, duck, name):
     d_cols, d_rows = _canon([d[0] for d in res.description], res.fetchall())
     assert s_cols == d_cols
     assert s_rows == d_rows
-
-
-@pytest.mark.parametrize("name", ["file_versions", "areas_unicode_order"])
-def test_rows_only_keys(spark, name):
-    assert len(E.queries()[name](spark, SMOKE_DIR).collect()) > 0

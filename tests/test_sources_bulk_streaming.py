@@ -5,11 +5,12 @@ import os
 import time
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from statlake.operators import bulk as B
 from statlake.operators import query as q
-from statlake.operators.dedupe import keep_last, keep_last_sql_window
+from statlake.operators.dedupe import keep_last
 from statlake.operators.publish import FactStore
 from statlake.plans import datasets as D
 from statlake.plans import service
@@ -141,6 +142,11 @@ def test_normalize_lists(spark):
     assert out[2]["areas_too_long"]
 
 
+def keep_last_sql_window(df, key, order):
+    w = Window.partitionBy(*key).orderBy(F.col(order).desc())
+    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+
+
 def test_keep_last_matches_window(spark):
     rows = [(k % 7, k % 3, k, float(k)) for k in range(200)]
     df = spark.createDataFrame(rows, "a int, b int, ord int, v double")
