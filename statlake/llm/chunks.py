@@ -15,7 +15,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 900_000
 CACHE_CHARS = 32      # longer words are not kept
 
 #: Letters whose normal form is themselves and whose lower case is one letter of this range.
