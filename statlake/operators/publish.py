@@ -218,6 +218,19 @@ class FactStore:
                             F.col("s.category").alias("category"))
                 .agg(F.max_by("run_id", "seq").alias("import_run_id")))
 
+    def scope_table(self) -> DataFrame:
+        """What is published, from the ledger alone: per scope its run, rows (NULL
+        where the run did not count them), load time and data version.  Scopes
+        that were emptied are left out.  It has the dimension columns of the
+        facts, so lists and domain checks read it in their place."""
+        pub = (self.runs().where(F.col("status") == "published")
+               .select("run_id", "seq", "data_version", F.explode("scopes").alias("s")))
+        latest = pub.groupBy(*[F.col(f"s.{c}").alias(c) for c in SCOPE]).agg(
+            F.max_by(F.struct("run_id", "s.rows", "s.loaded_at", "data_version"), "seq").alias("x"))
+        return (latest.select(*SCOPE, F.col("x.run_id").alias("import_run_id"), "x.rows", "x.loaded_at",
+                              "x.data_version")
+                .where(F.col("rows").isNull() | (F.col("rows") > 0)))
+
     def raw_facts(self) -> DataFrame:
         if not self._exists(self.facts_path):
             return self.spark.createDataFrame([], STAT_SCHEMA)
@@ -329,6 +342,8 @@ class FactStore:
             declared = ["\x1f".join(s) for s in scopes]
             metrics.append(F.count_if(~mark.isin(declared) if declared else F.lit(True))
                            .alias("rows_outside_the_scopes"))
+            # rows per scope for the ledger; as many metrics as the spec has scopes
+            metrics += [F.count_if(mark == d).alias(f"scope_{i}") for i, d in enumerate(declared)]
         else:
             # bounded by the number of scopes, not by rows
             metrics.append(F.collect_set(F.struct(*SCOPE)).alias("scopes"))
@@ -354,6 +369,7 @@ class FactStore:
             written = self.raw_facts().where(F.col("import_run_id") == F.lit(run.run_id))
             check = written.agg(*metrics).first().asDict()
         n = check.pop("rows")
+        counted = {i: check.pop(f"scope_{i}") for i in range(len(scopes or []))}
         written_scopes = check.pop("scopes", None)
         if n == 0:
             raise DatasetImportError(
@@ -365,6 +381,9 @@ class FactStore:
         if bad:
             raise DatasetImportError(f"staged rows violate constraints: {bad}")
         if scopes is None:
-            scopes = [tuple(r) for r in written_scopes]
-        self._event(run, "published", row_count=n, scopes=scopes)
+            # rows per scope are known if there is one scope only
+            owned = [(*r, n if len(written_scopes) == 1 else None, run.loaded_at) for r in written_scopes]
+        else:
+            owned = [(*s, counted[i], run.loaded_at) for i, s in enumerate(scopes)]
+        self._event(run, "published", row_count=n, scopes=owned)
         return n

@@ -294,14 +294,14 @@ def capabilities(stats: DataFrame) -> DataFrame:
     )
 
 
-def freshness(stats: DataFrame) -> DataFrame:
-    """Row count, last load time, distinct data versions and their sha256
+def freshness(stats: DataFrame, row_count: Column | None = None) -> DataFrame:
+    """Row count (an aggregate of another kind if given, such as the sum of a scope table's rows), last load time, distinct data versions and their sha256
     fingerprint over ``{"rowCount":…,"lastUpdatedAt":…,"versions":[…]}``.
 
     Versions are in ascending order with NULL last, reported as ''.
     """
     agg = stats.agg(
-        F.count(F.lit(1)).alias("row_count"),
+        (F.count(F.lit(1)) if row_count is None else row_count).alias("row_count"),
         F.max("loaded_at").alias("max_loaded_at"),
         F.sort_array(F.collect_set("data_version")).alias("known_versions"),
         F.count_if(F.col("data_version").isNull()).alias("null_versions"),

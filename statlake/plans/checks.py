@@ -28,6 +28,7 @@ from statlake.operators import quality as Q
 from statlake.operators.dedupe import keep_last
 from statlake.operators import query as q
 from statlake.operators.reshape import RunContext, import_counts, to_tidy, with_row_order
+from statlake.plans import service
 from statlake.plans.derived import PRIORITIES, stats, table, wide_categories, wide_years, year_range
 from statlake.plans.importer import stage, stage_many
 from statlake.plans.oracle import with_stats
@@ -623,6 +624,56 @@ def store_snapshot(spark, sf_dir):
     return core(snapshot)
 
 
+ALL_SCOPES = sorted({(i, t, c) for i, t, cs in (
+    ("order_count", "nation", [*PRIORITIES, "total"]), ("order_count", "region", [*PRIORITIES, "total"]),
+    ("order_count", "customer", [*PRIORITIES, "total"]), ("order_value", "nation", ["total"]),
+    ("order_value", "customer", ["total"])) for c in cs})
+
+
+def _service(spark, sf_dir):
+    """The service over a store with one run per derived data version, the customer
+    order counts published twice."""
+    s, staged, _ = _publish_inputs(spark, sf_dir)
+    store = P.FactStore(spark, scratch_path(spark, "store"))
+    for name, rows in (("order_count", s), ("order_value", s), ("customer", staged)):
+        owned = PUBLISH_SCOPES if name == "customer" else [x for x in ALL_SCOPES if x[0] == name]
+        run = RunContext(dataset_id=name, data_version=f"v-{name}", loaded_at=FIXED_RUN_AT)
+        store.begin(run)
+        store.commit(rows if name == "customer" else rows.where(F.col("indicator") == name), run, owned)
+    return service.StoreService(store)
+
+
+@register("store_domains", with_stats("""
+SELECT 'indicator' AS kind, indicator AS name FROM stats
+UNION SELECT 'areaType', area_type FROM stats
+UNION SELECT 'category', category FROM stats WHERE indicator = 'order_count' AND area_type = 'nation'"""))
+def store_domains(spark, sf_dir):
+    """Indicators, area types and categories from the ledger; no fact is read."""
+    s = _service(spark, sf_dir)
+    parts = [("indicator", s.list_indicators()[0]), ("areaType", s.list_area_types()),
+             ("category", s.list_categories("order_count", "nation"))]
+    out = [df.select(F.lit(kind).alias("kind"), F.col(df.columns[0]).alias("name")) for kind, df in parts]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+@register("store_freshness", with_stats(f"""
+SELECT (SELECT count(*) FROM (SELECT {CORE_SQL} FROM stats WHERE NOT {SCOPES_SQL} UNION ALL
+                              SELECT {CORE_SQL} FROM staged)) AS row_count,
+       '2024-06-01T12:00:00.000Z' AS last_updated_at, 'v-customer,v-order_count,v-order_value' AS versions""", STAGED_SQL))
+def store_freshness(spark, sf_dir):
+    out = _service(spark, sf_dir).freshness()
+    return out.select("row_count", "last_updated_at", F.array_join("versions", ",").alias("versions"))
+
+
+@register("store_timeseries", with_stats("""
+SELECT area_name AS area, year, value, unit, category FROM stats
+WHERE indicator = 'order_value' AND area_type = 'customer' AND year BETWEEN 1996 AND 1999
+ORDER BY area ASC, year ASC, category ASC LIMIT 300 OFFSET 40"""))
+def store_timeseries(spark, sf_dir):
+    return _service(spark, sf_dir).get_timeseries("order_value", "customer", [], year_from=1996, year_to=1999,
+                                                  limit=300, offset=40)[0]
+
+
 @register("import_counts", with_stats("""
 SELECT indicator, area_type, category, count(*) AS imported FROM staged
 GROUP BY indicator, area_type, category""", STAGED_SQL))

@@ -102,3 +102,60 @@ def execute_bulk(stats, requests: DataFrame) -> dict[str, DataFrame]:
         "ranking": B.bulk_ranking(stats, requests),
         "capabilities": B.bulk_capabilities(stats, requests),
     }
+
+
+class StoreService:
+    """The query surface over a publish store at one moment.
+
+    Names (indicators, area types, categories), their validation and the
+    freshness come from the ledger's scope table, a row per scope; the facts
+    are only read for what depends on areas, years or values."""
+
+    def __init__(self, store):
+        self.facts, self.scopes = store.snapshot(), store.scope_table()
+
+    def list_indicators(self, area_type=None, area=None, year=None, limit=None, offset=0):
+        if area_type is not None:
+            _check_area_type(self.scopes, area_type)
+        source = self.scopes if area is None and year is None else self.facts
+        return (q.list_indicators(source, area_type, area, year, limit, offset),
+                q.indicators_meta(source, area_type, area, year, limit, offset))
+
+    def list_area_types(self):
+        return q.list_area_types(self.scopes)
+
+    def list_categories(self, indicator, area_type):
+        _validate(self.scopes, indicator=indicator, area_type=area_type)
+        return q.list_categories(self.scopes, indicator, area_type)
+
+    def list_areas(self, indicator, area_type, category=None, like=None):
+        _validate(self.scopes, indicator=indicator, area_type=area_type,
+                  categories=[category] if category is not None else None)
+        return q.list_areas(self.facts, indicator, area_type, category, like)
+
+    def get_timeseries(self, indicator, area_type, areas, categories=None, year_from=None, year_to=None,
+                       limit=50, offset=0, last=None):
+        _validate(self.scopes, indicator=indicator, area_type=area_type, categories=categories,
+                  year_from=year_from, year_to=year_to)
+        page = q.timeseries(self.facts, indicator, area_type, areas, categories, year_from, year_to,
+                            limit, offset, last)
+        meta = q.timeseries_meta(self.facts, indicator, area_type, areas, categories, year_from, year_to,
+                                 limit, offset)
+        return page, meta, q.page_areas(page)
+
+    def get_ranking(self, indicator, area_type, year, categories=None, areas=None, limit=50, order="desc"):
+        _validate(self.scopes, indicator=indicator, area_type=area_type, categories=categories, kind="ranking")
+        return q.ranking(self.facts, indicator, area_type, year, categories, areas, limit, order)
+
+    def execute_bulk(self, requests: DataFrame) -> dict[str, DataFrame]:
+        B.check_bounds(requests)
+        B.assert_valid(self.scopes, requests)
+        return {"timeseries": B.bulk_timeseries(self.facts, requests),
+                "ranking": B.bulk_ranking(self.facts, requests),
+                "capabilities": B.bulk_capabilities(self.facts, requests)}
+
+    def freshness(self) -> DataFrame:
+        """From the scope table; needs runs that counted their scopes, else the facts."""
+        if self.scopes.where("rows IS NULL").take(1):
+            return q.freshness(self.facts)
+        return q.freshness(self.scopes, F.coalesce(F.sum("rows"), F.lit(0)))

@@ -56,5 +56,8 @@ LEDGER_SCHEMA = T.StructType([
         T.StructField("indicator", T.StringType(), False),
         T.StructField("area_type", T.StringType(), False),
         T.StructField("category", T.StringType(), False),
+        # what the run wrote there; NULL where it was not counted
+        T.StructField("rows", T.LongType(), True),
+        T.StructField("loaded_at", T.TimestampType(), True),
     ])), True),
 ])

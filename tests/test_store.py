@@ -167,3 +167,23 @@ def test_replaced_scope_by_scope(spark, store):
     put(store, rows(spark, 2))
     assert values(store.facts()) == [2.0, 5.0] and values(store.snapshot()) == [2.0, 5.0]
     assert store.superseded(NOW).select(F.col("category")).collect() == [("total",)]
+
+
+def test_lists_and_checks_read_the_ledger_only(spark, store):
+    from statlake.operators import query as q
+    from statlake.plans.service import StoreService
+
+    put(store, rows(spark, 1, 2).unionByName(rows(spark, 5, category="male")),
+        scopes=[("population", "district", "total"), ("population", "district", "male"),
+                ("population", "district", "female")])
+    s = StoreService(store)
+    lists = [s.list_indicators()[0], s.list_area_types(), s.list_categories("population", "district")]
+    for df in lists:
+        assert "facts" not in df._jdf.queryExecution().executedPlan().toString()
+    assert [[r[0] for r in df.collect()] for df in lists] == [["population"], ["district"], ["male", "total"]]
+    assert s.freshness().first()["row_count"] == 3
+    with pytest.raises(q.StatisticsValidationError, match="Unknown category: female"):
+        s.get_ranking("population", "district", 2020, categories=["female"])
+    page, meta, areas = s.get_timeseries("population", "district", [], limit=2)
+    assert meta.first()["total"] == 3 and [r["area"] for r in areas.collect()] == ["area0"]
+    assert len(page.collect()) == 2
