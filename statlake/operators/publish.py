@@ -45,7 +45,6 @@ from statlake.schema import (
     STAT_COLUMNS,
     STAT_SCHEMA,
 )
-from statlake.session import scratch_path
 
 # Ledger events as stored (one folder per day).
 _EVENT_SCHEMA = T.StructType(LEDGER_SCHEMA.fields + [T.StructField("event_day", T.StringType())])
@@ -245,20 +244,27 @@ class FactStore:
     def snapshot(self) -> DataFrame:
         """The published fact table pinned to the scope map of this moment.
 
-        The map is written once, so later publishes do not change the frame,
-        and its run ids (one per import that still owns a scope) become an
-        ``IN`` filter on the partition column: superseded runs are pruned at
-        planning time, as are other scopes by a query's own filters.  The
-        semi-join decides per scope.  One plan for any number of scopes."""
-        path = scratch_path(self.spark, "scope-map")
-        self.current_scopes().write.parquet(path)
-        pinned = self.spark.read.schema(
-            "indicator string, area_type string, category string, import_run_id string").parquet(path)
-        owners = [r[0] for r in pinned.select("import_run_id").distinct().collect()]
+        A run that still owns all its scopes is visible as a whole: its id is in
+        an ``IN`` list.  Of a run that owns only some, those scopes are listed.
+        Both lists are predicates on partition columns alone, so a query reads
+        no ledger, joins nothing, and prunes superseded runs and (by its own
+        filters) other scopes at planning time.  One plan for any number of
+        scopes."""
+        declared = (self.runs().where(F.col("status") == "published")
+                    .select(F.col("run_id").alias("import_run_id"), F.size("scopes").alias("declared")))
+        owned = self.current_scopes().withColumn("key", F.concat_ws("\x1f", *SCOPE, "import_run_id"))
+        owners = (owned.groupBy("import_run_id").agg(F.count(F.lit(1)).alias("owned"), F.collect_list("key").alias("keys"))
+                  .join(declared, "import_run_id")
+                  .select("import_run_id", (F.col("owned") == F.col("declared")).alias("whole"),
+                          F.when(F.col("owned") != F.col("declared"), F.col("keys")).alias("keys")).collect())
+        whole = [r["import_run_id"] for r in owners if r["whole"]]
+        partly = [k for r in owners if not r["whole"] for k in r["keys"]]
         if not owners:
             return self.spark.createDataFrame([], STAT_SCHEMA)
-        return (self.raw_facts().where(F.col("import_run_id").isin(owners))
-                .join(pinned, [*SCOPE, "import_run_id"], "left_semi").select(*STAT_COLUMNS))
+        visible = F.col("import_run_id").isin(whole) if whole else F.lit(False)
+        if partly:
+            visible = visible | F.concat_ws("\x1f", *SCOPE, "import_run_id").isin(partly)
+        return self.raw_facts().where(visible).select(*STAT_COLUMNS)
 
     def _listing(self) -> DataFrame:
         """One row per file: its folder and partition values; contents are never read."""

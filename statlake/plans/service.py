@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from statlake.operators import bulk as B
 from statlake.operators import query as q
+from statlake.session import scratch_path
 
 
 def _request(stats: DataFrame, indicator=None, area_type=None, categories=None,
@@ -112,7 +113,9 @@ class StoreService:
     are only read for what depends on areas, years or values."""
 
     def __init__(self, store):
-        self.facts, self.scopes = store.snapshot(), store.scope_table()
+        path = scratch_path(store.spark, "scope-table")
+        store.scope_table().write.parquet(path)   # read by every later check instead of the ledger
+        self.facts, self.scopes = store.snapshot(), store.spark.read.parquet(path)
 
     def list_indicators(self, area_type=None, area=None, year=None, limit=None, offset=0):
         if area_type is not None:
