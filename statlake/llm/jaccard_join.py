@@ -290,8 +290,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = materialise(sets.where("n > 0").groupBy("class", "class2", "n").agg(
         F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")), "classes")
 
-    heavy = (scan.where("kind = 1").groupBy("shingle").agg(F.sum("count").alias("count"))
-             .where(F.col("count") >= HEAVY_LEAST).orderBy(F.desc("count"), "shingle").limit(HEAVY_MAX).toArrow())
+    # the most frequent shingles, cut between classes of counts so that no more than
+    # HEAVY_MAX are fetched; only the sizes of these classes are looked at first
+    grade = F.floor(F.log2("count") * 8).cast("int")
+    counted = materialise(scan.where("kind = 1").groupBy("shingle").agg(F.sum("count").alias("count"))
+                          .where(F.col("count") >= HEAVY_LEAST).withColumn("grade", grade), "frequent-shingles")
+    cut, taken = 1 << 30, 0
+    for r in sorted(counted.groupBy("grade").count().collect(), key=lambda r: -r["grade"]):
+        taken += r["count"]
+        if taken > HEAVY_MAX:
+            break
+        cut = r["grade"]
+    heavy = counted.where(F.col("grade") >= cut).select("shingle", "count").toArrow()
     values = heavy.column("shingle").to_numpy().view(np.uint64)
     count = heavy.column("count").to_numpy()
     by_value = np.argsort(values)
