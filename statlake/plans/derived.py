@@ -15,9 +15,10 @@ join, so a customer holding a third of all orders shrinks to at most
 years x priorities rows per task before the shuffle.  The join with
 ``customer`` is a shuffle join on the customer key (AQE splits skewed
 partitions); ``nation``/``region`` are dimension tables that Catalyst
-broadcasts on its size estimate.  Each pre-aggregated row then fans out to
-its output groupings and one more aggregate produces the table with a
-single shuffle; nation / region groupings collapse map-side.
+broadcasts on its size estimate.  The table is the union of one branch per
+(indicator, area type), both literal: a query that names them keeps one branch.
+All branches read the same pre-aggregated exchange; nation / region groupings
+collapse map-side.
 """
 
 from __future__ import annotations
@@ -60,36 +61,28 @@ def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
                .join(customer, per_customer.o_custkey == customer.c_custkey)
                .join(geo, F.col("c_nationkey") == geo.n_nationkey))
 
-    def target(indicator, area_type, area, category):
-        return F.struct(F.lit(indicator).alias("indicator"), F.lit(area_type).alias("area_type"),
-                        F.col(area).alias("area_name"), category.alias("category"))
+    # One branch per (indicator, area type), both literal: a filter on them folds
+    # the other branches away, and the branches share the aggregated orders.
+    def branch(indicator, area_type, area, measure, unit, categories):
+        rows = located.select(F.col(area).alias("area_name"), "year", measure.alias("measure"),
+                              F.explode(F.array(*categories)).alias("category"))
+        value = F.sum("measure").cast("double")
+        return rows.groupBy("area_name", "year", "category").agg(value.alias("value")).select(
+            F.lit(indicator).alias("indicator"), F.lit(area_type).alias("area_type"), "area_name", "year", "value",
+            F.lit(unit).alias("unit"), "category", F.lit(STATS_SOURCE).alias("source_dataset"),
+            F.lit(STATS_RUN_ID).alias("import_run_id"), F.to_timestamp(F.lit(STATS_LOADED_AT_SQL)).alias("loaded_at"),
+            F.lit(f"orders:{indicator}").alias("data_version"))
 
     total = F.lit("total")
-    fanned = located.select(
-        "year", "n", "amount",
-        F.inline(F.array(
-            target("order_count", "nation", "n_name", F.col("priority")),
-            target("order_count", "nation", "n_name", total),
-            target("order_count", "region", "r_name", F.col("priority")),
-            target("order_count", "region", "r_name", total),
-            target("order_value", "nation", "n_name", total),
-            target("order_count", "customer", "c_name", F.col("priority")),
-            target("order_count", "customer", "c_name", total),
-            target("order_value", "customer", "c_name", total),
-        )))
-    grouped = fanned.groupBy("indicator", "area_type", "area_name", "year", "category").agg(
-        F.sum("n").alias("n"), F.sum("amount").alias("amount"))
-    value = F.when(F.col("indicator") == "order_value", F.col("amount").cast("double")) \
-        .otherwise(F.col("n").cast("double"))
-    unit = F.when(F.col("indicator") == "order_value", F.lit("currency")).otherwise(F.lit("orders"))
-    return grouped.select(
-        "indicator", "area_type", "area_name", "year",
-        value.alias("value"), unit.alias("unit"), "category",
-        F.lit(STATS_SOURCE).alias("source_dataset"),
-        F.lit(STATS_RUN_ID).alias("import_run_id"),
-        F.to_timestamp(F.lit(STATS_LOADED_AT_SQL)).alias("loaded_at"),
-        F.concat(F.lit("orders:"), F.col("indicator")).alias("data_version"),
-    )
+    areas = (("nation", "n_name"), ("region", "r_name"), ("customer", "c_name"))
+    branches = [branch("order_count", kind, column, F.col("n"), "orders", [F.col("priority"), total])
+                for kind, column in areas]
+    branches += [branch("order_value", kind, column, F.col("amount"), "currency", [total])
+                 for kind, column in areas if kind != "region"]
+    out = branches[0]
+    for more in branches[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def year_range(spark: SparkSession, sf_dir: str) -> list[int]:

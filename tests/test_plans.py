@@ -89,3 +89,11 @@ def test_snapshot_of_two_thousand_scopes_prunes(spark, tmp_path):
     filters = text.split("PartitionFilters: [")[1]
     assert "isnotnull(indicator" in filters and "import_run_id" in filters and "Join" not in text
     assert [r.value for r in one.collect()] == [7.0]
+
+
+def test_named_dimensions_leave_one_branch_of_the_derived_table(spark):
+    s = stats(spark, SMOKE_DIR)
+    assert "Union" in s._jdf.queryExecution().optimizedPlan().toString()
+    one = s.where("indicator = 'order_value' AND area_type = 'customer'")
+    text = one._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in text and "o_orderpriority" in text
