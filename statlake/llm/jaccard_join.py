@@ -18,8 +18,10 @@ fewest rarer shingles; verified links give components.  Then only members of
 *different* components are compared, in blocks of bounded size, behind exact
 upper bounds of the overlap (places of the shared shingle, and parity
 sketches: the number of differing bits never exceeds the number of differing
-shingles).  Candidates are verified on the full sets.  No list, bucket or
-number of partners is capped, so the components are those of all links.
+shingles).  Candidates are verified on the full sets.  The first step is split
+by a salt where a shingle is very frequent; the second takes the whole list,
+also members that were alone with their salt.  No list, bucket or number of
+partners is capped, so the components are those of all links.
 
 Shingles are 64-bit hashes of five words.  The order needs no exact counts to
 be right, only to be the same everywhere: frequent shingles are found by
@@ -159,7 +161,7 @@ def choose_boundary(sizes: dict[int, int], repeats: float) -> int:
 
 
 def _postings(size: int, boundary: int, shared):
-    """Keys of the classes of a task, each class once: key, salt, class, n, place."""
+    """Keys of the classes of a task, each class once: key, salt (-1: the key is not split), class, n, place."""
     def run(batches):
         heavy, count = shared.value
         order = np.empty(len(heavy), np.int64)
@@ -169,8 +171,8 @@ def _postings(size: int, boundary: int, shared):
             for part in slices(batch, "text"):
                 keys, salts, classes, ns, places = [], [], [], [], []
 
-                def add(key, salt, c, n, place):
-                    keys.append(key), salts.append(salt), places.append(place)
+                def add(key, split, c, n, place):
+                    keys.append(key), salts.append(np.where(split > 1, c % split, -1)), places.append(place)
                     classes.append(np.full(len(key), c, np.int64)), ns.append(np.full(len(key), n, np.int64))
 
                 for values in _documents(part, size):
@@ -191,9 +193,9 @@ def _postings(size: int, boundary: int, shared):
                     split = 1 + times // SALT_ROWS
                     if n <= boundary:
                         i, j = np.triu_indices(len(first), 1)
-                        add(mix(mix(first[i]) + first[j]), c % np.minimum(split[i], split[j]), c, n, i)
+                        add(mix(mix(first[i]) + first[j]), np.minimum(split[i], split[j]), c, n, i)
                     if 4 * n > 3 * boundary:
-                        add(first[:spare + 1], c % split[:spare + 1], c, n, np.arange(spare + 1))
+                        add(first[:spare + 1], split[:spare + 1], c, n, np.arange(spare + 1))
                 if keys:
                     yield pa.RecordBatch.from_arrays(
                         [_signed(np.concatenate(keys)), pa.array(np.concatenate(salts).astype(np.int32)),
@@ -313,16 +315,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     postings = base.mapInArrow(_postings(size, boundary, shared), "key long, salt int, class long, n int, place int")
     by_list = Window.partitionBy("key", "salt").orderBy("place", "class")
     ranked = postings.select("*", F.first(F.struct("class", "n", "place")).over(by_list).alias("centre"))
-    members = materialise(ranked.where("class != centre.class"), "list-members")
+    # the centre of a part of a split list stays: it has not met the other parts
+    members = materialise(ranked.where("class != centre.class OR salt >= 0"), "list-members")
     fits = F.expr("7 * least(n - place, centre.n - centre.place) >= 3 * (n + centre.n)")
-    stars = members.where(fits).select(F.least("class", "centre.class").alias("a"),
+    stars = members.where("class != centre.class").where(fits).select(F.least("class", "centre.class").alias("a"),
                                        F.greatest("class", "centre.class").alias("b")).distinct()
     links = materialise(_verified(_sketched(stars, classes), base, size), "links")
     roots = components(links)
 
-    # lists whose members are not yet together; a list of two has been compared
-    everyone = members.select("key", "class", "n", "place").union(
-        members.select("key", "centre.class", "centre.n", "centre.place")).distinct()
+    # lists whose members are not yet together; a list of two that was not split has been compared
+    split = (F.col("salt") >= 0).alias("split")
+    everyone = members.select("key", split, "class", "n", "place").union(
+        members.select("key", split, "centre.class", "centre.n", "centre.place")).distinct()
     small = [F.col("small")[k].alias(f"s{k}") for k in range(SMALL_WORDS)]
     known = classes.join(roots, F.col("rep") == F.col("node"), "left").select(
         "class", F.coalesce("root", "rep").alias("component"))
@@ -333,8 +337,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.count(F.lit(1)).alias("members"), F.min("component").alias("x"), F.max("component").alias("y"),
         F.sum(F.xxhash64("class").cast("decimal(20,0)")).alias("one"),
         F.sum(F.xxhash64("class", F.lit(7)).cast("decimal(20,0)")).alias("two"),
-        F.min(F.struct("class", "place"))["place"].alias("place"))
-        .where("members > 2 AND x != y")
+        F.min(F.struct("class", "place"))["place"].alias("place"), F.max("split").alias("split"))
+        .where("(members > 2 OR split) AND x != y")
         .groupBy("members", "one", "two").agg(F.min(F.struct("place", "key"))["key"].alias("key"))
         .select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")))
     rows = materialise(placed.join(open_, "key"), "open-lists")
