@@ -2,7 +2,7 @@
 
 *Detection*: one pattern finds e-mail addresses, phone numbers, IPv4 and IPv6
 addresses, payment cards, social security numbers, IBANs, secrets after a
-marker such as ``password=``, and names after a title.
+marker such as ``password=`` in any case, and names after a title.
 
 *Surrogates*: an entity is one canonical string per type (case, blanks and
 punctuation do not count, so all its mentions share it).  Its surrogate comes
@@ -34,11 +34,17 @@ from statlake.llm.frames import materialise
 
 MALE, FEMALE, ANY = "Mr|Herr|Señor|Monsieur|Signor|г-н|господин", "Mrs|Ms|Miss|Frau|Señora|Madame|Mme|Signora|г-жа|госпожа", "Dr|Prof"
 NAME = r"\p{Lu}[\p{L}'’-]*\p{L}"
+MARKER = "(?i:token|secret|password|passwd|api_key|apikey)"
+IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?"
+GROUPS = r"[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}"   # of an IPv6 address, on a side of its "::"
 KINDS = {   # in the order in which they are tried at a place
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
-    "secret": r"(?<=(?:token|secret|password|passwd|api_key|apikey) ?[=:] ?[\"']?)[A-Za-z0-9_+/-]{12,}+",
-    "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-    "ipv6": r"(?<![\p{L}\p{N}:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\p{L}\p{N}:])",
+    "secret": rf"(?<={MARKER} ?[=:] ?[\"']?)[A-Za-z0-9_+/-]{{12,}}+",
+    "iban": rf"(?<![\p{{L}}\p{{N}}]){IBAN}(?![\p{{L}}\p{{N}}])",
+    "ipv6": r"(?<![\p{L}\p{N}:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\p{L}\p{N}:])"
+            # with "::": at most seven groups around it; an IPv4 tail is left to the next pattern
+            r"|(?<![\p{L}\p{N}:])(?=[0-9A-Fa-f:]{0,35}::)(?!(?:[0-9A-Fa-f]*:){9})"
+            rf"(?:(?:{GROUPS})?::{GROUPS}|{GROUPS}::)(?![\p{{L}}\p{{N}}]|:[\p{{L}}\p{{N}}:]|\.\d)",
     "ip": r"(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)",
     "card": r"(?<![\p{L}\p{N}])(?:\d{4} \d{4} \d{4} \d{1,7}|\d{4}-\d{4}-\d{4}-\d{1,7}|\d{13,19})(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}-])",
@@ -47,8 +53,8 @@ KINDS = {   # in the order in which they are tried at a place
     "name": rf"(?<![\p{{L}}\p{{N}}])(?:{MALE}|{FEMALE}|{ANY})\.? {NAME}(?: {NAME})?",
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
-#: Every entity holds a digit or an @, or follows a title or marker: most texts stop here.
-HINT = rf"[0-9@]|(?:{MALE}|{FEMALE}|{ANY})\.? \p{{Lu}}|(?:token|secret|password|passwd|api_key|apikey) ?[=:]"
+#: Every entity holds a digit, an @ or a group between colons, or follows a title or marker: most texts stop here.
+HINT = rf"[0-9@]|:[A-Fa-f]{{0,4}}:|(?:{MALE}|{FEMALE}|{ANY})\.? \p{{Lu}}|{MARKER} ?[=:]"
 
 ALPHABETS = {   # script class -> letters that stand in
     r"[a-z]": "abcdefghijklmnopqrstuvwxyz", r"[A-Z]": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
@@ -80,8 +86,8 @@ def _kind(mention: Column) -> Column:
     """Type of a mention, by what it looks like on its own."""
     out = F.lit("secret")
     for kind, test in reversed([
-            ("email", "@"), ("name", rf"^(?:{MALE}|{FEMALE}|{ANY})\.? "), ("iban", r"^[A-Z]{2}\d{2}[ A-Z0-9]*$"),
-            ("ipv6", r"^(?:[0-9A-Fa-f]{1,4}:){7}"), ("ip", r"^\d{1,3}(?:\.\d{1,3}){3}$"),
+            ("email", "@"), ("name", rf"^(?:{MALE}|{FEMALE}|{ANY})\.? "), ("iban", rf"^{IBAN}$"),
+            ("ipv6", r"^(?:[0-9A-Fa-f]{1,4}:){7}|^[0-9A-Fa-f:]*::"), ("ip", r"^\d{1,3}(?:\.\d{1,3}){3}$"),
             ("ssn", r"^\d{3}-\d{2}-\d{4}$"), ("card", r"^\d[\d -]{11,}\d$"), ("phone", r"^[+(\d][\d ().-]*\d$")]):
         out = F.when(mention.rlike(test), F.lit(kind)).otherwise(out)
     return out
@@ -174,7 +180,8 @@ def _made(kind: Column, canon: Column, attempt: Column, digest: Column) -> Colum
     body = F.concat(F.substr(canon, F.lit(1), F.lit(1)),
                     _chars(F.substr(canon, F.lit(2), F.length(canon) - 2), digest))
     iban = F.concat(F.substr(canon, F.lit(1), F.lit(2)), _chars(F.substr(canon, F.lit(3)), digest))
-    secret = F.when(canon.rlike("^[0-9a-f]+$"), _chars(canon, digest, True)).otherwise(_chars(canon, digest))
+    secret = (F.when(canon.rlike("^[0-9a-f]+$"), _chars(canon, digest, True))
+              .when(canon.rlike("^[0-9A-F]+$"), F.upper(_chars(F.lower(canon), digest, True))).otherwise(_chars(canon, digest)))
 
     def name(script: str) -> Column:
         s = F.array(*[F.lit(x) for x in SYLLABLES[script]])

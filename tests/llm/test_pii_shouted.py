@@ -1,0 +1,26 @@
+"""Secrets after markers of any case, and IPv6 addresses with "::"."""
+
+import re
+
+from statlake.llm import pii
+
+HEX = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"
+MARKERS = ['TOKEN = "', "Token=", "Password: ", "API_KEY=", "ApiKey:", "SECRET='", 'token = "']
+ADDRESSES = ["2001:db8::1", "2001:DB8:0:1::A:b", "fe80::", "::1", "fd::ab", "1:2:3:4:5:6:7::", "2001:db8:1:2:3:4:5:6"]
+NONE = ["std::abc x::y", "at 12:30 or 12:30:15", "a :: b", "1::2::3", "Foo::Bar", "by ::ffff:192.0.2.1 now"]
+
+
+def test_markers_of_any_case_and_compressed_addresses(frame):
+    want = [(m, s, " AND MORE", "secret") for m in MARKERS for s in (HEX, "AB12" + HEX[4:], HEX.lower(), "Qw3rty-Uiop_456")]
+    want += [(a, x, b, "ipv6") for x in ADDRESSES for a, b in (("from ", " on"), ("from ", "."), ("[", "]"), ("", ", then"))]
+    rows = [(k, a + x + b) for k, (a, x, b, _) in enumerate(want)] + [(1000 + k, t) for k, t in enumerate(NONE)]
+    got = {r.doc_id: r for r in pii.replace_pii(frame(rows), "k", counts=True).collect()}
+    for k, (a, x, b, kind) in enumerate(want):
+        r = got[k]
+        assert (r.n_entities, r[f"n_{kind}"]) == (1, 1), r
+        assert r.text.startswith(a) and r.text.endswith(b), r
+        new = r.text[len(a):len(r.text) - len(b)]
+        chars = "[0-9A-F]" if x == HEX else "[0-9A-Za-z]"
+        assert new != x and re.sub(chars, "x", new) == re.sub(chars, "x", x), r
+    assert [got[1000 + k].text for k in range(5)] == NONE[:5]
+    assert got[1005].n_ip == 1 and got[1005].n_ipv6 == 0 and "192.0.2.1" not in got[1005].text
