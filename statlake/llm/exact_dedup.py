@@ -13,7 +13,8 @@ digest may be given) are looked up by digest and text.
 
 Defined cases: null text counts as empty; the largest id of equal texts stays
 (null ids sort lowest); rows repeating both id and text are one document in
-``deduplicate`` and each have a row in ``exact_groups``; empty tables give
+``deduplicate`` and each have a row in ``exact_groups``; rows of one id (null
+ids too) with different texts are different documents; empty tables give
 empty results; other columns are ignored and passed through untouched.
 """
 
@@ -75,6 +76,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
     """The rows of ``docs`` that stay, one per distinct text, all columns."""
     keep = (exact_groups(docs, id_col, text_col, salts).where("kept")
-            .select(F.col("doc_id").alias("__keep")).distinct())
-    held = docs.join(keep, docs[id_col].cast("long").eqNullSafe(keep["__keep"]), "left_semi")
-    return held.dropDuplicates([id_col])
+            .groupBy(F.col("doc_id").alias("keep_id"), F.col("text_sha256").alias("keep_sha256"))
+            .agg(F.count(F.lit(1)).alias("times")))
+    text = ascii_lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), sha256_hex(text).alias("sha256"))
+    held = rows.join(keep, F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("sha256") == F.col("keep_sha256")))
+    # only rows of a repeated id and digest are compared by their texts
+    repeated = (held.where("times > 1")
+                .withColumn("text", ascii_lower(F.coalesce(F.col("row")[text_col].cast("string"), F.lit(""))))
+                .dropDuplicates(["doc_id", "text"]))
+    return held.where("times = 1").select("row.*").unionByName(repeated.select("row.*"))
