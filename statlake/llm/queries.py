@@ -19,7 +19,7 @@ WORD_BPE = f"{VOCABULARY_DIR}/word_bpe_49k.json"
 def op1_lm_trie(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     held = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
-    model = lm_trie.train(docs, ~held)
+    model = lm_trie.train(docs, ~held, order=3, min_count=1)
     return lm_trie.score(docs, model).select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens",
                                              "base_score", "score")
 
