@@ -6,7 +6,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from statlake.llm import bpe_trie, chat_format, exact_dedup, jaccard_join, lang_gru, lm_trie, packing, pii, quality_rules, warc_index
+from statlake.llm import (bpe_trie, chat_format, exact_dedup, jaccard_join, lang_gru, lm_trie, packing, pii, quality_rules,
+                          warc_index, whitening)
 from statlake.llm.frames import table
 from statlake.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
@@ -106,3 +107,9 @@ FROM d JOIN g ON d.t = g.t
 """)
 def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+@register("op11_whitening")
+def op11_whitening(spark, sf_dir):
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").cast("long"))
