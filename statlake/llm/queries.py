@@ -6,8 +6,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from statlake.llm import (bpe_trie, chat_format, exact_dedup, jaccard_join, lang_gru, lm_trie, packing, pii, quality_rules,
-                          warc_index, whitening)
+from statlake.llm import (bpe_trie, chat_format, exact_dedup, jaccard_join, lang_gru, lm_trie, packing, pii, prefix_trie,
+                          quality_rules, warc_index, whitening)
 from statlake.llm.frames import table
 from statlake.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
@@ -113,3 +113,54 @@ def op10_exact_dedup(spark, sf_dir):
 def op11_whitening(spark, sf_dir):
     out = whitening.whiten(table(spark, sf_dir, "embeddings"))
     return out.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def rebuilt(turns):
+    """Every conversation c as the first h turns of conversation c - c % 5, then
+    its own turns behind its first h; h is the crc32 of its id modulo 9."""
+    h = (F.crc32(F.col("conv_id").cast("string")) % 9).cast("int")
+    start = turns.select(F.col("conv_id").alias("start_id"), F.slice("turns", 1, 8).alias("start"))
+    own = turns.select("conv_id", "turns", h.alias("h"), (F.col("conv_id") - F.col("conv_id") % 5).alias("start_id"))
+    taken = F.slice(F.coalesce("start", F.array().cast("array<string>")), F.lit(1), F.col("h"))
+    return own.join(start, "start_id", "left").select("conv_id", F.concat(
+        taken, F.slice("turns", F.col("h") + 1, F.greatest(F.size("turns"), F.lit(1)))).alias("turns"))
+
+
+@register("op12_prefix_trie", r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+           string_split(conv_id::VARCHAR, ''), lambda x: [ascii(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+           lambda a, v: xor(xor(a, v) >> 1, 3988292384 * (xor(a, v) & 1))), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT c.conv_id, t.role, t.text, row_number() OVER (PARTITION BY c.conv_id ORDER BY t.k, t.own) AS k
+  FROM c JOIN (SELECT *, 0 AS own FROM t UNION ALL SELECT *, 1 FROM t) t
+    ON (t.own = 0 AND t.conv_id = c.base AND t.k <= c.h) OR (t.own = 1 AND t.conv_id = c.conv_id AND t.k > c.h)),
+s AS (
+  SELECT c.conv_id, count(r.k) AS len, coalesce(list([r.role, r.text] ORDER BY r.k) FILTER (r.k IS NOT NULL), []) AS seq
+  FROM c LEFT JOIN r USING (conv_id) GROUP BY c.conv_id),
+p AS (SELECT conv_id, len, unnest(range(len + 1)) AS depth, seq FROM s),
+n AS (
+  SELECT seq[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len = depth), '') AS ends
+  FROM p GROUP BY ALL),
+m AS (
+  SELECT *, path[1:depth - 1] AS up, (n_convs - 1) * CASE WHEN depth = 0 THEN 0 ELSE strlen(path[depth][2]) END AS saved,
+         NOT EXISTS (SELECT 1 FROM p WHERE p.len > n.depth AND p.depth = n.depth AND p.seq[1:n.depth] = n.path) AS leaf
+  FROM n),
+kids AS (SELECT up, depth - 1 AS depth, count(*) AS n_children FROM m WHERE depth > 0 GROUP BY ALL),
+above AS (SELECT unnest(range(depth + 1)) AS level, path, saved, leaf FROM m),
+below AS (SELECT path[1:level] AS path, level AS depth, sum(saved) AS saved_tokens, count(*) FILTER (leaf) AS n_leaves FROM above GROUP BY ALL)
+SELECT m.conv_id, m.depth, u.conv_id AS parent_conv_id, m.n_convs, coalesce(k.n_children, 0) AS n_children,
+       b.n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens, sha256(m.ends) AS ends_sha256
+FROM m JOIN below b ON b.path = m.path AND b.depth = m.depth
+LEFT JOIN m u ON m.depth > 0 AND u.path = m.up AND u.depth = m.depth - 1
+LEFT JOIN kids k ON k.up = m.path AND k.depth = m.depth
+""")
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(rebuilt(prefix_trie.sequences(table(spark, sf_dir, "conversations"))))
