@@ -6,8 +6,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from statlake.llm import (bpe_trie, chat_format, exact_dedup, jaccard_join, lang_gru, lm_trie, packing, pii, prefix_trie,
-                          quality_rules, warc_index, whitening)
+from statlake.llm import (bpe_trie, chat_format, circulant_minhash, exact_dedup, jaccard_join, lang_gru, lm_trie, packing,
+                          pii, prefix_trie, quality_rules, warc_index, whitening)
 from statlake.llm.frames import table
 from statlake.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 
@@ -164,3 +164,8 @@ LEFT JOIN kids k ON k.up = m.path AND k.depth = m.depth
 """)
 def op12_prefix_trie(spark, sf_dir):
     return prefix_trie.trie(rebuilt(prefix_trie.sequences(table(spark, sf_dir, "conversations"))))
+
+
+@register("op13_circulant_minhash")
+def op13_circulant_minhash(spark, sf_dir):
+    return circulant_minhash.near_duplicates(table(spark, sf_dir, "documents"))
