@@ -16,9 +16,10 @@ probability 6e-9, one at 0.9 with 4e-14.
 
 *Verification.*  Documents with equal sets are one class.  In a bucket every
 class is first compared with the bucket's centre, its least class; verified
-links give components.  Buckets whose classes are then in different components
-are compared throughout, in blocks of bounded size, and only pairs of different
-components leave the task.  Before sets are fetched, parity sketches bound the
+links give components.  Where classes of a bucket are then in different components, they
+are compared with a second centre, drawn anew in every bucket.  Buckets that are
+still not together are compared throughout, in blocks of bounded size; only pairs
+of different components leave the task, and each from one bucket only.  Before sets are fetched, parity sketches bound the
 symmetric difference from below (differing bits never exceed differing
 shingles), so no link is lost there.  Every link is confirmed on full sets.
 Nothing is capped, and copies never meet each other: one class is one row.
@@ -213,7 +214,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, base: DataFrame, size: int)
 def _cross(batches):
     """Pairs of different components between two blocks of a bucket; rows come
     sorted by (key, first, second), the blocks' classes are held for one such run."""
-    names = ["class", "n", "component", "block", "sketch"]
+    names = ["class", "n", "component", "block", "sketch", "buckets"]
     held, last = [], None
 
     def widths(sketches):
@@ -223,10 +224,11 @@ def _cross(batches):
         return words, {w: np.stack([folded(a, w) if len(a) >= w else np.zeros(w, np.uint64) for a in arrays])
                        for w in np.unique(words).tolist()}
 
-    def pairs(rows, first, second):
+    def pairs(rows, key, first, second):
         t = pa.Table.from_batches(rows)
         c, n, comp, block = (t.column(x).to_numpy() for x in names[:4])
         words, bits = widths(t.column("sketch").to_pylist())
+        buckets = t.column("buckets").to_pylist()
         left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
         for lo in range(0, len(left), 128):
             i, j = left[lo:lo + 128][:, None], right[None, :]
@@ -242,6 +244,7 @@ def _cross(batches):
                     q = some[s:s + 8192]
                     differ = np.bitwise_count(sketch[x[q]] ^ sketch[y[q]]).sum(1, dtype=np.int64)
                     keep[q] = may_differ(differ, n[x[q]], n[y[q]])
+            keep[keep] = [min(set(buckets[i]).intersection(buckets[j])) == key for i, j in zip(x[keep], y[keep])]
             x, y = x[keep], y[keep]
             if len(x):
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(c[x], c[y])), pa.array(np.maximum(c[x], c[y]))], ["a", "b"])
@@ -254,18 +257,25 @@ def _cross(batches):
         for lo, hi in zip(cuts, cuts[1:]):
             this = tuple(at[lo].tolist())
             if this != last and held:
-                yield from pairs(held, *last[1:])
+                yield from pairs(held, *last)
                 held = []
             last = this
             held.append(b.slice(lo, hi - lo).select(names))
     if held:
-        yield from pairs(held, *last[1:])
+        yield from pairs(held, *last)
 
 
 def _small_sketches(batches):
     for b in batches:
         small = [folded(np.frombuffer(x, np.uint64), SKETCH_WORDS).tobytes() for x in b.column("sketch").to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column("class"), pa.array(small, pa.binary())], ["class", "sketch"])
+        yield pa.RecordBatch.from_arrays([b.column("class"), pa.array(small, pa.binary()), b.column("buckets")],
+                                         ["class", "sketch", "buckets"])
+
+
+def _placed(members: DataFrame, linked: DataFrame) -> DataFrame:
+    """With the component of every class, by the links known so far."""
+    return (members.join(components(linked).withColumnRenamed("node", "class"), "class", "left")
+            .withColumn("component", F.coalesce("root", "class")).drop("root"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5) -> DataFrame:
@@ -286,28 +296,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .select(F.col("centre.class").alias("a"), F.col("class").alias("b")).distinct())
     first = materialise(confirmed(stars, classes, base, size), "minhash-links")
 
-    # buckets of three and more whose classes are not together yet
-    placed = (members.where("members > 2").select("key", "class", "n", "members")
-              .join(components(first).withColumnRenamed("node", "class"), "class", "left")
-              .withColumn("component", F.coalesce("root", "class")).drop("root"))
-    # buckets of the same classes are the same comparisons: one of them stays
+    # a second centre, drawn anew in every bucket, for buckets of three and more
+    # whose classes are not together yet: a class meets up to one per band
+    large = members.where("members > 2").select("key", "class", "n", "members")
+    drawn = F.min(F.struct(F.xxhash64("class", "key").alias("draw"), "class", "n", "component"))
+    again, spread = _placed(large, first), [F.min("component").alias("x"), F.max("component").alias("y")]
+    centres = again.groupBy("key").agg(*spread, drawn.alias("centre")).where("x != y")
+    more_stars = (again.join(centres, "key").where(F.col("component") != F.col("centre.component"))
+                  .where(_similar_sizes(F.col("n"), F.col("centre.n")))
+                  .select(F.least("class", "centre.class").alias("a"), F.greatest("class", "centre.class").alias("b")).distinct())
+    second = materialise(first.union(confirmed(more_stars, classes, base, size)), "minhash-links")
+
+    # what is still apart is compared throughout; buckets of the same classes are
+    # the same comparisons: one of them stays
+    placed = _placed(large, second)
     mark = [F.sum(F.xxhash64("class", F.lit(k)).cast("decimal(20,0)")).alias(f"mark{k}") for k in (0, 1)]
-    open_ = (placed.groupBy("key").agg(F.first("members").alias("members"), F.min("component").alias("x"),
-                                       F.max("component").alias("y"), *mark).where("x != y")
+    open_ = (placed.groupBy("key").agg(F.first("members").alias("members"), *spread, *mark).where("x != y")
              .groupBy("members", "mark0", "mark1").agg(F.min("key").alias("key"))
              .select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")))
     rows = materialise(placed.drop("members").join(open_, "key"), "minhash-open")
-    sketches = (classes.join(rows.select("class").distinct(), "class", "left_semi").select("class", "sketch")
-                .mapInArrow(_small_sketches, "class long, sketch binary"))
+    # with the buckets of each class, so that a pair leaves the first one it shares only
+    own = rows.groupBy("class").agg(F.sort_array(F.collect_set("key")).alias("buckets"))
+    sketches = (classes.join(own, "class").select("class", "sketch", "buckets")
+                .mapInArrow(_small_sketches, "class long, sketch binary, buckets array<long>"))
     rows = (rows.join(sketches, "class").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("first", F.least("block", "other")).withColumn("second", F.greatest("block", "other")))
-    crossing = (rows.select("key", "first", "second", "class", "n", "component", "block", "sketch")
+    crossing = (rows.select("key", "first", "second", "class", "n", "component", "block", "sketch", "buckets")
                 .repartition("key", "first", "second").sortWithinPartitions("key", "first", "second")
-                .mapInArrow(_cross, "a long, b long").distinct())
+                .mapInArrow(_cross, "a long, b long"))
     more = materialise(confirmed(crossing, classes, base, size), "minhash-more-links")
 
-    final = components(first.union(more))
+    final = components(second.union(more))
     rooted = classes.join(final.withColumnRenamed("node", "class"), "class", "left").select(
         "c1", "c2", "n", "rep", F.coalesce("root", "class").alias("root"))
     named = rooted.join(rooted.groupBy("root").agg(F.min("rep").alias("component")), "root").drop("rep", "root")
