@@ -3,11 +3,17 @@
 The reference answers a bulk call by looping over its items.  Here the
 requests are a DataFrame (``request_id, pos, kind, indicator, area_type,
 areas, categories, year_from, year_to, year, limit, offset, order``) joined
-with the fact table, broadcast or not as its measured size allows.  Pages are ``row_number`` windows per request cut at a constant
-``K = max(offset + limit)``, which Spark turns into a partial
-``WindowGroupLimit`` before the shuffle, so a request matching a third of the
-table still ships at most K rows per task.  Totals are a separate partial
-aggregate.  Requests without any row still appear (total 0).
+with the fact table, broadcast or not as its measured size allows.
+
+A page is found in two levels.  The matches of a request are spread over
+``SALTS`` parts, so that a request which matches a third of the table is not
+one task; each part ranks its rows and keeps the request's own cut, ``offset +
+limit`` rows; the second level ranks what is left.  Rankings cut each part at a
+constant first, which Spark plans as a partial ``WindowGroupLimit`` before the
+exchange.  Time series also report totals: the parts count their rows in the
+same pass, so the facts are read once; or the totals are given (a store knows
+them from its summaries), and the parts are cut before the exchange as well.
+Requests without any row still appear (total 0).
 """
 
 from __future__ import annotations
@@ -48,35 +54,75 @@ def _list_ok(list_col: str, value_col: str):
     return lst.isNull() | (F.size(lst) == 0) | F.array_contains(lst, F.col(value_col))
 
 
+#: Parts that the matches of one request are spread over.
+SALTS = 32
+
+
 def _page_cut(requests: DataFrame, expr) -> int:
     row = requests.agg(F.max(expr).alias("k")).first()
     return int(row["k"] or 0)
 
 
-def bulk_timeseries(stats: DataFrame, requests: DataFrame) -> DataFrame:
-    req = requests.where(F.col("kind") == "timeseries").select(
+def _salted(matched: DataFrame) -> DataFrame:
+    return matched.withColumn("salt", F.pmod(F.xxhash64("area_name", "year", "category"), F.lit(SALTS)).cast("int"))
+
+
+def timeseries_requests(requests: DataFrame) -> DataFrame:
+    return requests.where(F.col("kind") == "timeseries").select(
         "request_id", "pos", "indicator", "area_type", "areas", "categories", "year_from",
         "year_to", F.coalesce("limit", F.lit(50)).alias("limit"),
         F.coalesce("offset", F.lit(0)).alias("offset"))
+
+
+def timeseries_totals(dimensions: DataFrame, requests: DataFrame) -> DataFrame:
+    """request_id, total: from a table of years per scope and area (``years``),
+    in which a fact is a year."""
+    req = timeseries_requests(requests)
+    years = F.filter("years", lambda y: (F.col("year_from").isNull() | (y >= F.col("year_from")))
+                     & (F.col("year_to").isNull() | (y <= F.col("year_to"))))
+    return (dimensions.select("indicator", "area_type", "category", "area_name", "years")
+            .join(req, ["indicator", "area_type"])
+            .where(_list_ok("areas", "area_name") & _list_ok("categories", "category"))
+            .groupBy("request_id").agg(F.sum(F.size(years)).cast("long").alias("total")))
+
+
+def bulk_timeseries(stats: DataFrame, requests: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+    req = timeseries_requests(requests)
     matched = (stats.select("indicator", "area_type", "area_name", "year", "value", "unit",
                             "category")
                .join(req, ["indicator", "area_type"])
                .where(_list_ok("areas", "area_name") & _list_ok("categories", "category")
                       & (F.col("year_from").isNull() | (F.col("year") >= F.col("year_from")))
-                      & (F.col("year_to").isNull() | (F.col("year") <= F.col("year_to")))))
-    totals = matched.groupBy("request_id").agg(F.count(F.lit(1)).alias("total"))
-    k = _page_cut(req, F.col("offset") + F.col("limit"))
-    w = Window.partitionBy("request_id").orderBy("area_name", "year", "category")
-    # the constant cut right on row_number() lets Spark insert WindowGroupLimit
-    page = (matched.withColumn("rn", F.row_number().over(w))
-            .where(F.col("rn") <= F.lit(k))
-            .where((F.col("rn") > F.col("offset"))
-                   & (F.col("rn") <= F.col("offset") + F.col("limit")))
-            .select("request_id", F.col("area_name").alias("area"), "year", "value", "unit",
-                    "category", F.col("rn").cast("long").alias("rn")))
-    return (req.select("request_id", "pos", "limit", "offset")
-            .join(page, "request_id", "left")
-            .join(totals, "request_id", "left")
+                      & (F.col("year_to").isNull() | (F.col("year") <= F.col("year_to"))))
+               .select("request_id", "limit", "offset", "area_name", "year", "value", "unit", "category"))
+    order, part = ["area_name", "year", "category"], Window.partitionBy("request_id", "salt")
+    cut = F.col("offset") + F.col("limit")
+    ranked = _salted(matched).withColumn("part_rn", F.row_number().over(part.orderBy(*order)))
+    if totals is not None:
+        # the constant cut right on row_number() lets Spark insert WindowGroupLimit
+        ranked = ranked.where(F.col("part_rn") <= F.lit(_page_cut(req, cut)))
+    else:
+        ranked = ranked.withColumn("part_n", F.count(F.lit(1)).over(part))
+    kept = ranked.where(F.col("part_rn") <= F.greatest(cut, F.lit(1)))
+    whole = Window.partitionBy("request_id")
+    page = kept.withColumn("rn", F.row_number().over(whole.orderBy(*order)))
+    on_page = (F.col("rn") > F.col("offset")) & (F.col("rn") <= cut)
+    columns = [F.col("area_name").alias("area"), "year", "value", "unit", "category", F.col("rn").cast("long").alias("rn")]
+    if totals is not None:
+        return (req.select("request_id", "pos", "limit", "offset")
+                .join(page.where(on_page).select("request_id", *columns), "request_id", "left")
+                .join(totals, "request_id", "left")
+                .select("request_id", "pos", "area", "year", "value", "unit", "category", "rn",
+                        F.coalesce("total", F.lit(0)).alias("total"), "limit", "offset"))
+    # every part's first row brings the part's count; a request whose page is
+    # behind its last row keeps its first one, as the bearer of the total
+    page = page.withColumn("total", F.sum(F.when(F.col("part_rn") == 1, F.col("part_n")).otherwise(0)).over(whole))
+    bearer = (F.col("rn") == 1) & ((F.col("total") <= F.col("offset")) | (F.col("limit") <= 0))
+    rows = page.where(on_page | bearer).withColumn("on_page", on_page).select(
+        "request_id", "total", *[F.when(F.col("on_page"), c).alias(name) for c, name in (
+            (F.col("area_name"), "area"), *((F.col(x), x) for x in ("year", "value", "unit", "category")),
+            (F.col("rn").cast("long"), "rn"))])
+    return (req.select("request_id", "pos", "limit", "offset").join(rows, "request_id", "left")
             .select("request_id", "pos", "area", "year", "value", "unit", "category", "rn",
                     F.coalesce("total", F.lit(0)).alias("total"), "limit", "offset"))
 
@@ -90,11 +136,13 @@ def bulk_ranking(stats: DataFrame, requests: DataFrame) -> DataFrame:
                             "category")
                .join(req, ["indicator", "area_type", "year"])
                .where(_list_ok("areas", "area_name") & _list_ok("categories", "category")))
-    k = _page_cut(req, F.col("limit"))
     signed = F.when(F.col("order") == "asc", F.col("value")).otherwise(-F.col("value"))
-    w = Window.partitionBy("request_id").orderBy(signed, "area_name", "category")
-    page = (matched.withColumn("rn", F.row_number().over(w))
-            .where(F.col("rn") <= F.lit(k))
+    order = [signed, F.col("area_name"), F.col("category")]
+    # the constant cut lets Spark insert WindowGroupLimit; the request's own comes behind it
+    kept = (_salted(matched)
+            .withColumn("part_rn", F.row_number().over(Window.partitionBy("request_id", "salt").orderBy(*order)))
+            .where(F.col("part_rn") <= F.lit(_page_cut(req, F.col("limit")))).where(F.col("part_rn") <= F.col("limit")))
+    page = (kept.withColumn("rn", F.row_number().over(Window.partitionBy("request_id").orderBy(*order)))
             .where(F.col("rn") <= F.col("limit"))
             .select("request_id", F.col("area_name").alias("area"), "value", "unit", "category",
                     F.col("rn").cast("long").alias("rn")))
@@ -171,41 +219,97 @@ def first_invalid(stats: DataFrame, requests: DataFrame) -> DataFrame:
     return invalid_requests(stats, requests).orderBy("pos").limit(1)
 
 
+def _invalid_error(b) -> StatisticsValidationError:
+    return StatisticsValidationError(
+        f"Unknown {b['field']}: {b['value']}" if b["field"] != "range"
+        else "from must be <= to",
+        {"kind": "domain_validation", "field": b["field"], "value": b["value"],
+         "allowed": b["allowed"], "request_id": b["request_id"], "pos": b["pos"]})
+
+
 def assert_valid(stats: DataFrame, requests: DataFrame) -> None:
     bad = first_invalid(stats, requests).take(1)
     if bad:
-        b = bad[0]
-        raise StatisticsValidationError(
-            f"Unknown {b['field']}: {b['value']}" if b["field"] != "range"
-            else "from must be <= to",
-            {"kind": "domain_validation", "field": b["field"], "value": b["value"],
-             "allowed": b["allowed"], "request_id": b["request_id"], "pos": b["pos"]})
+        raise _invalid_error(bad[0])
+
+
+class KnownNames:
+    """The names of a store, fetched once: the same checks as
+    ``invalid_requests`` for the few items of a call, without a job."""
+
+    def __init__(self, scopes: list):
+        self.categories: dict[tuple, set] = {}
+        for r in scopes:
+            self.categories.setdefault((r["indicator"], r["area_type"]), set()).add(r["category"])
+        self.indicators = sorted({i for i, _ in self.categories})
+        self.area_types = sorted({t for _, t in self.categories})
+
+    def invalid(self, item) -> dict | None:
+        """The first failing check of an item: range, indicator, area type, category."""
+        low, high, pair = item["year_from"], item["year_to"], (item["indicator"], item["area_type"])
 
+        def error(field, value, allowed):
+            return {"field": field, "value": value, "allowed": allowed, "request_id": item["request_id"], "pos": item["pos"]}
 
-def check_bounds(requests: DataFrame) -> None:
+        if low is not None and high is not None and low > high:
+            return error("range", f"{low}>{high}", None)
+        if pair[0] not in self.indicators:
+            return error("indicator", pair[0], self.indicators)
+        if pair[1] not in self.area_types:
+            return error("areaType", pair[1], self.area_types)
+        known = self.categories.get(pair, set())
+        unknown = [c for c in item["categories"] or [] if c not in known]
+        return error("category", unknown[0], sorted(known)) if unknown else None
+
+    def check(self, items: list) -> None:
+        for item in sorted(items, key=lambda r: (r["pos"], r["request_id"])):
+            bad = self.invalid(item) if item["kind"] in ("timeseries", "ranking") else None
+            if bad:
+                raise _invalid_error(bad)
+
+
+def check_bounds(requests: DataFrame) -> list:
     """The limits of a bulk call: 1..25 items; per item a known kind, the limit
-    of its kind, an offset from 0 on, an order of asc or desc.  One aggregate;
-    the first violation by position is raised."""
-    limit, kind = F.col("limit"), F.col("kind")
-    checks = [
-        ("kind", ~kind.isin("timeseries", "ranking", "capabilities"), kind),
-        ("limit", (kind == "timeseries") & ~limit.between(PAGINATION_LIMIT_MIN, PAGINATION_LIMIT_MAX), limit),
-        ("limit", (kind == "ranking") & ~limit.between(RANKING_LIMIT_MIN, RANKING_LIMIT_MAX), limit),
-        ("offset", F.col("offset") < 0, F.col("offset")),
-        ("order", ~F.col("order").isin("asc", "desc"), F.col("order"))]
-    first = F.coalesce(*[F.when(bad, F.struct(F.lit(field).alias("field"), value.cast("string").alias("value")))
-                         for field, bad, value in checks])
-    found = requests.agg(F.count(F.lit(1)).alias("n"), F.min(F.when(first.isNotNull(), F.struct(
-        "pos", "request_id", first.alias("e")))).alias("bad")).first()
-    if not 1 <= found["n"] <= BULK_ITEMS_MAX:
-        raise StatisticsValidationError(f"a bulk call has 1..{BULK_ITEMS_MAX} items, not {found['n']}",
-                                        {"kind": "bounds", "field": "items", "value": found["n"]})
-    if found["bad"] is not None:
-        b = found["bad"]
-        raise StatisticsValidationError(
-            f"item {b['pos']}: {b['e']['field']} is out of bounds: {b['e']['value']}",
-            {"kind": "bounds", "field": b["e"]["field"], "value": b["e"]["value"],
-             "request_id": b["request_id"], "pos": b["pos"]})
+    of its kind, an offset from 0 on, an order of asc or desc.  The first
+    violation by position is raised; else the items, which are that few."""
+    items = requests.limit(BULK_ITEMS_MAX + 1).collect()
+    n = len(items) if len(items) <= BULK_ITEMS_MAX else requests.count()
+    if not 1 <= n <= BULK_ITEMS_MAX:
+        raise StatisticsValidationError(f"a bulk call has 1..{BULK_ITEMS_MAX} items, not {n}",
+                                        {"kind": "bounds", "field": "items", "value": n})
+    most = {"timeseries": (PAGINATION_LIMIT_MIN, PAGINATION_LIMIT_MAX), "ranking": (RANKING_LIMIT_MIN, RANKING_LIMIT_MAX)}
+    for item in sorted(items, key=lambda r: (r["pos"], r["request_id"])):
+        low, high = most.get(item["kind"], (None, None))
+        for field, bad in (("kind", item["kind"] not in (*most, "capabilities")),
+                           ("limit", low is not None and item["limit"] is not None and not low <= item["limit"] <= high),
+                           ("offset", item["offset"] is not None and item["offset"] < 0),
+                           ("order", item["order"] is not None and item["order"] not in ("asc", "desc"))):
+            if bad:
+                value = str(item[field])
+                raise StatisticsValidationError(
+                    f"item {item['pos']}: {field} is out of bounds: {value}",
+                    {"kind": "bounds", "field": field, "value": value, "request_id": item["request_id"],
+                     "pos": item["pos"]})
+    return items
+
+
+def of_items(stats: DataFrame, items: list) -> DataFrame:
+    """Only the rows of the scopes and years that the items (of one call) ask
+    for: predicates on literals, which prune partitions and row groups."""
+    wanted = None
+    for pair in sorted({(r["indicator"], r["area_type"]) for r in items if r["kind"] in ("timeseries", "ranking")}, key=str):
+        mine = [r for r in items if (r["indicator"], r["area_type"]) == pair and r["kind"] in ("timeseries", "ranking")]
+        test = (F.col("indicator") == F.lit(pair[0])) & (F.col("area_type") == F.lit(pair[1]))
+        if all(r["categories"] for r in mine):
+            test &= F.col("category").isin(sorted({c for r in mine for c in r["categories"]}))
+        first = [r["year"] if r["kind"] == "ranking" else r["year_from"] for r in mine]
+        last = [r["year"] if r["kind"] == "ranking" else r["year_to"] for r in mine]
+        if None not in first:
+            test &= F.col("year") >= min(first)
+        if None not in last:
+            test &= F.col("year") <= max(last)
+        wanted = test if wanted is None else wanted | test
+    return stats.where(F.lit(False) if wanted is None else wanted)
 
 
 def normalize_lists(df: DataFrame, column: str, max_token: int) -> DataFrame:

@@ -6,10 +6,21 @@ scopes*: ``target LEFT ANTI scopes  UNION  staged``.  A scope with no staged
 row is emptied too.
 
 Storage without a transactional table format: facts are appended as Parquet
-partitioned by ``indicator/area_type/category/import_run_id``; nothing is
-visible until one small ledger event maps every scope of the import to the
+partitioned by ``import_run_id/indicator/area_type/category``; nothing is
+visible until one entry of the commit log maps every scope of the import to the
 run id.  Readers keep, per scope, the latest published run.  A failed run
-writes no ``published`` event, so old data stays.
+writes no entry, so old data stays.
+
+Several writers may publish at once: entries are numbered, a number is created
+by one writer only, and the loser of a race tries the next one
+(``commit_log``).  A writer that depends on what it has read passes the number
+it has read at (``commit(read_at=)``) and is refused if one of its scopes has
+been published since.
+
+Next to the facts, each run keeps what readers need instead of a scan: the
+years of every area of a scope (``areas``), the rows and area range of every
+file and year (``files``), and the input files it read (``manifest``).  They are
+written before the entry, from the run's area and year columns alone.
 
 What keeps published rows safe:
 
@@ -18,23 +29,29 @@ What keeps published rows safe:
   replacement is older than a stated retention; never for open or unknown runs;
 * a folder is empty only if the file system says that it does not exist;
   every other error of the store is raised;
-* an event's sequence number is above every number in the ledger, so a writer
+* an entry's sequence number is above that of the entry before, so a writer
   whose clock is late still publishes last; compaction folds only days that
-  have been closed for ``OPEN_DAYS``, and events for folded days are refused.
+  have been closed for ``OPEN_DAYS``, and events for folded days are refused;
+* a run that is published is never marked as failed, also when the call that
+  published it raised.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import time
+import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statlake.functions.columns import year_in_range
+from statlake.operators.commit_log import CommitConflictError, CommitLog, Files
 from statlake.operators.observe import observed
-from statlake.operators.quality import duplicate_keys, non_finite
+from statlake.operators.quality import non_finite
 from statlake.operators.reshape import DatasetImportError, RunContext
 from statlake.schema import (
     ERROR_MESSAGE_MAX,
@@ -46,8 +63,9 @@ from statlake.schema import (
     STAT_SCHEMA,
 )
 
-# Ledger events as stored (one folder per day).
-_EVENT_SCHEMA = T.StructType(LEDGER_SCHEMA.fields + [T.StructField("event_day", T.StringType())])
+# Events as stored: one folder per day, publishes in the numbered commit log.
+_EVENT_SCHEMA = T.StructType(LEDGER_SCHEMA.fields + [T.StructField("event_day", T.StringType()),
+                                                     T.StructField("number", T.LongType())])
 
 # binaryFile listing of the fact folder with its partition columns.
 _LISTING_SCHEMA = T.StructType([
@@ -61,6 +79,11 @@ _LISTING_SCHEMA = T.StructType([
     T.StructField("import_run_id", T.StringType()),
 ])
 
+_AREAS_SCHEMA = "indicator string, area_type string, category string, area_name string, years array<int>, rows long, import_run_id string"
+_FILES_SCHEMA = ("indicator string, area_type string, category string, year int, file string, first_area string, "
+                 "last_area string, rows long, import_run_id string")
+_MANIFEST_SCHEMA = "path string, size long, mtime_ms long, import_run_id string"
+
 # Ledger days younger than this many whole days are never folded.
 OPEN_DAYS = 2
 # Replaced partitions are kept this long for readers of older snapshots.
@@ -126,49 +149,90 @@ class FactStore:
         self.facts_path = f"{self.root}/facts"
         self.ledger_path = f"{self.root}/ledger"
         self.state_path = f"{self.root}/ledger_state"
+        self.areas_path = f"{self.root}/areas"
+        self.files_path = f"{self.root}/files"
+        self.manifest_path = f"{self.root}/manifest"
+        self.files = Files(spark)
+        self.log = CommitLog(self.files, f"{self.root}/log")
 
     # -- files
     def _hadoop(self, path: str):
-        """(file system, path) of the JVM for ``path``."""
-        sc = self.spark.sparkContext
-        p = sc._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
+        return self.files.hadoop(path)
 
     def _exists(self, path: str) -> bool:
         """Whether ``path`` exists; any error of the storage is raised."""
         fs, p = self._hadoop(path)
         return fs.exists(p)
 
+    def _run_folder(self, base: str, run_id: str) -> str:
+        escape = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        return f"{base}/import_run_id={escape(run_id)}"
+
+    def _of_runs(self, base: str, schema, run_ids: list[str]) -> DataFrame:
+        """The rows of some runs; folders of other runs are not even listed."""
+        folders = [self._run_folder(base, r) for r in run_ids]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*folders)
+
     # -- ledger
-    def _event(self, run: RunContext, status: str, row_count=None, error=None, scopes=None):
+    def version(self) -> int:
+        """The number of the last publish."""
+        return self.log.last()
+
+    def _event(self, run: RunContext, status: str, row_count=None, error=None, scopes=None, read_at=None):
+        """Record an event of a run: a file of its own, or, for a publish, the
+        next entry of the commit log."""
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        day = now.strftime("%Y-%m-%d")
         folded = self._folded_day()
-        if folded is not None and now.strftime("%Y-%m-%d") <= folded:
+        if folded is not None and day <= folded:
             raise DatasetImportError(
                 f"the clock of this writer ({now:%Y-%m-%d}) is behind the ledger, which is folded "
                 f"up to {folded}")
-        seq = time.time_ns()
-        if status == "published":
-            last = self.runs().agg(F.max("seq")).first()[0]
-            seq = max(seq, (last or 0) + 1)
-        row = (run.run_id, run.dataset_id, run.data_version, status, row_count,
-               None if error is None else str(error)[:ERROR_MESSAGE_MAX], now, seq,
-               [tuple(s) for s in scopes] if scopes is not None else None)
-        # one tiny file per event, in a folder per day; the job commit makes
-        # it visible atomically
-        (self.spark.createDataFrame([row], LEDGER_SCHEMA)
-         .withColumn("event_day", F.lit(now.strftime("%Y-%m-%d")))
-         .coalesce(1).write.mode("append").partitionBy("event_day").json(self.ledger_path))
-
-    def events(self, after_day: str | None = None) -> DataFrame:
-        """Ledger events, all or those of days after ``after_day`` (which prunes
-        the day folders).  A damaged event raises."""
-        if not self._exists(self.ledger_path):
+        event = {"run_id": run.run_id, "dataset_id": run.dataset_id, "data_version": run.data_version, "status": status,
+                 "row_count": row_count, "error_message": None if error is None else str(error)[:ERROR_MESSAGE_MAX],
+                 "event_ts": now.strftime("%Y-%m-%dT%H:%M:%S.%fZ"), "event_day": day}
+        if status != "published":
+            event |= {"seq": time.time_ns(), "scopes": None}
+            self.files.put(f"{self.ledger_path}/event_day={day}/{uuid.uuid4().hex}.json",
+                           (json.dumps(event) + "\n").encode())
+            return None
+        event["scopes"] = [dict(zip(("indicator", "area_type", "category", "rows", "loaded_at", "years"), x))
+                           | {"loaded_at": x[4].strftime("%Y-%m-%dT%H:%M:%S.%f")} for x in scopes]
+        mine = {tuple(x[:3]) for x in scopes}
+        seen = read_at
+
+        def prepare(number: int, before: dict | None) -> dict:
+            nonlocal seen
+            while seen is not None and seen < number - 1:   # what others have published since
+                seen += 1
+                theirs = {(s["indicator"], s["area_type"], s["category"]) for s in self.log.read(seen)["scopes"]}
+                if theirs & mine:
+                    raise CommitConflictError(f"publish {seen} replaced {sorted(theirs & mine)[:3]} after this run had read "
+                                              f"publish {read_at}")
+            # read time: the entry before has a smaller one
+            return event | {"number": number, "seq": max(time.time_ns(), before["seq"] + 1 if before else 0)}
+
+        return self.log.append(prepare)
+
+    def _json(self, folders: list[str], base: str) -> DataFrame:
+        """Events of some folders; a damaged one raises."""
+        if not folders:
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
-        ev = self.spark.read.schema(_EVENT_SCHEMA).option("mode", "FAILFAST").json(self.ledger_path)
-        if after_day is not None:
-            ev = ev.where(F.col("event_day") > F.lit(after_day))
-        return ev.select(*LEDGER_SCHEMA.fieldNames())
+        return (self.spark.read.schema(_EVENT_SCHEMA).option("mode", "FAILFAST").option("basePath", base).json(folders))
+
+    def events(self, after_day: str | None = None, after_number: int = 0) -> DataFrame:
+        """All events, or those of days after ``after_day`` and publishes after
+        ``after_number`` (earlier folders are not listed)."""
+        days = [f"{self.ledger_path}/{d}" for d in self.files.names(self.ledger_path)
+                if after_day is None or d.partition("=")[2] > after_day] if self._exists(self.ledger_path) else []
+        own = self._json(days, self.ledger_path).select(*LEDGER_SCHEMA.fieldNames())
+        entries = self.log.paths_after(after_number)
+        if not entries:
+            return own
+        published = self._json(entries, self.log.root).where(F.col("number") > after_number)
+        return own.unionByName(published.select(*LEDGER_SCHEMA.fieldNames()))
 
     def _folded_day(self) -> str | None:
         """The last day that a complete compaction has folded, or None."""
@@ -179,14 +243,20 @@ class FactStore:
                 if self._exists(f"{self.state_path}/{f.getPath().getName()}/_SUCCESS")]
         return max(days, default=None)
 
+    def _folded_number(self, day: str) -> int:
+        """The last publish that the compaction up to ``day`` has folded."""
+        fs, p = self._hadoop(f"{self.state_path}/upto_day={day}")
+        marks = [f.getPath().getName() for f in fs.listStatus(p)]
+        return max([int(m.rpartition("_")[2]) for m in marks if m.startswith("_publishes_")], default=0)
+
     def runs(self) -> DataFrame:
         """Current state per run: the newest compacted state plus all events of
-        the days after it (older day folders are not read)."""
+        the days and publishes after it (older folders are not read)."""
         day = self._folded_day()
         if day is None:
             return run_state(self.events())
         state = self.spark.read.schema(LEDGER_SCHEMA).parquet(f"{self.state_path}/upto_day={day}")
-        return run_state(state.unionByName(self.events(after_day=day)))
+        return run_state(state.unionByName(self.events(day, self._folded_number(day))))
 
     def compact_ledger(self, today: dt.date | None = None) -> str | None:
         """Fold the events of all days closed for ``OPEN_DAYS`` into one state;
@@ -196,38 +266,50 @@ class FactStore:
         before = self._folded_day()
         if not self._exists(self.ledger_path) or (before is not None and before >= upto):
             return before
-        closed = (self.spark.read.schema(_EVENT_SCHEMA).option("mode", "FAILFAST").json(self.ledger_path)
-                  .where(F.col("event_day") <= F.lit(upto)))
-        if before is not None:
-            closed = closed.where(F.col("event_day") > F.lit(before))
-        state = closed.select(*LEDGER_SCHEMA.fieldNames())
+        folders = [f"{self.ledger_path}/{d}" for d in self.files.names(self.ledger_path)
+                   if (before or "") < d.partition("=")[2] <= upto]
+        folded = self._folded_number(before) if before is not None else 0
+        # publishes up to the first one of an open day
+        entries = self._json(self.log.paths_after(folded), self.log.root)
+        upper = folded
+        if "number" in entries.columns:
+            entries = entries.where(F.col("number") > folded)
+            least = entries.agg(F.min(F.when(F.col("event_day") > upto, F.col("number"))).alias("open"),
+                                F.max("number").alias("last")).first()
+            upper = least["open"] - 1 if least["open"] is not None else least["last"] or folded
+            entries = entries.where(F.col("number") <= upper)
+        names = LEDGER_SCHEMA.fieldNames()
+        state = self._json(folders, self.ledger_path).select(*names).unionByName(entries.select(*names))
         if before is not None:
             state = state.unionByName(self.spark.read.schema(LEDGER_SCHEMA).parquet(
                 f"{self.state_path}/upto_day={before}"))
-        run_state(state).select(*LEDGER_SCHEMA.fieldNames()).write.mode("overwrite").parquet(
-            f"{self.state_path}/upto_day={upto}")
+        target = f"{self.state_path}/upto_day={upto}"
+        run_state(state).select(*names).write.mode("overwrite").parquet(target)
+        # without this mark all publishes are read again, which changes nothing
+        self.files.put(f"{target}/_publishes_{upper}", b"")
         return upto
 
-    def current_scopes(self) -> DataFrame:
-        """Per scope, the run id of its latest published import."""
-        pub = (self.runs().where(F.col("status") == "published")
+    def current_scopes(self, runs: DataFrame | None = None) -> DataFrame:
+        """Per scope, the run id of its latest published import.  ``runs``: a
+        kept result of ``runs()``, so that several reads see the same state."""
+        pub = ((self.runs() if runs is None else runs).where(F.col("status") == "published")
                .select("run_id", "seq", F.explode("scopes").alias("s")))
         return (pub.groupBy(F.col("s.indicator").alias("indicator"),
                             F.col("s.area_type").alias("area_type"),
                             F.col("s.category").alias("category"))
                 .agg(F.max_by("run_id", "seq").alias("import_run_id")))
 
-    def scope_table(self) -> DataFrame:
-        """What is published, from the ledger alone: per scope its run, rows (NULL
-        where the run did not count them), load time and data version.  Scopes
-        that were emptied are left out.  It has the dimension columns of the
-        facts, so lists and domain checks read it in their place."""
-        pub = (self.runs().where(F.col("status") == "published")
+    def scope_table(self, runs: DataFrame | None = None) -> DataFrame:
+        """What is published, from the ledger alone: per scope its run, rows, load
+        time, data version and years.  Scopes that were emptied are left out.
+        It has the dimension columns of the facts, so lists and domain checks
+        read it in their place."""
+        pub = ((self.runs() if runs is None else runs).where(F.col("status") == "published")
                .select("run_id", "seq", "data_version", F.explode("scopes").alias("s")))
         latest = pub.groupBy(*[F.col(f"s.{c}").alias(c) for c in SCOPE]).agg(
-            F.max_by(F.struct("run_id", "s.rows", "s.loaded_at", "data_version"), "seq").alias("x"))
+            F.max_by(F.struct("run_id", "s.rows", "s.loaded_at", "s.years", "data_version"), "seq").alias("x"))
         return (latest.select(*SCOPE, F.col("x.run_id").alias("import_run_id"), "x.rows", "x.loaded_at",
-                              "x.data_version")
+                              "x.data_version", "x.years")
                 .where(F.col("rows").isNull() | (F.col("rows") > 0)))
 
     def raw_facts(self) -> DataFrame:
@@ -241,30 +323,59 @@ class FactStore:
                 .join(self.current_scopes(), [*SCOPE, "import_run_id"], "left_semi")
                 .select(*STAT_COLUMNS))
 
-    def snapshot(self) -> DataFrame:
-        """The published fact table pinned to the scope map of this moment.
-
-        A run that still owns all its scopes is visible as a whole: its id is in
-        an ``IN`` list.  Of a run that owns only some, those scopes are listed.
-        Both lists are predicates on partition columns alone, so a query reads
-        no ledger, joins nothing, and prunes superseded runs and (by its own
-        filters) other scopes at planning time.  One plan for any number of
-        scopes."""
-        declared = (self.runs().where(F.col("status") == "published")
+    def visible(self, runs: DataFrame | None = None) -> "Visible":
+        """Which scopes of which runs are published at this moment."""
+        runs = self.runs() if runs is None else runs
+        declared = (runs.where(F.col("status") == "published")
                     .select(F.col("run_id").alias("import_run_id"), F.size("scopes").alias("declared")))
-        owned = self.current_scopes().withColumn("key", F.concat_ws("\x1f", *SCOPE, "import_run_id"))
+        owned = self.current_scopes(runs).withColumn("key", F.concat_ws("\x1f", *SCOPE, "import_run_id"))
         owners = (owned.groupBy("import_run_id").agg(F.count(F.lit(1)).alias("owned"), F.collect_list("key").alias("keys"))
                   .join(declared, "import_run_id")
                   .select("import_run_id", (F.col("owned") == F.col("declared")).alias("whole"),
                           F.when(F.col("owned") != F.col("declared"), F.col("keys")).alias("keys")).collect())
-        whole = [r["import_run_id"] for r in owners if r["whole"]]
-        partly = [k for r in owners if not r["whole"] for k in r["keys"]]
-        if not owners:
+        return Visible([r["import_run_id"] for r in owners if r["whole"]],
+                       {r["import_run_id"]: r["keys"] for r in owners if not r["whole"]})
+
+    def snapshot(self, visible: "Visible | None" = None) -> DataFrame:
+        """The published fact table pinned to the scope map of this moment.
+
+        A run that still owns all its scopes is visible as a whole: its id is in
+        an ``IN`` list.  Of a run that owns only some, those scopes are listed.
+        Both lists are predicates on partition columns alone, so a query reads
+        no ledger, joins nothing, and prunes (by its own filters) other scopes
+        at planning time; folders of superseded runs are not listed.  One plan
+        for any number of scopes."""
+        return self._pinned(self.facts_path, STAT_SCHEMA, visible).select(*STAT_COLUMNS)
+
+    def _pinned(self, base: str, schema, visible: "Visible | None") -> DataFrame:
+        visible = visible or self.visible()
+        rows = self._of_runs(base, schema, visible.run_ids)
+        return rows.where(visible.predicate()) if visible.run_ids else rows
+
+    def dimensions(self, visible: "Visible | None" = None) -> DataFrame:
+        """Per scope and area its years: what is published, without a fact."""
+        return self._pinned(self.areas_path, _AREAS_SCHEMA, visible)
+
+    def file_directory(self, visible: "Visible | None" = None) -> DataFrame:
+        """Per scope, year and fact file its rows and its first and last area."""
+        return self._pinned(self.files_path, _FILES_SCHEMA, visible)
+
+    def of_files(self, entries) -> DataFrame:
+        """The rows of the facts in some files of the directory, others unread."""
+        paths = sorted({unquote(e["file"]) for e in entries})   # metadata has them as URIs
+        if not paths:
             return self.spark.createDataFrame([], STAT_SCHEMA)
-        visible = F.col("import_run_id").isin(whole) if whole else F.lit(False)
-        if partly:
-            visible = visible | F.concat_ws("\x1f", *SCOPE, "import_run_id").isin(partly)
-        return self.raw_facts().where(visible).select(*STAT_COLUMNS)
+        return self.spark.read.schema(STAT_SCHEMA).option("basePath", self.facts_path).parquet(*paths).select(*STAT_COLUMNS)
+
+    def manifest(self, dataset_id: str | None = None) -> DataFrame:
+        """The input files of the latest published run of each dataset (or of
+        one): path, size, mtime_ms, import_run_id."""
+        runs = self.runs().where(F.col("status") == "published")
+        if dataset_id is not None:
+            runs = runs.where(F.col("dataset_id") == dataset_id)
+        latest = runs.groupBy("dataset_id").agg(F.max_by("run_id", "seq").alias("run_id")).collect()
+        known = [r["run_id"] for r in latest if self._exists(self._run_folder(self.manifest_path, r["run_id"]))]
+        return self._of_runs(self.manifest_path, _MANIFEST_SCHEMA, known)
 
     def _listing(self) -> DataFrame:
         """One row per file: its folder and partition values; contents are never read."""
@@ -306,7 +417,8 @@ class FactStore:
             return 0
         if self.runs().where((F.col("run_id") == run.run_id) & (F.col("status") == "published")).take(1):
             raise DatasetImportError(f"run {run.run_id} is published; its files stay")
-        return self._drop_folders(self._listing().where(F.col("import_run_id") == F.lit(run.run_id)), False)
+        return sum(self.files.delete(self._run_folder(base, run.run_id))
+                   for base in (self.facts_path, self.areas_path, self.files_path, self.manifest_path))
 
     def drop_superseded(self, dry_run: bool = True, retention: dt.timedelta = RETENTION) -> int:
         """Delete the folders that ``superseded`` lists; returns how many."""
@@ -319,22 +431,27 @@ class FactStore:
         self._event(run, "started")
 
     def fail(self, run: RunContext, error: Exception) -> None:
-        self._event(run, "failed", error=error)
+        """Mark a run as failed, unless it is published after all."""
+        if not self.runs().where((F.col("run_id") == run.run_id) & (F.col("status") == "published")).take(1):
+            self._event(run, "failed", error=error)
 
     def commit(self, staged: DataFrame, run: RunContext, scopes=None,
-               check_duplicates: bool = False, after_write=()) -> int:
-        """Append staged rows under the run id, check them, then commit one
-        ledger event for every scope.  Returns the published row count.
-        Raises (and publishes nothing) on zero rows, constraint violations or
-        rows outside the declared scopes.
-
-        The checks (row count, NULLs, non-finite values, year range and, if
-        no scopes are given, the scopes written) are observed *during* the
-        write: one pass over the data, no read-back.  Key uniqueness holds by
-        construction for staged imports (keep-last on the final key); pass
-        ``check_duplicates`` for frames of unknown origin (one extra
-        aggregate over the written partitions).  ``after_write`` callables
-        (checks observed in the same job) run before anything is published."""
+               check_duplicates: bool = False, after_write=(), sources: DataFrame | None = None,
+               read_at: int | None = None) -> int:
+        """Append staged rows under the run id, check them, then commit one log
+        entry for every scope.  Returns the published row count.  Raises (and
+        publishes nothing) on zero rows, constraint violations, rows outside
+        the declared scopes, or a conflict with ``read_at``.
+
+        The checks (row count, NULLs, non-finite values, year range and rows
+        outside the scopes) are observed *during* the write: one pass over the
+        rows.  Rows and years per scope and the uniqueness of keys come from the
+        summaries, grouped aggregates over the written area and year columns;
+        their cost does not depend on the number of scopes.  ``after_write``
+        callables (checks observed in the same job) run before anything is
+        published.  ``sources``: the input files (path, size, mtime_ms), kept as
+        the run's manifest.  ``check_duplicates`` is kept for callers; keys are
+        always checked."""
         # observed in the write's final stage: each task's metrics are applied
         # once, also when lost executors force task retries
         obs = Observation(f"commit-{run.run_id}")
@@ -348,11 +465,6 @@ class FactStore:
             declared = ["\x1f".join(s) for s in scopes]
             metrics.append(F.count_if(~mark.isin(declared) if declared else F.lit(True))
                            .alias("rows_outside_the_scopes"))
-            # rows per scope for the ledger; as many metrics as the spec has scopes
-            metrics += [F.count_if(mark == d).alias(f"scope_{i}") for i, d in enumerate(declared)]
-        else:
-            # bounded by the number of scopes, not by rows
-            metrics.append(F.collect_set(F.struct(*SCOPE)).alias("scopes"))
         # Range-cluster on (scope, year, area) before writing: each task then
         # writes one contiguous key range (about one file per task instead of
         # one per scope per task), a hot scope is split by year/area across
@@ -365,31 +477,62 @@ class FactStore:
                 .observe(obs, *metrics))
         (rows.sortWithinPartitions(*order)
          .write.mode("append")
-         .partitionBy("indicator", "area_type", "category", "import_run_id")
+         .partitionBy("import_run_id", "indicator", "area_type", "category")
          .parquet(self.facts_path))
         for verify in after_write:
             verify()
         check = observed(obs)
         if check is None:
             # the metrics did not arrive: compute them from this run's partitions
-            written = self.raw_facts().where(F.col("import_run_id") == F.lit(run.run_id))
-            check = written.agg(*metrics).first().asDict()
+            check = self._of_runs(self.facts_path, STAT_SCHEMA, [run.run_id]).agg(*metrics).first().asDict()
         n = check.pop("rows")
-        counted = {i: check.pop(f"scope_{i}") for i in range(len(scopes or []))}
-        written_scopes = check.pop("scopes", None)
         if n == 0:
             raise DatasetImportError(
                 f"nothing to publish: dataset {run.dataset_id} gave no row, published rows stay")
-        if check_duplicates:
-            written = self.raw_facts().where(F.col("import_run_id") == F.lit(run.run_id))
-            check["duplicate_keys"] = duplicate_keys(written).count()
         bad = {k: v for k, v in check.items() if v}
         if bad:
             raise DatasetImportError(f"staged rows violate constraints: {bad}")
-        if scopes is None:
-            # rows per scope are known if there is one scope only
-            owned = [(*r, n if len(written_scopes) == 1 else None, run.loaded_at) for r in written_scopes]
-        else:
-            owned = [(*s, counted[i], run.loaded_at) for i, s in enumerate(scopes)]
-        self._event(run, "published", row_count=n, scopes=owned)
+        keys, found = self._summarise(run)
+        if keys != n:
+            raise DatasetImportError(f"staged rows violate constraints: {{'duplicate_keys': {n - keys}}}")
+        if sources is not None:
+            sources.select("path", "size", "mtime_ms").write.parquet(self._run_folder(self.manifest_path, run.run_id))
+        owned = [(*scope, found[scope]["rows"] if scope in found else 0, run.loaded_at,
+                  found[scope]["years"] if scope in found else [])
+                 for scope in (map(tuple, scopes) if scopes is not None else sorted(found))]
+        self._event(run, "published", row_count=n, scopes=owned, **({"read_at": read_at} if read_at is not None else {}))
         return n
+
+    def _summarise(self, run: RunContext) -> tuple[int, dict[tuple, dict]]:
+        """Write a run's ``areas`` and ``files``; the number of distinct keys,
+        and per scope its rows and years."""
+        written = self._of_runs(self.facts_path, STAT_SCHEMA, [run.run_id])
+        obs, distinct = Observation(f"areas-{run.run_id}"), F.sum(F.size("years")).alias("keys")
+        # sorted by scope and area, so that a lookup reads few row groups
+        areas = (written.groupBy(*SCOPE, "area_name").agg(
+            F.sort_array(F.collect_set("year")).alias("years"), F.count(F.lit(1)).alias("rows"))
+            .repartitionByRange(*SCOPE, "area_name").observe(obs, distinct).sortWithinPartitions(*SCOPE, "area_name"))
+        areas.write.parquet(self._run_folder(self.areas_path, run.run_id))
+        keys = (observed(obs) or self._of_runs(self.areas_path, _AREAS_SCHEMA, [run.run_id]).agg(distinct).first().asDict())["keys"]
+        # one row per file and year: as many as there are files, times the years in each
+        path = self._run_folder(self.files_path, run.run_id)
+        (written.groupBy(*SCOPE, "year", F.col("_metadata.file_path").alias("file"))
+         .agg(F.min("area_name").alias("first_area"), F.max("area_name").alias("last_area"), F.count(F.lit(1)).alias("rows"))
+         .write.parquet(path))
+        per_scope = (self.spark.read.parquet(path).groupBy(*SCOPE)
+                     .agg(F.sum("rows").alias("rows"), F.sort_array(F.collect_set("year")).alias("years")).collect())
+        return keys, {tuple(r[c] for c in SCOPE): {"rows": r["rows"], "years": list(r["years"])} for r in per_scope}
+
+
+class Visible:
+    """Which runs, and of some of them which scopes, are published."""
+
+    def __init__(self, whole: list[str], partly: dict[str, list[str]]):
+        self.whole, self.partly = whole, partly
+        self.run_ids = [*whole, *partly]
+
+    def predicate(self):
+        """On the partition columns of a store's tables."""
+        seen = F.col("import_run_id").isin(self.whole) if self.whole else F.lit(False)
+        keys = [k for some in self.partly.values() for k in some]
+        return seen | F.concat_ws("\x1f", *SCOPE, "import_run_id").isin(keys) if keys else seen

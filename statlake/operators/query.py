@@ -106,13 +106,15 @@ def page_areas(page: DataFrame, collation: str | None = None) -> DataFrame:
 
 
 def page_meta(filtered: DataFrame, limit: int | None, offset: int = 0,
-              distinct_column: str | None = None) -> DataFrame:
-    """One row ``total, limit, offset, has_more`` for a filtered set.
+              distinct_column: str | None = None, total: Column | None = None) -> DataFrame:
+    """One row ``total, limit, offset, has_more`` for a filtered set (``total``:
+    its size where rows stand for several).
 
     ``distinct_column`` counts distinct values (lists of years / indicators);
     with ``limit=None`` the list is unpaged: limit = total, has_more = false.
     """
-    total = (F.count_distinct(distinct_column) if distinct_column else F.count(F.lit(1)))
+    if total is None:
+        total = (F.count_distinct(distinct_column) if distinct_column else F.count(F.lit(1)))
     agg = filtered.agg(total.alias("total"))
     tot = F.col("total")
     if limit is None:

@@ -674,6 +674,78 @@ def store_timeseries(spark, sf_dir):
                                                   limit=300, offset=40)[0]
 
 
+PUBLISHED_SQL = f"""
+published AS (SELECT {CORE_SQL} FROM stats WHERE NOT {SCOPES_SQL} UNION ALL SELECT {CORE_SQL} FROM staged)"""
+
+
+@register("store_years", with_stats("""
+SELECT 'all' AS asked, year FROM published
+UNION SELECT 'customer counts', year FROM published WHERE indicator = 'order_count' AND area_type = 'customer'
+UNION SELECT 'one area', year FROM published WHERE area_type = 'customer' AND area_name = 'Customer#000000007'
+UNION SELECT 'one category', year FROM published WHERE category = '1-URGENT' AND area_type = 'customer'
+UNION SELECT 'page', year FROM (SELECT DISTINCT year FROM published ORDER BY year LIMIT 2 OFFSET 3)
+UNION SELECT 'total of ' || CAST(count(DISTINCT year) AS VARCHAR), NULL FROM published WHERE area_type = 'nation'
+""", STAGED_SQL, PUBLISHED_SQL))
+def store_years(spark, sf_dir):
+    """Year lists of a store, with and without an area; no fact is read."""
+    s = _service(spark, sf_dir)
+    asked = {"all": {}, "customer counts": {"indicator": "order_count", "area_type": "customer"},
+             "one area": {"area_type": "customer", "area": "Customer#000000007"},
+             "one category": {"category": "1-URGENT", "area_type": "customer"}, "page": {"limit": 2, "offset": 3}}
+    out = s.list_years(area_type="nation")[1].select(F.concat(F.lit("total of "), "total").alias("asked"),
+                                                     F.lit(None).cast("int").alias("year"))
+    for name, filters in asked.items():
+        out = out.unionByName(s.list_years(**filters)[0].select(F.lit(name).alias("asked"), "year"))
+    return out
+
+
+@register("store_year_meta", with_stats("""
+SELECT area_type, string_agg(DISTINCT indicator, ',' ORDER BY indicator) AS indicators,
+       string_agg(DISTINCT category, ',' ORDER BY category) AS categories,
+       string_agg(DISTINCT area_name, ',' ORDER BY area_name) AS areas
+FROM published WHERE year = 1998 GROUP BY area_type""", STAGED_SQL, PUBLISHED_SQL))
+def store_year_meta(spark, sf_dir):
+    out = _service(spark, sf_dir).get_year_meta(1998)
+    return out.select("area_type", *[F.array_join(c, ",").alias(c) for c in ("indicators", "categories", "areas")])
+
+
+@register("store_indicator_meta", with_stats("""
+SELECT area_type, 'year' AS field, CAST(year AS VARCHAR) AS value FROM published WHERE indicator = 'order_count'
+UNION SELECT area_type, 'category', category FROM published WHERE indicator = 'order_count'
+UNION SELECT area_type, 'area', area_name FROM published WHERE indicator = 'order_count'""", STAGED_SQL, PUBLISHED_SQL))
+def store_indicator_meta(spark, sf_dir):
+    return _service(spark, sf_dir).get_indicator_meta_long("order_count")
+
+
+@register("store_capabilities", with_stats("""
+SELECT string_agg(DISTINCT area_type, ',' ORDER BY area_type) AS area_types,
+       string_agg(DISTINCT indicator, ',' ORDER BY indicator) AS indicators,
+       string_agg(DISTINCT CAST(year AS VARCHAR), ',' ORDER BY CAST(year AS VARCHAR)) AS years,
+       25 AS bulk_max_items, 500 AS page_max, 100 AS ranking_max
+FROM published""", STAGED_SQL, PUBLISHED_SQL))
+def store_capabilities(spark, sf_dir):
+    """From the scope table alone: a row per scope, with its years."""
+    out = _service(spark, sf_dir).capabilities()
+    text = [F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c)
+            for c in ("area_types", "indicators", "years")]
+    return out.select(*text, "bulk_max_items", "page_max", "ranking_max")
+
+
+@register("store_deep_page", with_stats("""
+SELECT * FROM (SELECT 'rows' AS kind, area_name AS area, year, value, category FROM published
+               WHERE indicator = 'order_count' AND area_type = 'customer' AND year >= 1996
+               ORDER BY area_name, year, category LIMIT 200 OFFSET 700)
+UNION ALL SELECT 'total', NULL, NULL, CAST(count(*) AS DOUBLE), NULL FROM published
+WHERE indicator = 'order_count' AND area_type = 'customer' AND year >= 1996""", STAGED_SQL, PUBLISHED_SQL))
+def store_deep_page(spark, sf_dir):
+    """A page behind many rows, read from the files that its area range lies in."""
+    page, meta, _ = _service(spark, sf_dir).get_timeseries("order_count", "customer", [], year_from=1996, limit=200, offset=700)
+    none = F.lit(None)
+    return page.select(F.lit("rows").alias("kind"), "area", "year", "value", "category").unionByName(
+        meta.select(F.lit("total").alias("kind"), none.cast("string").alias("area"), none.cast("int").alias("year"),
+                    F.col("total").cast("double").alias("value"), none.cast("string").alias("category")))
+
+
 @register("import_counts", with_stats("""
 SELECT indicator, area_type, category, count(*) AS imported FROM staged
 GROUP BY indicator, area_type, category""", STAGED_SQL))
@@ -883,6 +955,29 @@ def bulk_capabilities(spark, sf_dir):
     return out.select("request_id", "pos", *text, "bulk_max_items", "page_max", "ranking_max")
 
 
+STORE_REQUESTS_SQL = """
+req AS (SELECT CAST(n_nationkey AS BIGINT) AS request_id, CAST(n_nationkey AS INTEGER) AS pos,
+               CAST(n_nationkey % 4 + 1995 AS INTEGER) AS year_from, 20 AS "limit",
+               CAST(n_nationkey * 100 AS INTEGER) AS "offset" FROM nation),
+matched AS (
+  SELECT r.request_id, s.area_name, s.year, s.value, s.unit, s.category, r."offset",
+         row_number() OVER (PARTITION BY r.request_id ORDER BY s.area_name, s.year, s.category) AS rn
+  FROM req r JOIN published s ON s.indicator = 'order_count' AND s.area_type = 'customer' AND s.category = 'total'
+    AND s.year >= r.year_from)"""
+
+
+@register("store_bulk", with_stats("""
+SELECT r.request_id, r.pos, m.area_name AS area, m.year, m.value, m.unit, m.category, m.rn,
+       coalesce(t.total, 0) AS total, r."limit", r."offset"
+FROM req r
+LEFT JOIN (SELECT * FROM matched WHERE rn > "offset" AND rn <= "offset" + 20) m ON m.request_id = r.request_id
+LEFT JOIN (SELECT request_id, count(*) AS total FROM matched GROUP BY request_id) t ON t.request_id = r.request_id
+""", STAGED_SQL, PUBLISHED_SQL, STORE_REQUESTS_SQL))
+def store_bulk(spark, sf_dir):
+    """A bulk call of 25 items over a store: totals from its summaries."""
+    return _service(spark, sf_dir).execute_bulk(_customer_requests(spark, sf_dir))["timeseries"]
+
+
 def _mixed_requests(spark, sf_dir):
     """One request per nation with a defect chosen by key % 5: unknown
     indicator, unknown area type, unknown categories, from > to, or none."""

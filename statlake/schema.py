@@ -59,5 +59,6 @@ LEDGER_SCHEMA = T.StructType([
         # what the run wrote there; NULL where it was not counted
         T.StructField("rows", T.LongType(), True),
         T.StructField("loaded_at", T.TimestampType(), True),
+        T.StructField("years", T.ArrayType(T.IntegerType()), True),
     ])), True),
 ])

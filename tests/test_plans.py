@@ -58,11 +58,44 @@ def test_store_reads_prune_and_push_down(spark, tmp_path):
     assert "Exchange" not in text
 
 
-def test_bulk_pages_are_bounded_before_the_shuffle(spark):
-    plan = plan_of(E.queries()["bulk_timeseries"](spark, SMOKE_DIR))
+def test_bulk_rankings_are_bounded_before_the_shuffle(spark):
+    plan = plan_of(E.queries()["bulk_ranking"](spark, SMOKE_DIR))
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+@pytest.mark.parametrize("name", ["bulk_timeseries", "bulk_timeseries_deep"])
+def test_bulk_time_series_read_the_facts_once(spark, name):
+    """Page and total come from one pass; each request's own cut lies between the two exchanges."""
+    plan = plan_of(E.queries()[name](spark, SMOKE_DIR))
+    # the derived table has five branches; requests with literal names leave one
+    assert plan.count("orders.parquet") == (1 if name == "bulk_timeseries" else plan_of(stats(spark, SMOKE_DIR)).count("orders.parquet"))
+    parts = plan.split("Exchange hashpartitioning(request_id")
+    assert any("salt" in p.split("\n")[0] for p in parts[1:])
+    cut = plan.index("part_rn"), plan.index("greatest((offset")
+    assert all(x > 0 for x in cut)
+
+
+def test_bulk_over_a_store_is_bounded_and_pruned(spark, tmp_path):
+    """With totals from the summaries the parts are cut before they are shuffled,
+    and the items' scopes and years are predicates of the scan."""
+    from statlake.operators.bulk import REQUEST_SCHEMA
+    from statlake.plans.service import StoreService
+    store = FactStore(spark, str(tmp_path / "store"))
+    run = RunContext("stats", "v")
+    store.commit(stats(spark, SMOKE_DIR), run)
+    requests = spark.createDataFrame(
+        [(k, k, "timeseries", "order_count", "customer", None, ["total"], 1997, 1998 + k, None, 10, k, None) for k in range(2)],
+        REQUEST_SCHEMA)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")   # filters in full
+    plan = plan_of(StoreService(store).execute_bulk(requests)["timeseries"])
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [x for x in plan.split("FileScan parquet")[1:] if "value:double" in x.split("ReadSchema")[1].split("\n")[0]]
+    assert "WindowGroupLimit" in plan and len(scans) == 1
+    filters, pushed = scans[0].split("PartitionFilters: [")[1].split("PushedFilters", 1)
+    assert "category" in filters and "indicator" in filters and "import_run_id" in filters
+    assert "GreaterThanOrEqual(year,1997)" in pushed and "LessThanOrEqual(year,1999)" in pushed
+
+
 def test_no_broadcast_is_forced(spark):
     """Sides are broadcast by their measured size only."""
     import pathlib
