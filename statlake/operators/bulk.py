@@ -12,13 +12,15 @@ limit`` rows; the second level ranks what is left.  Rankings cut each part at a
 constant first, which Spark plans as a partial ``WindowGroupLimit`` before the
 exchange.  Time series also report totals: the parts count their rows in the
 same pass, so the facts are read once; or the totals are given (a store knows
-them from its summaries), and the parts are cut before the exchange as well.
+them from its summaries): then the parts are cut before the exchange as well,
+and only requests with many rows have several.
 Requests without any row still appear (total 0).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,8 +56,10 @@ def _list_ok(list_col: str, value_col: str):
     return lst.isNull() | (F.size(lst) == 0) | F.array_contains(lst, F.col(value_col))
 
 
-#: Parts that the matches of one request are spread over.
+#: Parts that the matches of one request are spread over, and rows from which a
+#: request is split where its total is known.
 SALTS = 32
+PART_ROWS = 1_000_000
 
 
 def _page_cut(requests: DataFrame, expr) -> int:
@@ -86,37 +90,44 @@ def timeseries_totals(dimensions: DataFrame, requests: DataFrame) -> DataFrame:
             .groupBy("request_id").agg(F.sum(F.size(years)).cast("long").alias("total")))
 
 
-def bulk_timeseries(stats: DataFrame, requests: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+def bulk_timeseries(stats: DataFrame, requests: DataFrame, totals: dict | None = None) -> DataFrame:
+    """``totals`` (request id -> rows), known for the few requests of a call."""
     req = timeseries_requests(requests)
+    order, cut = ["area_name", "year", "category"], F.col("offset") + F.col("limit")
+    parts = F.lit(SALTS)
+    if totals is not None:
+        known = F.create_map(*[F.lit(x).cast("long") for pair in (totals or {-1: 0}).items() for x in pair])
+        total = F.coalesce(F.try_element_at(known, F.col("request_id")), F.lit(0))
+        # parts only where a request is large; a page behind the end matches nothing
+        parts = F.least(F.lit(SALTS), F.floor(total / F.lit(PART_ROWS)) + 1)
+    asked = req if totals is None else req.where(total > F.col("offset"))
     matched = (stats.select("indicator", "area_type", "area_name", "year", "value", "unit",
                             "category")
-               .join(req, ["indicator", "area_type"])
+               .join(asked, ["indicator", "area_type"])
                .where(_list_ok("areas", "area_name") & _list_ok("categories", "category")
                       & (F.col("year_from").isNull() | (F.col("year") >= F.col("year_from")))
                       & (F.col("year_to").isNull() | (F.col("year") <= F.col("year_to"))))
-               .select("request_id", "limit", "offset", "area_name", "year", "value", "unit", "category"))
-    order, part = ["area_name", "year", "category"], Window.partitionBy("request_id", "salt")
-    cut = F.col("offset") + F.col("limit")
-    ranked = _salted(matched).withColumn("part_rn", F.row_number().over(part.orderBy(*order)))
-    if totals is not None:
-        # the constant cut right on row_number() lets Spark insert WindowGroupLimit
-        ranked = ranked.where(F.col("part_rn") <= F.lit(_page_cut(req, cut)))
-    else:
-        ranked = ranked.withColumn("part_n", F.count(F.lit(1)).over(part))
-    kept = ranked.where(F.col("part_rn") <= F.greatest(cut, F.lit(1)))
-    whole = Window.partitionBy("request_id")
-    page = kept.withColumn("rn", F.row_number().over(whole.orderBy(*order)))
+               .select("request_id", "limit", "offset", "area_name", "year", "value", "unit", "category",
+                       F.pmod(F.xxhash64(*order), parts).cast("int").alias("salt")))
+    part, whole = Window.partitionBy("request_id", "salt"), Window.partitionBy("request_id")
+    ranked = matched.withColumn("part_rn", F.row_number().over(part.orderBy(*order)))
     on_page = (F.col("rn") > F.col("offset")) & (F.col("rn") <= cut)
-    columns = [F.col("area_name").alias("area"), "year", "value", "unit", "category", F.col("rn").cast("long").alias("rn")]
     if totals is not None:
-        return (req.select("request_id", "pos", "limit", "offset")
-                .join(page.where(on_page).select("request_id", *columns), "request_id", "left")
-                .join(totals, "request_id", "left")
+        # the constant cut right on row_number() lets Spark insert WindowGroupLimit
+        deepest = max((r["offset"] + r["limit"] for r in req.select("offset", "limit").collect()), default=0)
+        kept = ranked.where(F.col("part_rn") <= F.lit(deepest)).where(F.col("part_rn") <= cut)
+        page = kept.withColumn("rn", F.row_number().over(whole.orderBy(*order))).where(on_page)
+        rows = page.select("request_id", F.col("area_name").alias("area"), "year", "value", "unit", "category",
+                           F.col("rn").cast("long").alias("rn"))
+        return (req.select("request_id", "pos", "limit", "offset").join(rows, "request_id", "left")
                 .select("request_id", "pos", "area", "year", "value", "unit", "category", "rn",
-                        F.coalesce("total", F.lit(0)).alias("total"), "limit", "offset"))
+                        total.alias("total"), "limit", "offset"))
     # every part's first row brings the part's count; a request whose page is
     # behind its last row keeps its first one, as the bearer of the total
-    page = page.withColumn("total", F.sum(F.when(F.col("part_rn") == 1, F.col("part_n")).otherwise(0)).over(whole))
+    kept = (ranked.withColumn("part_n", F.count(F.lit(1)).over(part))
+            .where(F.col("part_rn") <= F.greatest(cut, F.lit(1))))
+    page = (kept.withColumn("rn", F.row_number().over(whole.orderBy(*order)))
+            .withColumn("total", F.sum(F.when(F.col("part_rn") == 1, F.col("part_n")).otherwise(0)).over(whole)))
     bearer = (F.col("rn") == 1) & ((F.col("total") <= F.col("offset")) | (F.col("limit") <= 0))
     rows = page.where(on_page | bearer).withColumn("on_page", on_page).select(
         "request_id", "total", *[F.when(F.col("on_page"), c).alias(name) for c, name in (
@@ -127,7 +138,8 @@ def bulk_timeseries(stats: DataFrame, requests: DataFrame, totals: DataFrame | N
                     F.coalesce("total", F.lit(0)).alias("total"), "limit", "offset"))
 
 
-def bulk_ranking(stats: DataFrame, requests: DataFrame) -> DataFrame:
+def bulk_ranking(stats: DataFrame, requests: DataFrame, deepest: int | None = None) -> DataFrame:
+    """``deepest``: the largest limit, where it is known."""
     req = requests.where(F.col("kind") == "ranking").select(
         "request_id", "pos", "indicator", "area_type", "year", "areas", "categories",
         F.coalesce("limit", F.lit(50)).alias("limit"),
@@ -138,10 +150,11 @@ def bulk_ranking(stats: DataFrame, requests: DataFrame) -> DataFrame:
                .where(_list_ok("areas", "area_name") & _list_ok("categories", "category")))
     signed = F.when(F.col("order") == "asc", F.col("value")).otherwise(-F.col("value"))
     order = [signed, F.col("area_name"), F.col("category")]
+    deepest = _page_cut(req, F.col("limit")) if deepest is None else deepest
     # the constant cut lets Spark insert WindowGroupLimit; the request's own comes behind it
     kept = (_salted(matched)
             .withColumn("part_rn", F.row_number().over(Window.partitionBy("request_id", "salt").orderBy(*order)))
-            .where(F.col("part_rn") <= F.lit(_page_cut(req, F.col("limit")))).where(F.col("part_rn") <= F.col("limit")))
+            .where(F.col("part_rn") <= F.lit(deepest)).where(F.col("part_rn") <= F.col("limit")))
     page = (kept.withColumn("rn", F.row_number().over(Window.partitionBy("request_id").orderBy(*order)))
             .where(F.col("rn") <= F.col("limit"))
             .select("request_id", F.col("area_name").alias("area"), "value", "unit", "category",
@@ -239,8 +252,11 @@ class KnownNames:
 
     def __init__(self, scopes: list):
         self.categories: dict[tuple, set] = {}
+        self.rows: dict[tuple, int] = {}
         for r in scopes:
-            self.categories.setdefault((r["indicator"], r["area_type"]), set()).add(r["category"])
+            pair = (r["indicator"], r["area_type"])
+            self.categories.setdefault(pair, set()).add(r["category"])
+            self.rows[pair] = self.rows.get(pair, 0) + (r["rows"] or 0)
         self.indicators = sorted({i for i, _ in self.categories})
         self.area_types = sorted({t for _, t in self.categories})
 
@@ -293,6 +309,17 @@ def check_bounds(requests: DataFrame) -> list:
     return items
 
 
+def local_requests(spark: SparkSession, items: list) -> DataFrame:
+    """The few items of a call as a local relation: its size is known when a
+    plan is made, and reading it starts no job."""
+    strings = pa.list_(pa.string())
+    kinds = {"request_id": pa.int64(), "areas": strings, "categories": strings,
+             **{c: pa.string() for c in ("kind", "indicator", "area_type", "order")}}
+    schema = pa.schema([(c, kinds.get(c, pa.int32())) for c in REQUEST_SCHEMA.fieldNames()])
+    rows = [{c: item[c] for c in schema.names} for item in items]
+    return spark.createDataFrame(pa.Table.from_pylist(rows, schema))
+
+
 def of_items(stats: DataFrame, items: list) -> DataFrame:
     """Only the rows of the scopes and years that the items (of one call) ask
     for: predicates on literals, which prune partitions and row groups."""

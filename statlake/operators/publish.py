@@ -42,8 +42,10 @@ import datetime as dt
 import json
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -418,7 +420,7 @@ class FactStore:
         if self.runs().where((F.col("run_id") == run.run_id) & (F.col("status") == "published")).take(1):
             raise DatasetImportError(f"run {run.run_id} is published; its files stay")
         return sum(self.files.delete(self._run_folder(base, run.run_id))
-                   for base in (self.facts_path, self.areas_path, self.files_path, self.manifest_path))
+                   for base in (self.facts_path, self.areas_path, self.files_path))
 
     def drop_superseded(self, dry_run: bool = True, retention: dt.timedelta = RETENTION) -> int:
         """Delete the folders that ``superseded`` lists; returns how many."""
@@ -427,6 +429,17 @@ class FactStore:
         return self._drop_folders(self.superseded(retention), dry_run)
 
     # -- publish
+    def keep_manifest(self, run_id: str, listing: DataFrame) -> DataFrame:
+        """Write the listing of a run's input files (path, size, mtime_ms) before
+        they are read, and return it as written: a file that changes afterwards
+        is found changed by the next import."""
+        listing.select("path", "size", "mtime_ms").write.parquet(self._run_folder(self.manifest_path, run_id))
+        return self._of_runs(self.manifest_path, _MANIFEST_SCHEMA, [run_id])
+
+    def forget_manifest(self, run_id: str) -> None:
+        """Remove the manifest of a run that does not take place."""
+        self.files.delete(self._run_folder(self.manifest_path, run_id))
+
     def begin(self, run: RunContext) -> None:
         self._event(run, "started")
 
@@ -436,8 +449,7 @@ class FactStore:
             self._event(run, "failed", error=error)
 
     def commit(self, staged: DataFrame, run: RunContext, scopes=None,
-               check_duplicates: bool = False, after_write=(), sources: DataFrame | None = None,
-               read_at: int | None = None) -> int:
+               check_duplicates: bool = False, after_write=(), read_at: int | None = None) -> int:
         """Append staged rows under the run id, check them, then commit one log
         entry for every scope.  Returns the published row count.  Raises (and
         publishes nothing) on zero rows, constraint violations, rows outside
@@ -449,9 +461,8 @@ class FactStore:
         summaries, grouped aggregates over the written area and year columns;
         their cost does not depend on the number of scopes.  ``after_write``
         callables (checks observed in the same job) run before anything is
-        published.  ``sources``: the input files (path, size, mtime_ms), kept as
-        the run's manifest.  ``check_duplicates`` is kept for callers; keys are
-        always checked."""
+        published.  ``check_duplicates`` is kept for callers; keys are always
+        checked."""
         # observed in the write's final stage: each task's metrics are applied
         # once, also when lost executors force task retries
         obs = Observation(f"commit-{run.run_id}")
@@ -495,8 +506,6 @@ class FactStore:
         keys, found = self._summarise(run)
         if keys != n:
             raise DatasetImportError(f"staged rows violate constraints: {{'duplicate_keys': {n - keys}}}")
-        if sources is not None:
-            sources.select("path", "size", "mtime_ms").write.parquet(self._run_folder(self.manifest_path, run.run_id))
         owned = [(*scope, found[scope]["rows"] if scope in found else 0, run.loaded_at,
                   found[scope]["years"] if scope in found else [])
                  for scope in (map(tuple, scopes) if scopes is not None else sorted(found))]
@@ -507,20 +516,31 @@ class FactStore:
         """Write a run's ``areas`` and ``files``; the number of distinct keys,
         and per scope its rows and years."""
         written = self._of_runs(self.facts_path, STAT_SCHEMA, [run.run_id])
-        obs, distinct = Observation(f"areas-{run.run_id}"), F.sum(F.size("years")).alias("keys")
-        # sorted by scope and area, so that a lookup reads few row groups
-        areas = (written.groupBy(*SCOPE, "area_name").agg(
-            F.sort_array(F.collect_set("year")).alias("years"), F.count(F.lit(1)).alias("rows"))
-            .repartitionByRange(*SCOPE, "area_name").observe(obs, distinct).sortWithinPartitions(*SCOPE, "area_name"))
-        areas.write.parquet(self._run_folder(self.areas_path, run.run_id))
-        keys = (observed(obs) or self._of_runs(self.areas_path, _AREAS_SCHEMA, [run.run_id]).agg(distinct).first().asDict())["keys"]
-        # one row per file and year: as many as there are files, times the years in each
         path = self._run_folder(self.files_path, run.run_id)
-        (written.groupBy(*SCOPE, "year", F.col("_metadata.file_path").alias("file"))
-         .agg(F.min("area_name").alias("first_area"), F.max("area_name").alias("last_area"), F.count(F.lit(1)).alias("rows"))
-         .write.parquet(path))
-        per_scope = (self.spark.read.parquet(path).groupBy(*SCOPE)
-                     .agg(F.sum("rows").alias("rows"), F.sort_array(F.collect_set("year")).alias("years")).collect())
+
+        def areas() -> int:
+            obs, distinct = Observation(f"areas-{run.run_id}"), F.sum(F.size("years")).alias("keys")
+            # sorted by scope and area, so that a lookup reads few row groups
+            (written.groupBy(*SCOPE, "area_name")
+             .agg(F.sort_array(F.collect_set("year")).alias("years"), F.count(F.lit(1)).alias("rows"))
+             .observe(obs, distinct).sortWithinPartitions(*SCOPE, "area_name")
+             .write.parquet(self._run_folder(self.areas_path, run.run_id)))
+            found = observed(obs) or self._of_runs(self.areas_path, _AREAS_SCHEMA, [run.run_id]).agg(distinct).first().asDict()
+            return found["keys"]
+
+        def files() -> list:
+            # one row per file and year: as many as there are files, times the years in each
+            (written.groupBy(*SCOPE, "year", F.col("_metadata.file_path").alias("file"))
+             .agg(F.min("area_name").alias("first_area"), F.max("area_name").alias("last_area"),
+                  F.count(F.lit(1)).alias("rows"))
+             .write.parquet(path))
+            return (self.spark.read.parquet(path).groupBy(*SCOPE)
+                    .agg(F.sum("rows").alias("rows"), F.sort_array(F.collect_set("year")).alias("years")).collect())
+
+        # two small jobs that do not depend on each other run side by side
+        with ThreadPoolExecutor(2) as pool:
+            jobs = [pool.submit(inheritable_thread_target(self.spark)(job)) for job in (areas, files)]
+            keys, per_scope = (j.result() for j in jobs)
         return keys, {tuple(r[c] for c in SCOPE): {"rows": r["rows"], "years": list(r["years"])} for r in per_scope}
 
 

@@ -222,10 +222,12 @@ def sorted_set(column, collation: str | None = None) -> Column:
     """Distinct values as a sorted array.  ``collect_set`` is a partial
     aggregate, so each task ships only its distinct values; the array size is
     bounded by the dimension's cardinality, not by the row count."""
-    c = F.col(column) if isinstance(column, str) else column
-    if collation:
-        c = F.collate(c, collation)
-    return F.sort_array(F.collect_set(c))
+    found = F.collect_set(F.col(column) if isinstance(column, str) else column)
+    if collation is None:
+        return F.sort_array(found)
+    # values are distinct as written; the collation decides their order only
+    ordered = F.sort_array(F.transform(found, lambda x: F.collate(x, collation)))
+    return F.transform(ordered, lambda x: F.collate(x, "UTF8_BINARY"))
 
 
 def year_meta(stats: DataFrame, year: int, collation: str | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import logging
 import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from statlake.sources.csv import (
     read_delimited,
     read_delimited_observed,
 )
-from statlake.sources.files import data_version
+from statlake.sources.files import data_version, is_changed, list_files, version_of
 
 log = logging.getLogger(__name__)
 
@@ -33,6 +34,7 @@ class ImportResult:
     imported: int
     run_id: str
     path: str
+    updated: bool = True    # False: the input has not changed since run_id
 
 
 def read_raw(spark: SparkSession, spec: DatasetSpec, path: str) -> DataFrame:
@@ -57,16 +59,46 @@ def _version_or_missing(spark, path):
         raise
 
 
+def _listing(spark, path):
+    try:
+        return list_files(spark, path)
+    except Exception as e:  # noqa: BLE001
+        if isinstance(e, FileNotFoundError) or "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            raise CsvFileNotFoundError(path) from e
+        raise
+
+
+def unchanged_run(spec: DatasetSpec, listing: DataFrame, store: FactStore) -> str | None:
+    """The run that has read exactly these files and still owns all it has
+    published, or None."""
+    manifest = store.manifest(spec.id)
+    known = manifest.select("import_run_id").limit(1).collect()
+    if not known or is_changed(listing, manifest):
+        return None
+    run_id = known[0]["import_run_id"]
+    return run_id if run_id in store.visible().whole else None
+
+
 def import_dataset(spark: SparkSession, spec: DatasetSpec, path: str,
-                   store: FactStore) -> ImportResult:
-    """Import one input and publish it atomically, recording the run."""
-    version = _version_or_missing(spark, path)
-    run = RunContext(dataset_id=spec.id, data_version=version)
+                   store: FactStore, only_changed: bool = False) -> ImportResult:
+    """Import one input and publish it atomically, recording the run and the
+    files it has read.  ``only_changed``: not if these are the files, of the same
+    sizes and times, that the dataset's published run has read."""
+    run_id = str(uuid.uuid4())
+    listing = store.keep_manifest(run_id, _listing(spark, path))
+    version = version_of(listing)
+    if version is None:
+        raise CsvFileNotFoundError(path)
+    if only_changed and (before := unchanged_run(spec, listing, store)):
+        store.forget_manifest(run_id)
+        return ImportResult(spec.id, 0, before, path, updated=False)
+    run = RunContext(dataset_id=spec.id, data_version=version, run_id=run_id)
     store.begin(run)
     try:
         # One pass: the year check and the decoding test are observed inside
         # the write job.  Undecodable text (rare) drops this attempt's files
-        # and retries the same run with the next fallback encoding.
+        # and retries the same run with the next fallback encoding, or, for a
+        # folder of several files, with an encoding for each file.
         start = 0
         while True:
             raw_df, decode_check = read_delimited_observed(
@@ -88,14 +120,16 @@ def import_dataset(spark: SparkSession, spec: DatasetSpec, path: str,
 
 
 def import_many(spark: SparkSession, specs, base_dir: str, store: FactStore,
-                paths: dict[str, str] | None = None) -> list[ImportResult]:
+                paths: dict[str, str] | None = None, only_changed: bool = True) -> list[ImportResult]:
     """Import each spec from ``base_dir/<csv_filename>`` (or ``paths[id]``).
-    A missing input is a warning and is skipped; any other error stops."""
+    A missing input is a warning and is skipped; any other error stops.  An
+    input that has not changed since its published run is not imported again
+    (``updated`` is False) unless ``only_changed`` is."""
     out = []
     for spec in specs:
         path = (paths or {}).get(spec.id) or os.path.join(base_dir, spec.csv_filename)
         try:
-            out.append(import_dataset(spark, spec, path, store))
+            out.append(import_dataset(spark, spec, path, store, only_changed))
         except CsvFileNotFoundError:
             log.warning("skip %s: input %s not found", spec.id, path)
     return out

@@ -22,4 +22,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers query keys."""
-    from statlake.plans import checks, reads  # noqa: F401
+    from statlake.plans import checks, inputs, reads  # noqa: F401

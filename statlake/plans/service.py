@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 from statlake.operators import bulk as B
 from statlake.operators import deep_page
 from statlake.operators import query as q
-from statlake.schema import PAGINATION_LIMIT_MAX, SCOPE
+from statlake.schema import PAGINATION_LIMIT_MAX, RANKING_LIMIT_MAX, SCOPE
 from statlake.session import scratch_path
 
 #: Scopes whose names are fetched when a service is opened.  A store with more
 #: answers and validates names by jobs over its scope table.
 NAMES_MOST = 200_000
+#: Scopes of a bulk call with fewer rows are dealt over all tasks before the join.
+SPREAD_ROWS = 10_000_000
 
 
 def _request(stats: DataFrame, indicator=None, area_type=None, categories=None,
@@ -105,12 +107,12 @@ def execute_bulk(stats, requests: DataFrame) -> dict[str, DataFrame]:
     position) fails the whole request, as in the reference: bounds first, then
     the domains."""
     items = B.check_bounds(requests)
-    requests = requests.sparkSession.createDataFrame(items, B.REQUEST_SCHEMA)
+    requests = B.local_requests(requests.sparkSession, items)
     B.assert_valid(stats, requests)
     asked = B.of_items(stats, items)
     return {
         "timeseries": B.bulk_timeseries(asked, requests),
-        "ranking": B.bulk_ranking(asked, requests),
+        "ranking": B.bulk_ranking(asked, requests, RANKING_LIMIT_MAX),
         "capabilities": B.bulk_capabilities(stats, requests),
     }
 
@@ -246,17 +248,21 @@ class StoreService:
         """As ``execute_bulk``; totals come from the areas' years, capabilities
         from the scope table, and the facts are pruned to the items' scopes."""
         items = B.check_bounds(requests)
-        requests = self.store.spark.createDataFrame(items, B.REQUEST_SCHEMA)
+        requests = B.local_requests(self.store.spark, items)
         if self.names is None:
             B.assert_valid(self.scopes, requests)
         else:
             self.names.check(items)
         asked = B.of_items(self.facts, items)
+        # every item meets every row of its scope: a few files alone would make a few tasks of that
+        pairs = {(r["indicator"], r["area_type"]) for r in items}
+        if self.names is not None and sum(self.names.rows.get(p, SPREAD_ROWS) for p in pairs) < SPREAD_ROWS:
+            asked = asked.repartition(self.store.spark.sparkContext.defaultParallelism, "area_name")
         # the areas have no year column: of their scopes only
         scopes = [r.asDict() | {"year": None, "year_from": None, "year_to": None} for r in items if r["kind"] == "timeseries"]
-        totals = B.timeseries_totals(B.of_items(self.areas, scopes), requests)
+        totals = {r["request_id"]: r["total"] for r in B.timeseries_totals(B.of_items(self.areas, scopes), requests).collect()}
         return {"timeseries": B.bulk_timeseries(asked, requests, totals),
-                "ranking": B.bulk_ranking(asked, requests),
+                "ranking": B.bulk_ranking(asked, requests, RANKING_LIMIT_MAX),
                 "capabilities": B.bulk_capabilities(self.scope_years, requests)}
 
     def freshness(self) -> DataFrame:

@@ -19,22 +19,31 @@ from pyspark.sql import functions as F
 from statlake.functions.columns import normalize_url, url_file_name
 
 
-def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """Entries of one JSON catalogue document that is either an array of
-    objects or an object with a ``result`` array.  Non-object items are
-    dropped.  Columns: ``pos`` (catalogue order), ``entry`` (the entry as JSON
-    text) and ``resources`` (each resource as JSON text).
-
-    The document is metadata (one file, one task); entries are then exploded
-    and every later step is distributed."""
-    doc = spark.read.text(path, wholetext=True)
-    v = F.trim(F.col("value"))
-    items = (F.when(v.startswith("["), F.from_json(v, "array<string>"))
-             .otherwise(F.from_json(v, "struct<result: array<string>>").getField("result")))
-    entries = (doc.select(F.posexplode(items).alias("pos", "entry"))
-               .where(F.trim(F.col("entry")).startswith("{")))
-    resources = F.from_json(F.col("entry"), "struct<resources: array<string>>")
-    return entries.select("pos", "entry", resources.getField("resources").alias("resources"))
+def read_catalog(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Entries of a JSON catalogue: an array of objects, or an object with a
+    ``result`` array; or, with ``lines``, one entry per line, which Spark splits
+    between tasks like any text.  Items that are no objects are dropped, but
+    count.  Columns: ``pos`` (place in the catalogue), ``entry`` (JSON text) and
+    ``resources`` (each resource as JSON text; NULL where there is no array).
+
+    A document is one JSON value and therefore one task's work; it is parsed
+    once, as a variant, and its entries are dealt to all tasks before anything
+    else is done with them."""
+    if lines:
+        rows = spark.read.text(path).where(F.trim("value") != "")
+        items = rows.select(F.monotonically_increasing_id().alias("pos"), F.try_parse_json("value").alias("item"))
+    else:
+        doc = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("doc"))
+        whole = F.schema_of_variant("doc").startswith("ARRAY")
+        listed = doc.select(F.when(whole, F.col("doc")).otherwise(F.try_variant_get("doc", "$.result", "variant")).alias("list"))
+        # an object's members are no entries
+        listed = listed.where(F.schema_of_variant("list").startswith("ARRAY"))
+        items = (listed.lateralJoin(spark.tvf.variant_explode(F.col("list").outer()))
+                 .select(F.col("pos").cast("long").alias("pos"), F.col("value").alias("item")).repartition("pos"))
+    entries = items.where(F.schema_of_variant("item").startswith("OBJECT"))
+    resources = F.try_variant_get("item", "$.resources", "array<variant>")
+    return entries.select("pos", F.to_json("item").alias("entry"),
+                          F.transform(resources, lambda r: F.to_json(r)).alias("resources"))
 
 
 def resource_urls(entries: DataFrame) -> DataFrame:

@@ -32,19 +32,32 @@ def file_versions(spark: SparkSession, path: str, glob: str | None = None) -> Da
         "data_version", version_text("size", "mtime_ms"))
 
 
-def data_version(spark: SparkSession, path: str, glob: str | None = None) -> str:
-    """The version of an input: the file's own text for one file; for several
-    files a digest over the sorted per-file versions (one aggregate row)."""
-    row = file_versions(spark, path, glob).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.first("data_version").alias("one"),
-        F.sha2(F.array_join(F.sort_array(F.collect_list(
-            F.concat_ws("=", "path", "data_version"))), "\n"), 256).alias("digest")).first()
+#: A SHA-256 is added up in so many parts of 15 hex digits (60 bits) each.
+DIGEST_PARTS = 4
+
+
+def version_of(listing: DataFrame) -> str | None:
+    """The version of the files of a listing: the file's own text for one file;
+    for several files their number and the sums, modulo 2**60, of the parts of
+    each file's SHA-256.  Sums do not depend on the order of a listing and are
+    added up per task, so any number of files is one partial aggregate.  None
+    for an empty listing."""
+    digest = F.sha2(F.concat_ws("=", "path", version_text("size", "mtime_ms")), 256)
+    parts = [F.conv(F.substring(digest, 1 + 15 * k, 15), 16, 10).cast("decimal(20,0)") for k in range(DIGEST_PARTS)]
+    sums = [F.hex(F.pmod(F.sum(p), F.lit(1 << 60)).cast("long")) for p in parts]
+    row = listing.agg(F.count(F.lit(1)).alias("n"), F.first(version_text("size", "mtime_ms")).alias("one"),
+                      F.concat(*[F.lower(F.lpad(s, 15, "0")) for s in sums]).alias("digest")).first()
     if row["n"] == 0:
+        return None
+    return row["one"] if row["n"] == 1 else f"files:{row['n']};sha256:{row['digest']}"
+
+
+def data_version(spark: SparkSession, path: str, glob: str | None = None) -> str:
+    """The version of an input, see ``version_of``."""
+    version = version_of(list_files(spark, path, glob))
+    if version is None:
         raise FileNotFoundError(path)
-    if row["n"] == 1:
-        return row["one"]
-    return f"files:{row['n']};sha256:{row['digest']}"
+    return version
 
 
 def changed_sources(listing: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -54,3 +67,12 @@ def changed_sources(listing: DataFrame, manifest: DataFrame) -> DataFrame:
     known = manifest.select(*key).distinct().withColumn("__known", F.lit(True))
     return (listing.join(known, key, "left")
             .select(*listing.columns, F.col("__known").isNull().alias("updated")))
+
+
+def is_changed(listing: DataFrame, manifest: DataFrame) -> bool:
+    """Whether a listing differs from a manifest: a file is new, has another
+    size or time, or is gone."""
+    key = ["path", "size", "mtime_ms"]
+    both = (listing.select(*key, F.lit(1).alias("side")).unionByName(manifest.select(*key, F.lit(2).alias("side")))
+            .groupBy(*key).agg(F.count_distinct("side").alias("sides")))
+    return bool(both.where("sides < 2").take(1))
