@@ -46,7 +46,7 @@ from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,6 +84,7 @@ _LISTING_SCHEMA = T.StructType([
 _AREAS_SCHEMA = "indicator string, area_type string, category string, area_name string, years array<int>, rows long, import_run_id string"
 _FILES_SCHEMA = ("indicator string, area_type string, category string, year int, file string, first_area string, "
                  "last_area string, rows long, import_run_id string")
+_NAMES_SCHEMA = "indicator string, area_type string, category string, area_name string, trigram string, import_run_id string"
 _MANIFEST_SCHEMA = "path string, size long, mtime_ms long, import_run_id string"
 
 # Ledger days younger than this many whole days are never folded.
@@ -141,6 +142,13 @@ def run_summary(states: DataFrame) -> DataFrame:
         F.count_if(F.col("status") == "failed").alias("failed_runs"))
 
 
+def trigrams(text) -> Column:
+    """The distinct runs of three characters of a text; none if it is shorter."""
+    at = F.sequence(F.lit(1), F.char_length(text) - 2)
+    found = F.transform(at, lambda k: F.substring(text, k, F.lit(3)))
+    return F.when(F.char_length(text) >= 3, F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
+
+
 class FactStore:
     """Append-only fact partitions plus a ledger of run events under ``root``
     (a folder every executor can reach, e.g. below spark.checkpoint.dir)."""
@@ -154,6 +162,7 @@ class FactStore:
         self.areas_path = f"{self.root}/areas"
         self.files_path = f"{self.root}/files"
         self.manifest_path = f"{self.root}/manifest"
+        self.names_path = f"{self.root}/names"
         self.files = Files(spark)
         self.log = CommitLog(self.files, f"{self.root}/log")
 
@@ -362,6 +371,26 @@ class FactStore:
         """Per scope, year and fact file its rows and its first and last area."""
         return self._pinned(self.files_path, _FILES_SCHEMA, visible)
 
+    def index_names(self) -> int:
+        """Write the name index of published runs that have none: a row per
+        scope, area and three neighbouring letters of its name (small letters),
+        sorted by them, so that a lookup reads few row groups.  A maintenance
+        step, like the compaction; returns how many runs were indexed."""
+        missing = [r for r in self.visible().run_ids if not self._exists(self._run_folder(self.names_path, r))]
+        for run_id in missing:
+            areas = self._of_runs(self.areas_path, _AREAS_SCHEMA, [run_id])
+            (areas.select(*SCOPE, "area_name", F.explode(trigrams(F.lower("area_name"))).alias("trigram"))
+             .repartitionByRange("trigram", *SCOPE).sortWithinPartitions("trigram", *SCOPE)
+             .write.mode("overwrite").parquet(self._run_folder(self.names_path, run_id)))
+        return len(missing)
+
+    def name_index(self, visible: "Visible | None" = None) -> DataFrame | None:
+        """The rows of ``index_names``, or None while a visible run has none."""
+        visible = visible or self.visible()
+        if not all(self._exists(f"{self._run_folder(self.names_path, r)}/_SUCCESS") for r in visible.run_ids):
+            return None
+        return self._pinned(self.names_path, _NAMES_SCHEMA, visible)
+
     def of_files(self, entries) -> DataFrame:
         """The rows of the facts in some files of the directory, others unread."""
         paths = sorted({unquote(e["file"]) for e in entries})   # metadata has them as URIs
@@ -420,7 +449,7 @@ class FactStore:
         if self.runs().where((F.col("run_id") == run.run_id) & (F.col("status") == "published")).take(1):
             raise DatasetImportError(f"run {run.run_id} is published; its files stay")
         return sum(self.files.delete(self._run_folder(base, run.run_id))
-                   for base in (self.facts_path, self.areas_path, self.files_path))
+                   for base in (self.facts_path, self.areas_path, self.files_path, self.names_path))
 
     def drop_superseded(self, dry_run: bool = True, retention: dt.timedelta = RETENTION) -> int:
         """Delete the folders that ``superseded`` lists; returns how many."""

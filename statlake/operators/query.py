@@ -165,6 +165,19 @@ def list_areas(stats: DataFrame, indicator: str, area_type: str, category: str |
             .distinct().orderBy("area"))
 
 
+def list_areas_indexed(names: DataFrame, indicator: str, area_type: str, category: str | None, like: str) -> DataFrame:
+    """``list_areas`` with a pattern of three letters and more, over a name index
+    (``FactStore.index_names``): names that have all of the pattern's trigrams
+    are candidates, and only those are compared with it."""
+    text = like.lower()
+    wanted = sorted({text[k:k + 3] for k in range(len(text) - 2)})
+    rows = where_all(names, equality_filters(indicator=indicator, area_type=area_type, category=category))
+    found = (rows.where(F.col("trigram").isin(wanted)).groupBy("area_name")
+             .agg(F.count_distinct("trigram").alias("n")).where(F.col("n") == len(wanted)))
+    return (found.where(F.lower(F.col("area_name")).contains(F.lit(text)))
+            .select(F.col("area_name").alias("area")).orderBy("area"))
+
+
 def list_categories(stats: DataFrame, indicator: str, area_type: str) -> DataFrame:
     cond = equality_filters(indicator=indicator, area_type=area_type)
     return where_all(stats, cond).select("category").distinct().orderBy("category")

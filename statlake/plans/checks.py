@@ -746,6 +746,27 @@ def store_deep_page(spark, sf_dir):
                     F.col("total").cast("double").alias("value"), none.cast("string").alias("category")))
 
 
+LIKE_PATTERNS = ["ION_1", "CUSTOMER#00000001", "#0", "%", "_", "er#000000007", "zzz", "tion_2"]
+
+
+@register("store_areas_like", with_stats("""
+SELECT DISTINCT p.pattern, s.area_name AS area FROM published s, (VALUES """ + ", ".join(f"('{p}')" for p in LIKE_PATTERNS) + """) p(pattern)
+WHERE s.indicator = 'order_count' AND s.area_type IN ('nation', 'customer')
+  AND contains(lower(s.area_name), lower(p.pattern))""", STAGED_SQL, PUBLISHED_SQL))
+def store_areas_like(spark, sf_dir):
+    """Substring search in area names through the store's name index; patterns
+    under three letters read the names, literal % and _ match themselves only."""
+    s = _service(spark, sf_dir)
+    s.store.index_names()
+    s = service.StoreService(s.store)
+    out = None
+    for pattern in LIKE_PATTERNS:
+        for area_type in ("nation", "customer"):
+            found = s.list_areas("order_count", area_type, like=pattern).select(F.lit(pattern).alias("pattern"), "area")
+            out = found if out is None else out.unionByName(found)
+    return out
+
+
 @register("import_counts", with_stats("""
 SELECT indicator, area_type, category, count(*) AS imported FROM staged
 GROUP BY indicator, area_type, category""", STAGED_SQL))

@@ -146,6 +146,7 @@ class StoreService:
             self.facts.groupBy(*SCOPE, "area_name").agg(F.sort_array(F.collect_set("year")).alias("years")))
         self.scope_years = self.scopes.withColumn("year", F.explode("years")) if complete else self.facts
         self.directory = store.file_directory(visible) if complete else None
+        self.name_index = store.name_index(visible)
 
     # -- checks
     def _validate(self, indicator=None, area_type=None, categories=None, year_from=None, year_to=None, kind="timeseries"):
@@ -183,6 +184,8 @@ class StoreService:
     def list_areas(self, indicator, area_type, category=None, like=None):
         self._validate(indicator=indicator, area_type=area_type,
                        categories=[category] if category is not None else None)
+        if self.name_index is not None and like and len(like.lower()) >= 3:
+            return q.list_areas_indexed(self.name_index, indicator, area_type, category, like)
         return q.list_areas(self.areas, indicator, area_type, category, like)
 
     def list_years(self, indicator=None, area_type=None, category=None, area=None, limit=None, offset=0):

@@ -158,3 +158,23 @@ def test_a_store_with_very_many_scopes_validates_by_jobs(opened, monkeypatch):
     with pytest.raises(q.StatisticsValidationError, match="Unknown category: no"):
         again.get_ranking("population", "district", 2001, categories=["no"])
     assert collected(again.list_years(area="area 00003")[0]) == collected(opened.list_years(area="area 00003")[0])
+
+
+def test_name_index(opened, spark):
+    assert opened.name_index is None and opened.store.index_names() == 3 and opened.store.index_names() == 0
+    s = StoreService(opened.store)
+    for like in ("area 0001", "REA 0", "%re", "\\\\a", "a_0", "00", "", None, "x" * 50, "area 00003"):
+        for indicator, category in (("population", "total"), ("households", None)):
+            mine = s.list_areas(indicator, "district", category, like)
+            assert [r[0] for r in mine.collect()] == [r[0] for r in q.list_areas(opened.facts, indicator, "district", category,
+                                                                               like).collect()]
+            if like and len(like) >= 3:
+                assert all("/names/" in f for f in mine.inputFiles())
+    opened.store.commit(facts(spark, areas=3, indicator="more"), RunContext("d", "v4"))
+    assert StoreService(opened.store).name_index is None     # until the next maintenance
+
+
+def test_trigrams(spark):
+    from statlake.operators.publish import trigrams
+    rows = spark.createDataFrame([("abcab",), ("ab",), ("",), ("äöüß",), (None,)], "t string").select(trigrams(F.col("t")).alias("x"))
+    assert [r["x"] for r in rows.collect()] == [["abc", "bca", "cab"], [], [], ["äöü", "öüß"], []]
