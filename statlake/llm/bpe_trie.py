@@ -168,14 +168,14 @@ class TrieBpe:
         return b" ".join(map(self.strings.__getitem__, ids.tolist()))
 
 
-_MODELS: dict[str, TrieBpe] = {}
+class TrieEncoder(TextEncoder):
+    def __init__(self, model: TrieBpe):
+        super().__init__(model.splitter, model.encode)
+        self.model = model
 
 
-def _model(spec: str) -> TrieBpe:
-    if spec not in _MODELS:
-        _MODELS.clear()
-        _MODELS[spec] = TrieBpe(spec)
-    return _MODELS[spec]
+def trie_encoder(spec: str) -> TrieEncoder:
+    return TrieEncoder(TrieBpe(spec))
 
 
 def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
@@ -190,8 +190,8 @@ def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
         shared = spark.sparkContext.broadcast(f.read())
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        model = _model(shared.value)
-        encoder = worker_encoder(("trie", vocabulary), lambda: TextEncoder(model.splitter, model.encode))
+        encoder = worker_encoder(("trie", vocabulary), lambda: trie_encoder(shared.value))
+        model = encoder.model
         texts = [t or "" for t in batch.column("text").to_pylist()]
         ids = encoder.ids(texts)
         decoded = [model.decode(np.frombuffer(x, "<u4")) for x in ids]

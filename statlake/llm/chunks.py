@@ -3,8 +3,8 @@
 The vocabulary's splitting rule cuts a text into words, which are encoded one
 by one.  Neither the normaliser nor the rule looks past ASCII white space, so
 a text may be cut there first.  Each Python worker keeps the ids of the words
-it has met; the table is emptied when it is full, which bounds memory and
-changes no result.
+it has met (``held``); the table is emptied when it has ``TABLE_BYTES``, which
+bounds memory and changes no result.
 """
 
 from __future__ import annotations
@@ -15,7 +15,9 @@ from collections.abc import Callable
 
 import numpy as np
 
-CACHE_WORDS = 900_000
+from statlake.llm.held import entry_bytes, held
+
+TABLE_BYTES = 224 << 20
 CACHE_CHARS = 32      # longer words are not kept
 
 #: Letters whose normal form is themselves and whose lower case is one letter of this range.
@@ -69,8 +71,8 @@ class TextEncoder:
     """Ids of whole texts, as bytes of little-endian unsigned 32-bit integers;
     ``encode`` gives the ids of sorted distinct words."""
 
-    def __init__(self, splitter: Splitter, encode: Callable[[list[str]], list[bytes]], capacity: int = CACHE_WORDS):
-        self.splitter, self.encode, self.capacity = splitter, encode, capacity
+    def __init__(self, splitter: Splitter, encode: Callable[[list[str]], list[bytes]], capacity: int = TABLE_BYTES):
+        self.splitter, self.encode, self.capacity, self.bytes = splitter, encode, capacity, 0
         self.always = {i: np.uint32(i).tobytes() for i in splitter.special.values()}
         self.known: dict = dict(self.always)
 
@@ -79,13 +81,14 @@ class TextEncoder:
         new = sorted(wanted - self.known.keys())
         if not new:
             return self.known
-        if len(self.known) + len(new) > self.capacity:
-            self.known = dict(self.always)
+        if self.bytes > self.capacity:
+            self.known, self.bytes = dict(self.always), 0
             new = sorted(wanted - self.known.keys())
         fresh = dict(zip(new, self.encode(new)))
-        self.known.update(fresh if max(map(len, new)) <= CACHE_CHARS else
-                          ((k, v) for k, v in fresh.items() if len(k) <= CACHE_CHARS))
-        return self.known if max(map(len, new)) <= CACHE_CHARS else self.known | fresh
+        short = fresh if max(map(len, new)) <= CACHE_CHARS else {k: v for k, v in fresh.items() if len(k) <= CACHE_CHARS}
+        self.known.update(short)
+        self.bytes += sum(entry_bytes(k, v) for k, v in short.items())
+        return self.known if short is fresh else self.known | fresh
 
     def ids(self, texts: list[str]) -> list[bytes]:
         split = [self.splitter.words(t) for t in texts]
@@ -93,15 +96,9 @@ class TextEncoder:
         return [b"".join(map(known.__getitem__, s)) for s in split]
 
 
-_WORKER: dict[tuple, TextEncoder] = {}
-
-
 def worker_encoder(key: tuple, make: Callable[[], TextEncoder]) -> TextEncoder:
     """The worker process's own encoder for ``key``, made at first use."""
-    if key not in _WORKER:
-        _WORKER.clear()
-        _WORKER[key] = make()
-    return _WORKER[key]
+    return held(("encoder", *key), make)
 
 
 def library_encoder(spec: str) -> TextEncoder:

@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 
 from statlake.llm.components import components
 from statlake.llm.frames import id_text, materialise, ship
+from statlake.llm.held import held
 from statlake.llm.text import mix, shingles, slices, words_of
 
 BANDS, ROWS = 40, 6
@@ -81,9 +82,6 @@ def wide_signature(values: np.ndarray, places: int, seed: int = SEED) -> np.ndar
     return np.array([mix(at + np.uint64(k)).min() for k in range(places)], np.uint64)
 
 
-_CIRCLES: dict[int, Circle] = {}
-
-
 def band_keys(values: np.ndarray) -> list[int]:
     """A key per band (and circle) of a set."""
     if len(values) < LEAST_SIZE:
@@ -91,9 +89,7 @@ def band_keys(values: np.ndarray) -> list[int]:
     places = BANDS * ROWS
     found = []
     if 85 * len(values) <= 100 * CIRCLE_MOST:
-        if places not in _CIRCLES:
-            _CIRCLES[places] = Circle(places)
-        found.append((0, _CIRCLES[places].signature(values)))
+        found.append((0, held(("circle", places), lambda: Circle(places)).signature(values)))
     if 100 * len(values) >= 85 * CIRCLE_MOST:
         found.append((1, wide_signature(values, places)))
     keys = []

@@ -1,20 +1,24 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-The network reads the bytes of a run of letters forwards and backwards, its
-state starting afresh at every run (and every ``SPAN`` bytes of a longer one),
-and labels every byte position with probabilities of the languages.  A
-document's probabilities are the mean over all its positions.  Equal runs have
-equal labels, so each task labels a distinct run once and keeps the sums.
+The network reads all bytes of a text (UTF-8, A-Z in lower case), letters,
+blanks, digits and everything else, forwards and backwards, and labels every
+byte position with probabilities of the languages.  A document's probabilities
+are the mean over all its positions.
+
+A text is read in spans of ``SPAN`` bytes that run side by side.  Each direction
+carries its state through ``WARM`` more bytes before its span, whose labels
+belong to the neighbour: by then it has forgotten where it began, so labels are
+those of a run over the whole text (a text of at most ``SPAN`` bytes is one run).
 
 Trained in numpy by backpropagation through time (Adam), on the driver, on a
-bounded sample of labelled rows: the ``train_docs`` rows with the smallest id
-hashes, up to ``train_words`` distinct runs of each.  Weights are a few tens
-of kilobytes and are broadcast.
+bounded sample of labelled rows: windows of ``WINDOW`` bytes, up to
+``train_windows`` evenly spread over each of the ``train_docs`` documents with
+the smallest id hashes.  Weights are a few tens of kilobytes and are broadcast.
 
 Defined cases: null text and texts without a letter are ``und`` with score 0;
 rows with null labels are not learned from; repeated rows are labelled alike;
-very long texts are read whole; without any labelled row every text with a
-letter is ``und``; other columns are ignored.
+very long texts are read whole, in spans; without any labelled row every text
+with a letter is ``und``; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,18 +31,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statlake.llm.frames import id_text
+from statlake.llm.frames import id_text, ship
 from statlake.llm.text import by_slice
 
 UND = "und"
-SPAN = 24
-LETTERS = re.compile(r"[^\W\d_]+")
-KEPT_RUNS = 300_000   # runs whose labels a worker keeps; emptied when full
+SPAN, WARM = 448, 48
+LANES = 4096          # spans read side by side
+WINDOW = 64           # bytes of a training window
+LETTER = re.compile(r"[^\W\d_]")
 
 
-def runs(text: str) -> list[str]:
-    """Maximal runs of letters, lower-cased."""
-    return LETTERS.findall(text.lower())
+def raw(text: str) -> bytes:
+    return text.encode("utf-8").lower()
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -98,37 +102,109 @@ class Model:
         p = np.exp(score - score.max(2, keepdims=True))
         return p / p.sum(2, keepdims=True), h, a, b
 
-    def pooled(self, words: list[str]) -> np.ndarray:
-        """Per run: sum over its positions of the probabilities, and their number."""
-        out = np.zeros((len(words), len(self.langs) + 1), np.float32)
-        for x, owner in batches(words):
-            p = self.positions(x)[0]
-            np.add.at(out, owner, np.concatenate([p.sum(0), np.full((len(owner), 1), len(x), np.float32)], 1))
+    def pooled(self, texts: list[bytes]) -> np.ndarray:
+        """Per text: sum over all its positions of the probabilities."""
+        out = np.zeros((len(texts), len(self.langs)))
+        spans = [(k, at) for k, t in enumerate(texts) for at in range(0, len(t), SPAN)]
+        spans.sort(key=lambda s: len(texts[s[0]]) - s[1], reverse=True)   # like lengths side by side
+        for lo in range(0, len(spans), LANES):
+            some = spans[lo:lo + LANES]
+            sums = self._spans([texts[k] for k, _ in some], np.array([at for _, at in some]))
+            np.add.at(out, np.array([k for k, _ in some]), sums)
+        return out
+
+    def _spans(self, texts: list[bytes], at: np.ndarray) -> np.ndarray:
+        """Per span, ``texts[i][at[i]:at[i] + SPAN]``: sums of its positions' probabilities."""
+        upto = np.minimum(at + SPAN, [len(t) for t in texts])
+        size, first = upto - at, np.maximum(at - WARM, 0)
+        last = np.minimum(upto + WARM, [len(t) for t in texts])
+        order = np.argsort(-size, kind="stable")
+        texts, at, size, first, last, upto = [texts[i] for i in order], at[order], size[order], first[order], last[order], upto[order]
+        steps = int(size[0])
+        # the bytes of each span, and those that warm each direction up, nearest to the span last
+        core = _lanes([t[a:b] for t, a, b in zip(texts, at.tolist(), upto.tolist())], steps)
+        before = _lanes([t[a:b][::-1] for t, a, b in zip(texts, first.tolist(), at.tolist())], WARM)[::-1]
+        after = _lanes([t[a:b] for t, a, b in zip(texts, upto.tolist(), last.tolist())], WARM)[::-1]
+        alive = np.searchsorted(-size, -np.arange(steps), side="left")    # lanes longer than t: size > t
+        n, langs, width = len(texts), len(self.langs), len(self.ahead.state)
+        ahead, back = _Step(self.ahead, n), _Step(self.back, n)
+        ahead.warm(before, at - first)
+        back.warm(after, last - upto)
+        w = np.ascontiguousarray(self.out.T)
+        score = np.empty((steps, langs, n), np.float32)
+        for t in range(steps):
+            m = alive[t]
+            score[t, :, :m] = w[:, :width] @ ahead(core[t, :m]) + w[:, -1:]
+        sums = np.zeros((langs, n), np.float32)
+        for t in range(steps - 1, -1, -1):
+            m = alive[t]
+            p = score[t, :, :m] + w[:, width:-1] @ back(core[t, :m])
+            p -= p.max(0)
+            np.exp(p, out=p)
+            sums[:, :m] += p / p.sum(0)
+        out = np.empty((n, langs))
+        out[order] = sums.T
         return out
 
 
-def batches(words: list[str], most: int = 8192):
-    """Spans of one length as T x B byte arrays, with the index of each one's run."""
-    by_length: dict[int, tuple[list, list]] = {}
-    for k, w in enumerate(words):
-        raw = w.encode("utf-8")
-        for at in range(0, len(raw), SPAN):
-            part = raw[at:at + SPAN]
-            held = by_length.setdefault(len(part), ([], []))
-            held[0].append(part)
-            held[1].append(k)
-    for n, (parts, owner) in by_length.items():
-        for at in range(0, len(parts), most):
-            x = np.frombuffer(b"".join(parts[at:at + most]), np.uint8).reshape(-1, n)
-            yield np.ascontiguousarray(x.T), np.array(owner[at:at + most])
-
-
-def train(samples: list[tuple[str, list[str]]], hidden: int = 16, steps: int = 300, batch: int = 1024,
-          rate: float = 0.02, seed: int = 7) -> Model:
-    """``samples``: (language, runs of one document)."""
+def _lanes(parts: list[bytes], steps: int) -> np.ndarray:
+    """Steps x lanes; shorter parts are followed by zeros."""
+    if not steps:
+        return np.zeros((0, len(parts)), np.uint8)
+    whole = np.frombuffer(b"".join(p.ljust(steps, b"\0") for p in parts), np.uint8)
+    return np.ascontiguousarray(whole.reshape(len(parts), steps).T)
+
+
+class _Step:
+    """One direction over many lanes, a column each."""
+
+    def __init__(self, gru: Gru, lanes: int):
+        self.size = len(gru.state)
+        # sigmoid(x) = (1 + tanh(x / 2)) / 2: halves of the gates' inputs
+        half = np.repeat(np.float32([0.5, 0.5, 1]), self.size)
+        self.embed = np.ascontiguousarray((gru.embed * half).T.astype(np.float32))
+        self.state = np.ascontiguousarray((gru.state * half).T.astype(np.float32))
+        self.h = np.zeros((self.size, lanes), np.float32)
+
+    def __call__(self, x: np.ndarray, columns: slice | np.ndarray | None = None) -> np.ndarray:
+        """The states of the first lanes after one more byte each."""
+        k, m = self.size, len(x)
+        h = self.h[:, :m]
+        inp, rec = np.take(self.embed, x, axis=1), self.state @ h
+        gates = inp[:2 * k]
+        gates += rec[:2 * k]
+        np.tanh(gates, out=gates)
+        gates *= np.float32(0.5)
+        gates += np.float32(0.5)
+        z, r = gates[:k], gates[k:]
+        n = inp[2 * k:]
+        r *= rec[2 * k:]
+        n += r
+        np.tanh(n, out=n)
+        after = h - n
+        after *= z
+        after += n
+        self.h[:, :m] = after
+        return after
+
+    def warm(self, x: np.ndarray, length: np.ndarray) -> None:
+        """Carry the states through the last ``length`` rows of ``x`` (lanes differ)."""
+        for t in range(len(x)):
+            some = np.flatnonzero(length >= len(x) - t)
+            if len(some) == len(length):
+                self(x[t])
+            elif len(some):
+                lane = _Step.__new__(_Step)
+                lane.size, lane.embed, lane.state = self.size, self.embed, self.state
+                lane.h = self.h[:, some]
+                self.h[:, some] = lane(x[t, some])
+
+
+def train(samples: list[tuple[str, bytes]], hidden: int = 8, steps: int = 400, batch: int = 384,
+          rate: float = 0.03, seed: int = 7) -> Model:
+    """``samples``: (language, window of a text)."""
     rng = np.random.default_rng(seed)
-    langs = sorted({s[0] for s in samples})
-    words = [(w, langs.index(lang)) for lang, ws in samples for w in ws]
+    langs = sorted({lang for lang, _ in samples})
 
     def gru() -> Gru:
         return Gru(rng.normal(0, 0.3, (256, 3 * hidden)).astype(np.float32),
@@ -139,13 +215,12 @@ def train(samples: list[tuple[str, list[str]]], hidden: int = 16, steps: int = 3
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     # one length per step, lengths in proportion to their bytes; languages equally often
     groups: dict[int, tuple[list, list, list]] = {}
-    count = np.bincount([k for _, k in words], minlength=len(langs))
-    for w, k in words:
-        raw = w.encode("utf-8")[:SPAN]
-        g = groups.setdefault(len(raw), ([], [], []))
-        g[0].append(raw), g[1].append(k), g[2].append(1 / count[k])
+    count = np.bincount([langs.index(lang) for lang, _ in samples], minlength=len(langs))
+    for lang, window in samples:
+        g, k = groups.setdefault(len(window), ([], [], [])), langs.index(lang)
+        g[0].append(window), g[1].append(k), g[2].append(1 / count[k])
     lengths = sorted(groups)
-    share = np.array([n * len(groups[n][0]) for n in lengths], float)
+    share = np.array([n * sum(groups[n][2]) for n in lengths])
     data = {n: (np.frombuffer(b"".join(g[0]), np.uint8).reshape(-1, n), np.array(g[1]), np.array(g[2]) / sum(g[2]))
             for n, g in groups.items()}
     for step in range(1, steps + 1):
@@ -161,7 +236,8 @@ def train(samples: list[tuple[str, list[str]]], hidden: int = 16, steps: int = 3
         ga = model.ahead.backward(x, a, list(gh[:, :, :hidden]))
         gb = model.back.backward(x[::-1], b, list(gh[::-1, :, hidden:2 * hidden]))
         grads = [*ga, *gb, np.einsum("tbh,tbl->hl", h, g)]
-        lr = rate * min(1.0, 2 * (1 - step / (steps + 1)))
+        norm = np.sqrt(sum(float((d * d).sum()) for d in grads))
+        lr = rate * min(1.0, 2 * (1 - step / (steps + 1))) * min(1.0, 1.0 / max(norm, 1e-9))
         for q, d, m, v in zip(params, grads, first, second):
             m += 0.1 * (d - m)
             v += 0.01 * (d * d - v)
@@ -169,83 +245,83 @@ def train(samples: list[tuple[str, list[str]]], hidden: int = 16, steps: int = 3
     return model
 
 
-def _sample_runs(train_words: int):
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        # spread over the whole text: runs in order of a keyed hash of their letters
-        picked = [sorted(set(runs(t or "")), key=hash_of)[:train_words]
-                  for t in batch.column("text").to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(picked, pa.list_(pa.string()))],
-                                          ["lang", "runs"])
-    return one
+def windows(text: bytes, most: int) -> list[bytes]:
+    """Up to ``most`` windows, evenly spread over the whole text."""
+    spare = len(text) - WINDOW
+    if spare <= 0:
+        return [text] if text else []
+    n = min(most, 1 + spare // WINDOW)
+    return [text[at:at + WINDOW] for at in (spare * k // max(n - 1, 1) for k in range(n))]
 
 
-def hash_of(word: str) -> int:
-    import zlib
-
-    return zlib.crc32(word.encode("utf-8"), 0x5EED)
+def _sample_windows(most: int):
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [windows(raw(t), most) if t and LETTER.search(t) else [] for t in batch.column("text").to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(found, pa.list_(pa.binary()))], ["lang", "windows"])
+    return one
 
 
 def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        train_docs: int = 2000, train_words: int = 150, **options) -> Model | None:
+        train_docs: int = 2000, train_windows: int = 16, **options) -> Model | None:
     """A model from the rows where ``learn`` holds and the language is known."""
+    ship(docs.sparkSession)
     rows = docs.where(learn).select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"),
                                     F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     # ids first, so that no text travels before the bound is applied
     ids = [r[0] for r in rows.select("doc_id", F.xxhash64("doc_id").alias("h")).where("doc_id IS NOT NULL")
            .orderBy("h", "doc_id").limit(train_docs).collect()]
     got = (rows.where(F.col("doc_id").isin(ids)).select("lang", "text")
-           .mapInArrow(by_slice(_sample_runs(train_words)), "lang string, runs array<string>").collect()) if ids else []
-    samples = sorted((r.lang, sorted(r.runs)) for r in got if r.runs)
+           .mapInArrow(by_slice(_sample_windows(train_windows)), "lang string, windows array<binary>").collect()) if ids else []
+    samples = sorted((r.lang, bytes(w)) for r in got for w in r.windows)
     return train(samples, **options) if samples else None
 
 
-_KEPT: dict = {"model": None, "runs": {}, "sums": None}
-
-
-def _labels(model_id: int, model: Model, wanted: set[str]) -> tuple[dict[str, int], np.ndarray]:
-    """Indices of runs, and the sums of their positions, in the worker's table."""
-    if _KEPT["model"] != model_id:
-        _KEPT.update(model=model_id, runs={}, sums=np.zeros((0, len(model.langs) + 1), np.float32))
-    new = sorted(wanted - _KEPT["runs"].keys())
-    if len(_KEPT["runs"]) + len(new) > KEPT_RUNS:
-        _KEPT.update(runs={}, sums=np.zeros((0, len(model.langs) + 1), np.float32))
-        new = sorted(wanted)
-    if new:
-        base = len(_KEPT["runs"])
-        _KEPT["runs"].update(zip(new, range(base, base + len(new))))
-        _KEPT["sums"] = np.concatenate([_KEPT["sums"], model.pooled(new)])
-    return _KEPT["runs"], _KEPT["sums"]
+def _labelled(model: Model | None, column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(language, score, probabilities) of every text of a column."""
+    texts = column.to_pylist()
+    langs = model.langs if model else []
+    p = np.zeros((len(texts), max(1, len(langs))))
+    known = [i for i, t in enumerate(texts) if langs and t and LETTER.search(t)]
+    if known:
+        bytes_ = [raw(texts[i]) for i in known]
+        p[known] = model.pooled(bytes_) / np.array([[len(b)] for b in bytes_])
+    named = np.full(len(texts), UND, dtype=object)
+    named[known] = np.array(langs, dtype=object)[p[known].argmax(1)] if known else UND
+    score = np.zeros(len(texts))
+    score[known] = np.clip(p[known].max(1), 0, 1)
+    return named.tolist(), score, p
 
 
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, lang_pred, score, p (array of the languages' probabilities)."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    model_id = shared._jbroadcast.id() if hasattr(shared, "_jbroadcast") else id(model)
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         model = shared.value
-        langs = model.langs if model else []
-        texts = [runs(t) if t else [] for t in batch.column("text").to_pylist()]
-        edge = np.cumsum([0, *map(len, texts)])
-        p = np.zeros((len(texts), max(1, len(langs))))
-        if langs and edge[-1]:
-            known, sums = _labels(model_id, model, set().union(*texts))
-            flat = np.fromiter((known[w] for t in texts for w in t), np.int64, int(edge[-1]))
-            some = np.flatnonzero(np.diff(edge))
-            total = np.add.reduceat(sums[flat].astype(np.float64), edge[some], axis=0)
-            p[some] = total[:, :-1] / total[:, -1:]
-        best, top = p.argmax(1), p.max(1)
-        known_ = [bool(langs) and edge[i + 1] > edge[i] for i in range(len(texts))]
+        named, score, p = _labelled(model, batch.column("text"))
+        width = len(model.langs) if model else 0
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([langs[k] if ok else UND for k, ok in zip(best, known_)], pa.string()),
-             pa.array(np.where(known_, np.clip(top, 0, 1), 0.0)),
-             pa.array([x[:len(langs)].tolist() if ok else [] for x, ok in zip(p, known_)], pa.list_(pa.float64()))],
+            [batch.column("doc_id"), pa.array(named, pa.string()), pa.array(score),
+             pa.array([x[:width].tolist() if lang != UND else [] for x, lang in zip(p, named)], pa.list_(pa.float64()))],
             ["doc_id", "lang_pred", "score", "p"])
 
     return id_text(docs, id_col, text_col).mapInArrow(by_slice(run), "doc_id long, lang_pred string, score double, "
                                                                      "p array<double>")
 
 
+def known_language(docs: DataFrame, model: Model | None, least: float, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text has a learned language with a
+    mean probability of ``least`` or more.  Each row carries its own verdict."""
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        named, score, _ = _labelled(shared.value, batch.column(batch.schema.get_field_index(text_col)))
+        return batch.filter(pa.array([lang != UND and s >= least for lang, s in zip(named, score)], pa.bool_()))
+
+    return docs.mapInArrow(by_slice(run, text_col), docs.schema)
+
+
 def remainder(id_col: str = "doc_id", of: int = 4) -> Column:
     return F.crc32(F.col(id_col).cast("string")) % of
