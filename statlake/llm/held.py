@@ -20,13 +20,19 @@ _HELD: dict = {"owner": None, "value": None}
 ENTRY_BYTES = 104
 
 
+def trim(collect: bool = True) -> None:
+    """Give freed memory back to the system."""
+    if collect:
+        gc.collect()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def held(owner: Hashable, make: Callable[[], object]):
     """The worker's value of ``owner``, made at first use; another owner's is dropped."""
     if _HELD["owner"] != owner:
         _HELD.update(owner=None, value=None)
-        gc.collect()
-        if sys.platform == "linux":
-            ctypes.CDLL(None).malloc_trim(0)   # freed pages go back to the system
+        trim()
         _HELD.update(value=make(), owner=owner)
     return _HELD["value"]
 

@@ -24,6 +24,21 @@ def test_elias_fano(values, more):
     assert (e.get(np.arange(len(v))) == v).all()
     q = np.array([*values, *more, 0, 2**64 - 1], np.uint64)
     assert (e.successor(q) == np.searchsorted(v, q)).all()
+    place, hit = e.index(q)
+    assert (place == np.searchsorted(v, q)).all() and (hit == np.isin(q, v)).all()
+    if len(v) > 1:
+        at = np.arange(len(v) - 1)
+        assert all((got == want).all() for got, want in zip(e.pair(at), (v[:-1], v[1:])))
+
+
+@pytest.mark.parametrize("values", [[0] * 200, [5] * 64 + [2**40] * 63 + [2**63] * 130, list(range(0, 9000, 90)), [7] * 65 + [8]])
+def test_elias_fano_with_long_runs_and_gaps(values):
+    v = np.array(values, np.uint64)
+    e = EliasFano.build(v)
+    q = np.unique(np.concatenate([v, v + np.uint64(1), np.maximum(v, np.uint64(1)) - np.uint64(1)]))
+    place, hit = e.index(q)
+    assert (place == np.searchsorted(v, q)).all() and (hit == np.isin(q, v)).all()
+    assert all((got == want).all() for got, want in zip(e.pair(np.arange(len(v) - 1)), (v[:-1], v[1:])))
 
 
 def _plain_model(texts, order):
