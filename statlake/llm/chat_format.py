@@ -7,7 +7,10 @@ into canonical turns ``array<struct<role, text>>``.  Two inputs are served:
 
 * typed frames: the schema's own paths select the mapping, once per frame;
 * JSON records: the paths present in each record select it, row by row; the
-  records are read with the union of the registered fields.
+  records are read with the union of the registered fields.  A field counts as
+  present if its name is there, also with a null value; a field of an array's
+  elements, if any element has it.  A layout may name *optional* fields, which
+  need not be there, and an empty array has all fields of its layout.
 
 The *template* writes ``<turn>role\\ntext</turn>\\n`` per turn.  Inside roles
 and texts ``\\`` becomes ``\\\\`` and ``<`` becomes ``\\l`` (and line breaks in
@@ -62,6 +65,7 @@ class Layout:
     turns: str
     conversation: str | None = None
     order: str | None = None
+    optional: tuple[str, ...] = ()
 
     @property
     def paths(self) -> list[str]:
@@ -90,7 +94,7 @@ LAYOUTS = [
                "CASE m.from WHEN 'human' THEN 'user' WHEN 'gpt' THEN 'assistant' ELSE m.from END", "m.value") + ")"),
     Layout("instruction", "instruction string, input string, output string",
            "array(" + _turn("'user'", "concat_ws('\\n\\n', instruction, nullif(input, ''))") + ", "
-           + _turn("'assistant'", "output") + ")"),
+           + _turn("'assistant'", "output") + ")", optional=("input",)),
     Layout("system instruction", "system string, instruction string, output string",
            _present(_turn("'system'", "system"), _turn("'user'", "instruction"), _turn("'assistant'", "output"))),
     Layout("prompt", "prompt string, response string",
@@ -137,8 +141,7 @@ def record_turns(df: DataFrame, id_col: str, json_col: str, layouts: list[Layout
     """conv_id, layout and turns of JSON records of mixed layouts.
 
     The record is read with the union of the fields of all layouts; the paths
-    that are present are its fingerprint.  Array elements are looked into for
-    the fields of their first element."""
+    that are present, with a layout's optional ones added, are its fingerprint."""
     layouts = [x for x in layouts if x.conversation is None]
     fields: dict[str, T.StructField] = {}
     for x in layouts:
@@ -147,18 +150,39 @@ def record_turns(df: DataFrame, id_col: str, json_col: str, layouts: list[Layout
     schema = T.StructType([fields[k] for k in sorted(fields)])
     paths = sorted({p for x in layouts for p in x.paths})
 
+    def has(json: Column, path: str) -> Column:
+        """Whether a JSON object has the field at ``path``, null or not."""
+        parent, _, name = path.rpartition(".")
+        inside = F.get_json_object(json, "$." + parent) if parent else json
+        return F.coalesce(F.array_contains(F.json_object_keys(inside), name), F.lit(False))
+
+    def elements(path: str) -> Column:
+        return F.from_json(F.get_json_object(json_col, "$." + path), "array<string>")
+
     def there(path: str) -> Column:
-        # the first element stands for an array's elements
-        return F.get_json_object(json_col, "$." + path.replace("[]", "[0]")).isNotNull()
+        array, several, rest = path.partition("[].")
+        if not several:
+            return has(F.col(json_col), path)
+        return F.coalesce(F.exists(elements(array), lambda e: has(e, rest)), F.lit(False))
+
+    def empty(path: str) -> Column:
+        array, several, _ = path.partition("[].")
+        return F.coalesce(F.size(elements(array)) == 0, F.lit(False)) if several else F.lit(False)
 
-    present = F.concat_ws("\n", *[F.when(there(p), F.lit(p)) for p in paths])
-    mark = F.sha2(present, 256)
+    # one flag per path, evaluated once
+    seen = F.struct(*[there(p).alias(f"p{k}") for k, p in enumerate(paths)], *[empty(p).alias(f"e{k}") for k, p in enumerate(paths)])
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for x in layouts:
+        def present(k: int, p: str, x=x) -> Column:
+            flag = F.col("__seen")[f"p{k}"]
+            if p in x.optional:
+                return F.lit(True)
+            return flag | F.col("__seen")[f"e{k}"] if p in x.paths else flag
+        mark = F.sha2(F.concat_ws("\n", *[F.when(present(k, p), F.lit(p)) for k, p in enumerate(paths)]), 256)
         name = F.when(mark == x.fingerprint, x.name).otherwise(name)
         turns = F.when(mark == x.fingerprint, F.expr(x.turns).cast(TURNS)).otherwise(turns)
-    opened = df.select(F.col(id_col).alias("conv_id"), F.from_json(json_col, schema).alias("r"), F.col(json_col))
-    opened = opened.select("conv_id", json_col, *[F.col("r")[f].alias(f) for f in sorted(fields)])
+    opened = df.select(F.col(id_col).alias("conv_id"), F.from_json(json_col, schema).alias("r"), seen.alias("__seen"))
+    opened = opened.select("conv_id", "__seen", *[F.col("r")[f].alias(f) for f in sorted(fields)])
     return opened.select("conv_id", name.alias("layout"), _clean(turns).alias("turns"))
 
 

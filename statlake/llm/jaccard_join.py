@@ -30,8 +30,9 @@ broadcast (four megabytes at most) and come last; all others go by hash.
 
 Defined cases: null text and texts without words have no shingles and link
 with nothing; fewer than five words are one shingle; repeated rows share a
-class; null ids are reported with a null component unless another row of the
-class has an id; an empty table gives none; other columns pass by.
+class; rows of one id with different texts are linked by their own texts; null
+ids carry links and are reported with a null component unless a row of the
+component has an id; an empty table gives none; other columns pass by.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from statlake.llm.components import components
-from statlake.llm.frames import id_text, materialise
+from statlake.llm.frames import id_text, materialise, ship
 from statlake.llm.text import mix, shingles, slices, words_of
 
 HEAVY_MAX = 262_144   # shingles that are ordered by frequency
@@ -102,7 +103,7 @@ def _signature(values: np.ndarray) -> tuple[int, int]:
     return c, int(two.sum(dtype=np.uint64).view(np.int64))
 
 
-SET_SCHEMA = "kind int, doc_id long, n long, class long, class2 long, sketch binary, shingle long, count long"
+SET_SCHEMA = "kind int, doc_id long, text_hash long, n long, class long, class2 long, sketch binary, shingle long, count long"
 
 
 def _scan_sets(size: int):
@@ -132,7 +133,8 @@ def _scan_sets(size: int):
                         seen.add((a, len(values)))
                         held.append(values)
                         total += len(values)
-                yield rows(0, part.num_rows, doc_id=part.column("doc_id"), n=pa.array(n, pa.int64()),
+                yield rows(0, part.num_rows, doc_id=part.column("doc_id"), text_hash=part.column("text_hash"),
+                           n=pa.array(n, pa.int64()),
                            sketch=pa.array(sk, pa.binary()), **{"class": pa.array(c1, pa.int64()),
                                                                 "class2": pa.array(c2, pa.int64())})
                 if total >= LOCAL_SHINGLES:
@@ -206,8 +208,8 @@ def _postings(size: int, boundary: int, shared):
 
 
 def _sketched(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of classes (a, b) that the full sketches leave: their smallest ids."""
-    side = lambda s: classes.select(F.col("class").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "sketch")])
+    """Pairs of classes (a, b) that the full sketches leave."""
+    side = lambda s: classes.select(F.col("class").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "sketch")])
 
     def run(batches):
         for b in batches:
@@ -215,27 +217,33 @@ def _sketched(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             n, m = b.column("n_a").to_pylist(), b.column("n_b").to_pylist()
             keep = [may_link(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), i, j)
                     for x, y, i, j in zip(a, c, n, m)]
-            yield pa.RecordBatch.from_arrays([b.column("rep_a"), b.column("rep_b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return (pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long"))
 
 
-def _verified(pairs: DataFrame, base: DataFrame, size: int) -> DataFrame:
-    """The pairs of ids whose full sets link."""
+def _verified(pairs: DataFrame, classes: DataFrame, base: DataFrame, size: int) -> DataFrame:
+    """The pairs of classes whose full sets link."""
     pairs = materialise(pairs, "pairs")
-    wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id")
+    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
+    # one document of every class; null ids cannot be looked up and are all read
+    names = (classes.select("class", F.col("rep").alias("doc_id")).join(wanted, "class", "left_semi")
+             .select("doc_id").where("doc_id IS NOT NULL").distinct())
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
+                sets = [v for v in _documents(part, size) if len(v)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([v.view(np.int64) for v in _documents(part, size)],
-                                                     pa.list_(pa.int64()))], ["id", "set"])
-
-    # a repeated id may come with different texts: the one whose set is the class's smallest id is enough
-    sets = materialise(base.join(wanted, "doc_id", "left_semi").mapInArrow(run, "id long, set array<long>"), "sets")
-    x = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
-    y = x.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
+                    [pa.array([_signature(v)[0] for v in sets], pa.int64()),
+                     pa.array([v.view(np.int64) for v in sets], pa.list_(pa.int64()))], ["class", "set"])
+
+    # a repeated id may come with different texts: sets go by their class
+    read = base.join(names, "doc_id", "left_semi").union(base.where("doc_id IS NULL"))
+    sets = materialise(read.mapInArrow(run, "class long, set array<long>").join(wanted, "class", "left_semi")
+                       .groupBy("class").agg(F.first("set").alias("set")), "sets")
+    x = pairs.join(sets.select(F.col("class").alias("a"), F.col("set").alias("set_a")), "a")
+    y = x.join(sets.select(F.col("class").alias("b"), F.col("set").alias("set_b")), "b")
     overlap = F.size(F.array_intersect("set_a", "set_b"))
     return y.where(7 * overlap >= 3 * (F.size("set_a") + F.size("set_b"))).select("a", "b").distinct()
 
@@ -283,11 +291,13 @@ def _cross_pairs(batches):
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id."""
+    """Per row: doc_id, n_shingles, component_id, and text_hash (xxhash64 of the
+    text), which tells rows of one id apart."""
     spark = docs.sparkSession
+    ship(spark)
     base = id_text(docs, id_col, text_col)
-    scan = materialise(base.mapInArrow(_scan_sets(size), SET_SCHEMA), "shingle-sets")
-    sets = scan.where("kind = 0").select("doc_id", "n", "class", "class2", "sketch")
+    scan = materialise(base.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_scan_sets(size), SET_SCHEMA), "shingle-sets")
+    sets = scan.where("kind = 0").select("doc_id", "text_hash", "n", "class", "class2", "sketch")
     # equal signatures and sizes: one class, known by the first signature and its smallest id
     classes = materialise(sets.where("n > 0").groupBy("class", "class2", "n").agg(
         F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")), "classes")
@@ -320,7 +330,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     fits = F.expr("7 * least(n - place, centre.n - centre.place) >= 3 * (n + centre.n)")
     stars = members.where("class != centre.class").where(fits).select(F.least("class", "centre.class").alias("a"),
                                        F.greatest("class", "centre.class").alias("b")).distinct()
-    links = materialise(_verified(_sketched(stars, classes), base, size), "links")
+    links = materialise(_verified(_sketched(stars, classes), classes, base, size), "links")
     roots = components(links)
 
     # lists whose members are not yet together; a list of two that was not split has been compared
@@ -328,8 +338,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     everyone = members.select("key", split, "class", "n", "place").union(
         members.select("key", split, "centre.class", "centre.n", "centre.place")).distinct()
     small = [F.col("small")[k].alias(f"s{k}") for k in range(SMALL_WORDS)]
-    known = classes.join(roots, F.col("rep") == F.col("node"), "left").select(
-        "class", F.coalesce("root", "rep").alias("component"))
+    known = classes.join(roots, F.col("class") == F.col("node"), "left").select(
+        "class", F.coalesce("root", "class").alias("component"))
     placed = everyone.join(known, "class")
     # lists of the same members are the same comparisons: the one whose shingle comes
     # first stays, and no pair's first common shingle is lost, as it would be earlier still
@@ -350,13 +360,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = rows.select("*", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"))
     crossing = (rows.drop("other").repartition("key", "first", "second").sortWithinPartitions("key", "first", "second")
                 .mapInArrow(_cross_pairs, "a long, b long").distinct())
-    more = _verified(_sketched(crossing, classes), base, size)
+    more = _verified(_sketched(crossing, classes), classes, base, size)
     final = components(links.union(materialise(more, "more-links")))
 
-    named = classes.join(final, F.col("rep") == F.col("node"), "left").select(
-        "class", "class2", "n", F.coalesce("root", "rep").alias("component"))
+    rooted = classes.join(final, F.col("class") == F.col("node"), "left").select(
+        "class", "class2", "n", "rep", F.coalesce("root", "class").alias("root"))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("rep").alias("component")), "root").drop("rep", "root")
     return (sets.drop("sketch").join(named, ["class", "class2", "n"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")))
+            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), "text_hash"))
 
 
 def _fold_small(batches):

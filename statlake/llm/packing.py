@@ -34,6 +34,9 @@ from statlake.llm.frames import id_text, materialise
 from statlake.llm.text import by_slice
 
 
+BUCKET_PIECES = 100_000   # pieces of one length ranked by one task
+
+
 @dataclass
 class Plan:
     """Segments sorted by (length, first rank): pieces of ``length`` with ranks
@@ -97,7 +100,7 @@ class LengthIndex:
         if two := self.pair(gap, used):
             return two
         first = np.flatnonzero(self.there[:gap])
-        for a in first[self.pairs[gap - first] > 0][::-1][:32].tolist():
+        for a in first[self.pairs[gap - first] > 0][::-1].tolist():
             if self.spare(a, used) > 0 and (two := self.pair(gap - a, used | {a: used.get(a, 0) + 1})):
                 return (a, *two)
         return None
@@ -160,13 +163,18 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity: int = 40
 
 
 def pack(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity: int = 4096,
-         id_col: str = "doc_id", text_col: str = "text", buckets: int = 64) -> DataFrame:
-    """Pieces with their place: sequence_id and offset added."""
+         id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
+    """Pieces with their place: sequence_id and offset added.  ``buckets``: tasks
+    that rank the pieces of one length; by default one per ``BUCKET_PIECES`` of
+    the most frequent length, so a length that a third of all pieces have is
+    ranked by as many tasks as it needs."""
     cut = materialise(pieces(docs, vocabulary, end_id, capacity, id_col, text_col), "pieces")
     counts = np.zeros(capacity + 1, np.int64)
     for length, n in cut.groupBy("length").count().collect():   # at most ``capacity`` rows
         counts[length] = n
     plan = plan_lengths(counts, capacity)
+    if buckets is None:
+        buckets = max(64, int(counts.max()) // BUCKET_PIECES)
     key = plan.length << 40 | plan.rank
     shared = docs.sparkSession.sparkContext.broadcast((key, plan.rank, plan.sequence, plan.repeat, plan.offset))
 

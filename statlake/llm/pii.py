@@ -1,8 +1,9 @@
 """Personal data replaced by surrogates, with DataFrame functions only.
 
 *Detection*: one pattern finds e-mail addresses, phone numbers, IPv4 and IPv6
-addresses, payment cards, social security numbers, IBANs, secrets after a
-marker such as ``password=`` in any case, and names after a title.
+addresses, payment cards, social security numbers, IBANs, secrets (after a
+marker such as ``password=`` or ``"api_key": `` in any case, bearer credentials,
+signed tokens, access key ids), and names after a title.
 
 *Surrogates*: an entity is one canonical string per type (case, blanks and
 punctuation do not count, so all its mentions share it).  Its surrogate comes
@@ -35,11 +36,17 @@ from statlake.llm.frames import materialise
 MALE, FEMALE, ANY = "Mr|Herr|Señor|Monsieur|Signor|г-н|господин", "Mrs|Ms|Miss|Frau|Señora|Madame|Mme|Signora|г-жа|госпожа", "Dr|Prof"
 NAME = r"\p{Lu}[\p{L}'’-]*\p{L}"
 MARKER = "(?i:token|secret|password|passwd|api_key|apikey)"
+#: Between a marker and its secret: a plural, a closing quote, blanks around = or :, an opening quote.
+ASSIGN = r"[sS]?[\"']? {0,4}[=:] {0,4}[\"']?"
 IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?"
 GROUPS = r"[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}"   # of an IPv6 address, on a side of its "::"
 KINDS = {   # in the order in which they are tried at a place
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
-    "secret": rf"(?<={MARKER} ?[=:] ?[\"']?)[A-Za-z0-9_+/-]{{12,}}+",
+    "secret": rf"(?<={MARKER}{ASSIGN})[A-Za-z0-9_+/-]{{12,}}+"
+              # a bearer's credentials, signed tokens of three parts, access key ids
+              r"|(?<=(?i:bearer) )[A-Za-z0-9_+/-]{12,}+(?:\.[A-Za-z0-9_+/-]+)*"
+              r"|(?<![\p{L}\p{N}])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"
+              r"|(?<![\p{L}\p{N}])A(?:KIA|SIA)[A-Z0-9]{16}(?![\p{L}\p{N}])",
     "iban": rf"(?<![\p{{L}}\p{{N}}]){IBAN}(?![\p{{L}}\p{{N}}])",
     "ipv6": r"(?<![\p{L}\p{N}:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\p{L}\p{N}:])"
             # with "::": at most seven groups around it; an IPv4 tail is left to the next pattern
@@ -54,7 +61,7 @@ KINDS = {   # in the order in which they are tried at a place
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 #: Every entity holds a digit, an @ or a group between colons, or follows a title or marker: most texts stop here.
-HINT = rf"[0-9@]|:[A-Fa-f]{{0,4}}:|(?:{MALE}|{FEMALE}|{ANY})\.? \p{{Lu}}|{MARKER} ?[=:]"
+HINT = rf"[0-9@]|:[A-Fa-f]{{0,4}}:|(?:{MALE}|{FEMALE}|{ANY})\.? \p{{Lu}}|{MARKER}{ASSIGN}|(?i:bearer) |eyJ"
 
 ALPHABETS = {   # script class -> letters that stand in
     r"[a-z]": "abcdefghijklmnopqrstuvwxyz", r"[A-Z]": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",

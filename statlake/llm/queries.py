@@ -37,7 +37,7 @@ def op3_packing(spark, sf_dir):
 
 @register("op4_jaccard_join")
 def op4_jaccard_join(spark, sf_dir):
-    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 @register("op5_lang_gru")

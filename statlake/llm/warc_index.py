@@ -120,8 +120,9 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, id_col: st
                         F.octet_length(F.coalesce("text", F.lit(""))).alias("size")).where(f"size >= {int(min_bytes)}")
     first = (light.groupBy("content").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n"))
              .where("n > 1").drop("n"))
+    # a page id may come with several payloads: each has its own verdict
     revisits = (light.join(first, "content").where("page_id > refers_to")
-                .select("page_id", "refers_to").distinct())
+                .select("page_id", F.unhex("content").alias("content"), "refers_to").distinct())
     revisits = materialise(revisits, "revisits")
 
     def write(batches):
@@ -149,7 +150,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, id_col: st
         if out is not None:
             out.close()
 
-    captures = (packed.select("page_id", "url", "digest", "packed").join(revisits, "page_id", "left")
+    captures = (packed.select("page_id", "url", "digest", "content", "packed").join(revisits, ["page_id", "content"], "left")
                 .mapInArrow(write, "key string, page_id long, file string, offset long, length long"))
     return materialise(captures, "captures")
 

@@ -4,7 +4,7 @@ import pytest
 
 import corpus_pipeline as P
 from statlake.llm import bpe_trie, exact_dedup, jaccard_join, lang_gru, lm_trie, packing, pii, quality_rules
-from tests.llm.conftest import ODD_ROWS, VOCABULARY
+from tests.llm.conftest import ODD_ROWS, VOCABULARY, prose
 
 
 def _lm(docs):
@@ -87,3 +87,18 @@ def test_pipeline_against_stages_by_hand(spark):
             assert offset == at
             at += length
         assert at <= 4096
+
+
+def test_pipeline_verdicts_are_each_rows_own(spark, frame):
+    """Of two rows with one id (or none) only the one that is rejected goes."""
+    a, b = prose(40, 200), prose(41, 200)
+    near = a.split()
+    near[100] = "changed"
+    docs = frame([(1, "!!! 123"), (1, a), (None, "??"), (None, b)])
+    kept = dict(P.STAGES)["language identification"](spark, docs, "")
+    assert sorted((r.text for r in kept.collect())) == sorted([a, b])
+    docs = frame([(0, a), (1, " ".join(near)), (1, b), (None, " ".join(near)), (None, prose(42, 90)), (None, None), (7, None)])
+    kept = dict(P.STAGES)["near duplicates"](spark, docs, "")
+    assert sorted((r.doc_id, r.text) for r in kept.where("doc_id IS NOT NULL").collect() if r.text) == [(0, a), (1, b)]
+    assert sorted(str(r.text) for r in kept.where("doc_id IS NULL").collect()) == sorted(["None", prose(42, 90)])
+    assert kept.where("doc_id = 7").count() == 1 and kept.columns == docs.columns

@@ -29,6 +29,26 @@ def test_mixed_records_become_turns(spark):
     assert got[99].layout is None
 
 
+def test_records_with_missing_null_and_empty_fields(spark):
+    two = [("user", "q"), ("assistant", "a")]
+    records = [({"instruction": "q", "output": "a"}, "instruction", two),
+               ({"instruction": "q", "input": None, "output": "a"}, "instruction", two),
+               ({"instruction": None, "output": "a"}, "instruction", [("user", ""), two[1]]),
+               ({"messages": []}, "messages", []), ({"conversations": []}, "speaker messages", []),
+               ({"messages": [{"role": "system"}, {"role": "user", "content": "q"}]}, "messages", [("system", ""), two[0]]),
+               ({"messages": [{"role": "user", "content": None}]}, "messages", [("user", "")]),
+               ({"prompt": "q", "response": None}, "prompt", [two[0], ("assistant", "")]),
+               ({"data": {"prompt": {"text": None}, "reply": {"text": "a"}}}, "nested data", [("user", ""), two[1]]),
+               ({"messages": None}, None, None), ({"messages": "text"}, None, None), ({"prompt": "q"}, None, None),
+               ({"instruction": "q", "output": "a", "prompt": "x"}, None, None), ([1, 2], None, None)]
+    df = spark.createDataFrame([(k, json.dumps(r)) for k, (r, _, _) in enumerate(records)] + [(99, "no json")], "id long, body string")
+    got = {x.conv_id: x for x in chat_format.record_turns(df, "id", "body").collect()}
+    for k, (_, layout, turns) in enumerate(records):
+        found = got[k].turns
+        assert (got[k].layout, found if found is None else [tuple(t) for t in found]) == (layout, turns), records[k]
+    assert got[99].layout is None
+
+
 def test_typed_frames_by_fingerprint(spark):
     df = spark.createDataFrame([(1, [("user", "q"), ("assistant", None)], "x")],
                                "id long, messages array<struct<role:string,content:string>>, turns string")
@@ -135,6 +155,16 @@ def test_archives_round_trip(spark, monkeypatch, tmp_path, block, least):
     assert sorted((x.key, x.page_id) for x in warc_index.locate(wanted, index, folder).collect()) == [("", 3), ("com,example)/a", 5)]
 
 
+def test_one_page_id_with_several_payloads(spark):
+    """Every payload is in the archives once, and every row has one record."""
+    pages = [(1, "A"), (2, "A"), (2, "BBB"), (3, "A"), (3, "BBB"), (2, "BBB"), (4, "C")]
+    df = spark.createDataFrame([(i, f"http://x.org/{k}", h) for k, (i, h) in enumerate(pages)], "page_id long, url string, html string")
+    got = sorted((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc_index.archive_and_read(df).collect())
+    first = {h: min(i for i, x in pages if x == h) for _, h in pages}
+    want = sorted((i, len(h), *(("response", None) if i == first[h] else ("revisit", first[h]))) for i, h in pages)
+    assert got == want
+
+
 def test_no_pages(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc_index.archive_and_read(df).collect() == []

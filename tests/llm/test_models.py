@@ -134,6 +134,22 @@ def test_language_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_every_byte_of_whole_texts_is_labelled(monkeypatch):
+    """Pooled probabilities are those of one run over the whole text, byte by byte."""
+    rng = np.random.default_rng(3)
+    texts = {"a": "plain words of one kind ", "b": "andere Wörter, viele davon 12 "}
+    samples = [(lang, w) for lang, t in texts.items() for w in lang_gru.windows(lang_gru.raw(t * 40), 30)]
+    model = lang_gru.train(samples, steps=60, batch=64)
+    docs = [lang_gru.raw("".join(rng.choice(list(texts.values()), n))) for n in (1, 2, 30, 200)] + [b"x", b"y" * 449, b"z" * 896]
+    plain = np.array([model.positions(np.frombuffer(d, np.uint8)[:, None])[0].sum((0, 1)) for d in docs])
+    for lanes in (2, 4096):
+        monkeypatch.setattr(lang_gru, "LANES", lanes)
+        got = model.pooled(docs)
+        size = np.array([[len(d)] for d in docs])
+        assert np.allclose(got.sum(1, keepdims=True), size, rtol=1e-4)         # a label for every byte
+        assert np.abs(got / size - plain / size).max() < 2e-3
+
+
 def test_undetermined_texts(frame):
     rows = [(1, None), (2, "12 !?"), (3, "abc def"), (4, None)]
     docs = frame(rows)
