@@ -3,27 +3,36 @@
 *Detection*: one pattern finds e-mail addresses, phone numbers, IPv4 and IPv6
 addresses, payment cards, social security numbers, IBANs, secrets (after a
 marker such as ``password=`` or ``"api_key": `` in any case, bearer credentials,
-signed tokens, access key ids), and names after a title.
+signed tokens, access key ids), and names after a title (as written, in capitals,
+or in small letters after an abbreviated title; one or two words, or a Han name).
+Where a full name follows a title, its other mentions in the document count too.
 
 *Surrogates*: an entity is one canonical string per type (case, blanks and
 punctuation do not count, so all its mentions share it).  Its surrogate comes
 from a keyed digest of (type, canonical string, attempt): digits become
 digits, letters letters of the same script; a phone keeps its country code, a
 card its first digit and a valid check digit, an address the digits per part,
-a mail its top-level domain.  Names are made of syllables of their script,
-first names with an ending of the title's gender; surname and first name are
-entities of their own, so "Mr. Ada Moss" and "Mr. Moss" stay one person.
+a mail its top-level domain.  Names are made of syllables of their script, part
+by part where they hold hyphens or apostrophes, first names with an ending of
+the title's gender; surname and first name are entities of their own, so "Mr.
+Ada Moss" and "Mr. Moss" stay one person.  A full name without a title or under
+one without a gender takes the gender (``f`` before ``m``) that the same name
+has elsewhere in the document, so "Dr. Ada Moss", "Ms. Ada Moss" and "Ada Moss"
+stay one person as well.  Documents are not linked with each other this way.
 A mention's surrogate takes over the mention's own case and punctuation.
 
 *Collision checks*: over all distinct entities, a surrogate that another
 entity has, or that is itself an entity of the corpus, is drawn again with the
-next attempt until all are distinct; later attempts draw from wider spaces.
+next attempt until all are distinct; later attempts draw from wider spaces, in
+the end longer than the entity, so that formats with few values do not run out.
 Only entities that needed another attempt travel back to their documents.
 
 Defined cases: null text stays null and empty text empty; texts without an
 entity are returned unchanged; repeated rows are treated alike; ids may be
 null or repeated; all other columns pass through ``replace_pii`` untouched,
-whatever their names; an empty table gives an empty table.
+whatever their names; an empty table gives an empty table.  Texts of any length
+are searched whole, each in one task; only documents with a full name after a
+title are searched twice.
 """
 
 from __future__ import annotations
@@ -33,8 +42,25 @@ from pyspark.sql import functions as F
 
 from statlake.llm.frames import materialise
 
-MALE, FEMALE, ANY = "Mr|Herr|Señor|Monsieur|Signor|г-н|господин", "Mrs|Ms|Miss|Frau|Señora|Madame|Mme|Signora|г-жа|госпожа", "Dr|Prof"
-NAME = r"\p{Lu}[\p{L}'’-]*\p{L}"
+MALE, FEMALE, ANY = "Mr|Herr|Señor|Monsieur|Signor|[Гг]-н|[Гг]осподин", "Mrs|Ms|Miss|Frau|Señora|Madame|Mme|Signora|[Гг]-жа|[Гг]оспожа", "Dr|Prof"
+TITLES = f"{MALE}|{FEMALE}|{ANY}"
+#: Titles in capitals; those that are also words or units only with their dot.
+SHOUTED = r"(?:(?:MS|DR|PROF)\.|(?:MRS?|HERR|FRAU|SEÑORA?|MONSIEUR|MADAME|MME|SIGNORA?|Г-Н|Г-ЖА|ГОСПОДИН|ГОСПОЖА)\.?)"
+QUIET = r"(?:mrs?|ms|dr|prof)\."
+#: A possessive ending is not part of a name.
+REST = r"\p{L}*(?:['’-](?![sS](?!\p{L}))\p{L}+)*"
+NAME = rf"\p{{Lu}}(?=['’-]?\p{{L}}){REST}"
+#: Words that follow a name, where case does not tell where it ends.
+NOT_NAMES = ("a an and are as asked at but by called came did does for from gave goes had has he her his in is it left "
+             "lives may met of on or said saw says she that the then they to told took was went were who will with would wrote "
+             "der die das und ist war hat el la los y es le les et est").replace(" ", "|")
+BLUR = rf"(?!(?iu:{NOT_NAMES})(?![\p{{L}}'’-]))"   # the next word may be a name
+#: Han surnames of two characters.
+HAN_DOUBLE = "欧阳|司马|上官|诸葛|夏侯|东方|皇甫|尉迟|公孙|慕容"
+HAN_NAME = rf"(?:(?:{HAN_DOUBLE})\p{{IsHan}}{{0,2}}|\p{{IsHan}}{{1,3}})"
+NAMED = (rf"(?:{TITLES})\.? {NAME}(?: {NAME})?|(?:{TITLES})\.? ?{HAN_NAME}"
+         rf"|{SHOUTED} {BLUR}{NAME}(?: {BLUR}{NAME})?|{QUIET} {BLUR}\p{{Ll}}\p{{L}}{REST}(?: {BLUR}\p{{Ll}}\p{{L}}{REST})?")
+TITLED = rf"^(?iu:{TITLES})(?:\.? |\.?(?=\p{{IsHan}}))"
 MARKER = "(?i:token|secret|password|passwd|api_key|apikey)"
 #: Between a marker and its secret: a plural, a closing quote, blanks around = or :, an opening quote.
 ASSIGN = r"[sS]?[\"']? {0,4}[=:] {0,4}[\"']?"
@@ -57,11 +83,11 @@ KINDS = {   # in the order in which they are tried at a place
     "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}-])",
     "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}"
              r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\p{L}\p{N}])",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{MALE}|{FEMALE}|{ANY})\.? {NAME}(?: {NAME})?",
+    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{NAMED})",
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 #: Every entity holds a digit, an @ or a group between colons, or follows a title or marker: most texts stop here.
-HINT = rf"[0-9@]|:[A-Fa-f]{{0,4}}:|(?:{MALE}|{FEMALE}|{ANY})\.? \p{{Lu}}|{MARKER}{ASSIGN}|(?i:bearer) |eyJ"
+HINT = rf"[0-9@]|:[A-Fa-f]{{0,4}}:|(?:{TITLES})\.? ?[\p{{Lu}}\p{{IsHan}}]|{SHOUTED} \p{{Lu}}|{QUIET} \p{{Ll}}|{MARKER}{ASSIGN}|(?i:bearer) |eyJ"
 
 ALPHABETS = {   # script class -> letters that stand in
     r"[a-z]": "abcdefghijklmnopqrstuvwxyz", r"[A-Z]": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
@@ -69,10 +95,16 @@ ALPHABETS = {   # script class -> letters that stand in
     r"\p{IsHan}": "山川田中大小木林月日水火石金", r"\p{L}": "abcdefghijklmnopqrstuvwxyz",
 }
 SYLLABLES = {"latin": "bar ben cal dor fen gal hol jas kel lan mor nel pad ral sel tor".split(),
-             "cyrillic": "бар вел гор дан жел зор кал лан мир нов пол рад сел тар вол мел".split()}
+             "cyrillic": "бар вел гор дан жел зор кал лан мир нов пол рад сел тар вол мел".split(),
+             "greek": "βαρ γαλ δελ ζαν θαλ καλ λαμ μαρ νελ παν ραλ σελ ταρ φεν χαλ δορ".split()}
 ENDINGS = {"latin": {"m": "an or ik us".split(), "f": "a ia ina ela".split(), "n": "e in el is".split()},
-           "cyrillic": {"m": "ан ор ик ем".split(), "f": "а ия ина ела".split(), "n": "е ин ель им".split()}}
+           "cyrillic": {"m": "ан ор ик ем".split(), "f": "а ия ина ела".split(), "n": "е ин ель им".split()},
+           "greek": {"m": "ος ης ας ων".split(), "f": "α η ια ινα".split(), "n": "ι ο υ ει".split()}}
+#: Common Han surnames, and characters of given names by gender.
+HAN_SURNAMES = "王李张刘陈杨赵黄周吴徐孙朱马胡郭林何高罗郑梁谢宋唐许韩冯邓曹彭曾"
+HAN_GIVEN = {"m": "伟强军勇刚峰磊涛杰超鹏浩志建国斌", "f": "芳娜敏静丽艳娟霞秀玲燕红梅兰婷雪", "n": "文华明安宁平晨宇清和书言之若思源"}
 WIDER = 4   # attempts from here on draw from a wider space
+LONGER = 8  # ... and from here on make numbers and secrets longer
 MAX_ATTEMPTS = 64
 
 
@@ -93,20 +125,28 @@ def _kind(mention: Column) -> Column:
     """Type of a mention, by what it looks like on its own."""
     out = F.lit("secret")
     for kind, test in reversed([
-            ("email", "@"), ("name", rf"^(?:{MALE}|{FEMALE}|{ANY})\.? "), ("iban", rf"^{IBAN}$"),
+            ("email", "@"), ("name", rf"{TITLED}|^[^ \d]+ [^ \d]+$|^\p{{IsHan}}+$"), ("iban", rf"^{IBAN}$"),
             ("ipv6", r"^(?:[0-9A-Fa-f]{1,4}:){7}|^[0-9A-Fa-f:]*::"), ("ip", r"^\d{1,3}(?:\.\d{1,3}){3}$"),
             ("ssn", r"^\d{3}-\d{2}-\d{4}$"), ("card", r"^\d[\d -]{11,}\d$"), ("phone", r"^[+(\d][\d ().-]*\d$")]):
         out = F.when(mention.rlike(test), F.lit(kind)).otherwise(out)
     return out
 
 
-def _name_parts(mention: Column) -> tuple[Column, Column, Column]:
-    """(gender, first name or null, surname)."""
-    bare = F.regexp_replace(mention, rf"^(?:{MALE}|{FEMALE}|{ANY})\.? ", "")
+def _name_parts(mention: Column) -> tuple[Column, Column, Column, Column]:
+    """(gender, first name or null, surname, name without its title)."""
+    bare = F.regexp_replace(mention, TITLED, "")
     # longer titles contain shorter ones, so female titles are tried first
-    gender = (F.when(mention.rlike(rf"^(?:{FEMALE})\.? "), "f").when(mention.rlike(rf"^(?:{MALE})\.? "), "m")
-              .otherwise("n"))
-    return gender, F.when(bare.contains(" "), F.substring_index(bare, " ", 1)), F.substring_index(bare, " ", -1)
+    gender = (F.when(mention.rlike(rf"^(?iu:{FEMALE})(?![\p{{Ll}}\p{{Lu}}])"), "f")
+              .when(mention.rlike(rf"^(?iu:{MALE})(?![\p{{Ll}}\p{{Lu}}])"), "m").otherwise("n"))
+    family = F.regexp_extract(bare, rf"^({HAN_DOUBLE}|\p{{IsHan}})", 1)
+    given = F.substr(bare, F.length(family) + 1)
+    han = family != ""
+    first = F.when(han, F.when(given != "", given)).when(bare.contains(" "), F.substring_index(bare, " ", 1))
+    return gender, first, F.when(han, family).otherwise(F.substring_index(bare, " ", -1)), bare
+
+
+def _plain(name: Column) -> Column:
+    return F.replace(F.lower(name), F.lit("’"), F.lit("'"))
 
 
 def _canon(kind: Column, mention: Column) -> Column:
@@ -118,16 +158,27 @@ def _canon(kind: Column, mention: Column) -> Column:
             .when(kind.isin("email", "ipv6"), F.lower(mention)).otherwise(mention))
 
 
-def entities_of(mention: Column) -> Column:
+def people(marks: Column) -> Column:
+    """array<struct<bare, gender>>: the full names among the mentions after titles."""
+    def person(m: Column) -> Column:
+        gender, first, _, bare = _name_parts(m)
+        return F.struct(F.when(first.isNotNull(), bare).alias("bare"), gender.alias("gender"))
+    return F.array_distinct(F.filter(F.transform(F.filter(marks, lambda m: _kind(m) == "name"), person),
+                                     lambda p: p["bare"].isNotNull()))
+
+
+def entities_of(mention: Column, known: Column) -> Column:
     """struct<mention, kind, entities array<struct<kind, canon>>>: two entities for a
-    full name, else one."""
+    full name, else one.  ``known``: the document's ``people``."""
     def entities(kind: Column) -> Column:
-        gender, first, last = _name_parts(mention)
-        surname = _entity("surname", F.lower(last))
+        own, first, last, bare = _name_parts(mention)
+        same = F.filter(known, lambda p: (p["gender"] != "n") & (_plain(p["bare"]) == _plain(bare)))
+        gender = F.when(own != "n", own).otherwise(F.coalesce(F.array_min(F.transform(same, lambda p: p["gender"])), F.lit("n")))
+        surname = _entity("surname", _plain(last))
         return F.struct(mention.alias("mention"), kind.alias("kind"), (
             F.when(kind != "name", F.array(_entity(kind, _canon(kind, mention))))
             .when(first.isNull(), F.array(surname))
-            .otherwise(F.array(_entity(F.concat(F.lit("first_"), gender), F.lower(first)), surname))).alias("entities"))
+            .otherwise(F.array(_entity(F.concat(F.lit("first_"), gender), _plain(first)), surname))).alias("entities"))
     return let(_kind(mention), entities)
 
 
@@ -180,6 +231,9 @@ def _made(kind: Column, canon: Column, attempt: Column, digest: Column) -> Colum
     rest = F.regexp_replace(canon, r"^\+\d+ ", "")
     phone = F.concat(code, (F.pmod(_number(digest, 0), F.lit(8)) + 2).cast("string"),
                      _chars(F.substr(rest, F.lit(2)), F.reverse(digest)))
+    groups = F.regexp_replace(F.substr(digest, F.lit(1), F.lit(32)), "(.{4})(?!$)", "$1:")
+    # digits that numbers and secrets grow by
+    grown = F.when(attempt >= LONGER, _chars(F.repeat(F.lit("0"), F.least(attempt - LONGER + 1, F.lit(16))), F.sha2(digest, 256))).otherwise("")
     octets = F.concat_ws(".", F.transform(F.split(canon, r"\."), lambda o, i: F.when(
         wide, F.pmod(_number(digest, i), F.lit(254)) + 1).when(F.length(o) == 3, F.pmod(_number(digest, i), F.lit(155)) + 100)
         .when(F.length(o) == 2, F.pmod(_number(digest, i), F.lit(90)) + 10)
@@ -192,20 +246,36 @@ def _made(kind: Column, canon: Column, attempt: Column, digest: Column) -> Colum
 
     def name(script: str) -> Column:
         s = F.array(*[F.lit(x) for x in SYLLABLES[script]])
+        letters = "".join(dict.fromkeys(x[0] for x in SYLLABLES[script]))
         syllable = lambda i: F.element_at(s, F.pmod(_number(digest, i), F.lit(len(SYLLABLES[script]))) + 1)
         end = F.lit("")
         for g, ends in ENDINGS[script].items():
             e = F.array(*[F.lit(x) for x in ends])
             end = F.when(kind == f"first_{g}", F.element_at(e, F.pmod(_number(digest, 5), F.lit(len(ends))) + 1)).otherwise(end)
         more = F.concat_ws("", F.transform(F.sequence(F.lit(6), F.greatest(attempt - WIDER, F.lit(0)) + 7), syllable))
-        return F.concat(syllable(0), syllable(1), F.when(kind == "surname", syllable(2)).otherwise(""),
-                        F.when(wide, more).otherwise(""), end)
 
-    names = F.when(canon.rlike(r"\p{IsCyrillic}"), name("cyrillic")).otherwise(name("latin"))
-    return (F.when(kind == "email", mail).when(kind == "phone", phone).when(kind == "ip", octets)
-            .when(kind == "card", F.concat(body, _check_digit(body))).when(kind == "ssn", _chars(canon, digest))
-            .when(kind == "ipv6", _chars(canon, digest, True)).when(kind == "iban", iban)
-            .when(kind == "secret", secret).otherwise(names))
+        def part(p: Column, i: Column) -> Column:
+            mark = F.regexp_extract(p, "(['-]?)$", 1)
+            return F.concat(F.when(F.length(p) - F.length(mark) == 1, _pick(letters, _number(digest, i * 7))).otherwise(F.concat(
+                syllable(i * 7), syllable(i * 7 + 1), F.when(kind == "surname", syllable(i * 7 + 2)).otherwise(""))), mark)
+
+        return F.concat(F.concat_ws("", F.transform(F.split(canon, "(?<=['-])"), part)), F.when(wide, more).otherwise(""), end)
+
+    def han() -> Column:
+        size = F.length(canon) + F.when(wide, attempt - WIDER + 1).otherwise(0)
+        letters = lambda i: (F.when(kind == "surname", _pick(HAN_SURNAMES, _number(digest, i)))
+                             .when(kind == "first_m", _pick(HAN_GIVEN["m"], _number(digest, i)))
+                             .when(kind == "first_f", _pick(HAN_GIVEN["f"], _number(digest, i)))
+                             .otherwise(_pick(HAN_GIVEN["n"], _number(digest, i))))
+        return F.concat_ws("", F.transform(F.sequence(F.lit(0), F.greatest(size, F.lit(1)) - 1), letters))
+
+    names = (F.when(canon.rlike(r"\p{IsHan}"), han()).when(canon.rlike(r"\p{IsCyrillic}"), name("cyrillic"))
+             .when(canon.rlike(r"\p{IsGreek}"), name("greek")).otherwise(name("latin")))
+    longer = F.concat(body, F.when(attempt >= LONGER, grown).otherwise(""))
+    return (F.when(kind == "email", mail).when(kind == "phone", F.concat(phone, grown)).when(kind == "ip", octets)
+            .when(kind == "card", F.concat(longer, _check_digit(longer))).when(kind == "ssn", F.concat(_chars(canon, digest), grown))
+            .when(kind == "ipv6", F.when(wide, groups).otherwise(_chars(canon, digest, True))).when(kind == "iban", F.concat(iban, grown))
+            .when(kind == "secret", F.concat(secret, grown)).otherwise(names))
 
 
 def _dressed(mention: Column, plain: Column) -> Column:
@@ -221,12 +291,18 @@ def _dressed(mention: Column, plain: Column) -> Column:
 
 
 def _cased(like: Column, plain: Column) -> Column:
-    return F.when((F.length(like) > 1) & (F.upper(like) == like), F.upper(plain)).otherwise(F.initcap(plain))
-
-
-def mention_surrogate(mention: Column, attempts: Column | None, key: str) -> Column:
-    """struct<kind, text>: what stands for a mention; ``attempts`` (map of "kind
-    canon" to attempt) holds the entities that needed another attempt."""
+    """``plain`` in the case of ``like``, part by part, and with its apostrophe."""
+    def part(l: Column, p: Column) -> Column:
+        return (F.when((F.upper(l) == l) & (F.length(l) > 1), F.upper(p)).when(l.rlike(r"^\p{Lu}"), F.initcap(p))
+                .otherwise(p))
+    parts = F.zip_with(F.split(like, "(?<=['’-])"), F.split(plain, "(?<=['-])"), part)
+    return F.when(like.contains("’"), F.replace(F.concat_ws("", parts), F.lit("'"), F.lit("’"))).otherwise(F.concat_ws("", parts))
+
+
+def mention_surrogate(mention: Column, known: Column, attempts: Column | None, key: str) -> Column:
+    """struct<kind, text>: what stands for a mention; ``known``: the document's
+    ``people``; ``attempts`` (map of "kind canon" to attempt) holds the entities
+    that needed another attempt."""
     def made(e: Column) -> Column:
         tried = F.lit(0) if attempts is None else F.coalesce(
             F.try_element_at(attempts, F.concat_ws(" ", e["kind"], e["canon"])), F.lit(0))
@@ -234,17 +310,20 @@ def mention_surrogate(mention: Column, attempts: Column | None, key: str) -> Col
 
     def written(x: Column) -> Column:
         mention, kind, made = x["mention"], x["kind"], x["made"]
-        _, first, last = _name_parts(mention)
-        title = F.regexp_extract(mention, rf"^((?:{MALE}|{FEMALE}|{ANY})\.? )", 1)
-        named = F.concat(title, F.when(first.isNull(), "").otherwise(F.concat(_cased(first, made[0]), F.lit(" "))),
-                         _cased(last, F.element_at(made, -1)))
+        _, first, last, bare = _name_parts(mention)
+        title = F.substr(mention, F.lit(1), F.length(mention) - F.length(bare))
+        gap = F.when(bare.contains(" "), " ").otherwise("")
+        surname = _cased(last, F.element_at(made, -1))
+        named = F.concat(title, F.when(first.isNull(), surname).when(bare.rlike(r"^\p{IsHan}"), F.concat(surname, made[0]))
+                         .otherwise(F.concat(_cased(first, made[0]), gap, surname)))
         # addresses may change their number of digits and mails grow: they are written as made
         return F.struct(kind.alias("kind"), (
             F.when(kind == "name", named).when(kind.isin("ip", "secret"), made[0])
+            .when((kind == "ipv6") & (F.length(made[0]) != F.length(mention)), made[0])
             .when(kind == "email", F.when(F.upper(mention) == mention, F.upper(made[0])).otherwise(made[0]))
             .otherwise(_dressed(mention, made[0]))).alias("text"))
 
-    return let(let(entities_of(mention), lambda x: F.struct(
+    return let(let(entities_of(mention, known), lambda x: F.struct(
         x["mention"], x["kind"], F.transform(x["entities"], made).alias("made"))), written)
 
 
@@ -252,11 +331,34 @@ def _is(kind: str):
     return lambda x: x == kind
 
 
-def mentions(text: Column) -> Column:
+def marks(text: Column) -> Column:
+    """Mentions that show by themselves."""
     return F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(
         F.array().cast("array<string>"))
 
 
+def pattern(known: Column) -> Column:
+    """Pattern of a document: that of all documents, and the full names that follow
+    titles in this one, as they are written or in capitals.  Names hold nothing
+    that is special in a pattern."""
+    bare = F.transform(known, lambda p: p["bare"])
+    han = F.filter(bare, lambda b: b.rlike(r"^\p{IsHan}"))
+    other = F.filter(bare, lambda b: ~b.rlike(r"^\p{IsHan}"))
+    other = F.array_distinct(F.concat(other, F.transform(other, F.upper)))
+    return F.concat(F.lit(PATTERN), F.when(F.size(other) > 0, F.concat(
+        F.lit(r"|(?<![\p{L}\p{N}])(?:"), F.concat_ws("|", other), F.lit(r")(?![\p{L}\p{N}])"))).otherwise(""),
+        F.when(F.size(han) > 0, F.concat(F.lit("|"), F.concat_ws("|", F.array_distinct(han)))).otherwise(""))
+
+
+def mentions(rows: DataFrame) -> DataFrame:
+    """``rows`` with known (people), pattern and mentions of their column text."""
+    rows = rows.withColumn("marks", marks(F.col("text")))
+    rows = rows.withColumn("known", people(F.col("marks")))
+    rows = rows.withColumn("pattern", F.when(F.size("known") > 0, pattern(F.col("known"))).otherwise(PATTERN))
+    return rows.withColumn("mentions", F.when(F.size("known") > 0, F.regexp_extract_all("text", F.col("pattern"), F.lit(0)))
+                           .otherwise(F.col("marks")))
+
+
 def attempts_needed(entities: DataFrame, key: str) -> DataFrame | None:
     """Distinct entities (kind, canon) whose first surrogate is taken: kind,
     canon, attempt; None when there are none."""
@@ -273,13 +375,14 @@ def attempts_needed(entities: DataFrame, key: str) -> DataFrame | None:
         bad = bad.where("hit OR n > 1").select("kind", "made", F.when(F.col("hit").isNull(), F.col("owner")).alias("owner"))
         lost = open_.join(bad, ["kind", "made"]).where("owner IS NULL OR owner != canon").select("kind", "canon")
         lost = materialise(lost, "pii-collisions")
+        if not attempt and lost.isEmpty():
+            return None
+        won = materialise(open_.join(lost, ["kind", "canon"], "left_anti"), "pii-settled")
         if attempt:
-            done = open_.join(lost, ["kind", "canon"], "left_anti")
-            result = done if result is None else result.unionByName(done)
-        won = open_.join(lost, ["kind", "canon"], "left_anti").select("kind", "made")
-        settled = won if settled is None else settled.unionByName(won)
+            result = won if result is None else result.unionByName(won)
+        settled = won.select("kind", "made") if settled is None else settled.unionByName(won.select("kind", "made"))
         if lost.isEmpty():
-            return None if result is None else result.select("kind", "canon", "attempt")
+            return result.select("kind", "canon", "attempt")
         open_ = materialise(
             lost.withColumn("attempt", F.lit(attempt + 1))
             .withColumn("made", surrogate(F.col("kind"), F.col("canon"), F.col("attempt"), key)), "pii-retries")
@@ -290,8 +393,10 @@ def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
                 counts: bool = False) -> DataFrame:
     """``docs`` with every mention in ``text_col`` replaced; with ``counts`` only
     doc_id, text, n_entities and n_<kind>."""
-    found = docs.select(F.col(id_col).alias("doc_id"), F.explode(mentions(F.col(text_col))).alias("mention"))
-    found = materialise(found.select("doc_id", F.inline(entities_of(F.col("mention"))["entities"])).distinct(), "pii-entities")
+    found = mentions(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+    found = found.select("doc_id", "known", F.explode("mentions").alias("mention"))
+    found = materialise(found.select("doc_id", F.inline(entities_of(F.col("mention"), F.col("known"))["entities"])).distinct(),
+                        "pii-entities")
     retried = attempts_needed(found.select("kind", "canon").distinct(), key)
 
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -302,9 +407,9 @@ def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
         per_doc = materialise(per_doc, "pii-attempts").withColumnRenamed("doc_id", "tried_id")
         rows = rows.join(per_doc, F.col("doc_id").eqNullSafe(F.col("tried_id")), "left")
         tried = F.col("tried")
-    rows = rows.withColumn("made", F.transform(mentions(F.col("text")), lambda m: mention_surrogate(m, tried, key)))
+    rows = mentions(rows).withColumn("made", F.transform("mentions", lambda m: mention_surrogate(m, F.col("known"), tried, key)))
     replaced = F.concat_ws("", F.flatten(F.zip_with(
-        F.split("text", PATTERN, -1), F.col("made.text"), lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))))
+        F.split("text", F.col("pattern"), -1), F.col("made.text"), lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))))
     rows = rows.withColumn("new", F.when(F.size("made") > 0, replaced).otherwise(F.col("text")))
     if counts:
         return rows.select("doc_id", F.col("new").alias("text"), F.size("made").alias("n_entities"), *[

@@ -1,0 +1,105 @@
+"""Names in all writings, mentions of one person, short formats, and generated
+documents whose mentions are known."""
+
+import random
+import re
+
+from statlake.llm import pii
+
+
+def _texts(frame, texts, key="k"):
+    rows = list(enumerate(texts))
+    return [r.text for r in sorted(pii.replace_pii(frame(rows), key).collect(), key=lambda r: r.doc_id)]
+
+
+def test_mentions_of_one_person(frame):
+    a, b, c, d = _texts(frame, ["Dr. Ada Moss met Ms. Ada Moss. Ada Moss left, ADA MOSS too. Mrs. Moss's hat.",
+                                "Mr. Sam Moss and Ms. Sam Moss and Prof. Sam Moss", "Ada Moss alone", "Dr. Ada Moss alone"])
+    first, last = re.match(r"Dr\. (\w+) (\w+) met", a).groups()
+    assert a == (f"Dr. {first} {last} met Ms. {first} {last}. {first} {last} left, "
+                 f"{first.upper()} {last.upper()} too. Mrs. {last}'s hat.")
+    assert first.endswith(tuple(pii.ENDINGS["latin"]["f"])) and "Ada" not in a and "Moss" not in a
+    mr, ms, prof = re.match(rf"Mr\. (\w+) {last} and Ms\. (\w+) {last} and Prof\. (\w+) {last}$", b).groups()
+    assert mr != ms == prof and mr.endswith(tuple(pii.ENDINGS["latin"]["m"]))
+    assert c == "Ada Moss alone"   # no title in this document
+    assert re.fullmatch(rf"Dr\. \w+(?:{'|'.join(pii.ENDINGS['latin']['n'])}) {last} alone", d)
+
+
+def test_names_in_all_writings(frame):
+    texts = ["Mr. O'Neill-Smith; Mr. O’Neill-Smith's; MR. O'NEILL-SMITH", "DR. MOSS LEFT", "mr. moss left", "mr. ada moss said no",
+             "Dr. 王小明来了。王小明说 Dr.王", "Г-н Иван Петров. Иван Петров", "Mr. Γιώργος Παπαδόπουλος", "Mrs. Anne-Marie D'Angelo"]
+    got = _texts(frame, texts)
+    shapes = [r"Mr\. ([A-Z]'[A-Z][a-z]+-[A-Z][a-z]+); Mr\. [A-Z]’[A-Z][a-z]+-[A-Z][a-z]+'s; MR\. ([A-Z'-]+)", r"DR\. [A-Z]+ LEFT",
+              r"mr\. [a-z]+ left", r"mr\. [a-z]+ [a-z]+ said no", r"Dr\. (\p{IsHan}{3})来了。\1说 Dr\.\p{IsHan}",
+              r"Г-н ([А-Я][а-я]+ [А-Я][а-я]+)\. \1", r"Mr\. [Α-Ω][α-ωά-ώς]+ [Α-Ω][α-ωά-ώς]+", r"Mrs\. [A-Z][a-z]+-[A-Z][a-z]+ [A-Z]'[A-Z][a-z]+"]
+    for text, new, shape in zip(texts, got, shapes):
+        assert re.fullmatch(shape.replace(r"\p{IsHan}", "[一-鿿]"), new), new
+        for word in re.findall(r"O.Neill-Smith|MOSS|moss|ada|王小明|Иван|Петров|Γιώργος|Anne-Marie|D'Angelo", text):
+            assert word not in new, new
+    one = re.fullmatch(shapes[0], got[0])
+    assert one[1].upper() == one[2]
+    clean = ["I miss London and the dr. said so", "MISS THE BUS", "ms Word", "Ada Moss", "He is a prof. of law", "王小明"]
+    assert _texts(frame, clean) == clean
+
+
+def test_formats_with_few_surrogates(frame):
+    """All values of a format are real entities: surrogates leave it and stay distinct."""
+    short = [f"::{k:x}" for k in range(1, 16)]
+    got = _texts(frame, [f"at {x} now" for x in short])
+    made = [re.fullmatch(r"at ([0-9a-f:]+) now", t)[1] for t in got]
+    assert len(set(made)) == 15 and not set(made) & set(short)
+
+
+def _luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        x = int(c) * (1 + i % 2)
+        total += x - 9 if x > 9 else x
+    return total % 10 == 0
+
+
+def test_generated_documents_with_known_mentions(frame):
+    """Plain Python knows every mention's place and entity: the text between them
+    stays, an entity has one surrogate everywhere, no two share one, none is real."""
+    r = random.Random(5)
+    digits = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    word = lambda n: "".join(r.choice("abcdefghij") for _ in range(n))
+    pool = {
+        "email": [f"{word(6)}.{word(4)}@{word(5)}.example.{r.choice(['org', 'com'])}" for _ in range(40)],
+        "ssn": [f"{digits(3)}-{digits(2)}-{digits(4)}" for _ in range(40)],
+        "card": [f"4{digits(3)} {digits(4)} {digits(4)} {digits(4)}" for _ in range(40)],
+        "phone": [f"+49 {digits(3)} {digits(4)} {digits(3)}" for _ in range(40)],
+        "ip": [".".join(str(r.randint(1, 254)) for _ in range(4)) for _ in range(40)],
+        "surname": [word(7).capitalize() for _ in range(40)],
+    }
+    docs, known = [], []
+    for _ in range(150):
+        parts, spans = [], []
+        for _ in range(r.randint(0, 8)):
+            kind = r.choice(list(pool))
+            value = r.choice(pool[kind])
+            parts.append(word(5) + (" Mr. " if kind == "surname" else " at "))
+            spans.append((kind, value))
+            parts.append(value)
+        docs.append("".join(p if i % 2 else ("" if not i else ", ") + p for i, p in enumerate(parts)) + ", end")
+        known.append((parts, spans))
+    got = _texts(frame, docs)
+    made = {}
+    for (parts, spans), text in zip(known, got):
+        shape = "".join("(.+?)" if i % 2 else ("" if not i else ", ") + re.escape(p) for i, p in enumerate(parts)) + ", end"
+        found = re.fullmatch(shape, text)
+        assert found, text
+        for (kind, value), new in zip(spans, found.groups()):
+            assert made.setdefault((kind, value), new) == new
+    for kind, values in pool.items():
+        mine = [new for (k, _), new in made.items() if k == kind]
+        assert len(set(mine)) == len(mine) > 30 and not set(mine) & set(values)
+    for (kind, value), new in made.items():
+        if kind in ("ssn", "card", "phone", "ip"):
+            assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", value)
+        if kind == "card":
+            assert new[0] == "4" and _luhn(new.replace(" ", ""))
+        if kind == "phone":
+            assert new.startswith("+49 ")
+        if kind == "email":
+            assert new.rsplit(".", 1)[1] == value.rsplit(".", 1)[1]
