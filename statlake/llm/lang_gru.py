@@ -7,8 +7,10 @@ are the mean over all its positions.
 
 A text is read in spans of ``SPAN`` bytes that run side by side.  Each direction
 carries its state through ``WARM`` more bytes before its span, whose labels
-belong to the neighbour: by then it has forgotten where it began, so labels are
-those of a run over the whole text (a text of at most ``SPAN`` bytes is one run).
+belong to the neighbour; mostly it has forgotten by then where it began.  The
+state it enters its span with is compared with the one its neighbour left with,
+and a span that began with another state (``SAME``) is read again from the
+neighbour's, until all agree.  So labels are those of a run over the whole text.
 
 Trained in numpy by backpropagation through time (Adam), on the driver, on a
 bounded sample of labelled rows: windows of ``WINDOW`` bytes, up to
@@ -24,6 +26,8 @@ with a letter is ``und``; other columns are ignored.
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,11 +36,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statlake.llm.frames import id_text, ship
+from statlake.llm.held import held
 from statlake.llm.text import by_slice
 
 UND = "und"
-SPAN, WARM = 448, 48
-LANES = 4096          # spans read side by side
+SPAN, WARM = 1024, 256
+LANES = 1024          # spans read side by side
+SAME = 5e-3           # states that differ by less are one state
 WINDOW = 64           # bytes of a training window
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -104,32 +110,55 @@ class Model:
 
     def pooled(self, texts: list[bytes]) -> np.ndarray:
         """Per text: sum over all its positions of the probabilities."""
+        owner = np.repeat(np.arange(len(texts)), [-(-len(t) // SPAN) for t in texts])
+        at = (np.arange(len(owner)) - np.searchsorted(owner, owner)) * SPAN
+        left = np.array([len(texts[k]) for k in owner.tolist()], np.int64) - at
+        sums = np.zeros((len(owner), len(self.langs)))
+        states = np.zeros((2, 2, len(owner), len(self.ahead.state)), np.float32)   # ahead and back; entered, left
+        todo, warm = np.argsort(-left, kind="stable"), True                        # like lengths side by side
+        inner = np.flatnonzero(owner[1:] == owner[:-1])      # spans with a next one
+        while len(todo):
+            for lo in range(0, len(todo), LANES):
+                some = todo[lo:lo + LANES]
+                sums[some], states[:, :, some] = self._spans([texts[k] for k in owner[some].tolist()], at[some],
+                                                             None if warm else states[:, 0, some])
+            # ahead, a span goes on from the one before it; back, from the one after it
+            (ahead, ahead_left), (back, back_left) = states
+            off = np.zeros(len(owner), bool)
+            off[inner + 1] |= np.abs(ahead[inner + 1] - ahead_left[inner]).max(1, initial=0) > SAME
+            off[inner] |= np.abs(back[inner] - back_left[inner + 1]).max(1, initial=0) > SAME
+            one, other = inner[off[inner + 1]], inner[off[inner]]
+            ahead[one + 1], back[other] = ahead_left[one], back_left[other + 1]
+            todo, warm = np.flatnonzero(off), False
+            todo = todo[np.argsort(-left[todo], kind="stable")]
         out = np.zeros((len(texts), len(self.langs)))
-        spans = [(k, at) for k, t in enumerate(texts) for at in range(0, len(t), SPAN)]
-        spans.sort(key=lambda s: len(texts[s[0]]) - s[1], reverse=True)   # like lengths side by side
-        for lo in range(0, len(spans), LANES):
-            some = spans[lo:lo + LANES]
-            sums = self._spans([texts[k] for k, _ in some], np.array([at for _, at in some]))
-            np.add.at(out, np.array([k for k, _ in some]), sums)
+        np.add.at(out, owner, sums)
         return out
 
-    def _spans(self, texts: list[bytes], at: np.ndarray) -> np.ndarray:
-        """Per span, ``texts[i][at[i]:at[i] + SPAN]``: sums of its positions' probabilities."""
+    def _spans(self, texts: list[bytes], at: np.ndarray, entered: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Per span, ``texts[i][at[i]:at[i] + SPAN]``: sums of its positions'
+        probabilities, and per direction the states that it was entered with (the
+        given ones, or those after the bytes that warm up) and left with."""
         upto = np.minimum(at + SPAN, [len(t) for t in texts])
         size, first = upto - at, np.maximum(at - WARM, 0)
         last = np.minimum(upto + WARM, [len(t) for t in texts])
         order = np.argsort(-size, kind="stable")
         texts, at, size, first, last, upto = [texts[i] for i in order], at[order], size[order], first[order], last[order], upto[order]
         steps = int(size[0])
-        # the bytes of each span, and those that warm each direction up, nearest to the span last
         core = _lanes([t[a:b] for t, a, b in zip(texts, at.tolist(), upto.tolist())], steps)
-        before = _lanes([t[a:b][::-1] for t, a, b in zip(texts, first.tolist(), at.tolist())], WARM)[::-1]
-        after = _lanes([t[a:b] for t, a, b in zip(texts, upto.tolist(), last.tolist())], WARM)[::-1]
         alive = np.searchsorted(-size, -np.arange(steps), side="left")    # lanes longer than t: size > t
         n, langs, width = len(texts), len(self.langs), len(self.ahead.state)
         ahead, back = _Step(self.ahead, n), _Step(self.back, n)
-        ahead.warm(before, at - first)
-        back.warm(after, last - upto)
+        if entered is None:
+            # the bytes that warm each direction up, nearest to the span last
+            before = _lanes([t[a:b][::-1] for t, a, b in zip(texts, first.tolist(), at.tolist())], WARM)[::-1]
+            after = _lanes([t[a:b] for t, a, b in zip(texts, upto.tolist(), last.tolist())], WARM)[::-1]
+            ahead.warm(before, at - first)
+            back.warm(after, last - upto)
+        else:
+            ahead.h[:], back.h[:] = entered[0][order].T, entered[1][order].T
+        states = np.empty((2, 2, n, width), np.float32)
+        states[0, 0, order], states[1, 0, order] = ahead.h.T, back.h.T
         w = np.ascontiguousarray(self.out.T)
         score = np.empty((steps, langs, n), np.float32)
         for t in range(steps):
@@ -142,9 +171,10 @@ class Model:
             p -= p.max(0)
             np.exp(p, out=p)
             sums[:, :m] += p / p.sum(0)
+        states[0, 1, order], states[1, 1, order] = ahead.h.T, back.h.T
         out = np.empty((n, langs))
         out[order] = sums.T
-        return out
+        return out, states
 
 
 def _lanes(parts: list[bytes], steps: int) -> np.ndarray:
@@ -292,13 +322,20 @@ def _labelled(model: Model | None, column: pa.Array) -> tuple[list[str], np.ndar
     return named.tolist(), score, p
 
 
+def _sent(docs: DataFrame, model: Model | None) -> Callable[[], Model | None]:
+    """The model in a task.  It is the worker's one table then: those of an
+    operator that ran before, such as encoded words, are given back first."""
+    shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+    return lambda: held(("gru", name), lambda: shared.value)
+
+
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, lang_pred, score, p (array of the languages' probabilities)."""
     ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    sent = _sent(docs, model)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        model = shared.value
+        model = sent()
         named, score, p = _labelled(model, batch.column("text"))
         width = len(model.langs) if model else 0
         return pa.RecordBatch.from_arrays(
@@ -314,10 +351,10 @@ def known_language(docs: DataFrame, model: Model | None, least: float, text_col:
     """The rows, with all their columns, whose text has a learned language with a
     mean probability of ``least`` or more.  Each row carries its own verdict."""
     ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    sent = _sent(docs, model)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        named, score, _ = _labelled(shared.value, batch.column(batch.schema.get_field_index(text_col)))
+        named, score, _ = _labelled(sent(), batch.column(batch.schema.get_field_index(text_col)))
         return batch.filter(pa.array([lang != UND and s >= least for lang, s in zip(named, score)], pa.bool_()))
 
     return docs.mapInArrow(by_slice(run, text_col), docs.schema)
