@@ -2,9 +2,10 @@
 
 The vocabulary's splitting rule cuts a text into words, which are encoded one
 by one.  Neither the normaliser nor the rule looks past ASCII white space, so
-a text may be cut there first.  Each Python worker keeps the ids of the words
-it has met (``held``); the table is emptied when it has ``TABLE_BYTES``, which
-bounds memory and changes no result.
+a text may be cut there first.  Texts of ASCII and Latin letters are cut into
+words by their bytes, all texts of a slice at once: each distinct word is looked
+up once, and the ids of its occurrences are gathered.  Each Python worker keeps the ids of the words it has met (``held``); the table
+is emptied when it has ``TABLE_BYTES``, which bounds memory and changes no result.
 """
 
 from __future__ import annotations
@@ -14,15 +15,20 @@ import re
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 
 from statlake.llm.held import entry_bytes, held
 
-TABLE_BYTES = 224 << 20
+TABLE_BYTES = 160 << 20
 CACHE_CHARS = 32      # longer words are not kept
 
 #: Letters whose normal form is themselves and whose lower case is one letter of this range.
 LATIN = "\u00df-\u00f6\u00f8-\u012f\u0131-\u017f"
 _PLAIN = re.compile(f"[\x00-\x7f\u00c0-\u00d6\u00d8-\u00de{LATIN}]*")
+#: Classes of the bytes of such a text: every byte of a letter beyond ASCII is a letter.
+_OTHER, _SPACE, _DIGIT, _LETTER = range(4)
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[[9, 10, 11, 12, 13, 32]], _CLASS[48:58], _CLASS[97:123], _CLASS[128:] = _SPACE, _DIGIT, _LETTER, _LETTER
 _WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LATIN}]+|[0-9]|[^ \t\n\v\f\ra-z0-9{LATIN}]+")
 
 
@@ -40,9 +46,12 @@ class Splitter:
         self.library = Tokenizer.from_str(spec)
         self.byte = {c: b for b, c in enumerate(byte_alphabet())}
 
+    def has_special(self, text: str) -> bool:
+        return "<|" in text and self.special_re.search(text) is not None
+
     def words(self, text: str) -> list[str | int]:
         """Words of a text in order, and the ids of special tokens written in it."""
-        if "<|" not in text or not self.special_re.search(text):
+        if not self.has_special(text):
             return self._split(text)
         out: list[str | int] = []
         for k, part in enumerate(self.special_re.split(text)):
@@ -59,6 +68,37 @@ class Splitter:
         return [bytes(map(self.byte.__getitem__, w)).decode("utf-8") for w, _ in split]
 
 
+def is_plain(text: str) -> bool:
+    return text.isascii() or _PLAIN.fullmatch(text) is not None
+
+
+def plain_words(texts: list[str]) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """What ``_WORDS`` finds in plain texts in small letters: all words in order,
+    and how many of them stand before each text and in all."""
+    raw = [t.encode("utf-8") for t in texts]
+    data = np.frombuffer(b" ".join(raw) + b"    ", np.uint8)
+    kind = _CLASS[data]
+    start = np.empty(len(data), bool)
+    start[0] = True
+    np.not_equal(kind[1:], kind[:-1], out=start[1:])
+    start |= kind == _DIGIT
+    # 's and its like: an apostrophe that no other such character stands before
+    at = np.flatnonzero((data == 39) & start)
+    one, two = data[at + 1], data[at + 2]
+    long = ((two == 101) & ((one == 114) | (one == 118))) | ((one == 108) & (two == 108))   # re, ve, ll
+    short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    start[at[short | long] + 1] = False
+    start[at[short] + 2] = True
+    start[at[long] + 3] = True
+    inside = kind != _SPACE
+    data, start = data[inside], np.flatnonzero(start[inside])
+    offsets = np.append(start, len(data)).astype(np.int64)
+    words = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(data))
+    ends = np.cumsum([len(r) + 1 for r in raw])
+    before = np.concatenate([[0], np.cumsum(inside)[ends - 1]])
+    return words, np.searchsorted(start, before)
+
+
 def byte_alphabet() -> list[str]:
     """The visible character that stands for each byte: printable bytes stand for
     themselves, the others for code points from 256."""
@@ -91,9 +131,32 @@ class TextEncoder:
         return self.known if short is fresh else self.known | fresh
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        split = [self.splitter.words(t) for t in texts]
+        out: list = [None] * len(texts)
+        plain = [i for i, t in enumerate(texts) if is_plain(t) and not self.splitter.has_special(t)]
+        for i, x in zip(plain, self._plain_ids([texts[i].lower() for i in plain])):
+            out[i] = x
+        rest = [i for i, x in enumerate(out) if x is None]
+        split = [self.splitter.words(texts[i]) for i in rest]
         known = self.table(set().union(*split))
-        return [b"".join(map(known.__getitem__, s)) for s in split]
+        for i, words in zip(rest, split):
+            out[i] = b"".join(map(known.__getitem__, words))
+        return out
+
+    def _plain_ids(self, texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
+        words, edge = plain_words(texts)
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        ids = [*map(self.table(set(distinct)).__getitem__, distinct)]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, first, at = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size, coded.indices.to_numpy()
+        length = size[at]
+        upto = np.concatenate([[0], np.cumsum(length)])
+        place = np.repeat(first[at] - upto[:-1], length)
+        place += np.arange(len(place))
+        raw, ends = flat[place].tobytes(), (4 * upto[edge]).tolist()
+        return [raw[a:b] for a, b in zip(ends, ends[1:])]
 
 
 def worker_encoder(key: tuple, make: Callable[[], TextEncoder]) -> TextEncoder:

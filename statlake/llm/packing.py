@@ -35,6 +35,7 @@ from statlake.llm.text import by_slice
 
 
 BUCKET_PIECES = 100_000   # pieces of one length ranked by one task
+PIECE_SLICE = 4 << 20     # text bytes encoded together: each distinct word is looked up once
 
 
 @dataclass
@@ -159,7 +160,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity: int = 40
                                           ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return id_text(docs, id_col, text_col).mapInArrow(
-        by_slice(run), "doc_id long, piece int, start long, length long, ids_crc32 long")
+        by_slice(run, limit=PIECE_SLICE), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def pack(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity: int = 4096,
