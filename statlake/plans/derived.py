@@ -13,12 +13,15 @@
 Plan: orders are pre-aggregated per (customer, year, priority) before any
 join, so a customer holding a third of all orders shrinks to at most
 years x priorities rows per task before the shuffle.  The join with
-``customer`` is a shuffle join on the customer key (AQE splits skewed
-partitions); ``nation``/``region`` are dimension tables that Catalyst
-broadcasts on its size estimate.  The table is the union of one branch per
-(indicator, area type), both literal: a query that names them keeps one branch.
-All branches read the same pre-aggregated exchange; nation / region groupings
-collapse map-side.
+``customer`` is a shuffle join on the customer key, with customers as the hashed
+side where they are too many for a broadcast, so that no task sorts orders;
+``nation``/``region`` are dimension tables that Catalyst broadcasts on its size
+estimate.  The table is the union of one branch per (indicator, area type), both
+literal: a query that names them keeps one branch.  All branches read the same
+pre-aggregated exchange.  Nations and regions are grouped from one small table by
+nation, year and priority.  Customers are dealt by name, before their rows are
+multiplied, to as many tasks as the number of orders asks for: what a task
+groups, and what a caller does with its rows, stays the same for any input.
 """
 
 from __future__ import annotations
@@ -43,6 +46,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Orders whose facts by customer one task groups.
+ORDERS_PER_TASK = 100_000
+# Customers up to this many are left to a broadcast.
+BROADCAST_CUSTOMERS = 200_000
+
+
+def by_customer_name(located: DataFrame, n_orders: int) -> DataFrame:
+    """Rows dealt by customer name: by a number of tasks that follows the orders
+    or, where that is below the session's cores, as AQE sizes them."""
+    tasks = -(-n_orders // ORDERS_PER_TASK)
+    if tasks <= located.sparkSession.sparkContext.defaultParallelism:
+        return located.repartition("c_name")
+    return located.repartition(tasks, "c_name")
+
+
 def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -57,14 +75,19 @@ def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         "n_nationkey", "n_name", "r_name")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_name")
+    if customer.count() > BROADCAST_CUSTOMERS:
+        customer = customer.hint("shuffle_hash")
     located = (per_customer
                .join(customer, per_customer.o_custkey == customer.c_custkey)
                .join(geo, F.col("c_nationkey") == geo.n_nationkey))
+    by_nation = located.groupBy("n_name", "r_name", "year", "priority").agg(
+        F.sum("n").alias("n"), F.sum("amount").alias("amount"))
+    by_name = by_customer_name(located.select("c_name", "year", "priority", "n", "amount"), orders.count())
 
     # One branch per (indicator, area type), both literal: a filter on them folds
     # the other branches away, and the branches share the aggregated orders.
     def branch(indicator, area_type, area, measure, unit, categories):
-        rows = located.select(F.col(area).alias("area_name"), "year", measure.alias("measure"),
+        rows = (by_name if area == "c_name" else by_nation).select(F.col(area).alias("area_name"), "year", measure.alias("measure"),
                               F.explode(F.array(*categories)).alias("category"))
         value = F.sum("measure").cast("double")
         return rows.groupBy("area_name", "year", "category").agg(value.alias("value")).select(
@@ -92,8 +115,8 @@ def year_range(spark: SparkSession, sf_dir: str) -> list[int]:
     return list(range(int(row["lo"]), int(row["hi"]) + 1))
 
 
-def _as_text(value_col):
-    return F.col(value_col).cast("long").cast("string")
+def _whole(value_col):
+    return F.col(value_col).cast("long")
 
 
 def wide_years(spark: SparkSession, sf_dir: str, years: list[int] | None = None,
@@ -105,7 +128,7 @@ def wide_years(spark: SparkSession, sf_dir: str, years: list[int] | None = None,
     s = stats_df if stats_df is not None else stats(spark, sf_dir)
     rows = s.filter((F.col("indicator") == "order_count") & (F.col("area_type") == area_type))
     return (rows.groupBy(F.col("category").alias("Merkmal"), F.col("area_name").alias("Stadtteil"))
-            .agg(*[F.max(F.when(F.col("year") == y, _as_text("value"))).alias(str(y))
+            .agg(*[F.max(F.when(F.col("year") == y, _whole("value"))).cast("string").alias(str(y))
                    for y in years]))
 
 
@@ -117,7 +140,7 @@ def wide_categories(spark: SparkSession, sf_dir: str, stats_df: DataFrame | None
     rows = s.filter((F.col("indicator") == "order_count") & (F.col("area_type") == area_type)
                     & (F.col("category") != "total"))
     return (rows.groupBy(F.col("area_name").alias("Stadtteil"), "year")
-            .agg(*[F.max(F.when(F.col("category") == p, _as_text("value"))).alias(p)
+            .agg(*[F.max(F.when(F.col("category") == p, _whole("value"))).cast("string").alias(p)
                    for p in PRIORITIES])
             .select(F.lit("Auftraege").alias("Merkmal"),
                     F.concat(F.lit("31.12."), F.col("year").cast("string")).alias("Jahr"),
