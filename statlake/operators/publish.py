@@ -149,6 +149,16 @@ def trigrams(text) -> Column:
     return F.when(F.char_length(text) >= 3, F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
 
 
+def by_file(written: DataFrame) -> DataFrame:
+    """Per scope, year and file of written facts: first and last area, rows.  The
+    year is taken from a set of one, as a collecting aggregate is grouped by
+    hashing; the least and greatest text alone would sort every row of a task."""
+    return (written.groupBy(*SCOPE, F.col("year").alias("of_year"), F.col("_metadata.file_path").alias("file"))
+            .agg(F.get(F.collect_set("year"), F.lit(0)).alias("year"), F.min("area_name").alias("first_area"),
+                 F.max("area_name").alias("last_area"), F.count(F.lit(1)).alias("rows"))
+            .select(*SCOPE, "year", "file", "first_area", "last_area", "rows"))
+
+
 class FactStore:
     """Append-only fact partitions plus a ledger of run events under ``root``
     (a folder every executor can reach, e.g. below spark.checkpoint.dir)."""
@@ -559,10 +569,7 @@ class FactStore:
 
         def files() -> list:
             # one row per file and year: as many as there are files, times the years in each
-            (written.groupBy(*SCOPE, "year", F.col("_metadata.file_path").alias("file"))
-             .agg(F.min("area_name").alias("first_area"), F.max("area_name").alias("last_area"),
-                  F.count(F.lit(1)).alias("rows"))
-             .write.parquet(path))
+            by_file(written).write.parquet(path)
             return (self.spark.read.parquet(path).groupBy(*SCOPE)
                     .agg(F.sum("rows").alias("rows"), F.sort_array(F.collect_set("year")).alias("years")).collect())
 

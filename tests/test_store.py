@@ -187,3 +187,20 @@ def test_lists_and_checks_read_the_ledger_only(spark, store):
     page, meta, areas = s.get_timeseries("population", "district", [], limit=2)
     assert meta.first()["total"] == 3 and [r["area"] for r in areas.collect()] == ["area0"]
     assert len(page.collect()) == 2
+
+
+def test_file_summaries_sort_no_rows(spark, tmp_path):
+    """First and last areas are grouped by hashing: a sort would hold every row of a task, with its path."""
+    rows = [("i", "t", c, f"area {k:03d}", 1990 + k % 3, float(k)) for c in ("a", "b") for k in range(90)]
+    path = str(tmp_path / "facts")
+    (spark.createDataFrame(rows, "indicator string, area_type string, category string, area_name string, year int, value double")
+     .write.partitionBy("indicator", "area_type", "category").parquet(path))
+    found = publish.by_file(spark.read.parquet(path))
+    assert "Sort" not in found._jdf.queryExecution().sparkPlan().toString()
+    least, most = {}, {}
+    for r in found.collect():
+        key = (r.category, r.year)
+        least[key], most[key] = min(least.get(key, "z"), r.first_area), max(most.get(key, ""), r.last_area)
+    assert least == {(c, 1990 + y): f"area {y:03d}" for c in "ab" for y in range(3)}
+    assert most == {(c, 1990 + y): f"area {87 + y:03d}" for c in "ab" for y in range(3)}
+    assert sum(r.rows for r in found.collect()) == 180
