@@ -100,7 +100,8 @@ def scopes_frame(spark: SparkSession, scopes) -> DataFrame:
 
 
 def in_scopes(df: DataFrame, scopes: DataFrame) -> DataFrame:
-    return df.join(scopes, SCOPE, "left_semi")
+    # sent to all tasks: dealt by scope, a few scopes would be a few tasks
+    return df.join(F.broadcast(scopes), SCOPE, "left_semi")
 
 
 def stale_rows(target: DataFrame, staged: DataFrame, scopes: DataFrame) -> DataFrame:
@@ -121,7 +122,7 @@ def upsert(target: DataFrame, staged: DataFrame) -> DataFrame:
 
 def replace_scopes(target: DataFrame, staged: DataFrame, scopes: DataFrame) -> DataFrame:
     """Upsert + stale delete in one expression (emptied scopes disappear)."""
-    return (target.join(scopes, SCOPE, "left_anti").select(*STAT_COLUMNS)
+    return (target.join(F.broadcast(scopes), SCOPE, "left_anti").select(*STAT_COLUMNS)
             .unionByName(staged.select(*STAT_COLUMNS)))
 
 

@@ -204,3 +204,11 @@ def test_file_summaries_sort_no_rows(spark, tmp_path):
     assert least == {(c, 1990 + y): f"area {y:03d}" for c in "ab" for y in range(3)}
     assert most == {(c, 1990 + y): f"area {87 + y:03d}" for c in "ab" for y in range(3)}
     assert sum(r.rows for r in found.collect()) == 180
+
+
+def test_facts_are_not_dealt_by_scope(spark):
+    """A scope may hold most facts: its rows stay spread over all tasks."""
+    facts, scopes = rows(spark, 1, 2, 3), publish.scopes_frame(spark, [("population", "district", "total")])
+    for found, n in ((publish.in_scopes(facts, scopes), 3), (publish.replace_scopes(facts, facts.limit(0), scopes), 0)):
+        assert "SortMergeJoin" not in found._jdf.queryExecution().sparkPlan().toString()
+        assert found.count() == n
