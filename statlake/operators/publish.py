@@ -45,6 +45,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -94,14 +95,14 @@ RETENTION = dt.timedelta(days=7)
 
 
 def scopes_frame(spark: SparkSession, scopes) -> DataFrame:
-    """The (indicator, area_type, category) scopes of a spec as a frame."""
-    return spark.createDataFrame([tuple(s) for s in scopes], "indicator string, "
-                                 "area_type string, category string")
+    """The (indicator, area_type, category) scopes of a spec as a frame of known size:
+    joins send it to all tasks, where facts dealt by scope would be few tasks."""
+    schema = pa.schema([(c, pa.string()) for c in ("indicator", "area_type", "category")])
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(schema.names, s)) for s in scopes], schema))
 
 
 def in_scopes(df: DataFrame, scopes: DataFrame) -> DataFrame:
-    # sent to all tasks: dealt by scope, a few scopes would be a few tasks
-    return df.join(F.broadcast(scopes), SCOPE, "left_semi")
+    return df.join(scopes, SCOPE, "left_semi")
 
 
 def stale_rows(target: DataFrame, staged: DataFrame, scopes: DataFrame) -> DataFrame:
@@ -122,7 +123,7 @@ def upsert(target: DataFrame, staged: DataFrame) -> DataFrame:
 
 def replace_scopes(target: DataFrame, staged: DataFrame, scopes: DataFrame) -> DataFrame:
     """Upsert + stale delete in one expression (emptied scopes disappear)."""
-    return (target.join(F.broadcast(scopes), SCOPE, "left_anti").select(*STAT_COLUMNS)
+    return (target.join(scopes, SCOPE, "left_anti").select(*STAT_COLUMNS)
             .unionByName(staged.select(*STAT_COLUMNS)))
 
 
