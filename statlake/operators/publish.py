@@ -85,13 +85,15 @@ _LISTING_SCHEMA = T.StructType([
 _AREAS_SCHEMA = "indicator string, area_type string, category string, area_name string, years array<int>, rows long, import_run_id string"
 _FILES_SCHEMA = ("indicator string, area_type string, category string, year int, file string, first_area string, "
                  "last_area string, rows long, import_run_id string")
-_NAMES_SCHEMA = "indicator string, area_type string, category string, area_name string, trigram string, import_run_id string"
+_NAMES_SCHEMA = "indicator string, area_type string, area_name string, categories array<string>, trigram string, import_run_id string"
 _MANIFEST_SCHEMA = "path string, size long, mtime_ms long, import_run_id string"
 
 # Ledger days younger than this many whole days are never folded.
 OPEN_DAYS = 2
 # Replaced partitions are kept this long for readers of older snapshots.
 RETENTION = dt.timedelta(days=7)
+# Areas of scopes whose names one task indexes.
+AREAS_PER_TASK = 100_000
 
 
 def scopes_frame(spark: SparkSession, scopes) -> DataFrame:
@@ -151,6 +153,14 @@ def trigrams(text) -> Column:
     return F.when(F.char_length(text) >= 3, F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
 
 
+def tasks_for(df: DataFrame, n: int, per_task: int) -> list[int]:
+    """The number of tasks for ``n`` rows, as a leading argument of a repartition: so
+    many that a task's rows stay the same for any input, or none up to the session's
+    cores, where AQE sizes them."""
+    tasks = -(-n // per_task)
+    return [tasks] if tasks > df.sparkSession.sparkContext.defaultParallelism else []
+
+
 def by_file(written: DataFrame) -> DataFrame:
     """Per scope, year and file of written facts: first and last area, rows.  The
     year is taken from a set of one, as a collecting aggregate is grouped by
@@ -174,7 +184,7 @@ class FactStore:
         self.areas_path = f"{self.root}/areas"
         self.files_path = f"{self.root}/files"
         self.manifest_path = f"{self.root}/manifest"
-        self.names_path = f"{self.root}/names"
+        self.names_path = f"{self.root}/names/by_area"   # beside it, older layouts may have a row per scope
         self.files = Files(spark)
         self.log = CommitLog(self.files, f"{self.root}/log")
 
@@ -385,23 +395,32 @@ class FactStore:
 
     def index_names(self) -> int:
         """Write the name index of published runs that have none: a row per
-        scope, area and three neighbouring letters of its name (small letters),
-        sorted by them, so that a lookup reads few row groups.  A maintenance
-        step, like the compaction; returns how many runs were indexed."""
+        indicator, area type, area and three neighbouring letters of its name
+        (small letters), with the categories the area is in, sorted by letters, so
+        that a lookup reads few row groups.  Ranges go on to the name, as letters
+        may be in every name.  A maintenance step, like the compaction; returns how
+        many runs were indexed."""
         missing = [r for r in self.visible().run_ids if not self._exists(self._run_folder(self.names_path, r))]
         for run_id in missing:
-            areas = self._of_runs(self.areas_path, _AREAS_SCHEMA, [run_id])
-            (areas.select(*SCOPE, "area_name", F.explode(trigrams(F.lower("area_name"))).alias("trigram"))
-             .repartitionByRange("trigram", *SCOPE).sortWithinPartitions("trigram", *SCOPE)
+            areas = self._of_runs(self.areas_path, _AREAS_SCHEMA, [run_id]).select(*SCOPE, "area_name")
+            tasks = tasks_for(areas, areas.count(), AREAS_PER_TASK)
+            named = areas.repartition(*tasks, "indicator", "area_type", "area_name")
+            (named.groupBy("indicator", "area_type", "area_name").agg(F.collect_list("category").alias("categories"))
+             .withColumn("trigram", F.explode(trigrams(F.lower("area_name"))))
+             .repartitionByRange(*tasks, "trigram", "area_name", "indicator", "area_type")
+             .sortWithinPartitions("trigram", "indicator", "area_type")
              .write.mode("overwrite").parquet(self._run_folder(self.names_path, run_id)))
         return len(missing)
 
     def name_index(self, visible: "Visible | None" = None) -> DataFrame | None:
-        """The rows of ``index_names``, or None while a visible run has none."""
+        """The rows of ``index_names``, one per published category, or None while a
+        visible run has none."""
         visible = visible or self.visible()
         if not all(self._exists(f"{self._run_folder(self.names_path, r)}/_SUCCESS") for r in visible.run_ids):
             return None
-        return self._pinned(self.names_path, _NAMES_SCHEMA, visible)
+        rows = self._of_runs(self.names_path, _NAMES_SCHEMA, visible.run_ids).withColumn("category", F.explode("categories"))
+        rows = rows.where(visible.predicate()) if visible.run_ids else rows
+        return rows.select(*SCOPE, "area_name", "trigram", "import_run_id")
 
     def of_files(self, entries) -> DataFrame:
         """The rows of the facts in some files of the directory, others unread."""

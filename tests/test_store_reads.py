@@ -174,6 +174,30 @@ def test_name_index(opened, spark):
     assert StoreService(opened.store).name_index is None     # until the next maintenance
 
 
+def test_name_index_holds_a_name_once(spark, tmp_path, monkeypatch):
+    """Names are indexed once per run and area type, not once per category, in tasks of bounded
+    size; of a run whose categories were replaced in part, the others stay."""
+    from statlake.operators import publish
+    monkeypatch.setattr(publish, "AREAS_PER_TASK", 2)
+    rows = [("population", "district", f"area {a:03}", 2001, 1.0, "persons", c, None, None, None, None)
+            for a in range(20) for c in ("total", "part", "rest")]
+    store = publish.FactStore(spark, str(tmp_path / "store"))
+    first, second = RunContext("d", "v1"), RunContext("d", "v2")
+    store.commit(spark.createDataFrame(rows, publish.STAT_SCHEMA), first)
+    assert store.index_names() == 1
+    index = spark.read.parquet(store.names_path)
+    n = index.where("trigram = 'rea'").groupBy("area_name").count().collect()
+    assert len(n) == 20 and {r["count"] for r in n} == {1}
+    assert len(index.where("trigram = 'rea'").select(F.input_file_name()).distinct().collect()) > 2   # of more than one task
+    part = [(*r[:4], 2.0, *r[5:]) for r in rows if r[6] == "part" and r[2] < "area 005"]
+    store.commit(spark.createDataFrame(part, publish.STAT_SCHEMA), second, [("population", "district", "part")])
+    assert store.index_names() == 1
+    s = StoreService(store)
+    for category, names in ((None, 20), ("total", 20), ("part", 5)):
+        assert [r[0] for r in s.list_areas("population", "district", category, "REA 0").collect()] == [
+            f"area {a:03}" for a in range(names)]
+
+
 def test_trigrams(spark):
     from statlake.operators.publish import trigrams
     rows = spark.createDataFrame([("abcab",), ("ab",), ("",), ("äöüß",), (None,)], "t string").select(trigrams(F.col("t")).alias("x"))
