@@ -60,6 +60,8 @@ from statlake.schema import (
     ERROR_MESSAGE_MAX,
     KEY,
     LEDGER_SCHEMA,
+    MAX_VALID_YEAR,
+    MIN_VALID_YEAR,
     REQUIRED,
     SCOPE,
     STAT_COLUMNS,
@@ -92,8 +94,9 @@ _MANIFEST_SCHEMA = "path string, size long, mtime_ms long, import_run_id string"
 OPEN_DAYS = 2
 # Replaced partitions are kept this long for readers of older snapshots.
 RETENTION = dt.timedelta(days=7)
-# Areas of scopes whose names one task indexes.
+# Areas of scopes whose names one task indexes, written facts whose years by area one task groups.
 AREAS_PER_TASK = 100_000
+FACTS_PER_TASK = 500_000
 
 
 def scopes_frame(spark: SparkSession, scopes) -> DataFrame:
@@ -161,6 +164,23 @@ def tasks_for(df: DataFrame, n: int, per_task: int) -> list[int]:
     return [tasks] if tasks > df.sparkSession.sparkContext.defaultParallelism else []
 
 
+def by_area(written: DataFrame) -> DataFrame:
+    """Per scope and area of checked facts: its years in order, and its rows.  Years
+    are collected as bits of a few numbers, so that areas are grouped by hashing;
+    a set per area would sort the rows of a task."""
+    starts = range(MIN_VALID_YEAR, MAX_VALID_YEAR + 1, 64)
+    bits = [F.bit_or(F.expr(f"if(year BETWEEN {s} AND {s + 63}, shiftleft(1L, year - {s}), 0L)")).alias(f"from_{s}")
+            for s in starts]
+    found = written.groupBy(*SCOPE, "area_name").agg(
+        F.min("year").alias("first"), F.max("year").alias("last"), *bits, F.count(F.lit(1)).alias("rows"))
+
+    def has(year):
+        of = F.coalesce(*[F.when(year < s + 64, F.col(f"from_{s}")) for s in starts])
+        return F.getbit(of, F.pmod(year - starts[0], F.lit(64))) == 1
+
+    return found.select(*SCOPE, "area_name", F.filter(F.sequence("first", "last"), has).alias("years"), "rows")
+
+
 def by_file(written: DataFrame) -> DataFrame:
     """Per scope, year and file of written facts: first and last area, rows.  The
     year is taken from a set of one, as a collecting aggregate is grouped by
@@ -396,10 +416,11 @@ class FactStore:
     def index_names(self) -> int:
         """Write the name index of published runs that have none: a row per
         indicator, area type, area and three neighbouring letters of its name
-        (small letters), with the categories the area is in, sorted by letters, so
-        that a lookup reads few row groups.  Ranges go on to the name, as letters
-        may be in every name.  A maintenance step, like the compaction; returns how
-        many runs were indexed."""
+        (small letters), with the categories the area is in.  Names are dealt once,
+        to files of known size; each file has the rows of its names sorted by
+        letters, so that a lookup reads few pages of it, also for letters that every
+        name has.  A maintenance step, like the compaction; returns how many runs
+        were indexed."""
         missing = [r for r in self.visible().run_ids if not self._exists(self._run_folder(self.names_path, r))]
         for run_id in missing:
             areas = self._of_runs(self.areas_path, _AREAS_SCHEMA, [run_id]).select(*SCOPE, "area_name")
@@ -407,7 +428,6 @@ class FactStore:
             named = areas.repartition(*tasks, "indicator", "area_type", "area_name")
             (named.groupBy("indicator", "area_type", "area_name").agg(F.collect_list("category").alias("categories"))
              .withColumn("trigram", F.explode(trigrams(F.lower("area_name"))))
-             .repartitionByRange(*tasks, "trigram", "area_name", "indicator", "area_type")
              .sortWithinPartitions("trigram", "indicator", "area_type")
              .write.mode("overwrite").parquet(self._run_folder(self.names_path, run_id)))
         return len(missing)
@@ -509,7 +529,8 @@ class FactStore:
             self._event(run, "failed", error=error)
 
     def commit(self, staged: DataFrame, run: RunContext, scopes=None,
-               check_duplicates: bool = False, after_write=(), read_at: int | None = None) -> int:
+               check_duplicates: bool = False, after_write=(), read_at: int | None = None,
+               tasks: int | None = None) -> int:
         """Append staged rows under the run id, check them, then commit one log
         entry for every scope.  Returns the published row count.  Raises (and
         publishes nothing) on zero rows, constraint violations, rows outside
@@ -522,7 +543,9 @@ class FactStore:
         their cost does not depend on the number of scopes.  ``after_write``
         callables (checks observed in the same job) run before anything is
         published.  ``check_duplicates`` is kept for callers; keys are always
-        checked."""
+        checked.  ``tasks``: into how many ranges the rows go, where the caller
+        knows how many rows there are; AQE's ranges are of 64 MB, which is some
+        million facts, and their sort and each later read is one task."""
         # observed in the write's final stage: each task's metrics are applied
         # once, also when lost executors force task retries
         obs = Observation(f"commit-{run.run_id}")
@@ -539,12 +562,12 @@ class FactStore:
         # Range-cluster on (scope, year, area) before writing: each task then
         # writes one contiguous key range (about one file per task instead of
         # one per scope per task), a hot scope is split by year/area across
-        # tasks, AQE sizes the ranges, and files come out sorted for row-group
+        # tasks, AQE or the caller sizes the ranges, and files come out sorted for row-group
         # skipping.  Deduplication already happened upstream, so this shuffle
         # moves each staged row once.
         order = ["indicator", "area_type", "category", "year", "area_name"]
         rows = (staged.withColumn("import_run_id", F.lit(run.run_id)).select(*STAT_COLUMNS)
-                .repartitionByRange(*order)
+                .repartitionByRange(*([tasks] if tasks else []), *order)
                 .observe(obs, *metrics))
         (rows.sortWithinPartitions(*order)
          .write.mode("append")
@@ -563,7 +586,7 @@ class FactStore:
         bad = {k: v for k, v in check.items() if v}
         if bad:
             raise DatasetImportError(f"staged rows violate constraints: {bad}")
-        keys, found = self._summarise(run)
+        keys, found = self._summarise(run, n)
         if keys != n:
             raise DatasetImportError(f"staged rows violate constraints: {{'duplicate_keys': {n - keys}}}")
         owned = [(*scope, found[scope]["rows"] if scope in found else 0, run.loaded_at,
@@ -572,18 +595,19 @@ class FactStore:
         self._event(run, "published", row_count=n, scopes=owned, **({"read_at": read_at} if read_at is not None else {}))
         return n
 
-    def _summarise(self, run: RunContext) -> tuple[int, dict[tuple, dict]]:
+    def _summarise(self, run: RunContext, n: int) -> tuple[int, dict[tuple, dict]]:
         """Write a run's ``areas`` and ``files``; the number of distinct keys,
-        and per scope its rows and years."""
+        and per scope its rows and years.  ``n``: the run's rows."""
         written = self._of_runs(self.facts_path, STAT_SCHEMA, [run.run_id])
         path = self._run_folder(self.files_path, run.run_id)
 
         def areas() -> int:
             obs, distinct = Observation(f"areas-{run.run_id}"), F.sum(F.size("years")).alias("keys")
-            # sorted by scope and area, so that a lookup reads few row groups
-            (written.groupBy(*SCOPE, "area_name")
-             .agg(F.sort_array(F.collect_set("year")).alias("years"), F.count(F.lit(1)).alias("rows"))
-             .observe(obs, distinct).sortWithinPartitions(*SCOPE, "area_name")
+            # an area's years lie in as many files: rows are dealt before they are grouped, to tasks
+            # of known size; sorted by scope and area, so that a lookup reads few row groups
+            dealt = written.select(*SCOPE, "area_name", "year").repartition(
+                *tasks_for(written, n, FACTS_PER_TASK), *SCOPE, "area_name")
+            (by_area(dealt).observe(obs, distinct).sortWithinPartitions(*SCOPE, "area_name")
              .write.parquet(self._run_folder(self.areas_path, run.run_id)))
             found = observed(obs) or self._of_runs(self.areas_path, _AREAS_SCHEMA, [run.run_id]).agg(distinct).first().asDict()
             return found["keys"]

@@ -593,18 +593,29 @@ def publish_snapshot(spark, sf_dir):
     return core(P.replace_scopes(s, staged, scopes))
 
 
+# Orders whose facts go to one range of a publish.
+ORDERS_PER_RANGE = 250_000
+
+
+def _ranges(spark, sf_dir):
+    """Ranges of a publish of facts: they follow the orders; up to the session's cores, AQE sizes them."""
+    orders = table(spark, sf_dir, "orders")
+    return next(iter(P.tasks_for(orders, orders.count(), ORDERS_PER_RANGE)), None)
+
+
 @register("publish_store", PUBLISH_SQL)
 def publish_store(spark, sf_dir):
     """The same snapshot through the append-only store: a first run publishes
     all of stats, a second run replaces the six customer order-count scopes."""
     s, staged, _ = _publish_inputs(spark, sf_dir)
     store = P.FactStore(spark, scratch_path(spark, "store"))
+    ranges = _ranges(spark, sf_dir)
     first = RunContext(dataset_id="stats_initial", data_version="v1")
     store.begin(first)
-    store.commit(s, first)  # scopes = those written, observed during the write
+    store.commit(s, first, tasks=ranges)  # scopes = those written, observed during the write
     second = RunContext(dataset_id="customer_orders", data_version="v2")
     store.begin(second)
-    store.commit(staged, second, PUBLISH_SCOPES)
+    store.commit(staged, second, PUBLISH_SCOPES, tasks=ranges)
     return core(store.facts())
 
 
@@ -612,15 +623,15 @@ def publish_store(spark, sf_dir):
 def store_snapshot(spark, sf_dir):
     """Two publishes read through a pinned snapshot; a third publish after it is not seen."""
     s, staged, scopes = _publish_inputs(spark, sf_dir)
-    store = P.FactStore(spark, scratch_path(spark, "store"))
+    store, ranges = P.FactStore(spark, scratch_path(spark, "store")), _ranges(spark, sf_dir)
     for name, rows, owned in (("stats_initial", s, None), ("customer_orders", staged, PUBLISH_SCOPES)):
         run = RunContext(dataset_id=name, data_version="v")
         store.begin(run)
-        store.commit(rows, run, owned)
+        store.commit(rows, run, owned, tasks=ranges)
     snapshot = store.snapshot()
     later = RunContext(dataset_id="customer_orders", data_version="v3")
     store.begin(later)
-    store.commit(P.in_scopes(s, scopes), later, PUBLISH_SCOPES)
+    store.commit(P.in_scopes(s, scopes), later, PUBLISH_SCOPES, tasks=ranges)
     return core(snapshot)
 
 
@@ -634,12 +645,13 @@ def _service(spark, sf_dir):
     """The service over a store with one run per derived data version, the customer
     order counts published twice."""
     s, staged, _ = _publish_inputs(spark, sf_dir)
+    ranges = _ranges(spark, sf_dir)
     store = P.FactStore(spark, scratch_path(spark, "store"))
     for name, rows in (("order_count", s), ("order_value", s), ("customer", staged)):
         owned = PUBLISH_SCOPES if name == "customer" else [x for x in ALL_SCOPES if x[0] == name]
         run = RunContext(dataset_id=name, data_version=f"v-{name}", loaded_at=FIXED_RUN_AT)
         store.begin(run)
-        store.commit(rows if name == "customer" else rows.where(F.col("indicator") == name), run, owned)
+        store.commit(rows if name == "customer" else rows.where(F.col("indicator") == name), run, owned, tasks=ranges)
     return service.StoreService(store)
 
 

@@ -174,6 +174,27 @@ def test_name_index(opened, spark):
     assert StoreService(opened.store).name_index is None     # until the next maintenance
 
 
+def test_summaries_of_areas_group_by_hashing_in_tasks_of_known_size(spark, tmp_path, monkeypatch):
+    """Years of areas need no sort of a task's rows; every valid year keeps its place, equal
+    keys are still found, and a caller's number of ranges is kept."""
+    from statlake.operators import publish
+    rows = [("population", "district", f"area {a:03}", y, 1.0, "persons", "total", None, None, None, None)
+            for a in range(20) for y in (1900, 1963, 1964, 1999 + a % 3, 2027, 2028, 2091, 2092, 2100)]
+    df = spark.createDataFrame(rows, publish.STAT_SCHEMA)
+    plan = publish.by_area(df)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+    monkeypatch.setattr(publish, "FACTS_PER_TASK", 10)
+    store, run = publish.FactStore(spark, str(tmp_path / "store")), RunContext("d", "v1")
+    assert store.commit(df, run, tasks=7) == len(rows)
+    areas = store.dimensions()
+    for r in areas.collect():
+        assert list(r["years"]) == sorted(x[3] for x in rows if x[2] == r["area_name"]) and r["rows"] == 9
+    assert areas.count() == 20 and len(areas.inputFiles()) > 8
+    assert 3 < len(store.snapshot().inputFiles()) <= 7
+    with pytest.raises(publish.DatasetImportError, match="'duplicate_keys': 2"):
+        store.commit(spark.createDataFrame(rows + rows[4:6], publish.STAT_SCHEMA), RunContext("d", "v2"))
+
+
 def test_name_index_holds_a_name_once(spark, tmp_path, monkeypatch):
     """Names are indexed once per run and area type, not once per category, in tasks of bounded
     size; of a run whose categories were replaced in part, the others stay."""
