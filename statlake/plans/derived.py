@@ -31,6 +31,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statlake.session import scratch_path
+
 # Fixed lineage of the derived table (run id, load time), so that a SQL
 # oracle can reproduce it with literals.
 STATS_SOURCE = "orders"
@@ -61,7 +63,9 @@ def by_customer_name(located: DataFrame, n_orders: int) -> DataFrame:
     return located.repartition(tasks, "c_name")
 
 
-def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stats(spark: SparkSession, sf_dir: str, kept: bool = False) -> DataFrame:
+    """The fact table.  ``kept``: for callers that read it in several jobs, the
+    pre-aggregated orders with their places are written once, below the checkpoint folder."""
     orders = table(spark, sf_dir, "orders")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
@@ -80,6 +84,10 @@ def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     located = (per_customer
                .join(customer, per_customer.o_custkey == customer.c_custkey)
                .join(geo, F.col("c_nationkey") == geo.n_nationkey))
+    if kept:
+        path = scratch_path(spark, "located-orders")
+        located.select("n_name", "r_name", "c_name", "year", "priority", "n", "amount").write.parquet(path)
+        located = spark.read.parquet(path)
     by_nation = located.groupBy("n_name", "r_name", "year", "priority").agg(
         F.sum("n").alias("n"), F.sum("amount").alias("amount"))
     by_name = by_customer_name(located.select("c_name", "year", "priority", "n", "amount"), orders.count())

@@ -37,6 +37,16 @@ def test_tasks_by_customer_follow_the_orders(spark, tmp_path, monkeypatch):
         assert one.rdd.getNumPartitions() == 60
 
 
+def test_kept_orders_are_read_once(spark, tmp_path, monkeypatch):
+    """Callers that publish the facts several times read what is written, not the orders again."""
+    path = _tables(spark, tmp_path / "in")
+    monkeypatch.setattr(derived, "scratch_path", lambda _, label: str(tmp_path / label))
+    kept = derived.stats(spark, path, kept=True)
+    assert kept.schema == derived.stats(spark, path).schema
+    assert {f.rpartition("/")[0].rpartition("/")[2] for f in kept.inputFiles()} == {"located-orders"}
+    assert _rows(kept) == _rows(derived.stats(spark, path))
+
+
 def test_wide_tables_group_numbers(spark, tmp_path):
     """Cells are numbers until they are grouped: texts are grouped by sorting every row."""
     path = _tables(spark, tmp_path)
